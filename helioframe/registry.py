@@ -98,3 +98,227 @@ def from_utc_q(spark, sf):
     e = S.testdata(spark, sf, "events")
     return e.select("event_id", F.col("event_type").alias("kks"),
                     T.from_utc("ts").alias("time"))
+
+
+# ----------------------------------------------- day lists, key frames, keyed reads
+
+def _day_bounds(events: DataFrame):
+    """First and last day of the events (a one-row aggregate)."""
+    lo, hi = events.agg(F.min(F.to_date("ts")), F.max(F.to_date("ts"))).first()
+    return str(lo), str(hi)
+
+
+_BOUNDS_SQL = """(SELECT CAST(CAST(min(ts) AS DATE) AS TIMESTAMP) AS lo,
+                         CAST(CAST(max(ts) AS DATE) AS TIMESTAMP) AS hi FROM events)"""
+
+
+@register("date_grid", f"""
+    SELECT unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS d FROM {_BOUNDS_SQL}""")
+def date_grid(spark, sf):
+    from helioframe.operators.keyed import date_frame
+    lo, hi = _day_bounds(S.testdata(spark, sf, "events"))
+    return date_frame(spark, lo, hi)
+
+
+@register("key_grid", f"""
+    SELECT k, unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS d
+    FROM (SELECT DISTINCT event_type AS k FROM events), {_BOUNDS_SQL}""")
+def key_grid(spark, sf):
+    from helioframe.operators.keyed import key_frame
+    e = S.testdata(spark, sf, "events")
+    lo, hi = _day_bounds(e)
+    tags = e.select(F.col("event_type").alias("kks")).distinct()
+    return key_frame(tags, lo, hi)
+
+
+@register("keyed_read", """
+    SELECT event_type AS kks, CAST(ts AS DATE) AS date,
+           timezone('UTC', timezone('Europe/Madrid', ts)) AS "time", value
+    FROM events""")
+def keyed_read(spark, sf):
+    from helioframe.operators.keyed import read_by_keys
+    keys = key_grid(spark, sf)
+    return read_by_keys(_raw(spark, sf), keys)
+
+
+# -------------------------------------------------------------- time slices
+
+def _slice(t0: str, days: float):
+    def q(spark, sf):
+        from helioframe.operators.rows import time_slice
+        e = S.testdata(spark, sf, "events")
+        start = T.parse_instant(t0)
+        return time_slice(e, "ts", start, days).select("event_id", "ts", "value")
+    return q
+
+
+register("range_slice_day", """
+    SELECT event_id, ts, value FROM events
+    WHERE ts BETWEEN TIMESTAMP '2024-01-08 12:00:00'
+                 AND TIMESTAMP '2024-01-08 12:00:00' + INTERVAL 1 DAY""")(
+    _slice("2024-01-08 12:00", 1))
+register("range_slice_week", """
+    SELECT event_id, ts, value FROM events
+    WHERE ts BETWEEN TIMESTAMP '2024-01-15 00:00:00'
+                 AND TIMESTAMP '2024-01-15 00:00:00' + INTERVAL 7 DAY""")(
+    _slice("2024-01-15 00:00", 7))
+
+
+# ---------------------------------------------------------- dedup and day keys (A2, A3)
+
+@register("dedup_first", """
+    SELECT user_id, CAST(ts AS DATE) AS date, arg_min(value, event_id) AS value
+    FROM events GROUP BY 1, 2""")
+def dedup_first_q(spark, sf):
+    from helioframe.operators.ingest import dedup_first
+    e = S.testdata(spark, sf, "events").withColumn("date", F.to_date("ts"))
+    return dedup_first(e, ["user_id", "date"], "value", "event_id")
+
+
+@register("distinct_days", """
+    SELECT DISTINCT event_type AS kks, CAST(ts AS DATE) AS date FROM events""")
+def distinct_days_q(spark, sf):
+    from helioframe.operators.ingest import distinct_days
+    return distinct_days(_raw(spark, sf), "time", by=["kks"])
+
+
+# ------------------------------------------------- CSV files -> raw table (S1..S5, P1..P8)
+
+def _round_trip(spark, sf):
+    """Write events as plant CSV files (one folder per tag) and ingest them."""
+    from helioframe.plans.ingest_job import ingest
+    from helioframe.session import scratch_path
+    from helioframe.sources.measurement_csv import write_plant_csv
+    e = S.testdata(spark, sf, "events")
+    src = e.select(F.col("event_type").alias("kks"), F.col("ts").alias("time"),
+                   "value", "event_id")
+    csv_dir = scratch_path(spark, "plant-csv")
+    write_plant_csv(src, csv_dir, order=("time", "event_id"))
+    table = scratch_path(spark, "raw-table")
+    res = ingest(spark, csv_dir, table, tag_from="folder")
+    return res, table
+
+
+@register("csv_round_trip", """
+    SELECT event_type AS kks, CAST(date_trunc('second', ts) AS DATE) AS date,
+           date_trunc('second', ts) AS "time",
+           round(first(value ORDER BY ts, event_id), 6) AS value
+    FROM events GROUP BY 1, 2, 3""")
+def csv_round_trip(spark, sf):
+    from helioframe.sources.sinks import read_partitioned
+    _, table = _round_trip(spark, sf)
+    out = read_partitioned(spark, table, S.RAW_SCHEMA)
+    return out.select("kks", "date", "time", r6("value").alias("value"))
+
+
+@register("ingest_summary", """
+    SELECT event_type AS kks, count(*) AS lines,
+           count(DISTINCT date_trunc('second', ts)) AS loaded_rows
+    FROM events GROUP BY 1""")
+def ingest_summary(spark, sf):
+    from helioframe.sources.measurement_csv import tag_column
+    from helioframe.sources.sinks import read_partitioned
+    res, table = _round_trip(spark, sf)
+    lines = (res.outcomes.where("status = 'loaded'")
+             .groupBy(tag_column("path", "folder").alias("kks"))
+             .agg(F.sum("rows").alias("lines")))
+    loaded = read_partitioned(spark, table, S.RAW_SCHEMA).groupBy("kks") \
+        .agg(F.count(F.lit(1)).alias("loaded_rows"))
+    return lines.join(loaded, "kks", "full").select("kks", "lines", "loaded_rows")
+
+
+# --------------------------------------------------- file lists and manifests
+
+def _basename_sql(c):
+    return f"regexp_extract({c}, '[^/\\\\]*$', 0)"
+
+
+@register("basename", f"""
+    SELECT page_id, {_basename_sql('url')} AS name FROM pages""")
+def basename_q(spark, sf):
+    from helioframe.functions.text import basename
+    p = S.testdata(spark, sf, "pages")
+    return p.select("page_id", basename("url").alias("name"))
+
+
+@register("tag_from_path", f"""
+    SELECT page_id,
+           left({_basename_sql('url')}, greatest(length({_basename_sql('url')}) - 4, 0)) AS kks
+    FROM pages""")
+def tag_from_path_q(spark, sf):
+    from helioframe.functions.text import tag_from_path
+    p = S.testdata(spark, sf, "pages")
+    return p.select("page_id", tag_from_path("url").alias("kks"))
+
+
+@register("files_to_load", f"""
+    SELECT DISTINCT {_basename_sql('url')} AS file FROM pages
+    WHERE {_basename_sql('url')} <> ''
+    EXCEPT
+    SELECT {_basename_sql('url')} FROM pages WHERE url LIKE 'https%'""")
+def files_to_load_q(spark, sf):
+    """Wanted list = every page name; loaded manifests = the https pages."""
+    from helioframe.functions.text import basename
+    from helioframe.operators.ingest import files_to_load
+    from helioframe.session import scratch_path
+    from helioframe.sources.measurement_csv import read_file_list
+    from helioframe.sources.sinks import read_manifests, write_manifest
+    p = S.testdata(spark, sf, "pages")
+    wanted_csv = scratch_path(spark, "wanted")
+    (p.select(basename("url").alias("file")).where("file <> ''")
+      .write.mode("overwrite").option("header", False).csv(wanted_csv))
+    manifests = scratch_path(spark, "manifests")
+    write_manifest(p.where(F.col("url").startswith("https")).select(F.col("url").alias("path")),
+                   manifests)
+    return files_to_load(read_file_list(spark, wanted_csv), read_manifests(spark, manifests + "/*"))
+
+
+# ------------------------------------------------------------------ upsert sink
+
+@register("upsert_latest", """
+    WITH e AS (SELECT event_type AS kks, CAST(ts AS DATE) AS date, ts AS "time", value
+               FROM events)
+    SELECT kks, date, "time",
+           round(CASE WHEN kks = 'purchase' THEN value * 2 ELSE value END, 6) AS value
+    FROM e
+    UNION ALL
+    SELECT 'purchase_2', date, "time", round(value, 6) FROM e WHERE kks = 'purchase'""")
+def upsert_latest(spark, sf):
+    """Table = events; batch = purchase rows doubled (updates) and copied to a
+    new tag (inserts); the batch is applied twice (the second is a no-op)."""
+    from helioframe.session import scratch_path
+    from helioframe.sources.sinks import read_partitioned, upsert
+    raw = _raw(spark, sf)
+    table = scratch_path(spark, "upsert-table")
+    upsert(raw, table, S.RAW_SCHEMA)
+    purchases = raw.where(F.col("kks") == "purchase")
+    batch = purchases.withColumn("value", F.col("value") * 2).unionByName(
+        purchases.withColumn("kks", F.lit("purchase_2")))
+    upsert(batch, table, S.RAW_SCHEMA)
+    upsert(batch, table, S.RAW_SCHEMA)
+    out = read_partitioned(spark, table, S.RAW_SCHEMA)
+    return out.select("kks", "date", "time", r6("value").alias("value"))
+
+
+# ------------------------------------------------------ full aggregation stage (plan 3.2)
+
+@register("aggregate_job", """
+    SELECT kks, CAST(t AS DATE) AS date, t AS "time", value FROM (
+      SELECT event_type AS kks,
+             timezone('Europe/Madrid', timezone('UTC',
+               time_bucket(INTERVAL '1 minute', timezone('UTC', timezone('Europe/Madrid', ts))))) AS t,
+             round(avg(value), 6) AS value
+      FROM events GROUP BY 1, 2)""")
+def aggregate_job_q(spark, sf):
+    """events -> raw table (kks, date partitions) -> all tags x all days ->
+    1-minute means in plant time -> aggregate table."""
+    from helioframe.plans import aggregate_job
+    from helioframe.session import scratch_path
+    from helioframe.sources.sinks import upsert
+    e = S.testdata(spark, sf, "events")
+    raw_table, agg_table = scratch_path(spark, "raw"), scratch_path(spark, "agg")
+    upsert(_raw(spark, sf), raw_table, S.RAW_SCHEMA)
+    lo, hi = _day_bounds(e)
+    tags = e.select(F.col("event_type").alias("kks")).distinct()
+    out = aggregate_job.run(spark, raw_table, agg_table, tags, lo, hi, "1 minute")
+    return out.select("kks", "date", "time", r6("value").alias("value"))
