@@ -322,3 +322,270 @@ def aggregate_job_q(spark, sf):
     tags = e.select(F.col("event_type").alias("kks")).distinct()
     out = aggregate_job.run(spark, raw_table, agg_table, tags, lo, hi, "1 minute")
     return out.select("kks", "date", "time", r6("value").alias("value"))
+
+
+# ----------------------------------------------------------- tag sheet
+
+_SHEET_TAG_SQL = """CASE WHEN p_type <> 'SMALL'
+        THEN replace(split_part(p_type || '::' || p_brand || '/' || p_name, '::', 2), '/', '_')
+        ELSE p_name END"""
+_DOCS = "documents LEFT JOIN labels USING (doc_id)"
+_DOC_COLS = ["doc_id", "text", "lang", "source", "n_chars", "quality", "toxic"]
+
+
+def _docs(spark, sf):
+    d = S.testdata(spark, sf, "documents")
+    return d.join(S.testdata(spark, sf, "labels"), "doc_id", "left").select(*_DOC_COLS)
+
+
+def _sheet_tags(spark, sf):
+    from helioframe.operators.tagmeta import normalised_tags
+    sheet = normalised_tags(S.sheet_from_part(S.testdata(spark, sf, "part")))
+    return sheet.select(F.col("KKS").alias("plain_tag"), F.col("tag").alias("kks"))
+
+
+def _table_tags(spark, sf):
+    return S.tag_table_from_part(S.testdata(spark, sf, "part"))
+
+
+@register("tag_normalise", f"""
+    SELECT p_name AS plain_tag, {_SHEET_TAG_SQL} AS kks FROM part""")
+def tag_normalise(spark, sf):
+    return _sheet_tags(spark, sf)
+
+
+@register("null_counts", "SELECT " + ", ".join(
+    f"count(*) FILTER (WHERE {c} IS NULL) AS {c}" for c in _DOC_COLS) + f" FROM {_DOCS}")
+def null_counts_q(spark, sf):
+    from helioframe.operators.tagmeta import null_counts
+    return null_counts(_docs(spark, sf))
+
+
+@register("null_counts_long", " UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", count(*) FILTER (WHERE {c} IS NULL) AS nulls FROM {_DOCS}"
+    for c in _DOC_COLS))
+def null_counts_long_q(spark, sf):
+    from helioframe.operators.tagmeta import null_counts_long
+    return null_counts_long(_docs(spark, sf))
+
+
+@register("rows_any_null", f"""
+    SELECT doc_id, lang, n_chars, quality, toxic FROM {_DOCS}
+    WHERE doc_id IS NULL OR lang IS NULL OR n_chars IS NULL OR quality IS NULL
+       OR toxic IS NULL""")
+def rows_any_null_q(spark, sf):
+    from helioframe.operators.tagmeta import drop_columns, rows_with_any_null
+    return rows_with_any_null(drop_columns(_docs(spark, sf), ["text", "source"]))
+
+
+@register("shape", f"SELECT count(*) AS n_rows, 7 AS n_cols FROM {_DOCS}")
+def shape_q(spark, sf):
+    from helioframe.operators.tagmeta import shape
+    return shape(_docs(spark, sf))
+
+
+@register("hier_count", """
+    SELECT count(*) AS n_rows, count(CASE WHEN p_type <> 'SMALL' THEN 1 END) AS n_present
+    FROM part""")
+def hier_count(spark, sf):
+    from helioframe.operators.tagmeta import count_present
+    return count_present(S.sheet_from_part(S.testdata(spark, sf, "part")), "KKS COMPLETE")
+
+
+_TAGS_CTE = f"""WITH s AS (SELECT {_SHEET_TAG_SQL} AS t FROM part),
+         tt AS (SELECT p_brand || '_' || p_name AS t FROM part)"""
+
+
+@register("tag_overlap", f"""
+    {_TAGS_CTE}
+    SELECT (SELECT count(*) FROM tt) AS n_table, (SELECT count(*) FROM s) AS n_sheet,
+           (SELECT count(*) FROM (SELECT t FROM s INTERSECT SELECT t FROM tt)) AS n_both""")
+def tag_overlap_q(spark, sf):
+    from helioframe.operators.tagmeta import tag_overlap
+    return tag_overlap(_sheet_tags(spark, sf), _table_tags(spark, sf))
+
+
+@register("tag_intersection", f"""
+    {_TAGS_CTE}
+    SELECT t AS kks FROM s INTERSECT SELECT t FROM tt""")
+def tag_intersection_q(spark, sf):
+    from helioframe.operators.tagmeta import tag_intersection
+    return tag_intersection(_sheet_tags(spark, sf), _table_tags(spark, sf))
+
+
+@register("tags_unmatched", f"""
+    {_TAGS_CTE}
+    SELECT t AS kks, 'sheet' AS side FROM (SELECT t FROM s EXCEPT SELECT t FROM tt)
+    UNION ALL
+    SELECT t, 'table' FROM (SELECT t FROM tt EXCEPT SELECT t FROM s)""")
+def tags_unmatched_q(spark, sf):
+    from helioframe.operators.tagmeta import tags_unmatched
+    return tags_unmatched(_sheet_tags(spark, sf), _table_tags(spark, sf))
+
+
+@register("tag_lookup", """
+    SELECT p_brand || '_' || p_name AS kks, p_type AS plant, p_partkey AS id FROM part
+    WHERE p_brand || '_' || p_name = 'Brand#2_small ring' AND p_type = 'ECONOMY'""")
+def tag_lookup_q(spark, sf):
+    from helioframe.operators.tagmeta import lookup
+    return lookup(_table_tags(spark, sf), kks="Brand#2_small ring", plant="ECONOMY")
+
+
+# ------------------------------------------------------------- positions
+
+_EV_ORDER = ["ts", "event_id"]
+_EV_IDX = "row_number() OVER (ORDER BY ts, event_id) - 1"
+
+
+@register("chrono_split", f"""
+    SELECT event_id, idx, CASE WHEN idx < floor(n * 0.8) THEN 'train' ELSE 'validation' END AS split
+    FROM (SELECT event_id, {_EV_IDX} AS idx, count(*) OVER () AS n FROM events)""")
+def chrono_split_q(spark, sf):
+    from helioframe.operators.rows import chrono_split
+    out, _, _ = chrono_split(S.testdata(spark, sf, "events"), _EV_ORDER)
+    return out.select("event_id", "idx", "split")
+
+
+@register("kfold", f"""
+    SELECT event_id, ntile(5) OVER (ORDER BY idx) - 1 AS fold
+    FROM (SELECT event_id, {_EV_IDX} AS idx, count(*) OVER () AS n FROM events)
+    WHERE idx < floor(n * 0.8)""")
+def kfold_q(spark, sf):
+    from helioframe.operators.rows import chrono_split, fold_of
+    out, _, k = chrono_split(S.testdata(spark, sf, "events"), _EV_ORDER)
+    return out.where("split = 'train'").select("event_id", fold_of("idx", k, 5).alias("fold"))
+
+
+@register("kfold_7", """
+    SELECT event_id, ntile(7) OVER (ORDER BY ts, event_id) - 1 AS fold FROM events""")
+def kfold_7(spark, sf):
+    from helioframe.operators.rows import kfold
+    return kfold(S.testdata(spark, sf, "events"), _EV_ORDER, k=7).select("event_id", "fold")
+
+
+@register("head_n", """
+    SELECT event_id, ts, value FROM events ORDER BY ts, event_id LIMIT 10""")
+def head_n(spark, sf):
+    from helioframe.operators.rows import head
+    return head(S.testdata(spark, sf, "events"), _EV_ORDER, 10).select("event_id", "ts", "value")
+
+
+@register("tail_n", """
+    SELECT event_id, ts, value FROM events ORDER BY ts DESC, event_id DESC LIMIT 5""")
+def tail_n(spark, sf):
+    from helioframe.operators.rows import tail
+    return tail(S.testdata(spark, sf, "events"), _EV_ORDER, 5).select("event_id", "ts", "value")
+
+
+@register("row_at", """
+    SELECT event_id, ts, value FROM events ORDER BY ts, event_id LIMIT 1 OFFSET 250""")
+def row_at_q(spark, sf):
+    from helioframe.operators.rows import row_at
+    return row_at(S.testdata(spark, sf, "events"), _EV_ORDER, 250).select("event_id", "ts", "value")
+
+
+# ------------------------------------------------- baseline, OLS and metrics
+
+@register("mean_baseline", f"""
+    WITH r AS (SELECT value, {_EV_IDX} AS idx, count(*) OVER () AS n FROM events),
+         m AS (SELECT avg(value) AS mu FROM r WHERE idx < floor(n * 0.8))
+    SELECT 'media' AS model, round(mu, 6) AS mean,
+           round(avg(pow(value - mu, 2)), 6) AS mse,
+           round(sqrt(avg(pow(value - mu, 2))), 6) AS rmse,
+           round(1 - sum(pow(value - mu, 2)) / (count(*) * var_pop(value)), 6) AS r2
+    FROM r, m WHERE idx >= floor(n * 0.8) GROUP BY mu""")
+def mean_baseline(spark, sf):
+    from helioframe.models.simple import fit_mean, predict_mean
+    from helioframe.operators.metrics import regression_metrics
+    from helioframe.operators.rows import chrono_split
+    out, _, _ = chrono_split(S.testdata(spark, sf, "events"), _EV_ORDER)
+    mu = fit_mean(out.where("split = 'train'"), "value")
+    pred = predict_mean(out, mu, "value_media")
+    m = regression_metrics(pred.where("split = 'validation'"), "value", {"media": "value_media"})
+    return m.select("model", F.round(F.lit(mu), 6).alias("mean"), r6("mse").alias("mse"),
+                    r6("rmse").alias("rmse"), r6("r2").alias("r2"))
+
+
+_LI_ORDER_REST = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity",
+                  "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus"]
+_LI_IDX = ("row_number() OVER (ORDER BY l_shipdate, " + ", ".join(_LI_ORDER_REST) + ") - 1")
+_LI_FIT_CTE = f"""
+    WITH r AS (SELECT *, l_shipdate AS "time", {_LI_IDX} AS idx, count(*) OVER () AS n
+               FROM lineitem),
+         fit AS (SELECT regr_slope(l_extendedprice, l_quantity) AS b1,
+                        regr_intercept(l_extendedprice, l_quantity) AS b0,
+                        avg(l_extendedprice) AS mu
+                 FROM r WHERE idx < floor(n * 0.8)),
+         p AS (SELECT r.*, mu AS p_media, b0 + b1 * l_quantity AS p_rl,
+                      idx < floor(n * 0.8) AS is_train FROM r, fit)"""
+
+
+def _lineitem_fit(spark, sf):
+    from helioframe.plans.training_job import train_all
+    li = S.testdata(spark, sf, "lineitem")
+    return train_all(li, "l_extendedprice", time="l_shipdate", features=["l_quantity"],
+                     models=("media", "rl"), order_extra=tuple(_LI_ORDER_REST))
+
+
+@register("metrics_rmse_r2", f"""
+    {_LI_FIT_CTE}
+    SELECT 'media' AS model, round(sqrt(avg(pow(l_extendedprice - p_media, 2))), 3) AS rmse,
+           round(1 - sum(pow(l_extendedprice - p_media, 2))
+                     / (count(*) * var_pop(l_extendedprice)), 8) AS r2
+    FROM p WHERE NOT is_train
+    UNION ALL
+    SELECT 'rl', round(sqrt(avg(pow(l_extendedprice - p_rl, 2))), 3),
+           round(1 - sum(pow(l_extendedprice - p_rl, 2))
+                     / (count(*) * var_pop(l_extendedprice)), 8)
+    FROM p WHERE NOT is_train""")
+def metrics_rmse_r2(spark, sf):
+    res = _lineitem_fit(spark, sf)
+    return res.metrics.select("model", F.round("rmse", 3).alias("rmse"),
+                              F.round("r2", 8).alias("r2"))
+
+
+@register("linreg_predict", f"""
+    {_LI_FIT_CTE}
+    SELECT l_orderkey, l_linenumber, idx, round(p_rl, 4) AS prediction FROM p""")
+def linreg_predict(spark, sf):
+    res = _lineitem_fit(spark, sf)
+    return res.predictions.select("l_orderkey", "l_linenumber", "idx",
+                                  F.round("l_extendedprice_rl", 4).alias("prediction"))
+
+
+# -------------------------------------------------------- comparison frames
+
+@register("compare_unpivot", f"""
+    {_LI_FIT_CTE}
+    SELECT "time", series, round(avg(value), 4) AS value FROM (
+        SELECT "time", 'l_extendedprice' AS series, l_extendedprice AS value FROM p
+        UNION ALL SELECT "time", 'l_extendedprice_media', p_media FROM p
+        UNION ALL SELECT "time", 'l_extendedprice_rl', p_rl FROM p)
+    WHERE "time" BETWEEN TIMESTAMP '1998-03-01' AND TIMESTAMP '1998-03-08'
+    GROUP BY 1, 2""")
+def compare_unpivot(spark, sf):
+    from helioframe.operators.report import compare_long, series_mean
+    res = _lineitem_fit(spark, sf)
+    preds = res.predictions.withColumnRenamed("l_shipdate", "time")
+    long = compare_long(preds, "time", ["l_extendedprice", "l_extendedprice_media",
+                                        "l_extendedprice_rl"], "1998-03-01 00:00:00", 7)
+    return series_mean(long).select("time", "series", F.round("value", 4).alias("value"))
+
+
+@register("day_panels", f"""
+    {_LI_FIT_CTE}
+    SELECT panel, "time", series, round(avg(value), 4) AS value FROM (
+        SELECT CASE WHEN "time" < TIMESTAMP '1999-01-01' THEN 'train' ELSE 'validation' END
+                   AS panel, "time", series, value FROM (
+            SELECT "time", 'l_extendedprice' AS series, l_extendedprice AS value FROM p
+            UNION ALL SELECT "time", 'l_extendedprice_rl', p_rl FROM p)
+        WHERE "time" BETWEEN TIMESTAMP '1996-08-08 12:00' AND TIMESTAMP '1996-08-09 12:00'
+           OR "time" BETWEEN TIMESTAMP '2001-08-09 12:00' AND TIMESTAMP '2001-08-10 12:00')
+    GROUP BY 1, 2, 3""")
+def day_panels_q(spark, sf):
+    from helioframe.operators.report import day_panels
+    res = _lineitem_fit(spark, sf)
+    preds = res.predictions.withColumnRenamed("l_shipdate", "time")
+    long = day_panels(preds, "time", ["l_extendedprice", "l_extendedprice_rl"],
+                      "1996-08-08 12:00:00", "2001-08-09 12:00:00")
+    return long.groupBy("panel", "time", "series").agg(F.round(F.avg("value"), 4).alias("value"))
