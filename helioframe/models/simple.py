@@ -78,7 +78,7 @@ def random_forest(label: str, n_estimators: int = 100, max_depth=None,
     return RandomForestRegressor(**kw)
 
 
-def forest_params(est: RandomForestRegressor, **sk) -> dict:
+def forest_params(est: RandomForestRegressor, sk: dict) -> dict:
     """Param map for ``est`` from sklearn-style names (``min_samples_split`` has
     no MLlib counterpart and is ignored)."""
     m = {}

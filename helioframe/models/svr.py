@@ -115,7 +115,7 @@ class EpsilonSVR(Estimator, _SVRParams):
                                        outputCol="__poly").transform(base)
         phi = _phi_columns(x, kernel, p, degree, omega, u, "__poly")
         m = len(phi)
-        mapped = base.select(F.col("__y"), *[c.alias(f"__f{k}") for k in range(m)])
+        mapped = base.select(F.col("__y"), *[e.alias(f"__f{k}") for k, e in enumerate(phi)])
         stats = mapped.agg(*[F.avg(f"__f{k}") for k in range(m)],
                            *[F.stddev_pop(f"__f{k}") for k in range(m)]).first()
         mu = np.array(stats[:m], dtype=float)

@@ -589,3 +589,147 @@ def day_panels_q(spark, sf):
     long = day_panels(preds, "time", ["l_extendedprice", "l_extendedprice_rl"],
                       "1996-08-08 12:00:00", "2001-08-09 12:00:00")
     return long.groupBy("panel", "time", "series").agg(F.round(F.avg("value"), 4).alias("value"))
+
+
+# ------------------------------------------------- model operators (M3-M12, S12): rows only
+
+_LI_FEATURES = ["l_quantity", "l_discount", "l_tax"]
+_LI_LABEL = "l_extendedprice"
+
+
+def _li_prepared(spark, sf):
+    from helioframe.plans.training_job import prepare
+    li = S.testdata(spark, sf, "lineitem")
+    data, _, _ = prepare(li, _LI_LABEL, "l_shipdate", order_extra=tuple(_LI_ORDER_REST))
+    return data
+
+
+def _fit_predict(estimator):
+    def q(spark, sf):
+        from helioframe.models.base import add_prediction, pipeline
+        data = _li_prepared(spark, sf)
+        model = pipeline(_LI_FEATURES, estimator()).fit(data.where("split = 'train'"))
+        out = add_prediction(model, data, "prediction")
+        return out.select("l_orderkey", "l_linenumber", "idx", "split", "prediction")
+    return q
+
+
+def _rf():
+    from helioframe.models.simple import random_forest
+    return random_forest(_LI_LABEL, n_estimators=20, max_depth=10, max_features="sqrt",
+                         min_samples_leaf=2, bootstrap=True, seed=1)
+
+
+def _tree():
+    from helioframe.models.simple import decision_tree
+    return decision_tree(_LI_LABEL, max_depth=8, min_samples_leaf=2, seed=1)
+
+
+def _ada():
+    from helioframe.models.adaboost import AdaBoostR2
+    return AdaBoostR2(labelCol=_LI_LABEL, nEstimators=5, learningRate=0.1, maxDepth=3, seed=0)
+
+
+def _bag():
+    from helioframe.models.bagging import BaggingRegressor
+    return BaggingRegressor(labelCol=_LI_LABEL, nEstimators=10, maxSamples=1.0,
+                            baseMaxDepth=8, seed=42)
+
+
+def _bag_subspace():
+    from helioframe.models.bagging import BaggingRegressor
+    return BaggingRegressor(labelCol=_LI_LABEL, nEstimators=4, maxSamples=0.5,
+                            maxFeatures=0.5, bootstrap=True, bootstrapFeatures=True,
+                            baseMaxDepth=6, seed=42)
+
+
+def _svr(kernel):
+    def make():
+        from helioframe.models.svr import EpsilonSVR
+        return EpsilonSVR(labelCol=_LI_LABEL, kernel=kernel, C=1.0, gamma="scale",
+                          epsilon=0.1, nComponents=50, maxIter=30, seed=0)
+    return make
+
+
+register("rf")(_fit_predict(_rf))
+register("decision_tree")(_fit_predict(_tree))
+register("adaboost")(_fit_predict(_ada))
+register("bagging")(_fit_predict(_bag))
+register("bagging_subspace")(_fit_predict(_bag_subspace))
+register("svr_linear")(_fit_predict(_svr("linear")))
+register("svr_poly")(_fit_predict(_svr("poly")))
+register("svr_rbf")(_fit_predict(_svr("rbf")))
+
+
+@register("pca")
+def pca_q(spark, sf):
+    from helioframe.models.simple import fit_pca, pca_columns
+    li = S.testdata(spark, sf, "lineitem")
+    cols = _LI_FEATURES + [_LI_LABEL]
+    model = fit_pca(li, cols, 2)
+    return pca_columns(model, li.select("l_orderkey", "l_linenumber", *cols), cols, 2)
+
+
+@register("random_search")
+def random_search_q(spark, sf):
+    """Random search over a forest space (3 candidates, 5 contiguous folds)."""
+    from helioframe.models.search import cross_validate, sample_candidates
+    from helioframe.models.simple import forest_params, random_forest
+    data = _li_prepared(spark, sf)
+    space = {"bootstrap": [True, False], "max_depth": [5, 10, None],
+             "max_features": ["auto", "sqrt"], "min_samples_leaf": [2, 4],
+             "n_estimators": [10, 20]}
+    cands = sample_candidates(space, 3, seed=1)
+    model, best, scores = cross_validate(data.where("split = 'train'"), _LI_FEATURES, _LI_LABEL,
+                                         random_forest(_LI_LABEL, seed=1), cands, forest_params)
+    return _search_report(spark, cands, scores)
+
+
+@register("grid_search")
+def grid_search_q(spark, sf):
+    """Grid search of AdaBoost.R2 (4 grid points, 5 contiguous folds)."""
+    from helioframe.models.adaboost import AdaBoostR2
+    from helioframe.models.search import cross_validate, expand_grid
+    from helioframe.plans.training_job import ada_params
+    data = _li_prepared(spark, sf)
+    cands = expand_grid({"n_estimators": [2, 4], "learning_rate": [0.1, 1.0]})
+    model, best, scores = cross_validate(data.where("split = 'train'"), _LI_FEATURES, _LI_LABEL,
+                                         AdaBoostR2(labelCol=_LI_LABEL), cands, ada_params)
+    return _search_report(spark, cands, scores)
+
+
+def _search_report(spark, cands, scores):
+    rows = [(i, str(sorted(c.items())), float(s)) for i, (c, s) in enumerate(zip(cands, scores))]
+    return spark.createDataFrame(rows, "candidate int, params string, mean_r2 double")
+
+
+@register("train_all")
+def train_all_q(spark, sf):
+    """The training stage with all six models and small search spaces."""
+    from helioframe.plans.training_job import SearchConfig, train_all
+    li = S.testdata(spark, sf, "lineitem")
+    cfg = SearchConfig(
+        forest_space={"n_estimators": [10], "max_depth": [5, 10], "max_features": ["sqrt"],
+                      "min_samples_leaf": [2], "bootstrap": [True]},
+        forest_iter=2,
+        svr_grid={"kernel": ["linear"], "C": [1.0], "gamma": ["scale"], "epsilon": [0.1]},
+        ada_grid={"n_estimators": [3], "learning_rate": [0.1]},
+        bagging_space={"base_estimator": ["tree"], "n_estimators": [5], "bootstrap": [True],
+                       "base_max_depth": [6], "base_min_samples_leaf": [2]},
+        bagging_iter=1, folds=3, parallelism=2)
+    res = train_all(li, _LI_LABEL, time="l_shipdate", features=_LI_FEATURES, config=cfg,
+                    order_extra=tuple(_LI_ORDER_REST))
+    return res.metrics
+
+
+@register("model_persist")
+def model_persist_q(spark, sf):
+    """Fit OLS, save it to the shared folder, load it back and predict."""
+    from helioframe.models.base import add_prediction
+    from helioframe.models.simple import fit_linear, load_model, save_model
+    from helioframe.session import scratch_path
+    data = _li_prepared(spark, sf)
+    path = scratch_path(spark, "model")
+    save_model(fit_linear(data.where("split = 'train'"), _LI_FEATURES, _LI_LABEL), path)
+    out = add_prediction(load_model(path), data, "prediction")
+    return out.select("l_orderkey", "l_linenumber", "idx", "prediction")
