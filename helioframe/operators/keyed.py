@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from helioframe.functions.timefns import PLANT_TZ, date_list, day_key, to_utc
+from helioframe.sources.layout import buckets_of
 
 # Largest key frame broadcast to the scan side (rows; about 40 bytes each).
 MAX_BROADCAST_KEYS = 2_000_000
@@ -64,6 +65,9 @@ def read_by_keys(raw: DataFrame, keys: DataFrame, tz: str | None = PLANT_TZ) ->
         pruned = pruned.where(F.col("date").between(F.lit(lo), F.lit(hi)))
         if tag_list is not None:
             pruned = pruned.where(F.col("kks").isin(tag_list))
+            if "kks_bucket" in raw.columns:
+                buckets = buckets_of(raw.sparkSession, tag_list)
+                pruned = pruned.where(F.col("kks_bucket").isin(buckets))
     k = keys.select(F.col("k"), day_key("d").alias("kd")).where("kd IS NOT NULL").distinct()
     n_keys = k.count()
     if n_keys <= MAX_BROADCAST_KEYS:

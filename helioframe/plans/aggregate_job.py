@@ -2,7 +2,7 @@
 
 keyed read (tags x days, partition-pruned) -> plant time to UTC ->
 tumbling-window mean per (kks, window) -> window start back to plant time
--> latest-wins upsert into the aggregate table (partitioned by kks, date).
+-> latest-wins upsert into the aggregate table (date / tag-bucket layout).
 
 One action writes the result; there is no preview action and no sort
 before the sink, so the raw partitions are read once.
@@ -17,7 +17,6 @@ from helioframe.functions.timefns import PLANT_TZ, from_utc
 from helioframe.operators.keyed import key_frame, read_by_keys
 from helioframe.operators.windowing import window_mean
 from helioframe.sources.sinks import read_partitioned, upsert
-from helioframe.sources.tables import RAW_SCHEMA
 
 
 def aggregate_keys(raw: DataFrame, keys: DataFrame, duration: str = "1 minute",
@@ -32,8 +31,8 @@ def aggregate_keys(raw: DataFrame, keys: DataFrame, duration: str = "1 minute",
 def run(spark: SparkSession, raw_table: str, agg_table: str, tags, start: str, end: str,
         duration: str = "1 minute", tz: str = PLANT_TZ) -> DataFrame:
     """Aggregate ``tags`` over the inclusive days ``start``..``end`` and upsert."""
-    raw = read_partitioned(spark, raw_table, RAW_SCHEMA)
+    raw = read_partitioned(spark, raw_table)
     keys = key_frame(tags, start, end, spark)
     out = aggregate_keys(raw, keys, duration, tz)
-    upsert(out, agg_table, RAW_SCHEMA)
-    return read_partitioned(spark, agg_table, RAW_SCHEMA)
+    upsert(out, agg_table)
+    return read_partitioned(spark, agg_table)

@@ -27,7 +27,6 @@ from helioframe.sources.measurement_csv import (list_inputs, scan_text,
                                                 small_file_rule, tag_column,
                                                 typed)
 from helioframe.sources.sinks import upsert, write_manifest
-from helioframe.sources.tables import RAW_SCHEMA
 
 
 @dataclass
@@ -60,7 +59,7 @@ def ingest(spark: SparkSession, root: str, raw_table: str, *,
             .select("path").collect()]
     batch = parse_files(spark, good, tag_from, kks, formats)
     if good:
-        upsert(batch, raw_table, RAW_SCHEMA)
+        upsert(batch, raw_table)
     if manifest_root:
         write_manifest(outcomes.where(F.col("status") == STATUS_LOADED).select("path"),
                        manifest_root, day)

@@ -207,7 +207,7 @@ def _round_trip(spark, sf):
 def csv_round_trip(spark, sf):
     from helioframe.sources.sinks import read_partitioned
     _, table = _round_trip(spark, sf)
-    out = read_partitioned(spark, table, S.RAW_SCHEMA)
+    out = read_partitioned(spark, table)
     return out.select("kks", "date", "time", r6("value").alias("value"))
 
 
@@ -222,7 +222,7 @@ def ingest_summary(spark, sf):
     lines = (res.outcomes.where("status = 'loaded'")
              .groupBy(tag_column("path", "folder").alias("kks"))
              .agg(F.sum("rows").alias("lines")))
-    loaded = read_partitioned(spark, table, S.RAW_SCHEMA).groupBy("kks") \
+    loaded = read_partitioned(spark, table).groupBy("kks") \
         .agg(F.count(F.lit(1)).alias("loaded_rows"))
     return lines.join(loaded, "kks", "full").select("kks", "lines", "loaded_rows")
 
@@ -290,13 +290,13 @@ def upsert_latest(spark, sf):
     from helioframe.sources.sinks import read_partitioned, upsert
     raw = _raw(spark, sf)
     table = scratch_path(spark, "upsert-table")
-    upsert(raw, table, S.RAW_SCHEMA)
+    upsert(raw, table)
     purchases = raw.where(F.col("kks") == "purchase")
     batch = purchases.withColumn("value", F.col("value") * 2).unionByName(
         purchases.withColumn("kks", F.lit("purchase_2")))
-    upsert(batch, table, S.RAW_SCHEMA)
-    upsert(batch, table, S.RAW_SCHEMA)
-    out = read_partitioned(spark, table, S.RAW_SCHEMA)
+    upsert(batch, table)
+    upsert(batch, table)
+    out = read_partitioned(spark, table)
     return out.select("kks", "date", "time", r6("value").alias("value"))
 
 
@@ -317,7 +317,7 @@ def aggregate_job_q(spark, sf):
     from helioframe.sources.sinks import upsert
     e = S.testdata(spark, sf, "events")
     raw_table, agg_table = scratch_path(spark, "raw"), scratch_path(spark, "agg")
-    upsert(_raw(spark, sf), raw_table, S.RAW_SCHEMA)
+    upsert(_raw(spark, sf), raw_table)
     lo, hi = _day_bounds(e)
     tags = e.select(F.col("event_type").alias("kks")).distinct()
     out = aggregate_job.run(spark, raw_table, agg_table, tags, lo, hi, "1 minute")

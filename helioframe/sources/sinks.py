@@ -1,19 +1,23 @@
-"""Sinks: latest-wins upsert into partitioned Parquet tables, and manifests.
+"""Sinks: latest-wins upsert into the plant tables, and manifests.
 
 Writing a row whose key already exists replaces it (upsert), so loading the
 same input twice leaves a table unchanged. On plain Parquet this is done as
 
-1. the affected ``(kks, date)`` partitions of the batch are found;
-2. only those partitions of the table are read (static partition filters
-   from the batch: tag list and first/last day, then an exact semi-join);
+1. the (date, kks_bucket) directories the batch touches are found (at most
+   days x buckets rows);
+2. only those directories of the table are read (static partition filters:
+   first/last day and bucket list, then an exact semi-join);
 3. old and new rows are merged with ``max_by(row, seq)`` per key (new wins);
+   the aggregate has a map-side partial step and shuffles on the full key;
 4. the merge is written to a staging table under the shared checkpoint
-   folder, and then those partitions of the table are replaced with a
+   folder, and then those directories of the table are replaced with a
    dynamic partition overwrite. A job that dies before step 4 commits
    leaves the table as it was; tasks lost inside a step are retried.
 
-``REBALANCE`` on the partition columns lets AQE split a hot partition over
-several tasks and pack small ones, instead of one task per key.
+``REBALANCE`` on the partition columns lets AQE split a hot directory over
+several tasks (files) and pack small ones; rows are sorted by (kks, time)
+inside files so Parquet row-group statistics prune by tag.
+See :mod:`helioframe.sources.layout`.
 """
 
 from __future__ import annotations
@@ -25,54 +29,52 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from helioframe.session import scratch_path
+from helioframe.sources.layout import (CLUSTER_COLS, PARTITION_COLS,
+                                       TABLE_SCHEMA, with_bucket)
 
-MAX_PRUNING_TAGS = 10_000
 MAX_BROADCAST_KEYS = 2_000_000
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def table_exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     jpath = jvm.org.apache.hadoop.fs.Path(path)
     fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(jpath) and fs.exists(jvm.org.apache.hadoop.fs.Path(path + "/_SUCCESS"))
+    return bool(fs.exists(jvm.org.apache.hadoop.fs.Path(path + "/_SUCCESS")))
 
 
-def read_partitioned(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """Read a partitioned table with declared types (partition values included)."""
+def read_partitioned(spark: SparkSession, path: str,
+                     schema: StructType = TABLE_SCHEMA) -> DataFrame:
+    """Read a plant table with declared types (partition values included)."""
     return spark.read.schema(schema).parquet(path)
 
 
-def _write(df: DataFrame, path: str, partition_cols, mode: str) -> None:
-    (df.hint("rebalance", *partition_cols)
-       .write.mode(mode)
+def _write(df: DataFrame, path: str) -> None:
+    (df.hint("rebalance", *PARTITION_COLS)
+       .sortWithinPartitions(*PARTITION_COLS, *CLUSTER_COLS)
+       .write.mode("overwrite")
        .option("partitionOverwriteMode", "dynamic")
-       .partitionBy(*partition_cols)
+       .partitionBy(*PARTITION_COLS)
        .parquet(path))
 
 
-def upsert(batch: DataFrame, path: str, schema: StructType,
-           key_cols=("kks", "date", "time"), partition_cols=("kks", "date")) -> None:
-    """Latest-wins upsert of ``batch`` (already unique per key) into ``path``."""
+def upsert(batch: DataFrame, path: str, key_cols=("kks", "date", "time")) -> None:
+    """Latest-wins upsert of ``batch`` (kks, date, time, value; unique per key)."""
     spark = batch.sparkSession
-    cols = [f.name for f in schema.fields]
-    batch = batch.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
-    if not _exists(spark, path):
-        _write(batch, path, partition_cols, "overwrite")
+    cols = [f.name for f in TABLE_SCHEMA.fields]
+    batch = with_bucket(batch.select(*[F.col(f.name).cast(f.dataType)
+                                       for f in TABLE_SCHEMA.fields if f.name != "kks_bucket"]))
+    batch = batch.select(*cols)
+    if not table_exists(spark, path):
+        _write(batch, path)
         return
-    # Affected partitions and static bounds for pruning.
-    parts = batch.select(*partition_cols).distinct()
-    first_col, other = partition_cols[0], partition_cols[1:]
-    table = read_partitioned(spark, path, schema)
-    tags = [r[0] for r in parts.select(first_col).distinct()
-            .limit(MAX_PRUNING_TAGS + 1).collect()]
-    if len(tags) <= MAX_PRUNING_TAGS:
-        table = table.where(F.col(first_col).isin(tags))
-    for c in other:
-        lo, hi = parts.agg(F.min(c), F.max(c)).first()
-        table = table.where(F.col(c).between(F.lit(lo), F.lit(hi)))
-    n_parts = parts.count()
-    p = F.broadcast(parts) if n_parts <= MAX_BROADCAST_KEYS else parts
-    existing = table.join(p, list(partition_cols), "left_semi")
+    parts = batch.select(*PARTITION_COLS).distinct()
+    lo, hi = parts.agg(F.min("date"), F.max("date")).first()
+    buckets = [r[0] for r in parts.select("kks_bucket").distinct().collect()]
+    table = (read_partitioned(spark, path)
+             .where(F.col("date").between(F.lit(lo), F.lit(hi)))
+             .where(F.col("kks_bucket").isin(buckets)))
+    p = F.broadcast(parts) if parts.count() <= MAX_BROADCAST_KEYS else parts
+    existing = table.join(p, list(PARTITION_COLS), "left_semi")
 
     rest = [c for c in cols if c not in key_cols]
     merged = (existing.withColumn("__seq", F.lit(0))
@@ -82,8 +84,8 @@ def upsert(batch: DataFrame, path: str, schema: StructType,
               .select(*key_cols, *[F.col(f"__row.{c}").alias(c) for c in rest])
               .select(*cols))
     staging = scratch_path(spark, "staging")
-    _write(merged, staging, partition_cols, "overwrite")
-    _write(read_partitioned(spark, staging, schema), path, partition_cols, "overwrite")
+    _write(merged, staging)
+    _write(read_partitioned(spark, staging), path)
 
 
 def write_manifest(loaded_paths: DataFrame, root: str, day: _dt.date | None = None) -> str:

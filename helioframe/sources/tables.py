@@ -1,7 +1,7 @@
 """Table scans: the raw and aggregate tables, tag tables, feature tables.
 
-The plant tables are Parquet folders partitioned by ``kks`` and ``date``;
-filters on those columns become ``PartitionFilters`` and prune files.
+The plant tables are Parquet folders laid out by day and tag bucket (see
+:mod:`helioframe.sources.layout`).
 The ``*_from_*`` helpers map the driver's test tables onto the plant schemas
 (column renames only, no row selection).
 """
@@ -10,22 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import (DateType, DoubleType, StringType, StructField,
-                               StructType, TimestampNTZType)
-
-RAW_SCHEMA = StructType([
-    StructField("kks", StringType()),
-    StructField("date", DateType()),
-    StructField("time", TimestampNTZType()),
-    StructField("value", DoubleType()),
-])
-
-AGG_SCHEMA = StructType([
-    StructField("kks", StringType()),
-    StructField("time", TimestampNTZType()),
-    StructField("value", DoubleType()),
-])
-
+from pyspark.sql.types import DoubleType, TimestampNTZType
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     """Full scan of a Parquet table (tag table, feature table, raw table)."""
