@@ -4,9 +4,11 @@ MLlib has no SVR. This estimator minimises
 
     1/(2 C n) |w|^2 + 1/n * sum_i max(0, |y_i - w.phi(x_i) - b| - eps)
 
-by AdaGrad subgradient steps, each step being ONE aggregation over the
+by AdaGrad subgradient steps, each step being ONE pass over the cached
 training rows (``sum(s_i)``, ``sum(s_i * phi_ij)`` with ``s_i`` the sign of
-the residual outside the ε tube). Kernels become explicit feature maps:
+the residual outside the ε tube; NumPy on Arrow batches inside the tasks,
+one partial-sum row per partition). Kernels become explicit feature maps
+built with Spark expressions once before the loop:
 
 * ``linear``: phi(x) = x;
 * ``poly``:   all monomials of x up to ``degree`` (``PolynomialExpansion``);
@@ -77,6 +79,27 @@ def _poly_size(p, degree):
     return math.comb(p + degree, degree) - 1
 
 
+def _subgradient_sums(w, b, eps, zcols):
+    """Per-partition ``sum(s)`` and ``sum(s * z_k)`` for the current (w, b).
+
+    Runs inside the tasks on Arrow batches; one small row per partition
+    goes back to the driver. The plan is the same every iteration, so
+    nothing is re-planned or re-compiled between steps.
+    """
+    import pandas as pd
+
+    def run(batches):
+        acc = np.zeros(len(zcols) + 1)
+        for pdf in batches:
+            zm = pdf[zcols].to_numpy(dtype=float)
+            r = pdf["__y"].to_numpy(dtype=float) - (zm @ w + b)
+            sgn = (r > eps).astype(float) - (r < -eps).astype(float)
+            acc[0] += sgn.sum()
+            acc[1:] += sgn @ zm
+        yield pd.DataFrame([acc], columns=["s"] + [f"g{k}" for k in range(len(zcols))])
+    return run
+
+
 class EpsilonSVR(Estimator, _SVRParams):
     @keyword_only
     def __init__(self, *, featuresCol="features", labelCol="label", predictionCol="prediction",
@@ -131,14 +154,13 @@ class EpsilonSVR(Estimator, _SVRParams):
         avg_w, avg_b, n_avg = np.zeros(m), 0.0, 0
         eta = self._g(self.stepSize)
         iters = self._g(self.maxIter)
+        zcols = [f"__z{k}" for k in range(m)]
+        out_schema = ", ".join(["s double"] + [f"g{k} double" for k in range(m)])
         for it in range(iters):
-            f = sum((F.col(f"__z{k}") * F.lit(float(w[k])) for k in range(m)), F.lit(float(b)))
-            r = F.col("__y") - f
-            s = F.when(r > eps, 1.0).when(r < -eps, -1.0).otherwise(0.0)
-            row = z.select(s.alias("__s"), *[F.col(f"__z{k}") for k in range(m)]).agg(
-                F.sum("__s"), *[F.sum(F.col("__s") * F.col(f"__z{k}")) for k in range(m)]).first()
-            ss = row[0] or 0.0
-            sz = np.array([v or 0.0 for v in row[1:]])
+            parts = z.mapInPandas(_subgradient_sums(w, b, eps, zcols), out_schema).collect()
+            tot = np.sum(np.array([list(r) for r in parts], dtype=float), axis=0) \
+                if parts else np.zeros(m + 1)
+            ss, sz = tot[0], tot[1:]
             grad_w = w / (c * n) - sz / n
             grad_b = -ss / n
             gw += grad_w ** 2

@@ -65,7 +65,7 @@ class SearchConfig:
     forest_iter: int = 100
     forest_seed: int = 1
     svr_grid: dict = field(default_factory=lambda: dict(SVR_GRID))
-    svr_iter: int = 100
+    svr_max_iter: int = 100
     ada_grid: dict = field(default_factory=lambda: dict(ADA_GRID))
     bagging_space: dict = field(default_factory=lambda: dict(BAGGING_SPACE))
     bagging_iter: int = 100
@@ -146,7 +146,7 @@ def train_all(df: DataFrame, label: str, time: str = "time", features: list[str]
                                           k=cfg.folds, parallelism=cfg.parallelism)
         out = add_prediction(m.bestModel, out, col("rf"))
     if "svr" in models:
-        est = EpsilonSVR(featuresCol=FEATURES, labelCol=label)
+        est = EpsilonSVR(featuresCol=FEATURES, labelCol=label, maxIter=cfg.svr_max_iter)
         cands = expand_grid(cfg.svr_grid)
         m, best["svr"], _ = cross_validate(train, feats, label, est, cands, svr_params,
                                            k=cfg.folds, parallelism=cfg.parallelism)

@@ -716,7 +716,7 @@ def train_all_q(spark, sf):
         ada_grid={"n_estimators": [3], "learning_rate": [0.1]},
         bagging_space={"base_estimator": ["tree"], "n_estimators": [5], "bootstrap": [True],
                        "base_max_depth": [6], "base_min_samples_leaf": [2]},
-        bagging_iter=1, folds=3, parallelism=2)
+        bagging_iter=1, folds=3, parallelism=2, svr_max_iter=30)
     res = train_all(li, _LI_LABEL, time="l_shipdate", features=_LI_FEATURES, config=cfg,
                     order_extra=tuple(_LI_ORDER_REST))
     return res.metrics
