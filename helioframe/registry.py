@@ -733,3 +733,23 @@ def model_persist_q(spark, sf):
     save_model(fit_linear(data.where("split = 'train'"), _LI_FEATURES, _LI_LABEL), path)
     out = add_prediction(load_model(path), data, "prediction")
     return out.select("l_orderkey", "l_linenumber", "idx", "prediction")
+
+
+# ------------------------------------------------------- streaming ingest (S1-S5 incremental)
+
+@register("stream_ingest", ORACLE_SQL["csv_round_trip"])
+def stream_ingest(spark, sf):
+    """events -> plant CSV files -> Structured Streaming ingest (availableNow) -> raw table."""
+    from helioframe.session import scratch_path
+    from helioframe.sources.measurement_csv import write_plant_csv
+    from helioframe.sources.sinks import read_partitioned
+    from helioframe.streaming import start_ingest
+    e = S.testdata(spark, sf, "events")
+    src = e.select(F.col("event_type").alias("kks"), F.col("ts").alias("time"),
+                   "value", "event_id")
+    csv_dir = scratch_path(spark, "plant-csv")
+    write_plant_csv(src, csv_dir, order=("time", "event_id"))
+    table, ck = scratch_path(spark, "raw-table"), scratch_path(spark, "stream-ck")
+    start_ingest(spark, csv_dir, table, ck, tag_from="folder").awaitTermination()
+    out = read_partitioned(spark, table)
+    return out.select("kks", "date", "time", r6("value").alias("value"))
