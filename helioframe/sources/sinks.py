@@ -9,14 +9,16 @@ same input twice leaves a table unchanged. On plain Parquet this is done as
    first/last day and bucket list, then an exact semi-join);
 3. old and new rows are merged with ``max_by(row, seq)`` per key (new wins);
    the aggregate has a map-side partial step and shuffles on the full key;
-4. the merge is written to a staging table under the shared checkpoint
-   folder, and then those directories of the table are replaced with a
-   dynamic partition overwrite. A job that dies before step 4 commits
-   leaves the table as it was; tasks lost inside a step are retried.
-
-``REBALANCE`` on the partition columns lets AQE split a hot directory over
-several tasks (files) and pack small ones; rows are sorted by (kks, time)
-inside files so Parquet row-group statistics prune by tag.
+4. the merge replaces those directories with a dynamic partition
+   overwrite. Spark writes the new directories to a job staging area and
+   swaps them in only at job commit, so the job may read the directories it
+   replaces: a task that is lost and retried re-reads the old files, and a
+   job that dies before commit leaves the table as it was.
+
+``REBALANCE(date, kks_bucket)`` sends each directory to one task; AQE
+splits a hot one over several tasks (files) and packs small ones. Rows are
+sorted by (kks, time) inside files so Parquet row-group statistics prune
+by tag.
 See :mod:`helioframe.sources.layout`.
 """
 
@@ -28,7 +30,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from helioframe.session import scratch_path
 from helioframe.sources.layout import (CLUSTER_COLS, PARTITION_COLS,
                                        TABLE_SCHEMA, with_bucket)
 
@@ -83,9 +84,7 @@ def upsert(batch: DataFrame, path: str, key_cols=("kks", "date", "time")) -> Non
               .agg(F.max_by(F.struct(*rest), F.col("__seq")).alias("__row"))
               .select(*key_cols, *[F.col(f"__row.{c}").alias(c) for c in rest])
               .select(*cols))
-    staging = scratch_path(spark, "staging")
-    _write(merged, staging)
-    _write(read_partitioned(spark, staging), path)
+    _write(merged, path)
 
 
 def write_manifest(loaded_paths: DataFrame, root: str, day: _dt.date | None = None) -> str:
