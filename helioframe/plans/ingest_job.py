@@ -35,13 +35,26 @@ class IngestResult:
     batch: DataFrame         # kks, date, time, value as written
 
 
+def file_order():
+    """Order of rows as written: file path, split start, row in split."""
+    return F.struct("path", "block", "rid")
+
+
+def parse_rows(spark: SparkSession, paths: list[str], tag_from: str = "name",
+               kks: str | None = None, formats=PLANT_TIME_FORMATS) -> DataFrame:
+    """Typed rows of the given files with a timestamp, before dedup:
+    ``kks, date, time, value, path, block, rid``."""
+    rows = typed(scan_text(spark, paths), formats).where("time IS NOT NULL")
+    return rows.select(tag_column("path", tag_from, kks).alias("kks"),
+                       F.to_date("time").alias("date"), "time", "value",
+                       "path", "block", "rid")
+
+
 def parse_files(spark: SparkSession, paths: list[str], tag_from: str = "name",
                 kks: str | None = None, formats=PLANT_TIME_FORMATS) -> DataFrame:
     """Typed, deduplicated rows of the given files: ``kks, date, time, value``."""
-    rows = typed(scan_text(spark, paths), formats).where("time IS NOT NULL")
-    rows = rows.withColumn("kks", tag_column("path", tag_from, kks))
-    order = F.struct("path", "block", "rid")
-    dedup = dedup_first(rows, ["kks", "time"], "value", order)
+    rows = parse_rows(spark, paths, tag_from, kks, formats)
+    dedup = dedup_first(rows, ["kks", "time"], "value", file_order())
     return dedup.select("kks", F.to_date("time").alias("date"), "time", "value")
 
 
@@ -59,7 +72,8 @@ def ingest(spark: SparkSession, root: str, raw_table: str, *,
             .select("path").collect()]
     batch = parse_files(spark, good, tag_from, kks, formats)
     if good:
-        upsert(batch, raw_table)
+        # Dedup (first non-null in file order) and merge in one aggregate.
+        upsert(parse_rows(spark, good, tag_from, kks, formats), raw_table, order=file_order())
     if manifest_root:
         write_manifest(outcomes.where(F.col("status") == STATUS_LOADED).select("path"),
                        manifest_root, day)

@@ -7,8 +7,10 @@ same input twice leaves a table unchanged. On plain Parquet this is done as
    days x buckets rows);
 2. only those directories of the table are read (static partition filters:
    first/last day and bucket list, then an exact semi-join);
-3. old and new rows are merged with ``max_by(row, seq)`` per key (new wins);
-   the aggregate has a map-side partial step and shuffles on the full key;
+3. old and new rows are merged per key in one aggregate (a batch row beats
+   the stored one; within the batch the first non-null value in the
+   batch's order wins, which is also the ingest's dedup), with a map-side
+   partial step and a shuffle on the full key;
 4. the merge replaces those directories with a dynamic partition
    overwrite. Spark writes the new directories to a job staging area and
    swaps them in only at job commit, so the job may read the directories it
@@ -26,7 +28,7 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -58,15 +60,22 @@ def _write(df: DataFrame, path: str) -> None:
        .parquet(path))
 
 
-def upsert(batch: DataFrame, path: str, key_cols=("kks", "date", "time")) -> None:
-    """Latest-wins upsert of ``batch`` (kks, date, time, value; unique per key)."""
+def upsert(batch: DataFrame, path: str, key_cols=("kks", "date", "time"),
+           order: Column | None = None) -> None:
+    """Latest-wins upsert of ``batch`` (kks, date, time, value) into ``path``.
+
+    Without ``order`` the batch holds one row per key. With ``order`` it may
+    hold several, and the batch value of a key is its first non-null value
+    in ``order`` (null if all are null); deduplication and merge are then
+    one aggregate, so the batch is shuffled once.
+    """
     spark = batch.sparkSession
     cols = [f.name for f in TABLE_SCHEMA.fields]
-    batch = with_bucket(batch.select(*[F.col(f.name).cast(f.dataType)
-                                       for f in TABLE_SCHEMA.fields if f.name != "kks_bucket"]))
-    batch = batch.select(*cols)
+    typed = [F.col(f.name).cast(f.dataType) for f in TABLE_SCHEMA.fields if f.name != "kks_bucket"]
+    o = order if order is not None else F.lit(0)
+    batch = with_bucket(batch.select(*typed, o.alias("__o")))
     if not table_exists(spark, path):
-        _write(batch, path)
+        _write(_merge(batch.withColumn("__seq", F.lit(1)), key_cols).select(*cols), path)
         return
     parts = batch.select(*PARTITION_COLS).distinct()
     lo, hi = parts.agg(F.min("date"), F.max("date")).first()
@@ -76,15 +85,23 @@ def upsert(batch: DataFrame, path: str, key_cols=("kks", "date", "time")) -> Non
              .where(F.col("kks_bucket").isin(buckets)))
     p = F.broadcast(parts) if parts.count() <= MAX_BROADCAST_KEYS else parts
     existing = table.join(p, list(PARTITION_COLS), "left_semi")
-
-    rest = [c for c in cols if c not in key_cols]
-    merged = (existing.withColumn("__seq", F.lit(0))
-              .unionByName(batch.withColumn("__seq", F.lit(1)))
-              .groupBy(*key_cols)
-              .agg(F.max_by(F.struct(*rest), F.col("__seq")).alias("__row"))
-              .select(*key_cols, *[F.col(f"__row.{c}").alias(c) for c in rest])
-              .select(*cols))
-    _write(merged, path)
+    old = existing.select(*cols, F.lit(None).cast(batch.schema["__o"].dataType).alias("__o"),
+                          F.lit(0).alias("__seq"))
+    new = batch.select(*cols, "__o", F.lit(1).alias("__seq"))
+    _write(_merge(old.unionByName(new), key_cols).select(*cols), path)
+
+
+def _merge(rows: DataFrame, key_cols) -> DataFrame:
+    """One row per key: a batch row (seq 1) beats the stored one (seq 0);
+    among batch rows the first non-null value in ``__o`` wins."""
+    is_new = F.col("__seq") == 1
+    new_val = F.min_by("value", F.when(is_new & F.col("value").isNotNull(), F.col("__o")))
+    old_val = F.max_by("value", F.when(~is_new, F.lit(1)))
+    return (rows.groupBy(*key_cols)
+            .agg(F.max("__seq").alias("__has_new"), new_val.alias("__nv"),
+                 old_val.alias("__ov"), F.first("kks_bucket").alias("kks_bucket"))
+            .withColumn("value", F.when(F.col("__has_new") == 1, F.col("__nv"))
+                        .otherwise(F.col("__ov"))))
 
 
 def write_manifest(loaded_paths: DataFrame, root: str, day: _dt.date | None = None) -> str:

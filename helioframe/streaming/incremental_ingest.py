@@ -23,7 +23,7 @@ from pyspark.sql.streaming import StreamingQuery
 from helioframe.functions.text import decode_path
 from helioframe.functions.timefns import PLANT_TIME_FORMATS
 from helioframe.operators.ingest import (STATUS_LOADED, STATUS_REJECTED,
-                                         STATUS_SMALL, dedup_first)
+                                         STATUS_SMALL)
 from helioframe.sources.measurement_csv import (MIN_FILE_BYTES, TEXT_SCHEMA,
                                                 tag_column, typed)
 from helioframe.sources.sinks import upsert
@@ -66,11 +66,11 @@ def _process_batch(raw_table: str, manifest_dir: str | None, tag_from: str, kks:
             clean = (rows.join(F.broadcast(good), "path", "left_semi")
                      .where("time IS NOT NULL")
                      .withColumn("kks", tag_column("path", tag_from, kks)))
-            dedup = dedup_first(clean, ["kks", "time"], "value",
-                                F.struct("path", "block", "rid"))
-            out = dedup.select("kks", F.to_date("time").alias("date"), "time", "value")
+            out = clean.select("kks", F.to_date("time").alias("date"), "time", "value",
+                               F.struct("path", "block", "rid").alias("__order"))
             if good.limit(1).count():
-                upsert(out, raw_table)
+                # First non-null per (kks, time) in file order, merged in one aggregate.
+                upsert(out, raw_table, order=F.col("__order"))
             if manifest_dir:
                 status.write.mode("append").parquet(manifest_dir)
             status.unpersist()
