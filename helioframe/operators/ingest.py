@@ -58,6 +58,11 @@ def distinct_days(df: DataFrame, time: str = "time", by: list[str] | None = None
     return df.select(*cols).distinct()
 
 
+def rows_of_day(df: DataFrame, day, date_col: str = "date") -> DataFrame:
+    """Rows of one calendar day (a partition filter on a plant table)."""
+    return df.where(F.col(date_col) == F.to_date(F.lit(str(day))))
+
+
 def files_to_load(wanted: DataFrame, loaded: DataFrame) -> DataFrame:
     """Distinct wanted file names minus the names already loaded: ``file``.
 

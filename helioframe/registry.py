@@ -753,3 +753,40 @@ def stream_ingest(spark, sf):
     start_ingest(spark, csv_dir, table, ck, tag_from="folder").awaitTermination()
     out = read_partitioned(spark, table)
     return out.select("kks", "date", "time", r6("value").alias("value"))
+
+
+# ---------------------------------------------- day filter, display order, wide glue
+
+@register("day_filter", """
+    SELECT event_type AS kks, CAST(ts AS DATE) AS date, ts AS "time", value FROM events
+    WHERE CAST(ts AS DATE) = DATE '2024-01-10'""")
+def day_filter(spark, sf):
+    from helioframe.operators.ingest import rows_of_day
+    return rows_of_day(_raw(spark, sf), "2024-01-10")
+
+
+@register("window_sorted", """
+    SELECT time_bucket(INTERVAL '1 hour', ts) AS "time", event_type AS kks,
+           round(avg(value), 6) AS value
+    FROM events GROUP BY 1, 2 ORDER BY 1, 2""")
+def window_sorted(spark, sf):
+    agg = W.window_mean(_raw(spark, sf), "1 hour")
+    return W.sort_by_window(agg).select(F.col("window.start").alias("time"), "kks",
+                                        r6("value").alias("value"))
+
+
+@register("pivot_wide", """
+    SELECT time_bucket(INTERVAL '1 hour', ts) AS "time",
+           round(avg(value) FILTER (WHERE event_type = 'click'), 6) AS click,
+           round(avg(value) FILTER (WHERE event_type = 'error'), 6) AS error,
+           round(avg(value) FILTER (WHERE event_type = 'purchase'), 6) AS purchase,
+           round(avg(value) FILTER (WHERE event_type = 'signup'), 6) AS signup,
+           round(avg(value) FILTER (WHERE event_type = 'view'), 6) AS "view"
+    FROM events GROUP BY 1""")
+def pivot_wide(spark, sf):
+    """Hourly means, one column per tag (tag list read from the data)."""
+    from helioframe.operators.report import to_wide
+    agg = W.window_start(W.window_mean(_raw(spark, sf), "1 hour"))
+    tags = sorted(r[0] for r in agg.select("kks").distinct().collect())
+    wide = to_wide(agg, tags)
+    return wide.select("time", *[r6(t).alias(t) for t in tags])

@@ -123,3 +123,15 @@ def test_compare_frames_and_wide(spark):
                                "time timestamp_ntz, kks string, value double")
     w = to_wide(lg, ["a", "b"]).first()
     assert (w.a, w.b) == (1.0, 2.0)
+
+
+def test_sheet_scan_and_day_filter(spark, workdir):
+    from conftest import write_files
+    from helioframe.operators.ingest import rows_of_day
+    from helioframe.sources.tables import read_sheet
+    write_files(workdir, {"sheet.csv": "KKS,KKS COMPLETE,HIERACHY\nK0,a::b/c,h\nK1,,\n"})
+    sheet = read_sheet(spark, workdir + "/sheet.csv")
+    assert sheet.columns == ["KKS", "KKS COMPLETE", "HIERACHY"]
+    assert [r.tag for r in normalised_tags(sheet).collect()] == ["b_c", "K1"]
+    df = spark.createDataFrame([(dt.date(2024, 1, 1),), (dt.date(2024, 1, 2),)], "date date")
+    assert rows_of_day(df, "2024-01-02").count() == 1
