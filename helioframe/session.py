@@ -39,6 +39,10 @@ def build_session(master: str | None = None, app: str = "helioframe",
     if master:
         b = b.master(master)
     conf = dict(DEFAULT_CONF)
+    if master and master.startswith("local"):
+        # Small local inputs: let AQE keep several tasks per shuffle instead of
+        # packing a few MB (e.g. a write into many day/bucket folders) into one.
+        conf["spark.sql.adaptive.coalescePartitions.minPartitionSize"] = "64k"
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
