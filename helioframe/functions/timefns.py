@@ -95,7 +95,7 @@ def date_list(start, end) -> Column:
     """Inclusive list of instants from ``start`` to ``end`` in fixed 24-hour steps.
 
     ``start``/``end`` are ``timestamp_ntz`` columns or ISO date(-time) text;
-    both ends are included, as in the reference's day loop. A list that
+    both ends are included, as specified for the day loop. A list that
     starts off midnight never matches a day key (see :func:`day_key`).
     """
     s = ntz_lit(start) if isinstance(start, str) else _as_ntz(start)

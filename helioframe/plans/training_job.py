@@ -30,7 +30,7 @@ from helioframe.models.svr import EpsilonSVR
 from helioframe.operators.metrics import regression_metrics
 from helioframe.operators.rows import fold_of, with_row_index
 
-# The search spaces of the plant notebooks (sklearn names).
+# The model search spaces (sklearn-style names and values).
 FOREST_SPACE = {
     "bootstrap": [True, False],
     "max_depth": [10, 30, 50, 70, 90, None],
