@@ -15,6 +15,7 @@ feature subsets.
 from __future__ import annotations
 
 import random
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model
@@ -48,12 +49,14 @@ class _BagParams(HasFeaturesCol, HasLabelCol, HasPredictionCol, HasSeed):
                                TypeConverters.toInt)
     baseTrees = Param(Params._dummy(), "baseTrees", "trees per forest member",
                       TypeConverters.toInt)
+    parallelism = Param(Params._dummy(), "parallelism", "members fitted at once",
+                        TypeConverters.toInt)
 
     def __init__(self):
         super().__init__()
         self._setDefault(nEstimators=10, maxSamples=1.0, maxFeatures=1.0, bootstrap=True,
                          bootstrapFeatures=False, baseEstimator="tree", baseMaxDepth=0,
-                         baseMinSamplesLeaf=1, baseTrees=100, seed=42,
+                         baseMinSamplesLeaf=1, baseTrees=100, parallelism=4, seed=42,
                          featuresCol="features", labelCol="label", predictionCol="prediction")
 
 
@@ -62,7 +65,7 @@ class BaggingRegressor(Estimator, _BagParams):
     def __init__(self, *, featuresCol="features", labelCol="label", predictionCol="prediction",
                  nEstimators=10, maxSamples=1.0, maxFeatures=1.0, bootstrap=True,
                  bootstrapFeatures=False, baseEstimator="tree", baseMaxDepth=0,
-                 baseMinSamplesLeaf=1, baseTrees=100, seed=42):
+                 baseMinSamplesLeaf=1, baseTrees=100, parallelism=4, seed=42):
         super().__init__()
         self._set(**self._input_kwargs)
 
@@ -86,12 +89,15 @@ class BaggingRegressor(Estimator, _BagParams):
         n_feat = len(dataset.select(fc).first()[0])
         k = max(1, int(round(feat_frac * n_feat)))
         rng = random.Random(seed)
-        members = []
-        for i in range(n_est):
+        subsets = []
+        for _ in range(n_est):       # drawn up front: the draws do not depend on fit order
             if boot_f:
-                idx = sorted({rng.randrange(n_feat) for _ in range(k)})
+                subsets.append(sorted({rng.randrange(n_feat) for _ in range(k)}))
             else:
-                idx = sorted(rng.sample(range(n_feat), k))
+                subsets.append(sorted(rng.sample(range(n_feat), k)))
+
+        def fit_member(i):
+            idx = subsets[i]
             rows = dataset
             if boot or frac < 1.0:
                 rows = dataset.sample(withReplacement=boot, fraction=frac, seed=seed + i)
@@ -103,7 +109,11 @@ class BaggingRegressor(Estimator, _BagParams):
             else:
                 est = DecisionTreeRegressor(featuresCol="__xs", labelCol=lc, maxDepth=depth,
                                             minInstancesPerNode=leaf, seed=seed + i)
-            members.append((idx, est.fit(sliced)))
+            return idx, est.fit(sliced)
+
+        # Each member fit is its own set of distributed jobs; a few run at once.
+        with ThreadPoolExecutor(max_workers=self._g(self.parallelism)) as pool:
+            members = list(pool.map(fit_member, range(n_est)))
         return self._copyValues(BaggingModel(members=members))
 
 

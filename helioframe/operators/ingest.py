@@ -70,7 +70,9 @@ def files_to_load(wanted: DataFrame, loaded: DataFrame) -> DataFrame:
     full paths (either separator), reduced to their names first.
     """
     w = wanted.select(F.col("file")).where("file IS NOT NULL").distinct()
-    done = loaded.select(basename("path").alias("file")).where("file IS NOT NULL")
+    # Both sides are made distinct first (map-side partial aggregates), so a
+    # name repeated on many rows never lands whole in one join task.
+    done = loaded.select(basename("path").alias("file")).where("file IS NOT NULL").distinct()
     return w.join(done, "file", "left_anti")
 
 

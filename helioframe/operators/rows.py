@@ -105,9 +105,19 @@ def tail(df: DataFrame, order, n: int = 5) -> DataFrame:
     return df.orderBy(*desc).limit(n).orderBy(*_order(order))
 
 
+# Above this position the exact row index is used instead of a top-k.
+MAX_TOPK_POSITION = 100_000
+
+
 def row_at(df: DataFrame, order, pos: int) -> DataFrame:
-    """The row at 0-based position ``pos`` in ``order`` (empty if past the end)."""
-    return df.orderBy(*_order(order)).offset(pos).limit(1)
+    """The row at 0-based position ``pos`` in ``order`` (empty if past the end).
+
+    Small positions are a distributed top-(pos+1); larger ones filter the
+    exact row index, so no task keeps ``pos`` rows in memory.
+    """
+    if pos <= MAX_TOPK_POSITION:
+        return df.orderBy(*_order(order)).offset(pos).limit(1)
+    return with_row_index(df, order, "__idx").df.where(F.col("__idx") == pos).drop("__idx")
 
 
 def time_slice(df: DataFrame, time: str, start, days: float = 1.0) -> DataFrame:

@@ -135,3 +135,11 @@ def test_sheet_scan_and_day_filter(spark, workdir):
     assert [r.tag for r in normalised_tags(sheet).collect()] == ["b_c", "K1"]
     df = spark.createDataFrame([(dt.date(2024, 1, 1),), (dt.date(2024, 1, 2),)], "date date")
     assert rows_of_day(df, "2024-01-02").count() == 1
+
+
+def test_row_at_large_position_uses_row_index(spark, monkeypatch):
+    import helioframe.operators.rows as rows
+    monkeypatch.setattr(rows, "MAX_TOPK_POSITION", 3)
+    s = _series(spark, 20)
+    assert rows.row_at(s, ["time"], 7).first().id == 7
+    assert rows.row_at(s, ["time"], 25).count() == 0
