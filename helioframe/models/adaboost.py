@@ -4,9 +4,10 @@ Each round fits a depth-limited ``DecisionTreeRegressor`` on the current
 sample weights (``weightCol``; weighted fitting instead of weighted
 resampling, so a run is deterministic), then two aggregation passes give
 the largest absolute error and the weighted mean linear loss, from which
-the tree weight and the new sample weights follow. The weight column is
-checkpointed (shared checkpoint folder) every round, so the plan does not
-grow with the number of rounds and a lost executor recomputes one round.
+the tree weight and the new sample weights follow. The rows with their
+weights are written as a table in the shared checkpoint folder every round
+(the previous round's table is then dropped), so the plan does not grow
+with the number of rounds and a lost executor recomputes one round.
 
 Prediction is the weighted median of the tree predictions, computed per
 row with array functions (sort the (prediction, weight) pairs, take the
@@ -26,7 +27,7 @@ from pyspark.ml.regression import DecisionTreeRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from helioframe.session import ensure_checkpoint_dir
+from helioframe.session import discard, ensure_checkpoint_dir, materialize
 
 
 class _AdaParams(HasFeaturesCol, HasLabelCol, HasPredictionCol, HasSeed):
@@ -50,7 +51,8 @@ class AdaBoostR2(Estimator, _AdaParams):
         self._set(**self._input_kwargs)
 
     def _fit(self, dataset: DataFrame) -> "AdaBoostR2Model":
-        ensure_checkpoint_dir(dataset.sparkSession)
+        spark = dataset.sparkSession
+        ensure_checkpoint_dir(spark)
         fc, lc = self.getFeaturesCol(), self.getLabelCol()
         lr = self.getOrDefault(self.learningRate)
         n_est = self.getOrDefault(self.nEstimators)
@@ -58,7 +60,7 @@ class AdaBoostR2(Estimator, _AdaParams):
         seed = self.getOrDefault(self.seed)
         data = dataset.select(F.col(fc).alias("__x"), F.col(lc).cast("double").alias("__y"))
         n = data.count()
-        data = data.withColumn("__w", F.lit(1.0 / max(n, 1))).checkpoint()
+        data, path = materialize(data.withColumn("__w", F.lit(1.0 / max(n, 1))), "ada-round")
         trees, alphas = [], []
         for t in range(n_est):
             tree = DecisionTreeRegressor(featuresCol="__x", labelCol="__y", weightCol="__w",
@@ -84,7 +86,10 @@ class AdaBoostR2(Estimator, _AdaParams):
             if t == n_est - 1:
                 break
             upd = F.col("__w") / F.lit(sw) * F.pow(F.lit(beta), (F.lit(1.0) - F.col("__l")) * lr)
-            data = pred.select("__x", "__y", upd.alias("__w")).checkpoint()
+            data, new_path = materialize(pred.select("__x", "__y", upd.alias("__w")), "ada-round")
+            discard(spark, path)      # the previous round's weights are no longer read
+            path = new_path
+        discard(spark, path)
         model = AdaBoostR2Model(trees=trees, alphas=alphas)
         return self._copyValues(model)
 

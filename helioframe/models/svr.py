@@ -37,7 +37,7 @@ from pyspark.ml.param.shared import (HasFeaturesCol, HasLabelCol, HasMaxIter,
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from helioframe.session import ensure_checkpoint_dir
+from helioframe.session import discard, ensure_checkpoint_dir, materialize
 
 
 class _SVRParams(HasFeaturesCol, HasLabelCol, HasPredictionCol, HasSeed, HasMaxIter):
@@ -145,7 +145,8 @@ class EpsilonSVR(Estimator, _SVRParams):
         sd = np.array([s if s and s > 0 else 1.0 for s in stats[m:]], dtype=float)
         z = mapped.select(((F.col("__y") - F.lit(ym)) / F.lit(ysd)).alias("__y"),
                           *[((F.col(f"__f{k}") - F.lit(mu[k])) / F.lit(sd[k])).alias(f"__z{k}")
-                            for k in range(m)]).checkpoint()
+                            for k in range(m)])
+        z, z_path = materialize(z, "svr-rows")
         z.persist()
         eps = self._g(self.epsilon) / ysd
         c = self._g(self.C) / ysd
@@ -172,6 +173,7 @@ class EpsilonSVR(Estimator, _SVRParams):
                 avg_b += b
                 n_avg += 1
         z.unpersist()
+        discard(spark, z_path)
         if n_avg:
             w, b = avg_w / n_avg, avg_b / n_avg
         model = EpsilonSVRModel(p=p, omega=omega, u=u, mu=mu, sd=sd, w=w, b=b, ym=ym, ysd=ysd)

@@ -4,8 +4,9 @@ k-fold assignment, head/tail/row-at, inclusive time slices.
 The exact 0-based position of each row in a total order is computed
 without funnelling rows into one task: the data are range-partitioned and
 sorted (``orderBy``), every row records its partition id and its
-increasing id inside the partition, and that frozen layout is written with
-``checkpoint()`` (the shared checkpoint folder). A per-partition count
+increasing id inside the partition, and the rows are written once as a
+Parquet table in the shared checkpoint folder, so the layout is frozen in
+the data itself (a retry or a re-read cannot change it). A per-partition count
 table (one row per partition, so its size is bounded by the partition
 count and it is safe to broadcast) gives each partition its offset.
 """
@@ -18,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from helioframe.functions.timefns import ntz_lit
-from helioframe.session import ensure_checkpoint_dir
+from helioframe.session import ensure_checkpoint_dir, materialize
 
 
 @dataclass
@@ -38,10 +39,10 @@ def with_row_index(df: DataFrame, order, idx: str = "idx") -> Indexed:
     on every order column get distinct, arbitrary but fixed positions.
     """
     ensure_checkpoint_dir(df.sparkSession)
-    laid = (df.orderBy(*_order(order))
-              .select("*", F.spark_partition_id().alias("__pid"),
-                      F.monotonically_increasing_id().alias("__mid"))
-              .checkpoint())
+    laid, _ = materialize(df.orderBy(*_order(order))
+                          .select("*", F.spark_partition_id().alias("__pid"),
+                                  F.monotonically_increasing_id().alias("__mid")),
+                          "row-index")
     per = laid.groupBy("__pid").agg(F.count(F.lit(1)).alias("__cnt"),
                                     F.min("__mid").alias("__first"))
     w = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)

@@ -89,3 +89,23 @@ def local_path(path: str) -> str:
         while path.startswith("//"):
             path = path[1:]
     return os.path.abspath(path)
+
+
+def materialize(df, name: str):
+    """Cut lineage: write ``df`` as a Parquet table in the shared checkpoint
+    folder and return it read back (one job, compressed, columnar).
+
+    Returns ``(frame, path)``; the path can be dropped with :func:`discard`
+    once the frame is no longer needed.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a scratch table written by :func:`materialize`."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
