@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from helioframe.functions.timefns import PLANT_TZ, date_list, day_key, to_utc
-from helioframe.sources.layout import buckets_of
+from helioframe.sources.layout import kks_bucket
 
 # Largest key frame broadcast to the scan side (rows; about 40 bytes each).
 MAX_BROADCAST_KEYS = 2_000_000
@@ -40,36 +40,26 @@ def key_frame(tags, start, end, spark: SparkSession | None = None,
                        F.explode(date_list(start, end)).alias("d"))
 
 
-def _bounds(keys: DataFrame):
-    """Static pruning bounds from a key frame: (tag list or None, first day, last day)."""
-    days = keys.select(day_key("d").alias("day")).where("day IS NOT NULL")
-    lo, hi = days.agg(F.min("day"), F.max("day")).first()
-    tags = keys.select("k").distinct().limit(MAX_PRUNING_TAGS + 1)
-    tag_list = [r[0] for r in tags.collect()]
-    if len(tag_list) > MAX_PRUNING_TAGS:
-        tag_list = None          # too many for a literal list; the join is still exact
-    return tag_list, lo, hi
-
-
 def read_by_keys(raw: DataFrame, keys: DataFrame, tz: str | None = PLANT_TZ) -> DataFrame:
     """Rows of ``raw`` (kks, date, time, value) whose (kks, date) is in ``keys``.
 
     Times are shifted from plant wall time to UTC when ``tz`` is given, and
     the result is ``kks, date, time, value`` (``date`` is not shifted).
     """
-    tag_list, lo, hi = _bounds(keys)
+    k = keys.select(F.col("k"), day_key("d").alias("kd")).where("kd IS NOT NULL").distinct()
+    # One aggregate for the static bounds and sizes, one collect for the tags.
+    lo, hi, n_keys, n_tags = k.agg(F.min("kd"), F.max("kd"), F.count(F.lit(1)),
+                                   F.count_distinct("k")).first()
     pruned = raw
     if lo is None:               # no key names a day: nothing can match
         pruned = raw.limit(0)
     else:
         pruned = pruned.where(F.col("date").between(F.lit(lo), F.lit(hi)))
-        if tag_list is not None:
-            pruned = pruned.where(F.col("kks").isin(tag_list))
+        if n_tags <= MAX_PRUNING_TAGS:   # else too many for a literal list; the join stays exact
+            tags = k.select("k", kks_bucket("k").alias("b")).distinct().collect()
+            pruned = pruned.where(F.col("kks").isin([r[0] for r in tags]))
             if "kks_bucket" in raw.columns:
-                buckets = buckets_of(raw.sparkSession, tag_list)
-                pruned = pruned.where(F.col("kks_bucket").isin(buckets))
-    k = keys.select(F.col("k"), day_key("d").alias("kd")).where("kd IS NOT NULL").distinct()
-    n_keys = k.count()
+                pruned = pruned.where(F.col("kks_bucket").isin(sorted({r[1] for r in tags})))
     if n_keys <= MAX_BROADCAST_KEYS:
         k = F.broadcast(k)
     joined = pruned.join(k, (pruned["kks"] == k["k"]) & (pruned["date"] == k["kd"]), "inner")
