@@ -790,3 +790,16 @@ def pivot_wide(spark, sf):
     tags = sorted(r[0] for r in agg.select("kks").distinct().collect())
     wide = to_wide(agg, tags)
     return wide.select("time", *[r6(t).alias(t) for t in tags])
+
+
+# ------------------------------------------------ names used by the survey's query list
+
+@register("keyed_join", """
+    SELECT event_type AS kks, CAST(ts AS DATE) AS date, ts AS "time", value FROM events""")
+def keyed_join(spark, sf):
+    """The (kks, date) key join of all tags x all days, without the zone shift."""
+    from helioframe.operators.keyed import read_by_keys
+    return read_by_keys(_raw(spark, sf), key_grid(spark, sf), tz=None)
+
+
+register("svr")(_fit_predict(_svr("rbf")))
