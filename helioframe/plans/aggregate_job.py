@@ -34,5 +34,7 @@ def run(spark: SparkSession, raw_table: str, agg_table: str, tags, start: str, e
     raw = read_partitioned(spark, raw_table)
     keys = key_frame(tags, start, end, spark)
     out = aggregate_keys(raw, keys, duration, tz)
-    upsert(out, agg_table)
+    # Window means are small next to the raw rows: write them once instead
+    # of recomputing the aggregation for the upsert's two passes.
+    upsert(out, agg_table, materialize_batch=True)
     return read_partitioned(spark, agg_table)

@@ -3,10 +3,10 @@
 Writing a row whose key already exists replaces it (upsert), so loading the
 same input twice leaves a table unchanged. On plain Parquet this is done as
 
-1. the (date, kks_bucket) directories the batch touches are found (at most
-   days x buckets rows);
-2. only those directories of the table are read (static partition filters:
-   first/last day and bucket list, then an exact semi-join);
+1. the (date, kks_bucket) directories the batch touches are listed in one
+   driver job (at most days x buckets pairs);
+2. only those directories of the table are read: the pairs become a
+   predicate on the partition columns, which prunes directories exactly;
 3. old and new rows are merged per key in one aggregate (a batch row beats
    the stored one; within the batch the first non-null value in the
    batch's order wins, which is also the ingest's dedup), with a map-side
@@ -32,10 +32,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from helioframe.session import discard, materialize
 from helioframe.sources.layout import (CLUSTER_COLS, PARTITION_COLS,
                                        TABLE_SCHEMA, with_bucket)
 
-MAX_BROADCAST_KEYS = 2_000_000
+# Largest number of touched (day, bucket) directories listed as a literal
+# partition filter; above it the day range is used (still exact, as the
+# merge rewrites untouched directories unchanged).
+MAX_PRUNING_PARTS = 200_000
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
@@ -61,13 +65,18 @@ def _write(df: DataFrame, path: str) -> None:
 
 
 def upsert(batch: DataFrame, path: str, key_cols=("kks", "date", "time"),
-           order: Column | None = None) -> None:
+           order: Column | None = None, materialize_batch: bool = False) -> None:
     """Latest-wins upsert of ``batch`` (kks, date, time, value) into ``path``.
 
     Without ``order`` the batch holds one row per key. With ``order`` it may
     hold several, and the batch value of a key is its first non-null value
     in ``order`` (null if all are null); deduplication and merge are then
     one aggregate, so the batch is shuffled once.
+
+    The batch is evaluated twice when the table exists (the touched
+    directories, then the merge); ``materialize_batch`` writes it once to the
+    shared checkpoint folder first, for batches that are costly to recompute
+    and small next to their inputs (e.g. window means).
     """
     spark = batch.sparkSession
     cols = [f.name for f in TABLE_SCHEMA.fields]
@@ -77,18 +86,26 @@ def upsert(batch: DataFrame, path: str, key_cols=("kks", "date", "time"),
     if not table_exists(spark, path):
         _write(_merge(batch.withColumn("__seq", F.lit(1)), key_cols).select(*cols), path)
         return
-    parts = batch.select(*PARTITION_COLS).distinct()
-    lo, hi = parts.agg(F.min("date"), F.max("date")).first()
-    buckets = [r[0] for r in parts.select("kks_bucket").distinct().collect()]
-    table = (read_partitioned(spark, path)
-             .where(F.col("date").between(F.lit(lo), F.lit(hi)))
-             .where(F.col("kks_bucket").isin(buckets)))
-    p = F.broadcast(parts) if parts.count() <= MAX_BROADCAST_KEYS else parts
-    existing = table.join(p, list(PARTITION_COLS), "left_semi")
-    old = existing.select(*cols, F.lit(None).cast(batch.schema["__o"].dataType).alias("__o"),
-                          F.lit(0).alias("__seq"))
+    if materialize_batch:
+        batch, tmp = materialize(batch, "upsert-batch")
+    # One driver job: the (day, bucket) directories the batch touches. Their
+    # number is bounded by days x KKS_BUCKETS, not by the data volume.
+    parts = [tuple(r) for r in batch.select(*PARTITION_COLS).distinct()
+             .limit(MAX_PRUNING_PARTS + 1).collect()]
+    table = read_partitioned(spark, path)
+    if len(parts) <= MAX_PRUNING_PARTS:
+        # A predicate on partition columns only: exact directory pruning.
+        table = table.where(F.struct(*PARTITION_COLS).isin(
+            [F.struct(F.lit(d).alias("date"), F.lit(b).alias("kks_bucket")) for d, b in parts]))
+    else:
+        days = [d for d, _ in parts]
+        table = table.where(F.col("date").between(F.lit(min(days)), F.lit(max(days))))
+    old = table.select(*cols, F.lit(None).cast(batch.schema["__o"].dataType).alias("__o"),
+                       F.lit(0).alias("__seq"))
     new = batch.select(*cols, "__o", F.lit(1).alias("__seq"))
     _write(_merge(old.unionByName(new), key_cols).select(*cols), path)
+    if materialize_batch:
+        discard(spark, tmp)
 
 
 def _merge(rows: DataFrame, key_cols) -> DataFrame:
