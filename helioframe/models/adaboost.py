@@ -2,7 +2,7 @@
 
 Each round fits a depth-limited ``DecisionTreeRegressor`` on the current
 sample weights (``weightCol``; weighted fitting instead of weighted
-resampling, so a run is deterministic), then two aggregation passes give
+resampling, so a run is deterministic), then one aggregation pass gives
 the largest absolute error and the weighted mean linear loss, from which
 the tree weight and the new sample weights follow. The rows with their
 weights are written as a table in the shared checkpoint folder every round
@@ -67,14 +67,16 @@ class AdaBoostR2(Estimator, _AdaParams):
                                          maxDepth=depth, seed=seed + t,
                                          predictionCol="__p").fit(data)
             pred = tree.transform(data).withColumn("__e", F.abs(F.col("__y") - F.col("__p")))
-            max_err = pred.agg(F.max("__e")).first()[0] or 0.0
+            # One pass: L = e / max(e), so sum(w * L) = sum(w * e) / max(e).
+            max_err, swe, sw = pred.agg(F.max("__e"), F.sum(F.col("__w") * F.col("__e")),
+                                        F.sum("__w")).first()
+            max_err = max_err or 0.0
             if max_err <= 0.0:               # perfect fit: keep it and stop
                 trees.append(tree)
                 alphas.append(1.0)
                 break
             pred = pred.withColumn("__l", F.col("__e") / F.lit(max_err))
-            swl, sw = pred.agg(F.sum(F.col("__w") * F.col("__l")), F.sum("__w")).first()
-            lbar = swl / sw
+            lbar = swe / max_err / sw
             if lbar >= 0.5:                  # no better than chance: stop
                 if not trees:
                     trees.append(tree)
