@@ -26,12 +26,13 @@ from helioframe.session import ensure_checkpoint_dir
 from helioframe.sources.measurement_csv import (list_inputs, scan_text,
                                                 small_file_rule, tag_column,
                                                 typed)
+from helioframe.sources.layout import kks_bucket
 from helioframe.sources.sinks import upsert, write_manifest
 
 
 @dataclass
 class IngestResult:
-    outcomes: DataFrame      # path, length, rows, bad_rows, status
+    outcomes: DataFrame      # path, length, rows, bad_rows, status, days
     batch: DataFrame         # kks, date, time, value as written
 
 
@@ -66,14 +67,21 @@ def ingest(spark: SparkSession, root: str, raw_table: str, *,
     ensure_checkpoint_dir(spark)
     files = small_file_rule(list_inputs(spark, root, list_csv, names)).checkpoint()
     readable = [r[0] for r in files.where("NOT small").select("path").collect()]
-    parsed = typed(scan_text(spark, readable), formats).select("path", "bad")
+    parsed = typed(scan_text(spark, readable), formats).select("path", "bad", "time")
     outcomes = file_outcomes(files, parsed).checkpoint()
     good = [r[0] for r in outcomes.where(F.col("status") == STATUS_LOADED)
             .select("path").collect()]
     batch = parse_files(spark, good, tag_from, kks, formats)
     if good:
+        # Touched (day, bucket) directories from the outcome table (one row per
+        # file), so the CSV files are not parsed again just to find them.
+        parts = [tuple(r) for r in (
+            outcomes.where(F.col("status") == STATUS_LOADED)
+            .select(tag_column("path", tag_from, kks).alias("kks"), F.explode("days").alias("date"))
+            .select("date", kks_bucket("kks").alias("kks_bucket")).distinct().collect())]
         # Dedup (first non-null in file order) and merge in one aggregate.
-        upsert(parse_rows(spark, good, tag_from, kks, formats), raw_table, order=file_order())
+        upsert(parse_rows(spark, good, tag_from, kks, formats), raw_table, order=file_order(),
+               parts=parts)
     if manifest_root:
         write_manifest(outcomes.where(F.col("status") == STATUS_LOADED).select("path"),
                        manifest_root, day)

@@ -65,7 +65,8 @@ def _write(df: DataFrame, path: str) -> None:
 
 
 def upsert(batch: DataFrame, path: str, key_cols=("kks", "date", "time"),
-           order: Column | None = None, materialize_batch: bool = False) -> None:
+           order: Column | None = None, materialize_batch: bool = False,
+           parts: list[tuple] | None = None) -> None:
     """Latest-wins upsert of ``batch`` (kks, date, time, value) into ``path``.
 
     Without ``order`` the batch holds one row per key. With ``order`` it may
@@ -76,7 +77,9 @@ def upsert(batch: DataFrame, path: str, key_cols=("kks", "date", "time"),
     The batch is evaluated twice when the table exists (the touched
     directories, then the merge); ``materialize_batch`` writes it once to the
     shared checkpoint folder first, for batches that are costly to recompute
-    and small next to their inputs (e.g. window means).
+    and small next to their inputs (e.g. window means). A caller that
+    already knows the touched ``(date, kks_bucket)`` pairs passes ``parts``,
+    and the batch is then evaluated once.
     """
     spark = batch.sparkSession
     cols = [f.name for f in TABLE_SCHEMA.fields]
@@ -86,12 +89,17 @@ def upsert(batch: DataFrame, path: str, key_cols=("kks", "date", "time"),
     if not table_exists(spark, path):
         _write(_merge(batch.withColumn("__seq", F.lit(1)), key_cols).select(*cols), path)
         return
-    if materialize_batch:
+    if materialize_batch and parts is None:
         batch, tmp = materialize(batch, "upsert-batch")
-    # One driver job: the (day, bucket) directories the batch touches. Their
-    # number is bounded by days x KKS_BUCKETS, not by the data volume.
-    parts = [tuple(r) for r in batch.select(*PARTITION_COLS).distinct()
-             .limit(MAX_PRUNING_PARTS + 1).collect()]
+    else:
+        materialize_batch = False
+    if parts is None:
+        # One driver job: the (day, bucket) directories the batch touches. Their
+        # number is bounded by days x KKS_BUCKETS, not by the data volume.
+        parts = [tuple(r) for r in batch.select(*PARTITION_COLS).distinct()
+                 .limit(MAX_PRUNING_PARTS + 1).collect()]
+    if not parts:
+        return
     table = read_partitioned(spark, path)
     if len(parts) <= MAX_PRUNING_PARTS:
         # A predicate on partition columns only: exact directory pruning.
