@@ -5,9 +5,9 @@ outcome (whole-file rejection) -> scan of the good files -> tag from file
 -> first non-null per (kks, time) -> day key -> latest-wins upsert ->
 manifest of loaded files.
 
-The outcome table has one row per file; it is checkpointed (written to the
-shared checkpoint folder) so the file lists are computed once and survive
-executor loss. Good files are read again by path instead of joining every
+The outcome table has one row per file; it is written as a table in the
+shared checkpoint folder (one job, so the status scan runs once) and the
+file lists read from it survive executor loss. Good files are read again by path instead of joining every
 row against the outcome table, so no row is shuffled for the rejection.
 """
 
@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from helioframe.functions.timefns import PLANT_TIME_FORMATS
 from helioframe.operators.ingest import (STATUS_LOADED, dedup_first,
                                          file_outcomes)
-from helioframe.session import ensure_checkpoint_dir
+from helioframe.session import ensure_checkpoint_dir, materialize
 from helioframe.sources.measurement_csv import (list_inputs, scan_text,
                                                 small_file_rule, tag_column,
                                                 typed)
@@ -65,10 +65,11 @@ def ingest(spark: SparkSession, root: str, raw_table: str, *,
            manifest_root: str | None = None, day: _dt.date | None = None,
            formats=PLANT_TIME_FORMATS) -> IngestResult:
     ensure_checkpoint_dir(spark)
-    files = small_file_rule(list_inputs(spark, root, list_csv, names)).checkpoint()
+    files, _ = materialize(small_file_rule(list_inputs(spark, root, list_csv, names)),
+                           "ingest-files")
     readable = [r[0] for r in files.where("NOT small").select("path").collect()]
     parsed = typed(scan_text(spark, readable), formats).select("path", "bad", "time")
-    outcomes = file_outcomes(files, parsed).checkpoint()
+    outcomes, _ = materialize(file_outcomes(files, parsed), "ingest-outcomes")
     good = [r[0] for r in outcomes.where(F.col("status") == STATUS_LOADED)
             .select("path").collect()]
     batch = parse_files(spark, good, tag_from, kks, formats)
