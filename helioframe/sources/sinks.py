@@ -43,10 +43,22 @@ MAX_PRUNING_PARTS = 200_000
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
+    """True when ``path`` holds table data (a partition folder or data file).
+
+    A dynamic partition overwrite commits only partition folders (its
+    ``_SUCCESS`` marker stays in Spark's staging area), so the marker cannot
+    be used; hidden entries (``_*``, ``.*``) are ignored.
+    """
     jvm = spark.sparkContext._jvm
     jpath = jvm.org.apache.hadoop.fs.Path(path)
     fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return bool(fs.exists(jvm.org.apache.hadoop.fs.Path(path + "/_SUCCESS")))
+    if not fs.exists(jpath):
+        return False
+    for st in fs.listStatus(jpath):
+        name = st.getPath().getName()
+        if not name.startswith(("_", ".")):
+            return True
+    return False
 
 
 def read_partitioned(spark: SparkSession, path: str,

@@ -118,3 +118,17 @@ def test_listing_reports_sizes(spark, workdir):
     write_files(workdir, {"a.csv": "x" * 10})
     r = list_files(spark, workdir).first()
     assert r.length == 10 and r.path.endswith("a.csv")
+
+
+def test_upsert_keeps_rows_the_batch_does_not_touch(spark, workdir):
+    from helioframe.sources.sinks import upsert
+
+    def batch(secs, off):
+        return spark.createDataFrame(
+            [("tagA", dt.date(2017, 2, 1), dt.datetime(2017, 2, 1, 0, 0, s), float(s + off))
+             for s in secs], "kks string, date date, time timestamp_ntz, value double")
+    upsert(batch(range(0, 40), 0), workdir + "/t")
+    upsert(batch(range(20, 60), 100), workdir + "/t")
+    vals = {r.time.second: r.value for r in read_partitioned(spark, workdir + "/t").collect()}
+    assert len(vals) == 60
+    assert vals[5] == 5.0 and vals[25] == 125.0 and vals[55] == 155.0

@@ -24,3 +24,21 @@ def test_incremental_ingest(spark, workdir):
     assert {r.kks for r in t.select("kks").distinct().collect()} == {"tagA", "tagB"}
     st = {os.path.basename(r.path): r.status for r in spark.read.parquet(man).collect()}
     assert st == {"tagA.csv": "loaded", "bad.csv": "rejected", "tagB.csv": "loaded"}
+
+
+def test_one_file_per_micro_batch_keeps_one_row_per_key(spark, workdir):
+    src, raw, ck = workdir + "/src", workdir + "/raw", workdir + "/ck"
+    rows_a = "".join(f"01/02/2017 00:00:{s:02d};{s},5\n" for s in range(0, 40))
+    rows_b = "".join(f"01/02/2017 00:00:{s:02d};{s + 100},5\n" for s in range(20, 60))
+    write_files(src, {"tagA_part1.csv": rows_a})
+    os.makedirs(src + "/b", exist_ok=True)
+    write_files(src + "/b", {"tagA_part1.csv": rows_b})     # same tag, overlapping seconds
+    q = start_ingest(spark, src, raw, ck, max_files=1, kks="tagA")
+    q.awaitTermination(180)
+    assert len(q.recentProgress) >= 2                         # two micro-batches ran
+    t = read_partitioned(spark, raw)
+    assert t.count() == 60 and t.select("time").distinct().count() == 60
+    overlap = {r.value for r in t.where("second(time) BETWEEN 20 AND 39").collect()}
+    # The file processed second overwrites the overlap (latest wins per key).
+    assert overlap in ({float(s) + 0.5 for s in range(20, 40)},
+                       {float(s) + 100.5 for s in range(20, 40)})
