@@ -803,3 +803,23 @@ def keyed_join(spark, sf):
 
 
 register("svr")(_fit_predict(_svr("rbf")))
+
+
+@register("upsert_partial", """
+    SELECT event_type AS kks, CAST(ts AS DATE) AS date, ts AS "time",
+           round(CASE WHEN value > 250 THEN value * 2 ELSE value END, 6) AS value
+    FROM events""")
+def upsert_partial(spark, sf):
+    """Table = events; batch = the rows above 250, doubled. The batch touches
+    every (day, bucket) folder but only some rows in each: the untouched rows
+    must survive the merge. Applied twice (the second is a no-op)."""
+    from helioframe.session import scratch_path
+    from helioframe.sources.sinks import read_partitioned, upsert
+    raw = _raw(spark, sf)
+    table = scratch_path(spark, "upsert-partial")
+    upsert(raw, table)
+    batch = raw.where(F.col("value") > 250).withColumn("value", F.col("value") * 2)
+    upsert(batch, table)
+    upsert(batch, table)
+    out = read_partitioned(spark, table)
+    return out.select("kks", "date", "time", r6("value").alias("value"))
