@@ -18,18 +18,97 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op3_sharding(spark, sf_dir):
+    from helioframe.llm.sharding import shard
+
+    return (shard(table(spark, sf_dir, "documents"), shards=8)
+            .select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+                    F.lit(None).cast("int").alias("grown_shard")))
+
+
+def op4_setsketch(spark, sf_dir):
+    from helioframe.llm.setsketch import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"), words=4)
+
+
+def near_duplicate_sql(words: int, percent: int) -> str:
+    """Links of shingle sets by a join on shingles, components by reachability."""
+    return rf"""
+with recursive split as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') as w from documents),
+sets as (
+  select doc_id, list_distinct(case when len(w) = 0 then []
+      when len(w) < {words} then [array_to_string(w, ' ')]
+      else list_transform(range(1, len(w) - {words} + 2), lambda i: array_to_string(w[i:i + {words} - 1], ' ')) end) as s from split),
+shingles as (select doc_id, len(s) as n, unnest(s) as shingle from sets),
+links as (
+  select a.doc_id as a, b.doc_id as b from shingles a join shingles b on a.shingle = b.shingle and a.doc_id <> b.doc_id
+  group by a.doc_id, b.doc_id, a.n, b.n having 100 * count(*) >= {percent} * (a.n + b.n - count(*))),
+reach(doc_id, node) as (
+  select doc_id, doc_id from documents union select r.doc_id, l.b from reach r join links l on r.node = l.a),
+least as (select doc_id, min(node) as component_id from reach group by doc_id)
+select doc_id, cast(len(s) as bigint) as n_shingles, component_id, doc_id = component_id as kept
+from sets join least using (doc_id)
+"""
+
+
+def op6_chat(spark, sf_dir):
+    from helioframe.llm.chat import formatted, read_back
+
+    said = "</s>[INST] ok [/INST]"
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    extra = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], turns.schema)
+    return read_back(formatted(turns.unionAll(extra)))
+
+
+OP6_SQL = r"""
+with turns as (
+  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+  union all select -7, 0, 'user', '</s>[INST] ok [/INST]'
+  union all select -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+escaped as (
+  select *, replace(replace(replace(role, '\', '\e'), '<', '\l'), '[', '\b') as role_out,
+         replace(replace(replace(text, '\', '\e'), '<', '\l'), '[', '\b') as text_out from turns)
+select conv_id, count(*) as n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn nulls first, role, text)) as turns_sha256,
+       cast(coalesce(sum(length(text)) filter (where role = 'assistant'), 0) as bigint) as loss_chars,
+       sha256(coalesce(string_agg(text, '' order by turn nulls first, role, text) filter (where role = 'assistant'), '')) as loss_sha256,
+       cast(sum(length('<s>') + length(role_out) + 1 + length(text_out) + length('</s>') + 1) as bigint) as formatted_chars
+from escaped group by conv_id
+"""
+
+
 def op7_bpe(spark, sf_dir):
     from helioframe.llm.bpe import encoded
 
     return encoded(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"), ids=False)
 
 
+def op8_winnowing(spark, sf_dir):
+    from helioframe.llm.winnowing import edited_likeness
+
+    return edited_likeness(table(spark, sf_dir, "documents"))
+
+
+def op9_secrets(spark, sf_dir):
+    from helioframe.llm.secrets import BASE_KINDS, joined, scan
+
+    found = scan(table(spark, sf_dir, "documents"))
+    kinds = F.transform("spans", lambda s: s["kind"])
+    number = [F.size(F.array_remove(kinds, k)) for k in BASE_KINDS]
+    number = [(F.size(kinds) - n).cast("long").alias(f"n_{k}") for k, n in zip(BASE_KINDS, number, strict=True)]
+    return found.select("doc_id", *number, F.sha2(joined(F.col("spans"), BASE_KINDS), 256).alias("base_sha256"),
+                        joined(F.col("spans")).alias("spans"))
+
+
 def op10_packing(spark, sf_dir):
     from helioframe.llm.packing import pack
 
     return pack(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
 
 
-QUERIES = {f.__name__: f for f in (op7_bpe, op10_packing)}
+QUERIES = {f.__name__: f for f in (op3_sharding, op4_setsketch, op6_chat, op7_bpe, op8_winnowing, op9_secrets, op10_packing)}
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op4_setsketch": near_duplicate_sql(4, 80), "op6_chat": OP6_SQL}
