@@ -18,6 +18,12 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_flatgraph(spark, sf_dir):
+    from helioframe.llm.flatgraph import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "embeddings"), radius=0.98)
+
+
 def op2_suffix_array(spark, sf_dir):
     from helioframe.llm.suffix_dedup import repeated_spans
 
@@ -115,6 +121,6 @@ def op10_packing(spark, sf_dir):
     return pack(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
 
 
-QUERIES = {f.__name__: f for f in (op2_suffix_array, op3_sharding, op4_setsketch, op6_chat, op7_bpe, op8_winnowing, op9_secrets, op10_packing)}
+QUERIES = {f.__name__: f for f in (op1_flatgraph, op2_suffix_array, op3_sharding, op4_setsketch, op6_chat, op7_bpe, op8_winnowing, op9_secrets, op10_packing)}
 
 ORACLE_SQL: dict[str, str] = {"op4_setsketch": near_duplicate_sql(4, 80), "op6_chat": OP6_SQL}
