@@ -66,6 +66,12 @@ from sets join least using (doc_id)
 """
 
 
+def op5_langid(spark, sf_dir):
+    from helioframe.llm.langid import predicted
+
+    return predicted(table(spark, sf_dir, "documents"))
+
+
 def op6_chat(spark, sf_dir):
     from helioframe.llm.chat import formatted, read_back
 
@@ -121,6 +127,6 @@ def op10_packing(spark, sf_dir):
     return pack(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
 
 
-QUERIES = {f.__name__: f for f in (op1_flatgraph, op2_suffix_array, op3_sharding, op4_setsketch, op6_chat, op7_bpe, op8_winnowing, op9_secrets, op10_packing)}
+QUERIES = {f.__name__: f for f in (op1_flatgraph, op2_suffix_array, op3_sharding, op4_setsketch, op5_langid, op6_chat, op7_bpe, op8_winnowing, op9_secrets, op10_packing)}
 
 ORACLE_SQL: dict[str, str] = {"op4_setsketch": near_duplicate_sql(4, 80), "op6_chat": OP6_SQL}
