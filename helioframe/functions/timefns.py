@@ -33,23 +33,33 @@ def _col(c) -> Column:
 def parse_day_first(c, formats=PLANT_TIME_FORMATS) -> Column:
     """Day-first timestamp text -> ``timestamp_ntz`` (null if no format fits).
 
-    ``try_to_timestamp`` decides whether a format fits; the value itself is
-    produced by the zone-free ``to_timestamp_ntz`` so that wall times inside a
-    DST gap of the session zone are kept as written.
+    Formats are tried in order until one fits, one parse each. The session
+    zone is UTC (:mod:`helioframe.session`), which has no gaps, so the wall
+    time is kept as written.
     """
     s = F.trim(_col(c))
-    parsed = [
-        F.when(F.try_to_timestamp(s, F.lit(fmt)).isNotNull(),
-               F.to_timestamp_ntz(s, F.lit(fmt)))
-        for fmt in formats
-    ]
-    return F.coalesce(*parsed) if len(parsed) > 1 else parsed[0]
+    parsed = [F.try_to_timestamp(s, F.lit(fmt)) for fmt in formats]
+    return F.coalesce(*parsed).cast(TimestampNTZType())
+
+
+# Texts that stand for a missing number.
+NULL_TOKENS = (
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan",
+    "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a",
+    "nan", "null",
+)
+
+
+def is_missing(c) -> Column:
+    """Whether the text stands for no value: blank or one of the null tokens."""
+    c = _col(c)
+    return c.isNull() | F.trim(c).isin(*NULL_TOKENS)
 
 
 def parse_decimal_comma(c) -> Column:
-    """Locale number with ``,`` as decimal mark -> double (null if not a number)."""
+    """Locale number with ``,`` as decimal mark -> double (null if missing or not a number)."""
     s = F.regexp_replace(F.trim(_col(c)), ",", ".")
-    return s.try_cast("double")
+    return F.when(~is_missing(c), s.try_cast("double"))
 
 
 def is_blank(c) -> Column:
@@ -95,12 +105,16 @@ def date_list(start, end) -> Column:
     """Inclusive list of instants from ``start`` to ``end`` in fixed 24-hour steps.
 
     ``start``/``end`` are ``timestamp_ntz`` columns or ISO date(-time) text;
-    both ends are included, as specified for the day loop. A list that
+    both ends are included, as specified for the day loop; the list is empty if
+    ``start`` comes after ``end``. A list that
     starts off midnight never matches a day key (see :func:`day_key`).
     """
     s = ntz_lit(start) if isinstance(start, str) else _as_ntz(start)
     e = ntz_lit(end) if isinstance(end, str) else _as_ntz(end)
-    return F.sequence(s, e, F.expr("interval 24 hours"))
+    # Nothing lies between a start and an earlier end.
+    last = F.greatest(s, e)
+    return F.when(s <= e, F.sequence(s, last, F.expr("interval 24 hours"))) \
+        .otherwise(F.array().cast("array<timestamp_ntz>"))
 
 
 def day_key(c) -> Column:
@@ -111,6 +125,6 @@ def day_key(c) -> Column:
 
 __all__ = [
     "PLANT_TZ", "PLANT_TIME_FORMATS", "parse_day_first", "parse_decimal_comma",
-    "is_blank", "day_of", "to_utc", "from_utc", "parse_instant", "ntz_lit",
+    "is_blank", "is_missing", "day_of", "to_utc", "from_utc", "parse_instant", "ntz_lit",
     "date_list", "day_key", "TimestampType",
 ]

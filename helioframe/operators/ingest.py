@@ -12,32 +12,28 @@ from helioframe.functions.text import basename
 STATUS_LOADED = "loaded"
 STATUS_SMALL = "skipped_small"
 STATUS_REJECTED = "rejected"
+STATUS_MISSING = "missing"
 
 
-def file_outcomes(files: DataFrame, parsed: DataFrame) -> DataFrame:
-    """Outcome per offered file: ``path, length, rows, bad_rows, status``
-    (and ``days``, the distinct days in the file, when ``parsed`` has ``time``).
+def file_outcomes(files: DataFrame, parsed: DataFrame, key: str = "path") -> DataFrame:
+    """The offered files with ``rows, bad_rows, status`` added.
 
-    ``files`` has ``path, length, small``; ``parsed`` is the typed scan of
-    the files that were read (``path, bad``). A file with any bad row is
-    rejected whole; a small file is skipped unread. The per-file counts are a
-    partial/final aggregate, so a large file is counted by many tasks.
+    ``files`` has ``key, length, small`` (and ``missing``); ``parsed`` is the
+    typed scan of the files that were read (``key, bad``). A file with any bad
+    row is rejected whole; a small file is skipped unread; a wanted file that
+    is not there is missing. The per-file counts are a partial/final
+    aggregate, so a large file is counted by many tasks.
     """
-    aggs = [F.count(F.lit(1)).alias("rows"), F.count_if(F.col("bad")).alias("bad_rows")]
-    if "time" in parsed.columns:
-        # Days present in each file (bounded by the calendar, merged map-side):
-        # lets the upsert find the directories it touches without a rescan.
-        aggs.append(F.collect_set(F.to_date("time")).alias("days"))
-    counts = parsed.groupBy("path").agg(*aggs)
-    out = files.join(counts, "path", "left")
+    counts = parsed.groupBy(key).agg(F.count(F.lit(1)).alias("rows"),
+                                     F.count_if(F.col("bad")).alias("bad_rows"))
+    out = files.join(counts, key, "left")
     status = (F.when(F.col("small"), F.lit(STATUS_SMALL))
               .when(F.coalesce(F.col("bad_rows"), F.lit(0)) > 0, F.lit(STATUS_REJECTED))
               .otherwise(F.lit(STATUS_LOADED)))
-    extra = ["days"] if "days" in out.columns else []
-    return out.select("path", "length",
-                      F.coalesce("rows", F.lit(0)).alias("rows"),
-                      F.coalesce("bad_rows", F.lit(0)).alias("bad_rows"),
-                      status.alias("status"), *extra)
+    if "missing" in files.columns:
+        status = F.when(F.col("missing"), F.lit(STATUS_MISSING)).otherwise(status)
+    return out.select(*files.columns, F.coalesce("rows", F.lit(0)).alias("rows"),
+                      F.coalesce("bad_rows", F.lit(0)).alias("bad_rows"), status.alias("status"))
 
 
 def first_non_null(value: str, order: Column) -> Column:

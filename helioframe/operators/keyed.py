@@ -2,9 +2,10 @@
 
 A key frame lists ``(k, d)`` pairs: a tag and the instant that names a day.
 Reading by keys is an inner join on ``(kks, date)``; so that Parquet files
-are pruned, static bounds taken from the keys (tag list, first/last day) are
-added as partition filters before the exact join. The key frame is
-broadcast only after its row count has been checked.
+are pruned, static bounds taken from the keys (first/last day, tag buckets,
+and the tag list while it is short) are added as filters before the exact
+join. The key frame is written once as a table, so its size is known and
+Spark broadcasts it only below its threshold.
 """
 
 from __future__ import annotations
@@ -13,11 +14,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from helioframe.functions.timefns import PLANT_TZ, date_list, day_key, to_utc
-from helioframe.sources.layout import kks_bucket
+from helioframe.session import materialize
+from helioframe.sources.layout import KKS_BUCKETS, kks_bucket
 
-# Largest key frame broadcast to the scan side (rows; about 40 bytes each).
-MAX_BROADCAST_KEYS = 2_000_000
-# Largest tag list turned into a literal IN filter for partition pruning.
+# Tag lists up to this length also become an IN filter on the tag (row groups).
 MAX_PRUNING_TAGS = 10_000
 
 
@@ -40,28 +40,28 @@ def key_frame(tags, start, end, spark: SparkSession | None = None,
                        F.explode(date_list(start, end)).alias("d"))
 
 
-def read_by_keys(raw: DataFrame, keys: DataFrame, tz: str | None = PLANT_TZ) -> DataFrame:
+def read_by_keys(raw: DataFrame, keys: DataFrame, tz: str | None = PLANT_TZ,
+                 buckets: int = KKS_BUCKETS) -> DataFrame:
     """Rows of ``raw`` (kks, date, time, value) whose (kks, date) is in ``keys``.
 
     Times are shifted from plant wall time to UTC when ``tz`` is given, and
     the result is ``kks, date, time, value`` (``date`` is not shifted).
+    ``buckets`` is the bucket count of the table ``raw`` is read from.
     """
     k = keys.select(F.col("k"), day_key("d").alias("kd")).where("kd IS NOT NULL").distinct()
-    # One aggregate for the static bounds and sizes, one collect for the tags.
-    lo, hi, n_keys, n_tags = k.agg(F.min("kd"), F.max("kd"), F.count(F.lit(1)),
-                                   F.count_distinct("k")).first()
+    k, _ = materialize(k.withColumn("kb", kks_bucket("k", buckets)), "key-frame")
+    # One aggregate for the static bounds; bucket numbers are at most the bucket count.
+    lo, hi, n_tags, numbers = k.agg(F.min("kd"), F.max("kd"), F.count_distinct("k"),
+                                    F.collect_set("kb")).first()
     pruned = raw
     if lo is None:               # no key names a day: nothing can match
         pruned = raw.limit(0)
     else:
         pruned = pruned.where(F.col("date").between(F.lit(lo), F.lit(hi)))
+        if "kks_bucket" in raw.columns:
+            pruned = pruned.where(F.col("kks_bucket").isin(numbers))
         if n_tags <= MAX_PRUNING_TAGS:   # else too many for a literal list; the join stays exact
-            tags = k.select("k", kks_bucket("k").alias("b")).distinct().collect()
-            pruned = pruned.where(F.col("kks").isin([r[0] for r in tags]))
-            if "kks_bucket" in raw.columns:
-                pruned = pruned.where(F.col("kks_bucket").isin(sorted({r[1] for r in tags})))
-    if n_keys <= MAX_BROADCAST_KEYS:
-        k = F.broadcast(k)
+            pruned = pruned.where(F.col("kks").isin([r[0] for r in k.select("k").distinct().collect()]))
     joined = pruned.join(k, (pruned["kks"] == k["k"]) & (pruned["date"] == k["kd"]), "inner")
     t = to_utc("time", tz) if tz else F.col("time")
     return joined.select("kks", "date", t.alias("time"), "value")

@@ -26,6 +26,7 @@ from helioframe.session import ensure_checkpoint_dir, materialize
 class Indexed:
     df: DataFrame     # input columns + idx (0-based position)
     n: int            # number of rows
+    path: str         # scratch table the rows lie in, for session.discard
 
 
 def _order(cols) -> list[Column]:
@@ -39,7 +40,7 @@ def with_row_index(df: DataFrame, order, idx: str = "idx") -> Indexed:
     on every order column get distinct, arbitrary but fixed positions.
     """
     ensure_checkpoint_dir(df.sparkSession)
-    laid, _ = materialize(df.orderBy(*_order(order))
+    laid, path = materialize(df.orderBy(*_order(order))
                           .select("*", F.spark_partition_id().alias("__pid"),
                                   F.monotonically_increasing_id().alias("__mid")),
                           "row-index")
@@ -53,7 +54,7 @@ def with_row_index(df: DataFrame, order, idx: str = "idx") -> Indexed:
     out = (laid.join(F.broadcast(offsets.drop("__cnt")), "__pid")
                .withColumn(idx, F.col("__off") + F.col("__mid") - F.col("__first"))
                .drop("__pid", "__mid", "__first", "__off"))
-    return Indexed(out, int(n))
+    return Indexed(out, int(n), path)
 
 
 def split_point(n: int, train_fraction: float = 0.8) -> int:
@@ -106,18 +107,12 @@ def tail(df: DataFrame, order, n: int = 5) -> DataFrame:
     return df.orderBy(*desc).limit(n).orderBy(*_order(order))
 
 
-# Above this position the exact row index is used instead of a top-k.
-MAX_TOPK_POSITION = 100_000
-
-
 def row_at(df: DataFrame, order, pos: int) -> DataFrame:
     """The row at 0-based position ``pos`` in ``order`` (empty if past the end).
 
-    Small positions are a distributed top-(pos+1); larger ones filter the
-    exact row index, so no task keeps ``pos`` rows in memory.
+    A filter on the exact row index, whatever the position, so no task keeps
+    ``pos`` rows and rows equal in ``order`` are told apart in one way.
     """
-    if pos <= MAX_TOPK_POSITION:
-        return df.orderBy(*_order(order)).offset(pos).limit(1)
     return with_row_index(df, order, "__idx").df.where(F.col("__idx") == pos).drop("__idx")
 
 

@@ -1,14 +1,19 @@
 """CSV files -> raw table: one Spark job for all files.
 
 discover (list/names/folder) -> small-file rule -> typed scan -> per-file
-outcome (whole-file rejection) -> scan of the good files -> tag from file
--> first non-null per (kks, time) -> day key -> latest-wins upsert ->
-manifest of loaded files.
-
-The outcome table has one row per file; it is written as a table in the
-shared checkpoint folder (one job, so the status scan runs once) and the
-file lists read from it survive executor loss. Good files are read again by path instead of joining every
-row against the outcome table, so no row is shuffled for the rejection.
+outcome (whole-file rejection) -> tag from file -> day key -> latest-wins
+upsert -> manifest of loaded files.
+
+Within a file the first non-null value of a (kks, time) wins; between files
+the last one does, by modification time and then path. Files are numbered in
+that order, and both rules are one fixed-width rank of the upsert's merge, so
+the result is the same for one run over all files, a run for each file, and
+a stream with any number of files in a micro-batch.
+
+The folder is parsed once: the typed rows are written to the shared
+checkpoint folder with their file's number, the outcomes are counted from
+them, and the rows of the loaded files (a join with one row per file) go
+into the upsert.
 """
 
 from __future__ import annotations
@@ -20,70 +25,65 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from helioframe.functions.timefns import PLANT_TIME_FORMATS
-from helioframe.operators.ingest import (STATUS_LOADED, dedup_first,
-                                         file_outcomes)
-from helioframe.session import ensure_checkpoint_dir, materialize
+from helioframe.operators.ingest import STATUS_LOADED, dedup_first, file_outcomes
+from helioframe.operators.rows import with_row_index
+from helioframe.session import discard, ensure_checkpoint_dir, materialize
 from helioframe.sources.measurement_csv import (list_inputs, scan_text,
                                                 small_file_rule, tag_column,
                                                 typed)
-from helioframe.sources.layout import kks_bucket
-from helioframe.sources.sinks import upsert, write_manifest
+from helioframe.sources.sinks import file_rank, upsert, write_manifest
 
 
 @dataclass
 class IngestResult:
-    outcomes: DataFrame      # path, length, rows, bad_rows, status, days
-    batch: DataFrame         # kks, date, time, value as written
+    outcomes: DataFrame      # file_no, path, kks, length, modified, rows, bad_rows, status
 
 
-def file_order():
-    """Order of rows as written: file path, split start, row in split."""
-    return F.struct("path", "block", "rid")
+def numbered(files: DataFrame) -> tuple[DataFrame, str]:
+    """Files with ``file_no``, their place by (modified, path), and where that table lies."""
+    indexed = with_row_index(files, ["modified", "path"], "file_no")
+    return indexed.df, indexed.path
 
 
-def parse_rows(spark: SparkSession, paths: list[str], tag_from: str = "name",
-               kks: str | None = None, formats=PLANT_TIME_FORMATS) -> DataFrame:
-    """Typed rows of the given files with a timestamp, before dedup:
-    ``kks, date, time, value, path, block, rid``."""
+def parse_files(spark: SparkSession, paths: list[str], tag_from: str = "name",
+                kks: str | None = None, formats=PLANT_TIME_FORMATS) -> DataFrame:
+    """Typed rows of the given files, the first non-null value per (file, kks, time):
+    ``path, kks, date, time, value``."""
     rows = typed(scan_text(spark, paths), formats).where("time IS NOT NULL")
-    return rows.select(tag_column("path", tag_from, kks).alias("kks"),
-                       F.to_date("time").alias("date"), "time", "value",
-                       "path", "block", "rid")
+    rows = rows.select("path", tag_column("path", tag_from, kks).alias("kks"), "time", "value",
+                       F.struct("block", "rid").alias("place"))
+    return (dedup_first(rows, ["path", "kks", "time"], "value", "place")
+            .select("path", "kks", F.to_date("time").alias("date"), "time", "value"))
 
 
-def parse_files(spark: SparkSession, paths: list[str], tag_from: str = "name",
-                kks: str | None = None, formats=PLANT_TIME_FORMATS) -> DataFrame:
-    """Typed, deduplicated rows of the given files: ``kks, date, time, value``."""
-    rows = parse_rows(spark, paths, tag_from, kks, formats)
-    dedup = dedup_first(rows, ["kks", "time"], "value", file_order())
-    return dedup.select("kks", F.to_date("time").alias("date"), "time", "value")
+def load_rows(rows: DataFrame, outcomes: DataFrame, raw_table: str) -> None:
+    """Upsert the typed rows of the loaded files. ``rows`` is a written table."""
+    good = outcomes.where(F.col("status") == STATUS_LOADED).select("file_no", "kks")
+    batch = rows.where("time IS NOT NULL").join(good, "file_no")
+    batch = batch.select("kks", F.to_date("time").alias("date"), "time", "value", file_rank().alias("rank"))
+    upsert(batch, raw_table, rank=F.col("rank"), materialize_batch=False)
 
 
 def ingest(spark: SparkSession, root: str, raw_table: str, *,
            list_csv: str | None = None, names: list[str] | None = None,
-           kks: str | None = None, tag_from: str = "name",
+           kks: str | None = None, tag_from: str = "name", recursive: bool | None = None,
            manifest_root: str | None = None, day: _dt.date | None = None,
            formats=PLANT_TIME_FORMATS) -> IngestResult:
+    """Load files of a folder. ``recursive`` defaults to False, or True for tags from folders."""
     ensure_checkpoint_dir(spark)
-    files, _ = materialize(small_file_rule(list_inputs(spark, root, list_csv, names)),
-                           "ingest-files")
-    readable = [r[0] for r in files.where("NOT small").select("path").collect()]
-    parsed = typed(scan_text(spark, readable), formats).select("path", "bad", "time")
-    outcomes, _ = materialize(file_outcomes(files, parsed), "ingest-outcomes")
-    good = [r[0] for r in outcomes.where(F.col("status") == STATUS_LOADED)
-            .select("path").collect()]
-    batch = parse_files(spark, good, tag_from, kks, formats)
-    if good:
-        # Touched (day, bucket) directories from the outcome table (one row per
-        # file), so the CSV files are not parsed again just to find them.
-        parts = [tuple(r) for r in (
-            outcomes.where(F.col("status") == STATUS_LOADED)
-            .select(tag_column("path", tag_from, kks).alias("kks"), F.explode("days").alias("date"))
-            .select("date", kks_bucket("kks").alias("kks_bucket")).distinct().collect())]
-        # Dedup (first non-null in file order) and merge in one aggregate.
-        upsert(parse_rows(spark, good, tag_from, kks, formats), raw_table, order=file_order(),
-               parts=parts)
+    recursive = tag_from == "folder" if recursive is None else recursive
+    files = small_file_rule(list_inputs(spark, root, list_csv, names, recursive))
+    files, files_path = numbered(files.withColumn("kks", tag_column("path", tag_from, kks)))
+    readable = files.where("NOT missing AND NOT small").select("path", "file_no")
+    text = scan_text(spark, root, recursive or bool(list_csv or names)).join(readable, "path")
+    rows, rows_path = materialize(typed(text, formats).select("file_no", "block", "rid", "time", "value", "bad"),
+                                  "ingest-rows")
+    outcomes, _ = materialize(file_outcomes(files, rows.select("file_no", "bad"), "file_no"), "ingest-outcomes")
+    if outcomes.where(F.col("status") == STATUS_LOADED).limit(1).count():
+        load_rows(rows, outcomes, raw_table)
+    for path in (files_path, rows_path):
+        discard(spark, path)
     if manifest_root:
         write_manifest(outcomes.where(F.col("status") == STATUS_LOADED).select("path"),
                        manifest_root, day)
-    return IngestResult(outcomes=outcomes, batch=batch)
+    return IngestResult(outcomes=outcomes)

@@ -5,18 +5,22 @@ day-first timestamp and a number with a decimal comma. The sensor tag is
 the file name without its last four characters (``<tag>.csv``), or the
 ``kks=<tag>`` folder a Spark writer puts it in.
 
-Discovery lists the folder with the ``binaryFile`` source selecting only
-``path`` and ``length`` (file contents are not read).
+Discovery lists the folder with the ``binaryFile`` source without reading
+file contents. The folder itself is scanned and joined with the listing, so
+file names are never used as paths (they may hold glob characters).
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from helioframe.functions.text import basename, decode_path, tag_from_path
 from helioframe.functions.timefns import (PLANT_TIME_FORMATS, is_blank,
-                                          parse_day_first, parse_decimal_comma)
+                                          is_missing, parse_day_first,
+                                          parse_decimal_comma)
 
 # Fixed value: files smaller than this many bytes are skipped unread.
 MIN_FILE_BYTES = 100
@@ -24,12 +28,31 @@ MIN_FILE_BYTES = 100
 TEXT_SCHEMA = "ts_text string, value_text string"
 
 
+def literal(path: str) -> str:
+    """A path in which glob characters stand for themselves."""
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
+
+
+def plain_uri(path):
+    """A decoded path as all sources are made to report it: ``file:/x`` for any number of slashes."""
+    return F.regexp_replace(path, "^file:/+", "file:/")
+
+
 def list_files(spark: SparkSession, root: str, recursive: bool = True) -> DataFrame:
-    """All files under ``root``: ``path`` (plain, not percent-encoded), ``length``."""
-    return (spark.read.format("binaryFile")
-            .option("recursiveFileLookup", str(recursive).lower())
-            .load(root)
-            .select(F.col("path"), F.col("length")))
+    """All files under ``root``: ``path`` (plain, not percent-encoded), ``length``, ``modified``.
+
+    Empty files are listed too: they have no split and so no row in the
+    ``binaryFile`` source, but are among its input files (the listing that
+    Spark holds on the driver for any folder it reads).
+    """
+    source = (spark.read.format("binaryFile")
+              .option("recursiveFileLookup", str(recursive).lower())
+              .option("pathGlobFilter", "*").load(literal(root)))
+    seen = source.select(plain_uri("path").alias("path"), "length", F.col("modificationTime").alias("modified"))
+    every = spark.createDataFrame([(f,) for f in source.inputFiles()], "uri string")
+    every = every.select(plain_uri(decode_path("uri")).alias("path"))
+    return (every.join(seen, "path", "left")
+            .select("path", F.coalesce("length", F.lit(0)).alias("length"), "modified"))
 
 
 def read_file_list(spark: SparkSession, list_csv: str) -> DataFrame:
@@ -37,23 +60,36 @@ def read_file_list(spark: SparkSession, list_csv: str) -> DataFrame:
     return spark.read.schema("file string").option("header", False).csv(list_csv)
 
 
+def _below(spark: SparkSession, path, root: str):
+    """``path`` relative to ``root``, with ``/`` between folders."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    top = re.sub("^file:/+", "file:/", fs.makeQualified(p).toString().rstrip("/") + "/")
+    return F.when(F.startswith(path, F.lit(top)), F.substr(path, F.lit(len(top) + 1)))
+
+
 def list_inputs(spark: SparkSession, root: str, list_csv: str | None = None,
-                names: list[str] | None = None) -> DataFrame:
-    """Input files with their sizes: ``path, name, length``.
+                names: list[str] | None = None, recursive: bool = False) -> DataFrame:
+    """Input files: ``path, name, length, modified, missing``.
 
     Precedence as specified: a list file, else an explicit list of names,
-    else every file of the folder. Names are matched against the folder
-    listing, so each input carries its size.
+    else every file of the folder (with its sub-folders if ``recursive``).
+    Names are relative to the folder; one that is not there has a row with
+    ``missing`` set and no length.
     """
-    listing = list_files(spark, root).withColumn("name", basename("path"))
     if list_csv:
         wanted = read_file_list(spark, list_csv)
     elif names:
         wanted = spark.createDataFrame([(n,) for n in names], "file string")
     else:
-        return listing.select("path", "name", "length")
-    wanted = wanted.select(basename("file").alias("name")).distinct()
-    return listing.join(wanted, "name", "left_semi").select("path", "name", "length")
+        return list_files(spark, root, recursive).select(
+            "path", basename("path").alias("name"), "length", "modified", F.lit(False).alias("missing"))
+    wanted = wanted.select(F.translate("file", "\\", "/").alias("below")).where("below <> ''").distinct()
+    listing = list_files(spark, root, recursive=True)
+    listing = listing.withColumn("below", _below(spark, F.col("path"), root))
+    return (wanted.join(listing, "below", "left")
+            .select(F.coalesce("path", F.concat(F.lit(root.rstrip("/") + "/"), "below")).alias("path"),
+                    basename("below").alias("name"), "length", "modified", F.col("path").isNull().alias("missing")))
 
 
 def small_file_rule(files: DataFrame, min_bytes: int = MIN_FILE_BYTES) -> DataFrame:
@@ -61,22 +97,20 @@ def small_file_rule(files: DataFrame, min_bytes: int = MIN_FILE_BYTES) -> DataFr
     return files.withColumn("small", F.col("length") < F.lit(min_bytes))
 
 
-def scan_text(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """Untyped scan of measurement files with file position columns.
+def scan_text(spark: SparkSession, paths: str | list[str], recursive: bool = False) -> DataFrame:
+    """Untyped scan of measurement files (or of a folder) with file position columns.
 
     Output: ``path`` (decoded), ``block`` (start byte of the split), ``rid``
     (increasing within a split), ``ts_text``, ``value_text``. ``(path,
     block, rid)`` orders the rows of a file as they are written.
     """
-    if not paths:
-        return spark.createDataFrame(
-            [], "path string, block long, rid long, ts_text string, value_text string")
+    paths = [paths] if isinstance(paths, str) else paths
     df = (spark.read.schema(TEXT_SCHEMA)
           .option("sep", ";").option("header", False)
-          .option("mode", "PERMISSIVE")
-          .csv(paths))
+          .option("mode", "PERMISSIVE").option("recursiveFileLookup", str(recursive).lower())
+          .csv([literal(p) for p in paths]))
     return df.select(
-        decode_path(F.col("_metadata.file_path")).alias("path"),
+        plain_uri(decode_path(F.col("_metadata.file_path"))).alias("path"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("rid"),
         "ts_text", "value_text")
@@ -86,7 +120,7 @@ def typed(text: DataFrame, formats=PLANT_TIME_FORMATS) -> DataFrame:
     """Parse text columns: adds ``time`` (timestamp_ntz), ``value`` (double), ``bad``.
 
     ``bad`` marks non-empty text that does not parse; an empty time (row is
-    later dropped) or an empty value (null) is not bad.
+    later dropped) or a missing value (empty or a null token) is not bad.
     """
     t = parse_day_first("ts_text", formats)
     v = parse_decimal_comma("value_text")
@@ -94,7 +128,7 @@ def typed(text: DataFrame, formats=PLANT_TIME_FORMATS) -> DataFrame:
             .withColumn("time", t)
             .withColumn("value", v)
             .withColumn("bad", (~is_blank("ts_text") & F.col("time").isNull())
-                        | (~is_blank("value_text") & F.col("value").isNull())))
+                        | (~is_missing("value_text") & F.col("value").isNull())))
 
 
 def tag_column(path_col: str = "path", tag_from: str = "name",

@@ -3,19 +3,17 @@
 Writing a row whose key already exists replaces it (upsert), so loading the
 same input twice leaves a table unchanged. On plain Parquet this is done as
 
-1. the (date, kks_bucket) directories the batch touches are listed in one
-   driver job (at most days x buckets pairs);
-2. only those directories of the table are read: the pairs become a
-   predicate on the partition columns, which prunes directories exactly;
-3. old and new rows are merged per key in one aggregate (a batch row beats
-   the stored one; within the batch the first non-null value in the
-   batch's order wins, which is also the ingest's dedup), with a map-side
-   partial step and a shuffle on the full key;
-4. the merge replaces those directories with a dynamic partition
-   overwrite. Spark writes the new directories to a job staging area and
-   swaps them in only at job commit, so the job may read the directories it
-   replaces: a task that is lost and retried re-reads the old files, and a
-   job that dies before commit leaves the table as it was.
+1. the (date, kks_bucket) directories the batch touches stay a DataFrame;
+   their distinct days and bucket numbers (bounded by the calendar and the
+   bucket count) prune the table's directories, and a semi-join on the pairs
+   leaves exactly the touched ones;
+2. old and new rows are merged per key in one hash aggregate: the row of the
+   greatest rank wins, and stored rows rank below every batch row;
+3. the merge is written to a staged table beside the target. Only when it is
+   complete (its ``_SUCCESS`` marker is there) are the touched directories
+   replaced from it, and it is deleted after that. A job that dies while
+   replacing leaves the staged table: :func:`recover`, which every upsert
+   runs first, replaces again from it, so no stored row is lost.
 
 ``REBALANCE(date, kks_bucket)`` sends each directory to one task; AQE
 splits a hot one over several tasks (files) and packs small ones. Rows are
@@ -27,19 +25,34 @@ See :mod:`helioframe.sources.layout`.
 from __future__ import annotations
 
 import datetime as _dt
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DecimalType, StructType
 
 from helioframe.session import discard, materialize
-from helioframe.sources.layout import (CLUSTER_COLS, PARTITION_COLS,
-                                       TABLE_SCHEMA, with_bucket)
+from helioframe.sources.layout import (CLUSTER_COLS, KKS_BUCKETS, PARTITION_COLS,
+                                       TABLE_SCHEMA, set_buckets,
+                                       table_buckets, with_bucket)
 
-# Largest number of touched (day, bucket) directories listed as a literal
-# partition filter; above it the day range is used (still exact, as the
-# merge rewrites untouched directories unchanged).
-MAX_PRUNING_PARTS = 200_000
+# Ranks are fixed-width numbers, so that the merge is a hash aggregate.
+RANK = DecimalType(38, 0)
+
+
+def _power(n: int) -> Column:
+    return F.lit(Decimal(10**n)).cast(RANK)
+
+
+def file_rank(file_no: str = "file_no", block: str = "block", rid: str = "rid", value: str = "value") -> Column:
+    """Rank of a row among those of its key: the last file wins (``file_no``
+    orders the files, below 1e12), and within a file the first row with a
+    value, in the order of the lines (start byte of the split, below 1e14,
+    then row id within it, below 1e10)."""
+    in_split = F.col(rid).bitwiseAND(F.lit((1 << 33) - 1)).cast(RANK)
+    place = (F.col(block).cast(RANK) * _power(10) + in_split).cast(RANK)
+    filled = F.when(F.col(value).isNotNull(), _power(25)).otherwise(F.lit(0).cast(RANK))
+    return ((F.col(file_no).cast(RANK) * _power(26)).cast(RANK) + filled + (_power(25) - place).cast(RANK)).cast(RANK)
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
@@ -76,69 +89,87 @@ def _write(df: DataFrame, path: str) -> None:
        .parquet(path))
 
 
+def staged_path(path: str) -> str:
+    return f"{path.rstrip('/')}.staged"
+
+
+def _stage(df: DataFrame, path: str) -> None:
+    (df.hint("rebalance", *PARTITION_COLS)
+       .sortWithinPartitions(*PARTITION_COLS, *CLUSTER_COLS)
+       .write.mode("overwrite").option("partitionOverwriteMode", "static")
+       .partitionBy(*PARTITION_COLS).parquet(staged_path(path)))
+
+
+def recover(spark: SparkSession, path: str) -> bool:
+    """Finish a replacement that was interrupted; True if there was one.
+
+    A staged table that is complete replaces its directories in the table
+    (again, which changes nothing if they were replaced already); one that is
+    not complete is dropped, as the table was not touched yet.
+    """
+    staged = staged_path(path)
+    if not table_exists(spark, staged):
+        return False
+    jvm = spark.sparkContext._jvm
+    marker = jvm.org.apache.hadoop.fs.Path(staged + "/_SUCCESS")
+    complete = marker.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(marker)
+    if complete:
+        (read_partitioned(spark, staged).sortWithinPartitions(*PARTITION_COLS, *CLUSTER_COLS)
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(*PARTITION_COLS).parquet(path))
+    discard(spark, staged)
+    return complete
+
+
 def upsert(batch: DataFrame, path: str, key_cols=("kks", "date", "time"),
-           order: Column | None = None, materialize_batch: bool = False,
-           parts: list[tuple] | None = None) -> None:
+           rank: Column | None = None, materialize_batch: bool = True,
+           buckets: int | None = None) -> None:
     """Latest-wins upsert of ``batch`` (kks, date, time, value) into ``path``.
 
-    Without ``order`` the batch holds one row per key. With ``order`` it may
-    hold several, and the batch value of a key is its first non-null value
-    in ``order`` (null if all are null); deduplication and merge are then
-    one aggregate, so the batch is shuffled once.
+    Without ``rank`` the batch holds one row per key. With ``rank`` (see
+    :func:`file_rank`) it may hold several, and the row of the greatest rank
+    wins; choosing it and merging it with the stored row are one aggregate.
+    ``buckets`` takes effect when the table is first written.
 
     The batch is evaluated twice when the table exists (the touched
-    directories, then the merge); ``materialize_batch`` writes it once to the
-    shared checkpoint folder first, for batches that are costly to recompute
-    and small next to their inputs (e.g. window means). A caller that
-    already knows the touched ``(date, kks_bucket)`` pairs passes ``parts``,
-    and the batch is then evaluated once.
+    directories, then the merge), so it is written once to the shared
+    checkpoint folder; ``materialize_batch=False`` is for batches that are
+    read from such a table already.
     """
     spark = batch.sparkSession
+    recover(spark, path)
     cols = [f.name for f in TABLE_SCHEMA.fields]
     typed = [F.col(f.name).cast(f.dataType) for f in TABLE_SCHEMA.fields if f.name != "kks_bucket"]
-    o = order if order is not None else F.lit(0)
-    batch = with_bucket(batch.select(*typed, o.alias("__o")))
-    if not table_exists(spark, path):
-        _write(_merge(batch.withColumn("__seq", F.lit(1)), key_cols).select(*cols), path)
-        return
-    if materialize_batch and parts is None:
-        batch, tmp = materialize(batch, "upsert-batch")
-    else:
-        materialize_batch = False
-    if parts is None:
-        # One driver job: the (day, bucket) directories the batch touches. Their
-        # number is bounded by days x KKS_BUCKETS, not by the data volume.
-        parts = [tuple(r) for r in batch.select(*PARTITION_COLS).distinct()
-                 .limit(MAX_PRUNING_PARTS + 1).collect()]
-    if not parts:
+    r = (rank if rank is not None else F.lit(0)).cast(RANK)
+    exists = table_exists(spark, path)
+    n = table_buckets(spark, path) if exists else buckets or KKS_BUCKETS
+    batch = with_bucket(batch.select(*typed, r.alias("__r")), n)
+    if not exists:
+        _write(_merge(batch, key_cols).select(*cols), path)
+        set_buckets(spark, path, n)
         return
-    table = read_partitioned(spark, path)
-    if len(parts) <= MAX_PRUNING_PARTS:
-        # A predicate on partition columns only: exact directory pruning.
-        table = table.where(F.struct(*PARTITION_COLS).isin(
-            [F.struct(F.lit(d).alias("date"), F.lit(b).alias("kks_bucket")) for d, b in parts]))
-    else:
-        days = [d for d, _ in parts]
-        table = table.where(F.col("date").between(F.lit(min(days)), F.lit(max(days))))
-    old = table.select(*cols, F.lit(None).cast(batch.schema["__o"].dataType).alias("__o"),
-                       F.lit(0).alias("__seq"))
-    new = batch.select(*cols, "__o", F.lit(1).alias("__seq"))
-    _write(_merge(old.unionByName(new), key_cols).select(*cols), path)
+    tmp = None
     if materialize_batch:
-        discard(spark, tmp)
+        batch, tmp = materialize(batch, "upsert-batch")
+    parts, parts_tmp = materialize(batch.select(*PARTITION_COLS).distinct(), "upsert-parts")
+    # Days and bucket numbers: bounded by the calendar and the bucket count.
+    days, numbers = parts.agg(F.collect_set("date"), F.collect_set("kks_bucket")).first()
+    if numbers:
+        old = (read_partitioned(spark, path)
+               .where(F.col("date").isin(days) & F.col("kks_bucket").isin(numbers))
+               .join(parts, list(PARTITION_COLS), "left_semi"))
+        old = old.select(*cols, F.lit(-1).cast(RANK).alias("__r"))
+        _stage(_merge(old.unionByName(batch.select(*cols, "__r")), key_cols).select(*cols), path)
+        recover(spark, path)
+    for t in (tmp, parts_tmp):
+        if t:
+            discard(spark, t)
 
 
 def _merge(rows: DataFrame, key_cols) -> DataFrame:
-    """One row per key: a batch row (seq 1) beats the stored one (seq 0);
-    among batch rows the first non-null value in ``__o`` wins."""
-    is_new = F.col("__seq") == 1
-    new_val = F.min_by("value", F.when(is_new & F.col("value").isNotNull(), F.col("__o")))
-    old_val = F.max_by("value", F.when(~is_new, F.lit(1)))
-    return (rows.groupBy(*key_cols)
-            .agg(F.max("__seq").alias("__has_new"), new_val.alias("__nv"),
-                 old_val.alias("__ov"), F.first("kks_bucket").alias("kks_bucket"))
-            .withColumn("value", F.when(F.col("__has_new") == 1, F.col("__nv"))
-                        .otherwise(F.col("__ov"))))
+    """One row per key: the one of the greatest ``__r`` (its value may be null)."""
+    return rows.groupBy(*key_cols).agg(F.max_by("value", "__r").alias("value"),
+                                       F.max("kks_bucket").alias("kks_bucket"))
 
 
 def write_manifest(loaded_paths: DataFrame, root: str, day: _dt.date | None = None) -> str:

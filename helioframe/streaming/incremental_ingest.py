@@ -7,11 +7,12 @@ processed once, and a restarted query continues where it stopped.
 
 Each micro-batch (``foreachBatch``) applies the batch ingest rules to the
 files it received: files below the size limit are skipped, a file with any
-unparsable row is rejected whole, rows are deduplicated (first non-null per
-(kks, time) in file order) and upserted into the raw table, and one
-manifest row per file is appended. ``maxFilesPerTrigger`` bounds the files
-(and so the per-file status table) of one micro-batch; the upsert is
-latest-wins, so a retried batch leaves the same table.
+unparsable row is rejected whole, and rows are merged with the rank of the
+batch ingest (first non-null within a file, last file between files). The
+source hands files out by modification time, so ``maxFilesPerTrigger`` does
+not change the table, only how much one micro-batch holds. Manifest rows are
+written to the micro-batch's own partition, so a replayed batch replaces
+them, and the upsert of a replayed batch leaves the same table.
 """
 
 from __future__ import annotations
@@ -22,17 +23,16 @@ from pyspark.sql.streaming import StreamingQuery
 
 from helioframe.functions.text import decode_path
 from helioframe.functions.timefns import PLANT_TIME_FORMATS
-from helioframe.operators.ingest import (STATUS_LOADED, STATUS_REJECTED,
-                                         STATUS_SMALL)
+from helioframe.operators.ingest import STATUS_LOADED, file_outcomes
+from helioframe.plans.ingest_job import load_rows, numbered
+from helioframe.session import discard, materialize
 from helioframe.sources.measurement_csv import (MIN_FILE_BYTES, TEXT_SCHEMA,
-                                                tag_column, typed)
-from helioframe.sources.sinks import upsert
-
-STATUS_SCHEMA = "path string, length long, rows long, bad_rows long, status string, batch long"
+                                                small_file_rule, tag_column,
+                                                typed)
 
 
 def measurement_stream(spark: SparkSession, source_dir: str, max_files: int = 1000) -> DataFrame:
-    """Streaming scan of the measurement files with file path, size and position."""
+    """Streaming scan of the measurement files with file path, size, time and position."""
     raw = (spark.readStream.schema(TEXT_SCHEMA)
            .option("sep", ";").option("header", False)
            .option("maxFilesPerTrigger", max_files)
@@ -41,6 +41,7 @@ def measurement_stream(spark: SparkSession, source_dir: str, max_files: int = 10
     return raw.select(
         decode_path(F.col("_metadata.file_path")).alias("path"),
         F.col("_metadata.file_size").alias("length"),
+        F.col("_metadata.file_modification_time").alias("modified"),
         F.col("_metadata.file_block_start").alias("block"),
         "ts_text", "value_text")
 
@@ -48,34 +49,23 @@ def measurement_stream(spark: SparkSession, source_dir: str, max_files: int = 10
 def _process_batch(raw_table: str, manifest_dir: str | None, tag_from: str, kks: str | None,
                    formats, min_bytes: int):
     def run(batch: DataFrame, epoch: int) -> None:
+        spark = batch.sparkSession
         rows = typed(batch.withColumn("rid", F.monotonically_increasing_id()), formats)
-        rows = rows.persist()
-        try:
-            status = rows.groupBy("path").agg(
-                F.max("length").alias("length"),
-                F.count(F.lit(1)).alias("rows"),
-                F.count_if("bad").alias("bad_rows"))
-            status = status.select(
-                "path", "length", "rows", "bad_rows",
-                F.when(F.col("length") < min_bytes, F.lit(STATUS_SMALL))
-                 .when(F.col("bad_rows") > 0, F.lit(STATUS_REJECTED))
-                 .otherwise(F.lit(STATUS_LOADED)).alias("status"),
-                F.lit(epoch).cast("long").alias("batch")).persist()
-            # One row per file of this micro-batch (bounded by maxFilesPerTrigger).
-            good = status.where(F.col("status") == STATUS_LOADED).select("path")
-            clean = (rows.join(F.broadcast(good), "path", "left_semi")
-                     .where("time IS NOT NULL")
-                     .withColumn("kks", tag_column("path", tag_from, kks)))
-            out = clean.select("kks", F.to_date("time").alias("date"), "time", "value",
-                               F.struct("path", "block", "rid").alias("__order"))
-            if good.limit(1).count():
-                # First non-null per (kks, time) in file order, merged in one aggregate.
-                upsert(out, raw_table, order=F.col("__order"))
-            if manifest_dir:
-                status.write.mode("append").parquet(manifest_dir)
-            status.unpersist()
-        finally:
-            rows.unpersist()
+        rows, rows_path = materialize(rows.drop("ts_text", "value_text"), "stream-rows")
+        files = rows.groupBy("path").agg(F.max("length").alias("length"), F.max("modified").alias("modified"))
+        files, files_path = numbered(small_file_rule(files, min_bytes)
+                                     .withColumn("kks", tag_column("path", tag_from, kks)))
+        by_file = rows.join(files.select("path", "file_no"), "path")
+        status, status_path = materialize(file_outcomes(files, by_file.select("file_no", "bad"), "file_no"),
+                                          "stream-outcomes")
+        if status.where(F.col("status") == STATUS_LOADED).limit(1).count():
+            load_rows(by_file.select("file_no", "block", "rid", "time", "value"), status, raw_table)
+        if manifest_dir:
+            (status.select("path", "length", "rows", "bad_rows", "status", F.lit(epoch).cast("long").alias("batch"))
+             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy("batch").parquet(manifest_dir))
+        for path in (rows_path, files_path, status_path):
+            discard(spark, path)
     return run
 
 

@@ -61,6 +61,44 @@ def test_bad_file_rejected_small_file_skipped(spark, workdir):
     assert summary == {"loaded": 2, "rejected": 1, "skipped_small": 1, "offered": 4}
 
 
+def test_null_tokens_are_missing_values(spark, workdir):
+    body = "26/03/2017 01:02:03;NaN\n26/03/2017 01:02:03;7,25\n26/03/2017 01:02:04;NA\n26/03/2017 01:02:05;#N/A\n" + PAD
+    write_files(workdir + "/in", {"tagA.csv": body})
+    res = ingest(spark, workdir + "/in", workdir + "/raw")
+    assert res.outcomes.first().status == "loaded"
+    got = {r.time.second: r.value for r in read_partitioned(spark, workdir + "/raw").where("value is null or value > 0").collect()}
+    assert got == {3: 7.25, 4: None, 5: None}
+
+
+def test_every_offered_file_has_an_outcome(spark, workdir):
+    write_files(workdir + "/in", {"a[1].csv": "26/03/2017 01:02:03;1" + PAD, "empty.csv": "", "b?.csv": "26/03/2017 01:02:03;2" + PAD,
+                                  "sub/c.csv": "26/03/2017 01:02:03;3" + PAD, "sub/a[1].csv": "26/03/2017 01:02:03;4" + PAD})
+    res = ingest(spark, workdir + "/in", workdir + "/raw")
+    assert {os.path.basename(r.path): r.status for r in res.outcomes.collect()} == {
+        "a[1].csv": "loaded", "b?.csv": "loaded", "empty.csv": "skipped_small"}
+    res = ingest(spark, workdir + "/in", workdir + "/raw2", names=["a[1].csv", "sub\\c.csv", "gone.csv"])
+    got = {r.path.split("/in/")[1]: (r.status, r.length is None) for r in res.outcomes.collect()}
+    assert got == {"a[1].csv": ("loaded", False), "sub/c.csv": ("loaded", False), "gone.csv": ("missing", True)}
+    assert {r.kks for r in read_partitioned(spark, workdir + "/raw2").select("kks").distinct().collect()} == {"a[1]", "c"}
+    summary = {r.status: r.files for r in load_summary(res.outcomes).collect()}
+    assert summary == {"loaded": 2, "missing": 1, "offered": 3}
+
+
+def test_last_file_wins_by_time_then_path(spark, workdir):
+    write_files(workdir + "/in", {"x.csv": "26/03/2017 01:02:03;1\n26/03/2017 01:02:04;1" + PAD,
+                                  "a.csv": "26/03/2017 01:02:03;\n26/03/2017 01:02:04;2" + PAD,
+                                  "b.csv": "26/03/2017 01:02:03;3" + PAD})
+    for name, when in (("x.csv", 1000), ("b.csv", 2000), ("a.csv", 3000)):
+        os.utime(f"{workdir}/in/{name}", (when, when))
+    ingest(spark, workdir + "/in", workdir + "/raw", kks="T")
+    got = {r.time.second: r.value for r in read_partitioned(spark, workdir + "/raw").where("second(time) > 0").collect()}
+    assert got == {3: None, 4: 2.0}                # the last file's null replaces, too
+    os.utime(f"{workdir}/in/b.csv", (3000, 3000))  # equal times: by path
+    ingest(spark, workdir + "/in", workdir + "/raw2", kks="T")
+    got = {r.time.second: r.value for r in read_partitioned(spark, workdir + "/raw2").where("second(time) > 0").collect()}
+    assert got == {3: 3.0, 4: 2.0}
+
+
 def test_tag_with_hash_and_space(spark, workdir):
     write_files(workdir + "/in", {"11CXA01 x#Value.csv": "26/03/2017 01:02:03;1,5" + PAD})
     ingest(spark, workdir + "/in", workdir + "/raw")
@@ -132,3 +170,40 @@ def test_upsert_keeps_rows_the_batch_does_not_touch(spark, workdir):
     vals = {r.time.second: r.value for r in read_partitioned(spark, workdir + "/t").collect()}
     assert len(vals) == 60
     assert vals[5] == 5.0 and vals[25] == 125.0 and vals[55] == 155.0
+
+
+def _wide(spark, days, off, tags=3):
+    return (spark.range(days).crossJoin(spark.range(tags).withColumnRenamed("id", "t"))
+            .selectExpr("concat('tag', t) as kks", "date_add(date'2017-01-01', cast(id as int)) as date",
+                        "cast(date_add(date'2017-01-01', cast(id as int)) as timestamp_ntz) as time", f"cast(id + {off} as double) as value"))
+
+
+def test_upsert_over_many_days_loses_nothing(spark, workdir):
+    from helioframe.sources.sinks import upsert
+    upsert(_wide(spark, 40, 0), workdir + "/t", buckets=4)
+    upsert(_wide(spark, 40, 1000, tags=1).where("day(date) % 2 = 0"), workdir + "/t")
+    rows = read_partitioned(spark, workdir + "/t").collect()
+    assert len(rows) == 120 and len({(r.kks, r.date) for r in rows}) == 120
+    assert all((r.value >= 1000) == (r.kks == "tag0" and r.date.day % 2 == 0) for r in rows)
+    assert {r.kks_bucket for r in rows} <= set(range(4))
+    assert not os.path.exists(workdir + "/t.staged")
+
+
+def test_interrupted_replacement_is_finished_by_the_next_upsert(spark, workdir):
+    import shutil
+
+    from helioframe.sources import sinks
+    sinks.upsert(_wide(spark, 6, 0), workdir + "/t", buckets=2)
+    before = _rows(read_partitioned(spark, workdir + "/t"))
+    # A driver that died while replacing: the merge is staged, some old folders are gone already.
+    sinks._stage(read_partitioned(spark, workdir + "/t").where("day(date) <= 3"), workdir + "/t")
+    for day in (1, 2):
+        shutil.rmtree(f"{workdir}/t/date=2017-01-0{day}")
+    assert read_partitioned(spark, workdir + "/t").count() < len(before)
+    sinks.upsert(_wide(spark, 1, 0, tags=1), workdir + "/t")
+    assert _rows(read_partitioned(spark, workdir + "/t")) == before
+    # One that died while staging: the table was not touched.
+    sinks._stage(_wide(spark, 6, 500).selectExpr("*", "0 as kks_bucket"), workdir + "/t")
+    os.remove(workdir + "/t.staged/_SUCCESS")
+    assert sinks.recover(spark, workdir + "/t") is False
+    assert _rows(read_partitioned(spark, workdir + "/t")) == before

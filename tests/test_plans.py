@@ -8,7 +8,7 @@ from helioframe.operators.ingest import dedup_first, files_to_load
 from helioframe.operators.tagmeta import tag_overlap
 from helioframe.operators.windowing import window_mean
 from helioframe.sources.layout import TABLE_SCHEMA, with_bucket
-from helioframe.sources.sinks import _merge
+from helioframe.sources.sinks import _merge, file_rank
 
 SF = "/root/testdata/sf0.01"
 
@@ -39,11 +39,19 @@ def test_scan_prunes_columns_and_pushes_filters(spark):
 def test_dedup_and_upsert_merge_aggregate_map_side(spark):
     raw = _raw(spark)
     assert "partial_min_by" in plan(dedup_first(raw, ["user_id", "date"], "value", "event_id"))
-    rows = with_bucket(raw.select("kks", "date", "time", "value")) \
-        .withColumn("__o", F.col("time")).withColumn("__seq", F.lit(1))
-    p = plan(_merge(rows, ("kks", "date", "time")))
-    assert "partial_min_by" in p and "partial_max_by" in p
-    assert "SinglePartition" not in p
+    rows = raw.select(F.lit(1).alias("file_no"), F.col("user_id").cast("long").alias("block"),
+                      F.col("event_id").cast("long").alias("rid"), "kks", "date", "time", "value")
+    ranked = with_bucket(rows).withColumn("__r", file_rank())
+    p = plan(_merge(ranked, ("kks", "date", "time")))
+    assert "partial_max_by" in p and "SinglePartition" not in p
+    assert "SortAggregate" not in p and "ObjectHashAggregate" not in p and p.count("HashAggregate") == 2
+
+
+def test_file_rank_orders_files_then_values_then_lines(spark):
+    rows = [(1, 0, 0, 5.0), (1, 10**13, 2**33 - 1, 6.0), (1, 0, 1, None), (10**11, 7, 0, None), (10**11, 10**13, 0, 2.0), (10**11, 10**13, 1, 3.0)]
+    df = spark.createDataFrame(rows, "file_no long, block long, rid long, value double").withColumn("r", file_rank())
+    assert [tuple(r)[:4] for r in df.orderBy(F.col("r").desc()).collect()] == [rows[4], rows[5], rows[3], rows[0], rows[1], rows[2]]
+    assert df.where("r is null").count() == 0
 
 
 def test_reconciliation_and_anti_join_dedup_first(spark):
