@@ -22,7 +22,7 @@ def _lyndon_groups(symbols: list[int]) -> tuple[list[int], list[int]]:
     """For each suffix, where its group begins in the suffix array, and its previous smaller suffix (-1: none)."""
     n = len(symbols)
     order = sorted(range(n), key=symbols.__getitem__)
-    place, group, size = [0] * n, [0] * n, {}
+    place, group, size = [0] * n, [0] * n, [0] * n
     begin = 0
     for k, i in enumerate(order):
         place[i] = k
@@ -33,11 +33,29 @@ def _lyndon_groups(symbols: list[int]) -> tuple[list[int], list[int]]:
     parent, done = [-1] * n, bytearray(n)
     end = n
     while end:
-        begin = group[order[end - 1]]
-        members = order[begin:end]
+        i = order[end - 1]
+        begin = group[i]
+        if begin == end - 1:  # a group of one: its parent alone moves to the back
+            end = begin
+            done[i] = 1
+            p = i - 1
+            while p >= 0 and done[p]:
+                p = parent[p]
+            parent[i] = p
+            if p >= 0:
+                g = group[p]
+                last = size[g] - 1
+                if last:
+                    size[g] = last
+                    last += g
+                    size[last] = 1
+                    k, other = place[p], order[last]
+                    order[last], order[k] = p, other
+                    place[p], place[other] = last, k
+                    group[p] = last
+            continue
+        members = sorted(order[begin:end])
         end = begin
-        if len(members) > 1:
-            members.sort()
         for i in members:
             done[i] = 1
         hits: dict[int, int] = {}
@@ -75,13 +93,13 @@ def _lyndon_groups(symbols: list[int]) -> tuple[list[int], list[int]]:
 
 def _emitted(group: list[int], parent: list[int]) -> list[int]:
     n = len(group)
-    out, free, placed = [0] * n, {}, bytearray(n)
+    out, free, placed = [0] * n, list(range(n)), bytearray(n)
     i, k = n, 0
     while True:
         p = i - 1
         while p >= 0 and not placed[p]:
             g = group[p]
-            at = free.get(g, g)
+            at = free[g]
             out[at] = p
             free[g] = at + 1
             placed[p] = 1

@@ -44,14 +44,15 @@ LENGTH = 200
 GRAM = 32
 #: Segments of more windows are cut; their parts still share the minimizer.
 MOST_WINDOWS = 512
-#: Kinds of segments of one minimizer that a task sorts together; beyond, windows are counted by hash.
-MOST_KINDS = 1000
+#: Kinds of segments of one minimizer that a task sorts together (some 3 MB of text, 200 MB of memory);
+#: beyond, windows are counted by hash.
+MOST_KINDS = 8192
 #: Bytes whose suffixes are sorted at once (single minimizers may need more).
 SORTED_BYTES = 1 << 18
 #: Longest word for the suffix array over words; with a longer one, each byte is a word.
 LONGEST_WORD = 64
 #: Bytes of text that a worker cuts into segments at once.
-GROUP_BYTES = 1 << 19
+GROUP_BYTES = 1 << 17
 
 # A word ends at white space, a stop or a comma, or one of a few common letters' bytes.
 _ENDS = np.zeros(256, bool)
@@ -63,33 +64,53 @@ def text_ref(text):
     return F.xxhash64(text)
 
 
-def segments(texts: list[bytes], length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Runs of windows that share their minimizer: (text number, first window, number of windows, minimizer)."""
-    raw = np.frombuffer(b"".join(texts), np.uint8)
-    size = np.array([len(t) for t in texts], np.int64)
-    if len(raw) < length:
-        return (np.empty(0, np.int64),) * 3 + (np.empty(0, np.int64),)
-    least = sliding_minimum(_grams(raw, gram), length - gram + 1)
-    first = np.cumsum(size) - size
-    windows = np.maximum(size - length + 1, 0)
-    owner = np.repeat(np.arange(len(texts)), windows)
-    place = np.arange(len(owner)) - np.repeat(np.cumsum(windows) - windows, windows)
-    value = least[place + first[owner]]
-    if not len(value):
-        return (np.empty(0, np.int64),) * 3 + (np.empty(0, np.int64),)
-    new = np.concatenate([[True], (value[1:] != value[:-1]) | (owner[1:] != owner[:-1])])
-    starts = np.flatnonzero(new)
-    runs = np.diff(np.append(starts, len(value)))
-    if runs.max() > MOST_WINDOWS:
-        within = np.arange(len(value)) - np.repeat(starts, runs)
-        starts = np.flatnonzero(within % MOST_WINDOWS == 0)
-        runs = np.diff(np.append(starts, len(value)))
-    return owner[starts], place[starts], runs, value[starts].view(np.int64)
-
-
-def _grams(raw: np.ndarray, gram: int) -> np.ndarray:
-    h = gram_hashes(raw, gram)
-    return (h ^ (h >> np.uint64(23))) * np.uint64(0x9E3779B97F4A7C15)
+class Minimizers:
+    """Segments of texts laid end to end: runs of windows that share their minimizer."""
+
+    def __init__(self, texts: list[bytes], length: int = LENGTH, gram: int = GRAM):
+        raw = np.frombuffer(b"".join(texts), np.uint8)
+        size = np.array([len(t) for t in texts], np.int64)
+        self.reach = length - gram + 1
+        self.ends = np.cumsum(size)
+        self.grams = self.least = np.empty(0, np.uint64)
+        #: Text of each segment, its first window there, its number of windows, its minimizer.
+        self.owner = self.start = self.windows = np.empty(0, np.int64)
+        self.value = np.empty(0, np.int64)
+        if len(raw) < length:
+            return
+        self.grams = gram_hashes(raw, gram)
+        self.least = least = sliding_minimum(self.grams, self.reach)
+        # Runs of equal minima, cut where a text begins and where its last window ends.
+        first = self.ends - size
+        windows = np.maximum(size - length + 1, 0)
+        cut = np.concatenate([first, first + windows])
+        new = np.empty(len(least) + 1, bool)
+        new[0] = new[-1] = True
+        np.not_equal(least[1:], least[:-1], out=new[1:-1])
+        new[cut[cut <= len(least)]] = True
+        edges = np.flatnonzero(new)
+        start, count = edges[:-1], np.diff(edges)
+        owner = np.searchsorted(self.ends, start, "right")
+        real = start < (first + windows)[np.minimum(owner, len(texts) - 1)]
+        start, count, owner = start[real], count[real], owner[real]
+        if len(count) and count.max() > MOST_WINDOWS:
+            parts = -(-count // MOST_WINDOWS)
+            k = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)
+            start, owner = np.repeat(start, parts) + k * MOST_WINDOWS, np.repeat(owner, parts)
+            count = np.minimum(np.repeat(count, parts) - k * MOST_WINDOWS, MOST_WINDOWS)
+        self.owner, self.start, self.windows = owner, start - first[owner], count
+        self.value = least[start].view(np.int64)
+
+    def inner(self) -> tuple[np.ndarray, np.ndarray]:
+        """(text, minimizer) where one segment may hold its minimizer twice, as in a short period."""
+        if not len(self.least):
+            return np.empty(0, np.int64), np.empty(0, np.int64)
+        # A gram is the minimizer of some window if it equals the greatest of the minima around it.
+        around = np.zeros(len(self.least) + 2 * (self.reach - 1), np.uint64)
+        around[self.reach - 1:self.reach - 1 + len(self.least)] = self.least
+        at = np.flatnonzero(self.grams == ~sliding_minimum(~around, self.reach))
+        twice = at[:-1][(self.grams[at[1:]] == self.grams[at[:-1]]) & (at[1:] - at[:-1] <= self.reach)]
+        return np.searchsorted(self.ends, twice, "right"), self.grams[twice].view(np.int64)
 
 
 def repeated_windows(parts: list[bytes], length: int = LENGTH) -> list[np.ndarray]:
@@ -151,23 +172,6 @@ def runs_of(flags: np.ndarray) -> tuple[list[int], list[int]]:
     return edges[::2].tolist(), (edges[1::2] - edges[::2]).tolist()
 
 
-def inner_repeats(texts: list[bytes], length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray]:
-    """(text number, minimizer) where one segment may hold its minimizer twice, as in a short period."""
-    raw = np.frombuffer(b"".join(texts), np.uint8)
-    reach = length - gram + 1
-    if len(raw) < length:
-        return np.empty(0, np.int64), np.empty(0, np.int64)
-    grams = _grams(raw, gram)
-    least = sliding_minimum(grams, reach)
-    # A gram is the minimizer of some window if it equals the greatest of the minima around it.
-    around = np.zeros(len(least) + 2 * (reach - 1), np.uint64)
-    around[reach - 1:reach - 1 + len(least)] = least
-    at = np.flatnonzero(grams == ~sliding_minimum(~around, reach))
-    twice = np.flatnonzero((grams[at[1:]] == grams[at[:-1]]) & (at[1:] - at[:-1] <= reach))
-    owner = np.searchsorted(np.cumsum([len(t) for t in texts]), at[twice], "right")
-    return owner, grams[at[twice]].view(np.int64)
-
-
 def _minimizers(texts: DataFrame, length: int) -> DataFrame:
     """``(mh, ref)`` of every segment, and once more if the segment may repeat windows itself."""
 
@@ -175,9 +179,9 @@ def _minimizers(texts: DataFrame, length: int) -> DataFrame:
         for batch in batches:
             rows = [(r, t.encode("utf-8", "surrogatepass")) for r, t in zip(batch.column("ref").to_pylist(), batch.column("text").to_pylist(), strict=True)]
             for group in grouped(rows, GROUP_BYTES, lambda r: len(r[1])):
-                owner, _, _, value = segments([t for _, t in group], length)
-                more, again = inner_repeats([t for _, t in group], length)
-                owner, value = np.concatenate([owner, more]), np.concatenate([value, again])
+                found = Minimizers([t for _, t in group], length)
+                more, again = found.inner()
+                owner, value = np.concatenate([found.owner, more]), np.concatenate([found.value, again])
                 refs = np.array([r for r, _ in group], np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array(value), pa.array(refs[owner])], names=["mh", "ref"])
 
@@ -193,10 +197,10 @@ def _kinds(candidates: DataFrame, length: int) -> DataFrame:
             cols = (batch.column(c).to_pylist() for c in ("ref", "text", "copies", "mhs"))
             for ref, text, copies, mhs in zip(*cols, strict=True):
                 raw = text.encode("utf-8", "surrogatepass")
-                _, start, runs, value = segments([raw], length)
-                keep = np.isin(value, np.array(mhs, np.int64))
-                start, runs, value = start[keep], runs[keep], value[keep]
-                grams = _grams(np.frombuffer(raw, np.uint8), GRAM).view(np.int64)
+                found = Minimizers([raw], length)
+                keep = np.isin(found.value, np.array(mhs, np.int64))
+                start, runs, value = found.start[keep], found.windows[keep], found.value[keep]
+                grams = found.grams.view(np.int64)
                 hashes = [xxhash.xxh3_64_intdigest(raw[a:a + n - 1 + length]) for a, n in zip(start.tolist(), runs.tolist(), strict=True)]
                 inner = [int(np.count_nonzero(grams[a:a + n + length - GRAM] == v)) > 1
                          for a, n, v in zip(start.tolist(), runs.tolist(), value.tolist(), strict=True)]
@@ -283,11 +287,14 @@ def repeated_runs(docs: DataFrame, length: int = LENGTH) -> tuple[DataFrame, Dat
     scratch = Scratch(spark)
     texts = docs.where(F.octet_length("text") >= length).select(text_ref("text").alias("ref"), "text")
 
-    marks = _minimizers(texts, length)
-    again = marks.groupBy("mh").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("mh")
+    marks = scratch.keep(_minimizers(texts, length), "minimizers")
+    # Written, so that the join's both sides are shuffled for it and a very common minimizer can be split.
+    again = scratch.keep(marks.groupBy("mh").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("mh"), "again")
     wanted = marks.join(again, "mh").groupBy("ref").agg(F.collect_set("mh").alias("mhs"))
     once = texts.groupBy("ref").agg(F.first("text").alias("text"), F.count(F.lit(1)).alias("copies"))
     candidates = scratch.keep(once.join(wanted, "ref"), "candidates")
+    scratch.drop(marks)
+    scratch.drop(again)
 
     each = scratch.keep(_kinds(candidates, length), "segments")
     kinds = scratch.keep(each.groupBy("mh", "sh").agg(

@@ -55,8 +55,9 @@ def gram_hashes(codes: np.ndarray, k: int) -> np.ndarray:
         if left:
             part = part[:len(part) - size] * np.uint64(power) + part[size:]
             size, power = 2 * size, power * power & (1 << 64) - 1
-    out = (out ^ (out >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
-    out = (out ^ (out >> np.uint64(29))) * np.uint64(0x94D049BB133111EB)
+    for shift, factor in ((31, 0xBF58476D1CE4E5B9), (29, 0x94D049BB133111EB)):
+        out = out ^ (out >> np.uint64(shift))
+        out *= np.uint64(factor)
     return out >> np.uint64(16)
 
 
