@@ -4,20 +4,21 @@ Each round fits a depth-limited ``DecisionTreeRegressor`` on the current
 sample weights (``weightCol``; weighted fitting instead of weighted
 resampling, so a run is deterministic), then one aggregation pass gives
 the largest absolute error and the weighted mean linear loss, from which
-the tree weight and the new sample weights follow. The rows with their
-weights are written as a table in the shared checkpoint folder every round
-(the previous round's table is then dropped), so the plan does not grow
-with the number of rounds and a lost executor recomputes one round.
-
-Prediction is the weighted median of the tree predictions, computed per
-row with array functions (sort the (prediction, weight) pairs, take the
-first whose running weight reaches half the total).
+the tree weight and the new sample weights follow. The weights are an
+expression over the trees since the last cut; every ``CUT`` rounds the rows
+are written with their weights to the shared checkpoint folder (and the
+table before is dropped), so the plan stays short and a lost executor
+recomputes a few rounds.
+
+Prediction is the weighted median of the tree predictions; all trees are
+evaluated in one vectorised pass.
 """
 
 from __future__ import annotations
 
 import math
 
+import numpy as np
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model
 from pyspark.ml.param import Param, Params, TypeConverters
@@ -27,8 +28,13 @@ from pyspark.ml.regression import DecisionTreeRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from helioframe.models.persist import StoredModel
+from helioframe.models.trees import Tree, ensemble
 from helioframe.session import discard, ensure_checkpoint_dir, materialize
 
+# Rounds between two writes of the weights.
+CUT = 10
+
 
 class _AdaParams(HasFeaturesCol, HasLabelCol, HasPredictionCol, HasSeed):
     nEstimators = Param(Params._dummy(), "nEstimators", "maximum number of trees",
@@ -36,17 +42,18 @@ class _AdaParams(HasFeaturesCol, HasLabelCol, HasPredictionCol, HasSeed):
     learningRate = Param(Params._dummy(), "learningRate", "shrinkage of each tree weight",
                          TypeConverters.toFloat)
     maxDepth = Param(Params._dummy(), "maxDepth", "depth of each tree", TypeConverters.toInt)
+    maxBins = Param(Params._dummy(), "maxBins", "split candidates per feature", TypeConverters.toInt)
 
     def __init__(self):
         super().__init__()
-        self._setDefault(nEstimators=50, learningRate=1.0, maxDepth=3, seed=0,
+        self._setDefault(nEstimators=50, learningRate=1.0, maxDepth=3, maxBins=32, seed=0,
                          featuresCol="features", labelCol="label", predictionCol="prediction")
 
 
 class AdaBoostR2(Estimator, _AdaParams):
     @keyword_only
     def __init__(self, *, featuresCol="features", labelCol="label", predictionCol="prediction",
-                 nEstimators=50, learningRate=1.0, maxDepth=3, seed=0):
+                 nEstimators=50, learningRate=1.0, maxDepth=3, maxBins=32, seed=0):
         super().__init__()
         self._set(**self._input_kwargs)
 
@@ -64,7 +71,7 @@ class AdaBoostR2(Estimator, _AdaParams):
         trees, alphas = [], []
         for t in range(n_est):
             tree = DecisionTreeRegressor(featuresCol="__x", labelCol="__y", weightCol="__w",
-                                         maxDepth=depth, seed=seed + t,
+                                         maxDepth=depth, maxBins=self.getOrDefault(self.maxBins), seed=seed + t,
                                          predictionCol="__p").fit(data)
             pred = tree.transform(data).withColumn("__e", F.abs(F.col("__y") - F.col("__p")))
             # One pass: L = e / max(e), so sum(w * L) = sum(w * e) / max(e).
@@ -88,39 +95,37 @@ class AdaBoostR2(Estimator, _AdaParams):
             if t == n_est - 1:
                 break
             upd = F.col("__w") / F.lit(sw) * F.pow(F.lit(beta), (F.lit(1.0) - F.col("__l")) * lr)
-            data, new_path = materialize(pred.select("__x", "__y", upd.alias("__w")), "ada-round")
-            discard(spark, path)      # the previous round's weights are no longer read
-            path = new_path
+            data = pred.select("__x", "__y", upd.alias("__w"))
+            if (t + 1) % CUT == 0:
+                data, new_path = materialize(data, "ada-round")
+                discard(spark, path)      # the weights before are no longer read
+                path = new_path
         discard(spark, path)
-        model = AdaBoostR2Model(trees=trees, alphas=alphas)
+        model = AdaBoostR2Model(trees=[Tree.of(t) for t in trees], alphas=alphas)
         return self._copyValues(model)
 
 
-class AdaBoostR2Model(Model, _AdaParams):
-    def __init__(self, trees=None, alphas=None):
+class AdaBoostR2Model(Model, _AdaParams, StoredModel):
+    def __init__(self, trees: list[Tree] | None = None, alphas=None):
         super().__init__()
         self.trees = list(trees or [])
         self.alphas = [float(a) for a in (alphas or [])]
 
+    def state(self) -> dict:
+        return {"trees": [t.state() for t in self.trees], "alphas": self.alphas}
+
+    @classmethod
+    def restored(cls, state: dict, parts: list) -> "AdaBoostR2Model":
+        return cls([Tree(*t) for t in state["trees"]], state["alphas"])
+
     def _transform(self, dataset: DataFrame) -> DataFrame:
-        fc = self.getFeaturesCol()
-        cols = dataset.columns
-        df = dataset
-        names = []
-        for i, tree in enumerate(self.trees):
-            name = f"__t{i}"
-            tree = tree.copy().setFeaturesCol(fc).setPredictionCol(name)
-            df = tree.transform(df)
-            names.append(name)
-        pairs = F.arrays_zip(F.array(*[F.col(c) for c in names]).alias("p"),
-                             F.array(*[F.lit(a) for a in self.alphas]).alias("a"))
-        total = sum(self.alphas)
-        ordered = F.array_sort(pairs)
-        init = F.struct(F.lit(0.0).alias("s"), F.lit(None).cast("double").alias("v"))
-        median = F.aggregate(
-            ordered, init,
-            lambda acc, x: F.struct(
-                (acc["s"] + x["a"]).alias("s"),
-                F.when(acc["v"].isNull() & ((acc["s"] + x["a"]) >= F.lit(0.5 * total)), x["p"])
-                 .otherwise(acc["v"]).alias("v")))["v"]
-        return df.select(*cols, median.alias(self.getPredictionCol()))
+        trees, alphas = self.trees, np.array(self.alphas)
+
+        def median(x):
+            # The first prediction, in ascending order, whose running weight reaches half of all.
+            p = np.stack([t.predict(x) for t in trees], axis=1)
+            order = np.argsort(p, axis=1, kind="stable")
+            reached = np.cumsum(alphas[order], axis=1) >= 0.5 * alphas.sum() * (1 - 1e-12)
+            return np.take_along_axis(p, np.take_along_axis(order, reached.argmax(axis=1)[:, None], axis=1), axis=1)[:, 0]
+
+        return dataset.select(*dataset.columns, ensemble(self.getFeaturesCol(), median).alias(self.getPredictionCol()))

@@ -6,10 +6,11 @@ feature subsets.
   split, so it is delegated to ``RandomForestRegressor(featureSubsetStrategy
   ='all', subsamplingRate=max_samples, bootstrap=...)`` — one distributed
   training job for all members.
-* Otherwise each member draws its feature subset on the driver (seeded),
-  fits the base estimator on ``sample(withReplacement=bootstrap,
-  fraction=max_samples)`` of the rows restricted to those features
-  (``VectorSlicer``), and the prediction is the mean of the members.
+* Otherwise each member draws its features on the driver (seeded), fits the
+  base estimator on ``sample(withReplacement=bootstrap,
+  fraction=max_samples)`` of the rows restricted to those features (drawn
+  with replacement, a feature may stand several times), and the prediction
+  is the mean of the members, all evaluated in one vectorised pass.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model
-from pyspark.ml.feature import VectorSlicer
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import (HasFeaturesCol, HasLabelCol,
                                      HasPredictionCol, HasSeed)
@@ -28,7 +29,9 @@ from pyspark.ml.regression import (DecisionTreeRegressor,
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from helioframe.models.persist import StoredModel
 from helioframe.models.simple import tree_depth
+from helioframe.models.trees import Tree, ensemble
 
 
 class _BagParams(HasFeaturesCol, HasLabelCol, HasPredictionCol, HasSeed):
@@ -49,6 +52,7 @@ class _BagParams(HasFeaturesCol, HasLabelCol, HasPredictionCol, HasSeed):
                                TypeConverters.toInt)
     baseTrees = Param(Params._dummy(), "baseTrees", "trees per forest member",
                       TypeConverters.toInt)
+    maxBins = Param(Params._dummy(), "maxBins", "split candidates per feature", TypeConverters.toInt)
     parallelism = Param(Params._dummy(), "parallelism", "members fitted at once",
                         TypeConverters.toInt)
 
@@ -56,7 +60,7 @@ class _BagParams(HasFeaturesCol, HasLabelCol, HasPredictionCol, HasSeed):
         super().__init__()
         self._setDefault(nEstimators=10, maxSamples=1.0, maxFeatures=1.0, bootstrap=True,
                          bootstrapFeatures=False, baseEstimator="tree", baseMaxDepth=0,
-                         baseMinSamplesLeaf=1, baseTrees=100, parallelism=4, seed=42,
+                         baseMinSamplesLeaf=1, baseTrees=100, maxBins=32, parallelism=4, seed=42,
                          featuresCol="features", labelCol="label", predictionCol="prediction")
 
 
@@ -65,7 +69,7 @@ class BaggingRegressor(Estimator, _BagParams):
     def __init__(self, *, featuresCol="features", labelCol="label", predictionCol="prediction",
                  nEstimators=10, maxSamples=1.0, maxFeatures=1.0, bootstrap=True,
                  bootstrapFeatures=False, baseEstimator="tree", baseMaxDepth=0,
-                 baseMinSamplesLeaf=1, baseTrees=100, parallelism=4, seed=42):
+                 baseMinSamplesLeaf=1, baseTrees=100, maxBins=32, parallelism=4, seed=42):
         super().__init__()
         self._set(**self._input_kwargs)
 
@@ -79,20 +83,20 @@ class BaggingRegressor(Estimator, _BagParams):
         n_est, seed = self._g(self.nEstimators), self._g(self.seed)
         frac, feat_frac = self._g(self.maxSamples), self._g(self.maxFeatures)
         boot, boot_f = self._g(self.bootstrap), self._g(self.bootstrapFeatures)
-        base = self._g(self.baseEstimator)
+        base, bins = self._g(self.baseEstimator), self._g(self.maxBins)
         if base == "tree" and feat_frac >= 1.0 and not boot_f:
             rf = RandomForestRegressor(featuresCol=fc, labelCol=lc, numTrees=n_est,
                                        featureSubsetStrategy="all", subsamplingRate=frac,
-                                       bootstrap=boot, maxDepth=depth,
+                                       bootstrap=boot, maxDepth=depth, maxBins=bins,
                                        minInstancesPerNode=leaf, seed=seed).fit(dataset)
-            return self._copyValues(BaggingModel(members=[(None, rf)]))
+            return self._copyValues(BaggingModel(forest=rf))
         n_feat = len(dataset.select(fc).first()[0])
         k = max(1, int(round(feat_frac * n_feat)))
         rng = random.Random(seed)
         subsets = []
         for _ in range(n_est):       # drawn up front: the draws do not depend on fit order
             if boot_f:
-                subsets.append(sorted({rng.randrange(n_feat) for _ in range(k)}))
+                subsets.append(sorted(rng.randrange(n_feat) for _ in range(k)))
             else:
                 subsets.append(sorted(rng.sample(range(n_feat), k)))
 
@@ -101,15 +105,17 @@ class BaggingRegressor(Estimator, _BagParams):
             rows = dataset
             if boot or frac < 1.0:
                 rows = dataset.sample(withReplacement=boot, fraction=frac, seed=seed + i)
-            sliced = VectorSlicer(inputCol=fc, outputCol="__xs", indices=idx).transform(rows)
+            x = vector_to_array(F.col(fc))
+            sliced = rows.withColumn("__xs", array_to_vector(F.array(*[x[j] for j in idx])))
             if base == "forest":
                 est = RandomForestRegressor(featuresCol="__xs", labelCol=lc,
                                             numTrees=self._g(self.baseTrees), maxDepth=depth,
-                                            minInstancesPerNode=leaf, seed=seed + i)
+                                            maxBins=bins, minInstancesPerNode=leaf, seed=seed + i)
             else:
                 est = DecisionTreeRegressor(featuresCol="__xs", labelCol=lc, maxDepth=depth,
-                                            minInstancesPerNode=leaf, seed=seed + i)
-            return idx, est.fit(sliced)
+                                            maxBins=bins, minInstancesPerNode=leaf, seed=seed + i)
+            fitted = est.fit(sliced)
+            return idx, [Tree.of(t) for t in (fitted.trees if base == "forest" else [fitted])]
 
         # Each member fit is its own set of distributed jobs; a few run at once.
         with ThreadPoolExecutor(max_workers=self._g(self.parallelism)) as pool:
@@ -117,21 +123,31 @@ class BaggingRegressor(Estimator, _BagParams):
         return self._copyValues(BaggingModel(members=members))
 
 
-class BaggingModel(Model, _BagParams):
-    def __init__(self, members=None):
+class BaggingModel(Model, _BagParams, StoredModel):
+    """Either a forest that stands for all members, or members (their features, their trees)."""
+
+    def __init__(self, members: list[tuple[list[int], list[Tree]]] | None = None, forest=None):
         super().__init__()
-        self.members = list(members or [])
+        self.members, self.forest = list(members or []), forest
+
+    def state(self) -> dict:
+        return {"members": [[idx, [t.state() for t in trees]] for idx, trees in self.members]}
+
+    def parts(self) -> list:
+        return [self.forest] if self.forest else []
+
+    @classmethod
+    def restored(cls, state: dict, parts: list) -> "BaggingModel":
+        return cls([(idx, [Tree(*t) for t in trees]) for idx, trees in state["members"]], parts[0] if parts else None)
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
         fc, cols = self.getFeaturesCol(), dataset.columns
-        if len(self.members) == 1 and self.members[0][0] is None:
-            rf = self.members[0][1].copy().setFeaturesCol(fc).setPredictionCol("__p")
+        if self.forest:
+            rf = self.forest.copy().setFeaturesCol(fc).setPredictionCol("__p")
             return rf.transform(dataset).select(*cols, F.col("__p").alias(self.getPredictionCol()))
-        df, names = dataset, []
-        for i, (idx, m) in enumerate(self.members):
-            df = VectorSlicer(inputCol=fc, outputCol="__xs", indices=idx).transform(df)
-            df = m.copy().setFeaturesCol("__xs").setPredictionCol(f"__m{i}").transform(df)
-            df = df.drop("__xs")
-            names.append(f"__m{i}")
-        mean = sum((F.col(c) for c in names), F.lit(0.0)) / F.lit(float(len(names)))
-        return df.select(*cols, mean.alias(self.getPredictionCol()))
+        members = self.members
+
+        def mean(x):
+            return sum(sum(t.predict(x[:, idx]) for t in trees) / len(trees) for idx, trees in members) / len(members)
+
+        return dataset.select(*cols, ensemble(fc, mean).alias(self.getPredictionCol()))

@@ -63,16 +63,28 @@ def cross_validate(train: DataFrame, features: list[str], label: str, estimator,
                    fold_col: str = "fold", k: int = 5, parallelism: int = 4,
                    seed: int = 0) -> tuple[CrossValidatorModel, dict, list[float]]:
     """Cross-validated search; returns (model refit on all of ``train``, best
-    candidate, mean R² per candidate)."""
+    candidate, mean R² per candidate).
+
+    Candidates that translate to the same parameters (values that MLlib does
+    not tell apart) are fitted once and share their score. The best candidate
+    has the parameters in effect added as ``effective``.
+    """
     pipe = pipeline(features, estimator)
-    maps = [to_params(estimator, c) for c in candidates] or [{}]
+    translated = [to_params(estimator, c) for c in candidates] or [{}]
+    keys = [tuple(sorted((p.name, str(v)) for p, v in m.items())) for m in translated]
+    first = {k: i for i, k in reversed(list(enumerate(keys)))}
+    maps = [translated[i] for i in sorted(first.values())]
+    place = {keys[i]: n for n, i in enumerate(sorted(first.values()))}
     evaluator = RegressionEvaluator(labelCol=label, predictionCol=_pred_col(estimator),
                                     metricName="r2")
     cv = CrossValidator(estimator=pipe, estimatorParamMaps=maps, evaluator=evaluator,
                         numFolds=k, foldCol=fold_col, parallelism=parallelism, seed=seed)
     model = cv.fit(train)
-    scores = list(model.avgMetrics)
-    best = candidates[max(range(len(scores)), key=scores.__getitem__)] if candidates else {}
+    scores = [model.avgMetrics[place[k]] for k in keys]
+    best = {}
+    if candidates:
+        at = max(range(len(scores)), key=scores.__getitem__)
+        best = dict(candidates[at], effective={p.name: v for p, v in translated[at].items()})
     return model, best, scores
 
 
@@ -80,10 +92,4 @@ def _pred_col(est) -> str:
     return est.getOrDefault("predictionCol") if est.hasParam("predictionCol") else "prediction"
 
 
-def best_pipeline(model: CrossValidatorModel):
-    """The refit pipeline model of a search."""
-    return model.bestModel
-
-
-__all__ = ["expand_grid", "randint", "sample_candidates", "cross_validate",
-           "best_pipeline", "FEATURES"]
+__all__ = ["expand_grid", "randint", "sample_candidates", "cross_validate", "FEATURES"]

@@ -52,9 +52,10 @@ def tree_depth(max_depth) -> int:
 
 
 def decision_tree(label: str, max_depth=None, min_samples_leaf: int = 1,
-                  seed: int | None = None, weight_col: str | None = None) -> DecisionTreeRegressor:
+                  seed: int | None = None, weight_col: str | None = None,
+                  max_bins: int = 32) -> DecisionTreeRegressor:
     kw = dict(featuresCol=FEATURES, labelCol=label, maxDepth=tree_depth(max_depth),
-              minInstancesPerNode=int(min_samples_leaf))
+              maxBins=max_bins, minInstancesPerNode=int(min_samples_leaf))
     if seed is not None:
         kw["seed"] = seed
     if weight_col:
@@ -68,8 +69,8 @@ FEATURE_SUBSET = {"auto": "all", "sqrt": "sqrt", "log2": "log2", None: "all", 1.
 
 def random_forest(label: str, n_estimators: int = 100, max_depth=None,
                   max_features="auto", min_samples_leaf: int = 1, bootstrap: bool = True,
-                  seed: int | None = None) -> RandomForestRegressor:
-    kw = dict(featuresCol=FEATURES, labelCol=label, numTrees=int(n_estimators),
+                  seed: int | None = None, max_bins: int = 32) -> RandomForestRegressor:
+    kw = dict(featuresCol=FEATURES, labelCol=label, numTrees=int(n_estimators), maxBins=max_bins,
               maxDepth=tree_depth(max_depth),
               featureSubsetStrategy=FEATURE_SUBSET.get(max_features, str(max_features)),
               minInstancesPerNode=int(min_samples_leaf), bootstrap=bool(bootstrap))

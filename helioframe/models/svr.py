@@ -4,43 +4,53 @@ MLlib has no SVR. This estimator minimises
 
     1/(2 C n) |w|^2 + 1/n * sum_i max(0, |y_i - w.phi(x_i) - b| - eps)
 
-by AdaGrad subgradient steps, each step being ONE pass over the cached
-training rows (``sum(s_i)``, ``sum(s_i * phi_ij)`` with ``s_i`` the sign of
-the residual outside the ε tube; NumPy on Arrow batches inside the tasks,
-one partial-sum row per partition). Kernels become explicit feature maps
-built with Spark expressions once before the loop:
+by L-BFGS. The kink of the loss is smoothed by a quadratic of width delta,
+which is narrowed in three stages, each starting where the last one ended.
+An evaluation is ONE pass over the mapped rows: NumPy on Arrow batches gives a
+row of sums for each partition, and Spark adds these up. A stage ends when its
+gradient is small (``tol``) or no step lowers the value; ``objective``,
+``converged`` and ``passes`` of the model say how it went. Kernels become
+explicit feature maps built with Spark expressions once before the loop:
 
 * ``linear``: phi(x) = x;
-* ``poly``:   all monomials of x up to ``degree`` (``PolynomialExpansion``);
+* ``poly``:   the monomials of degree ``degree`` (kernel (gamma x.x')^degree),
+  each times the root of gamma^degree and its multinomial coefficient;
 * ``rbf``:    random Fourier features sqrt(2/D) cos(Ω x + u), Ω ~ N(0, 2γ),
   u ~ U[0, 2π) (Rahimi & Recht, 2007).
 
 ``gamma``: ``'scale'`` = 1 / (n_features * var(X)), ``'auto'`` =
-1 / n_features, or a number. The label and the mapped features are
-standardised on the training rows (ε and C are rescaled with the label),
-which conditions the steps; the result approximates, and does not equal,
-the exact dual (kernel) solution.
+1 / n_features, or a number. The solver works on the label and mapped
+features standardised on the training rows, but penalises the weights of
+the features as they are, so ``C`` means the same for every kernel and
+scale. ``linear`` and ``poly`` are exact maps; ``rbf`` approximates the dual
+(kernel) solution.
 """
 
 from __future__ import annotations
 
 import math
+from itertools import combinations_with_replacement
 
 import numpy as np
+import pyarrow as pa
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model
-from pyspark.ml.feature import PolynomialExpansion
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import (HasFeaturesCol, HasLabelCol, HasMaxIter,
-                                     HasPredictionCol, HasSeed)
-from pyspark.sql import DataFrame
+                                     HasPredictionCol, HasSeed, HasTol)
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from helioframe.models.persist import StoredModel
 from helioframe.session import discard, ensure_checkpoint_dir, materialize
 
+# Widths of the smoothed kink, in standard deviations of the label.
+DELTAS = (0.1, 0.01, 0.001)
+MEMORY = 10
 
-class _SVRParams(HasFeaturesCol, HasLabelCol, HasPredictionCol, HasSeed, HasMaxIter):
+
+class _SVRParams(HasFeaturesCol, HasLabelCol, HasPredictionCol, HasSeed, HasMaxIter, HasTol):
     kernel = Param(Params._dummy(), "kernel", "linear | poly | rbf", TypeConverters.toString)
     C = Param(Params._dummy(), "C", "penalty of the ε-insensitive loss", TypeConverters.toFloat)
     gamma = Param(Params._dummy(), "gamma", "'scale', 'auto' or a number",
@@ -49,156 +59,190 @@ class _SVRParams(HasFeaturesCol, HasLabelCol, HasPredictionCol, HasSeed, HasMaxI
     degree = Param(Params._dummy(), "degree", "poly degree", TypeConverters.toInt)
     nComponents = Param(Params._dummy(), "nComponents", "random features for rbf",
                         TypeConverters.toInt)
-    stepSize = Param(Params._dummy(), "stepSize", "AdaGrad step", TypeConverters.toFloat)
 
     def __init__(self):
         super().__init__()
         self._setDefault(kernel="rbf", C=1.0, gamma="scale", epsilon=0.1, degree=3,
-                         nComponents=100, stepSize=0.5, maxIter=100, seed=0,
+                         nComponents=100, maxIter=200, tol=1e-4, seed=0,
                          featuresCol="features", labelCol="label", predictionCol="prediction")
 
 
-def _phi_columns(x_arr, kernel, p, degree, omega, u, poly_col=None):
-    """Feature-map expressions over an array column ``x_arr`` of length p."""
+def _phi(features: str, kernel: str, p: int, degree: int, gamma: float, omega, u) -> Column:
+    """The feature map as one array column."""
+    x = vector_to_array(F.col(features))
     if kernel == "linear":
-        return [x_arr[j] for j in range(p)]
+        return x
     if kernel == "poly":
-        arr = vector_to_array(F.col(poly_col))
-        m = _poly_size(p, degree)
-        return [arr[k] for k in range(m)]
-    d = omega.shape[0]
-    scale = math.sqrt(2.0 / d)
-    cols = []
-    for k in range(d):
-        dot = sum((x_arr[j] * F.lit(float(omega[k, j])) for j in range(p)), F.lit(float(u[k])))
-        cols.append(F.cos(dot) * F.lit(scale))
-    return cols
-
+        terms = []
+        for picked in combinations_with_replacement(range(p), degree):
+            ways = math.factorial(degree)
+            for j in set(picked):
+                ways //= math.factorial(picked.count(j))
+            term = F.lit(math.sqrt(ways * gamma**degree))
+            for j in picked:
+                term = term * x[j]
+            terms.append(term)
+        return F.array(*terms)
+    scale = math.sqrt(2.0 / len(u))
+    return F.array(*[F.cos(sum((x[j] * F.lit(float(omega[k][j])) for j in range(p)), F.lit(float(u[k])))) * F.lit(scale)
+                     for k in range(len(u))])
 
-def _poly_size(p, degree):
-    return math.comb(p + degree, degree) - 1
 
+def _matrix(column, width: int) -> np.ndarray:
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
 
-def _subgradient_sums(w, b, eps, zcols):
-    """Per-partition ``sum(s)`` and ``sum(s * z_k)`` for the current (w, b).
 
-    Runs inside the tasks on Arrow batches; one small row per partition
-    goes back to the driver. The plan is the same every iteration, so
-    nothing is re-planned or re-compiled between steps.
-    """
-    import pandas as pd
+def _sums(rows: DataFrame, width: int, per_batch) -> np.ndarray:
+    """Sum over all rows of ``per_batch(Z, y) -> vector``: a row a partition, added up by Spark."""
 
     def run(batches):
-        acc = np.zeros(len(zcols) + 1)
-        for pdf in batches:
-            zm = pdf[zcols].to_numpy(dtype=float)
-            r = pdf["__y"].to_numpy(dtype=float) - (zm @ w + b)
-            sgn = (r > eps).astype(float) - (r < -eps).astype(float)
-            acc[0] += sgn.sum()
-            acc[1:] += sgn @ zm
-        yield pd.DataFrame([acc], columns=["s"] + [f"g{k}" for k in range(len(zcols))])
-    return run
+        total = None
+        for batch in batches:
+            if batch.num_rows:
+                got = per_batch(_matrix(batch.column("z"), width), batch.column("y").to_numpy(zero_copy_only=False))
+                total = got if total is None else total + got
+        if total is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([total], pa.list_(pa.float64()))], names=["s"])
+
+    n = len(per_batch(np.zeros((1, width)), np.zeros(1)))
+    got = rows.mapInArrow(run, "s array<double>").agg(*[F.sum(F.col("s")[k]) for k in range(n)]).first()
+    return np.array([v or 0.0 for v in got])
 
 
 class EpsilonSVR(Estimator, _SVRParams):
     @keyword_only
     def __init__(self, *, featuresCol="features", labelCol="label", predictionCol="prediction",
                  kernel="rbf", C=1.0, gamma="scale", epsilon=0.1, degree=3, nComponents=100,
-                 stepSize=0.5, maxIter=100, seed=0):
+                 maxIter=200, tol=1e-4, seed=0):
         super().__init__()
         self._set(**{k: (str(v) if k == "gamma" else v) for k, v in self._input_kwargs.items()})
 
-    def _g(self, p):
-        return self.getOrDefault(p)
-
-    def _fit(self, dataset: DataFrame) -> "EpsilonSVRModel":
+    def _fit(self, dataset: DataFrame) -> EpsilonSVRModel:
         spark = dataset.sparkSession
         ensure_checkpoint_dir(spark)
-        fc, lc = self.getFeaturesCol(), self.getLabelCol()
-        kernel, degree = self._g(self.kernel), self._g(self.degree)
-        base = dataset.select(F.col(fc).alias("__v"), F.col(lc).cast("double").alias("__y"))
-        p = len(base.first()["__v"])
-        x = vector_to_array(F.col("__v"))
+        get = self.getOrDefault
+        fc, kernel, degree = get(self.featuresCol), get(self.kernel), get(self.degree)
+        base = dataset.select(F.col(fc), F.col(get(self.labelCol)).cast("double").alias("y"))
+        p = len(base.first()[0])
+        x = vector_to_array(F.col(fc))
         # One pass: label moments and the variance of all feature entries.
-        s1 = sum((x[j] for j in range(p)), F.lit(0.0))
-        s2 = sum((x[j] * x[j] for j in range(p)), F.lit(0.0))
-        n, ym, ysd, sx, sxx = base.agg(F.count(F.lit(1)), F.avg("__y"), F.stddev_pop("__y"),
-                                       F.sum(s1), F.sum(s2)).first()
+        s1 = F.aggregate(x, F.lit(0.0), lambda a, v: a + v)
+        s2 = F.aggregate(x, F.lit(0.0), lambda a, v: a + v * v)
+        n, ym, ysd, sx, sxx = base.agg(F.count(F.lit(1)), F.avg("y"), F.stddev_pop("y"), F.sum(s1), F.sum(s2)).first()
         ysd = ysd or 1.0
         var_x = sxx / (n * p) - (sx / (n * p)) ** 2
-        g = self._g(self.gamma)
-        gamma = (1.0 / (p * var_x) if var_x > 0 else 1.0) if g == "scale" else \
-            (1.0 / p if g == "auto" else float(g))
-        rng = np.random.default_rng(self._g(self.seed))
-        d = self._g(self.nComponents)
-        omega = rng.normal(0.0, math.sqrt(2.0 * gamma), size=(d, p)) if kernel == "rbf" else None
-        u = rng.uniform(0.0, 2 * math.pi, size=d) if kernel == "rbf" else None
-        if kernel == "poly":
-            base = PolynomialExpansion(degree=degree, inputCol="__v",
-                                       outputCol="__poly").transform(base)
-        phi = _phi_columns(x, kernel, p, degree, omega, u, "__poly")
-        m = len(phi)
-        mapped = base.select(F.col("__y"), *[e.alias(f"__f{k}") for k, e in enumerate(phi)])
-        stats = mapped.agg(*[F.avg(f"__f{k}") for k in range(m)],
-                           *[F.stddev_pop(f"__f{k}") for k in range(m)]).first()
-        mu = np.array(stats[:m], dtype=float)
-        sd = np.array([s if s and s > 0 else 1.0 for s in stats[m:]], dtype=float)
-        z = mapped.select(((F.col("__y") - F.lit(ym)) / F.lit(ysd)).alias("__y"),
-                          *[((F.col(f"__f{k}") - F.lit(mu[k])) / F.lit(sd[k])).alias(f"__z{k}")
-                            for k in range(m)])
-        z, z_path = materialize(z, "svr-rows")
-        z.persist()
-        eps = self._g(self.epsilon) / ysd
-        c = self._g(self.C) / ysd
-        w, b = np.zeros(m), 0.0
-        gw, gb = np.zeros(m), 0.0
-        avg_w, avg_b, n_avg = np.zeros(m), 0.0, 0
-        eta = self._g(self.stepSize)
-        iters = self._g(self.maxIter)
-        zcols = [f"__z{k}" for k in range(m)]
-        out_schema = ", ".join(["s double"] + [f"g{k} double" for k in range(m)])
-        for it in range(iters):
-            parts = z.mapInPandas(_subgradient_sums(w, b, eps, zcols), out_schema).collect()
-            tot = np.sum(np.array([list(r) for r in parts], dtype=float), axis=0) \
-                if parts else np.zeros(m + 1)
-            ss, sz = tot[0], tot[1:]
-            grad_w = w / (c * n) - sz / n
-            grad_b = -ss / n
-            gw += grad_w ** 2
-            gb += grad_b ** 2
-            w = w - eta * grad_w / (np.sqrt(gw) + 1e-12)
-            b = b - eta * grad_b / (math.sqrt(gb) + 1e-12)
-            if it >= iters // 2:
-                avg_w += w
-                avg_b += b
-                n_avg += 1
-        z.unpersist()
-        discard(spark, z_path)
-        if n_avg:
-            w, b = avg_w / n_avg, avg_b / n_avg
-        model = EpsilonSVRModel(p=p, omega=omega, u=u, mu=mu, sd=sd, w=w, b=b, ym=ym, ysd=ysd)
+        g = get(self.gamma)
+        gamma = (1.0 / (p * var_x) if var_x > 0 else 1.0) if g == "scale" else 1.0 / p if g == "auto" else float(g)
+        rng = np.random.default_rng(get(self.seed))
+        d = get(self.nComponents)
+        omega = rng.normal(0.0, math.sqrt(2.0 * gamma), size=(d, p)).tolist() if kernel == "rbf" else None
+        u = rng.uniform(0.0, 2 * math.pi, size=d).tolist() if kernel == "rbf" else None
+        rows, path = materialize(base.select(_phi(fc, kernel, p, degree, gamma, omega, u).alias("z"), "y"), "svr-rows")
+        m = len(rows.first()[0])
+
+        moments = _sums(rows, m, lambda z, y: np.concatenate([z.sum(axis=0), (z * z).sum(axis=0)]))
+        mu = moments[:m] / n
+        sd = np.sqrt(np.maximum(moments[m:] / n - mu * mu, 0))
+        sd[sd <= 1e-12 * np.maximum(np.abs(mu), 1)] = 1.0
+        # In units of the label's standard deviation, with weights v of the standardised features:
+        # w = v * ysd / sd, so the penalty |w|^2 / (2 C n) becomes v^2 / sd^2 * ysd / (2 C n).
+        weight = ysd / (get(self.C) * n) / sd**2
+        eps = get(self.epsilon) / ysd
+
+        def evaluated(theta: np.ndarray, delta: float) -> tuple[float, np.ndarray, float]:
+            """Smoothed value, its gradient, and the value with the kink."""
+            v, b = theta[:m], theta[m]
+
+            def per_batch(z, y):
+                zs = (z - mu) / sd
+                r = (y - ym) / ysd - zs @ v - b
+                over = np.maximum(np.abs(r) - eps, 0)
+                soft = np.where(over < delta, over * over / (2 * delta), over - delta / 2)
+                slope = -np.sign(r) * np.minimum(over / delta, 1)
+                return np.concatenate([[over.sum(), soft.sum(), slope.sum()], slope @ zs])
+
+            t = _sums(rows, m, per_batch) / n
+            penalty = float(weight @ (v * v)) / 2
+            return penalty + t[1], np.concatenate([weight * v + t[3:], [t[2]]]), penalty + t[0]
+
+        theta, passes, converged, exact = np.zeros(m + 1), 0, False, 0.0
+        most = get(self.maxIter)
+        for delta in DELTAS:
+            value, slope, exact = evaluated(theta, delta)
+            passes += 1
+            steps: list[tuple[np.ndarray, np.ndarray]] = []
+            converged = False
+            while passes < most:
+                if np.abs(slope).max() <= get(self.tol):
+                    converged = True
+                    break
+                way = -_inverse_hessian(steps, slope)
+                reach, down = 1.0 if steps else min(1.0, 1.0 / np.abs(slope).sum()), float(slope @ way)
+                moved = False
+                while passes < most and reach > 1e-10:
+                    at = theta + reach * way
+                    got = evaluated(at, delta)
+                    passes += 1
+                    if got[0] <= value + 1e-4 * reach * down:
+                        moved = True
+                        break
+                    reach /= 2 if steps else 4
+                if not moved:
+                    converged = passes < most  # no step lowers the value any more
+                    break
+                small = value - got[0] <= 1e-9 * max(abs(value), 1e-9)
+                s, y = at - theta, got[1] - slope
+                if s @ y > 1e-14:
+                    steps = [*steps[-MEMORY + 1:], (s, y)]
+                theta, (value, slope, exact) = at, got
+                if small:
+                    converged = True
+                    break
+        discard(spark, path)
+        model = EpsilonSVRModel({
+            "kernel": kernel, "p": p, "degree": degree, "gamma": gamma, "omega": omega, "u": u,
+            "weights": (theta[:m] * ysd / sd).tolist(), "intercept": float(ym + ysd * (theta[m] - theta[:m] @ (mu / sd))),
+            "objective": float(exact * ysd), "converged": bool(converged), "passes": passes})
         return self._copyValues(model)
 
 
-class EpsilonSVRModel(Model, _SVRParams):
-    def __init__(self, p=0, omega=None, u=None, mu=None, sd=None, w=None, b=0.0, ym=0.0,
-                 ysd=1.0):
+def _inverse_hessian(steps: list[tuple[np.ndarray, np.ndarray]], slope: np.ndarray) -> np.ndarray:
+    """The L-BFGS estimate of the inverse Hessian times the gradient."""
+    q, factors = slope.copy(), []
+    for s, y in reversed(steps):
+        a = s @ q / (s @ y)
+        factors.append(a)
+        q = q - a * y
+    if steps:
+        s, y = steps[-1]
+        q = q * (s @ y) / (y @ y)
+    for (s, y), a in zip(steps, reversed(factors), strict=True):
+        q = q + s * (a - y @ q / (s @ y))
+    return q
+
+
+class EpsilonSVRModel(Model, _SVRParams, StoredModel):
+    def __init__(self, state: dict | None = None):
         super().__init__()
-        self.p, self.omega, self.u = p, omega, u
-        self.mu, self.sd, self.w, self.b = mu, sd, w, b
-        self.ym, self.ysd = ym, ysd
+        self._state = state or {}
+
+    #: Value of the stated objective at the solution, whether the solver ended by itself, passes over the rows.
+    objective = property(lambda self: self._state["objective"])
+    converged = property(lambda self: self._state["converged"])
+    passes = property(lambda self: self._state["passes"])
+    weights = property(lambda self: np.array(self._state["weights"]))
+    intercept = property(lambda self: self._state["intercept"])
+
+    def state(self) -> dict:
+        return self._state
+
+    @classmethod
+    def restored(cls, state: dict, parts: list) -> EpsilonSVRModel:
+        return cls(state)
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
-        fc, cols = self.getFeaturesCol(), dataset.columns
-        kernel, degree = self.getOrDefault(self.kernel), self.getOrDefault(self.degree)
-        df = dataset
-        if kernel == "poly":
-            df = PolynomialExpansion(degree=degree, inputCol=fc, outputCol="__poly").transform(df)
-        x = vector_to_array(F.col(fc))
-        phi = _phi_columns(x, kernel, self.p, degree, self.omega, self.u, "__poly")
-        f = F.lit(float(self.b))
-        for k, c in enumerate(phi):
-            coef = float(self.w[k] / self.sd[k])
-            f = f + (c - F.lit(float(self.mu[k]))) * F.lit(coef)
-        pred = f * F.lit(float(self.ysd)) + F.lit(float(self.ym))
-        return df.select(*cols, pred.alias(self.getPredictionCol()))
+        t = self._state
+        phi = _phi(self.getFeaturesCol(), t["kernel"], t["p"], t["degree"], t["gamma"], t["omega"], t["u"])
+        product = F.zip_with(phi, F.lit(t["weights"]), lambda a, b: a * b)
+        return dataset.select(*dataset.columns, F.aggregate(product, F.lit(t["intercept"]), lambda a, v: a + v)
+                              .alias(self.getPredictionCol()))

@@ -24,8 +24,8 @@ from helioframe.models.bagging import BaggingRegressor
 from helioframe.models.base import FEATURES, add_prediction, feature_columns
 from helioframe.models.search import (cross_validate, expand_grid, randint,
                                       sample_candidates)
-from helioframe.models.simple import (fit_linear, fit_mean, forest_params,
-                                      predict_mean, random_forest)
+from helioframe.models.simple import (fit_linear, fit_mean, fit_pca, forest_params,
+                                      pca_columns, predict_mean, random_forest)
 from helioframe.models.svr import EpsilonSVR
 from helioframe.operators.metrics import regression_metrics
 from helioframe.operators.rows import fold_of, with_row_index
@@ -65,7 +65,7 @@ class SearchConfig:
     forest_iter: int = 100
     forest_seed: int = 1
     svr_grid: dict = field(default_factory=lambda: dict(SVR_GRID))
-    svr_max_iter: int = 100
+    svr_max_iter: int = 200
     ada_grid: dict = field(default_factory=lambda: dict(ADA_GRID))
     bagging_space: dict = field(default_factory=lambda: dict(BAGGING_SPACE))
     bagging_iter: int = 100
@@ -73,6 +73,21 @@ class SearchConfig:
     folds: int = 5
     parallelism: int = 4
 
+    @classmethod
+    def all_variables(cls) -> "SearchConfig":
+        """The spaces for training on all variables (the defaults)."""
+        return cls()
+
+    @classmethod
+    def eight_variables(cls) -> "SearchConfig":
+        """The spaces for training on eight chosen variables."""
+        return cls(ada_grid=dict(ADA_GRID_8))
+
+    @classmethod
+    def principal_components(cls) -> "SearchConfig":
+        """The spaces for training on principal components."""
+        return cls(svr_grid=dict(SVR_GRID_PCA), bagging_space=dict(BAGGING_SPACE_PCA))
+
 
 def svr_params(est, c: dict) -> dict:
     m = {}
@@ -122,12 +137,21 @@ def prepare(df: DataFrame, label: str, time: str = "time", fraction: float = 0.8
 
 def train_all(df: DataFrame, label: str, time: str = "time", features: list[str] | None = None,
               models=MODEL_SUFFIXES, config: SearchConfig | None = None,
-              fraction: float = 0.8, order_extra: tuple[str, ...] = ()) -> TrainResult:
-    """``order_extra`` breaks ties of ``time`` so that positions are exact."""
+              fraction: float = 0.8, order_extra: tuple[str, ...] = (),
+              components: int | None = None) -> TrainResult:
+    """``order_extra`` breaks ties of ``time`` so that positions are exact.
+
+    With ``components`` the models are trained on that many principal
+    components of the features, fitted on the training rows without the label.
+    """
     cfg = config or SearchConfig()
     feats = list(features or feature_columns(df, label, exclude=(time,)))
     keep = list(dict.fromkeys([time, label, *feats, *order_extra]))
     data, n, k = prepare(df.select(*keep), label, time, fraction, cfg.folds, order_extra)
+    if components:
+        pca = fit_pca(data.where("split = 'train'"), feats, components)
+        data = pca_columns(pca, data, feats, components)
+        feats = [f"pc{i + 1}" for i in range(components)]
     train = data.where("split = 'train'")
     out = data
     best = {}

@@ -10,6 +10,7 @@ lists, ``lineitem`` a numeric feature table.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -216,17 +217,144 @@ def csv_round_trip(spark, sf):
            count(DISTINCT date_trunc('second', ts)) AS loaded_rows
     FROM events GROUP BY 1""")
 def ingest_summary(spark, sf):
-    from helioframe.sources.measurement_csv import tag_column
     from helioframe.sources.sinks import read_partitioned
     res, table = _round_trip(spark, sf)
-    lines = (res.outcomes.where("status = 'loaded'")
-             .groupBy(tag_column("path", "folder").alias("kks"))
-             .agg(F.sum("rows").alias("lines")))
+    lines = res.outcomes.groupBy("kks").agg(F.sum("rows").alias("lines"))
     loaded = read_partitioned(spark, table).groupBy("kks") \
         .agg(F.count(F.lit(1)).alias("loaded_rows"))
     return lines.join(loaded, "kks", "full").select("kks", "lines", "loaded_rows")
 
 
+def _named_file(spark, lines: DataFrame, path: str) -> None:
+    """Write a column of lines as one file of the given name (small inputs of a query)."""
+    tmp = path + ".parts"
+    lines.coalesce(1).write.mode("overwrite").text(tmp)
+    jvm = spark.sparkContext._jvm
+    target, folder = jvm.org.apache.hadoop.fs.Path(path), jvm.org.apache.hadoop.fs.Path(tmp)
+    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(target.getParent())
+    for st in fs.listStatus(folder):
+        if st.getPath().getName().startswith("part-"):
+            fs.rename(st.getPath(), target)
+    fs.delete(folder, True)
+
+
+_PURCHASES = "count(*) FILTER (WHERE event_type = 'purchase')"
+_CLICKS = "count(*) FILTER (WHERE event_type = 'click')"
+_VIEWS = "count(*) FILTER (WHERE event_type = 'view')"
+
+
+def _odd_files(spark, sf) -> str:
+    """Files of a plant day with all that can go wrong: a good one whose name
+    is a glob, one in a sub-folder, one with a bad line, a small one, an empty one."""
+    from helioframe.session import scratch_path
+    root = scratch_path(spark, "odd-files")
+    e = S.testdata(spark, sf, "events").orderBy("ts", "event_id")
+    line = F.concat_ws(";", F.date_format("ts", "dd/MM/yyyy HH:mm:ss"), F.replace(F.col("value").cast("string"), F.lit("."), F.lit(",")))
+    tag = {k: e.where(F.col("event_type") == k).select(line.alias("value")) for k in ("click", "view", "purchase")}
+    _named_file(spark, tag["click"], f"{root}/a[1].csv")
+    _named_file(spark, tag["view"], f"{root}/sub/view.csv")
+    _named_file(spark, tag["purchase"].union(spark.sql("select 'not a date;1'")), f"{root}/purchase.csv")
+    _named_file(spark, tag["click"].limit(1), f"{root}/small.csv")
+    _named_file(spark, tag["click"].limit(0), f"{root}/empty.csv")
+    return root
+
+
+def _summary_sql(rows: list[tuple[str, int, str]]) -> str:
+    return " UNION ALL ".join(f"SELECT '{status}' AS status, {files} AS files, CAST({lines} AS BIGINT) AS rows FROM events"
+                              for status, files, lines in rows)
+
+
+def _summary(res):
+    from helioframe.operators.ingest import load_summary
+    return load_summary(res.outcomes).select("status", F.col("files").cast("int").alias("files"), F.col("rows").cast("long").alias("rows"))
+
+
+@register("ingest_folder", _summary_sql([("loaded", 1, _CLICKS), ("rejected", 1, f"{_PURCHASES} + 1"),
+                                         ("skipped_small", 2, "any_value(0)"), ("offered", 4, f"{_CLICKS} + {_PURCHASES} + 1")]))
+def ingest_folder(spark, sf):
+    """Every file of a folder (not of its sub-folders) has an outcome."""
+    from helioframe.plans.ingest_job import ingest
+    from helioframe.session import scratch_path
+    return _summary(ingest(spark, _odd_files(spark, sf), scratch_path(spark, "odd-raw")))
+
+
+_BY_NAME = _summary_sql([("loaded", 2, f"{_CLICKS} + {_VIEWS}"), ("missing", 1, "any_value(0)"), ("skipped_small", 1, "any_value(0)"),
+                         ("offered", 4, f"{_CLICKS} + {_VIEWS}")])
+_NAMES = ["a[1].csv", "sub\\view.csv", "gone.csv", "empty.csv"]
+
+
+@register("ingest_names", _BY_NAME)
+def ingest_names(spark, sf):
+    """Files by an explicit list of names, one of them absent."""
+    from helioframe.plans.ingest_job import ingest
+    from helioframe.session import scratch_path
+    return _summary(ingest(spark, _odd_files(spark, sf), scratch_path(spark, "odd-raw"), names=_NAMES))
+
+
+@register("ingest_list", _BY_NAME)
+def ingest_list(spark, sf):
+    """Files by a list file; it takes precedence over names."""
+    from helioframe.plans.ingest_job import ingest
+    from helioframe.session import scratch_path
+    root = _odd_files(spark, sf)
+    wanted = scratch_path(spark, "wanted")
+    _named_file(spark, spark.createDataFrame([(n,) for n in _NAMES], "value string"), wanted)
+    return _summary(ingest(spark, root, scratch_path(spark, "odd-raw"), list_csv=wanted, names=["purchase.csv"]))
+
+
+_OVERLAP_SQL = """
+    WITH e AS (SELECT event_type AS kks, date_trunc('second', ts) AS "time", value, ts, event_id FROM events),
+         f AS (SELECT kks, "time", 1 AS file, first(value ORDER BY ts, event_id) AS value FROM e GROUP BY 1, 2
+               UNION ALL
+               SELECT kks, "time", 2, first(value * 2 ORDER BY ts, event_id) FROM e WHERE value > 100 GROUP BY 1, 2)
+    SELECT kks, CAST("time" AS DATE) AS date, "time", round(arg_max(value, file), 6) AS value FROM f GROUP BY 1, 3"""
+
+
+def _overlap_files(spark, sf) -> str:
+    """All events, and later the ones above 100 doubled, as files of the same tags."""
+    import time
+
+    from helioframe.session import scratch_path
+    from helioframe.sources.measurement_csv import write_plant_csv
+    root = scratch_path(spark, "overlap-csv")
+    src = S.testdata(spark, sf, "events").select(F.col("event_type").alias("kks"), F.col("ts").alias("time"), "value", "event_id")
+    write_plant_csv(src, f"{root}/first", order=("time", "event_id"), partitions=1)
+    time.sleep(1.1)  # some stores keep whole seconds of modification times
+    doubled = src.where("value > 100").withColumn("value", F.col("value") * 2)
+    write_plant_csv(doubled, f"{root}/second", order=("time", "event_id"), partitions=1)
+    return root
+
+
+def _table_rows(spark, table):
+    from helioframe.sources.sinks import read_partitioned
+    return read_partitioned(spark, table).select("kks", "date", "time", r6("value").alias("value"))
+
+
+@register("ingest_overlap", _OVERLAP_SQL)
+def ingest_overlap(spark, sf):
+    """Two files of each tag with the same seconds, in one batch: the later file wins."""
+    from helioframe.plans.ingest_job import ingest
+    from helioframe.session import scratch_path
+    table = scratch_path(spark, "overlap-table")
+    ingest(spark, _overlap_files(spark, sf), table, tag_from="folder")
+    return _table_rows(spark, table)
+
+
+def _stream_overlap(max_files):
+    def q(spark, sf):
+        from helioframe.session import scratch_path
+        from helioframe.streaming import start_ingest
+        table, ck = scratch_path(spark, "overlap-table"), scratch_path(spark, "overlap-ck")
+        start_ingest(spark, _overlap_files(spark, sf), table, ck, tag_from="folder", max_files=max_files).awaitTermination()
+        return _table_rows(spark, table)
+    return q
+
+
+register("stream_overlap", _OVERLAP_SQL)(_stream_overlap(1000))
+register("stream_overlap_3", _OVERLAP_SQL)(_stream_overlap(3))
+
+
 # --------------------------------------------------- file lists and manifests
 
 def _basename_sql(c):
@@ -252,12 +380,12 @@ def tag_from_path_q(spark, sf):
 
 
 @register("files_to_load", f"""
-    SELECT DISTINCT {_basename_sql('url')} AS file FROM pages
-    WHERE {_basename_sql('url')} <> ''
+    SELECT DISTINCT coalesce(nullif({_basename_sql('url')}, ''), 'index') AS file FROM pages
     EXCEPT
-    SELECT {_basename_sql('url')} FROM pages WHERE url LIKE 'https%'""")
+    SELECT coalesce(nullif({_basename_sql('url')}, ''), 'index') FROM pages WHERE url LIKE 'https%'""")
 def files_to_load_q(spark, sf):
-    """Wanted list = every page name; loaded manifests = the https pages."""
+    """Wanted list = every page name (``index`` for a folder); two manifests =
+    the https pages of even and of odd ids."""
     from helioframe.functions.text import basename
     from helioframe.operators.ingest import files_to_load
     from helioframe.session import scratch_path
@@ -265,11 +393,14 @@ def files_to_load_q(spark, sf):
     from helioframe.sources.sinks import read_manifests, write_manifest
     p = S.testdata(spark, sf, "pages")
     wanted_csv = scratch_path(spark, "wanted")
-    (p.select(basename("url").alias("file")).where("file <> ''")
+    page = p.select("page_id", "url", F.when(F.col("url").endswith("/"), F.concat("url", F.lit("index")))
+                    .otherwise(F.col("url")).alias("path"))
+    (page.select(basename("path").alias("file"))
       .write.mode("overwrite").option("header", False).csv(wanted_csv))
     manifests = scratch_path(spark, "manifests")
-    write_manifest(p.where(F.col("url").startswith("https")).select(F.col("url").alias("path")),
-                   manifests)
+    for odd in (0, 1):
+        write_manifest(page.where(F.col("url").startswith("https") & (F.col("page_id") % 2 == odd)).select("path"),
+                       manifests, dt.date(2024, 1, 1 + odd))
     return files_to_load(read_file_list(spark, wanted_csv), read_manifests(spark, manifests + "/*"))
 
 
@@ -647,7 +778,7 @@ def _svr(kernel):
     def make():
         from helioframe.models.svr import EpsilonSVR
         return EpsilonSVR(labelCol=_LI_LABEL, kernel=kernel, C=1.0, gamma="scale",
-                          epsilon=0.1, nComponents=50, maxIter=30, seed=0)
+                          epsilon=0.1, nComponents=50, seed=0)
     return make
 
 
@@ -665,9 +796,144 @@ register("svr_rbf")(_fit_predict(_svr("rbf")))
 def pca_q(spark, sf):
     from helioframe.models.simple import fit_pca, pca_columns
     li = S.testdata(spark, sf, "lineitem")
-    cols = _LI_FEATURES + [_LI_LABEL]
-    model = fit_pca(li, cols, 2)
-    return pca_columns(model, li.select("l_orderkey", "l_linenumber", *cols), cols, 2)
+    model = fit_pca(li, _LI_FEATURES, 2)
+    return pca_columns(model, li.select("l_orderkey", "l_linenumber", _LI_LABEL, *_LI_FEATURES), _LI_FEATURES, 2)
+
+
+@register("pca_two", """
+    WITH s AS (SELECT avg(l_quantity) AS mq, stddev_samp(l_quantity) AS sq, avg(l_extendedprice) AS mp,
+                      stddev_samp(l_extendedprice) AS sp,
+                      sign(corr(l_quantity, l_extendedprice)) AS g FROM lineitem)
+    SELECT l_orderkey, l_linenumber,
+           round(abs((l_quantity - mq) / sq + g * (l_extendedprice - mp) / sp) / sqrt(2), 5) AS pc1,
+           round(abs((l_quantity - mq) / sq - g * (l_extendedprice - mp) / sp) / sqrt(2), 5) AS pc2
+    FROM lineitem, s""")
+def pca_two(spark, sf):
+    """Two correlated features: the components are their sum and difference (up to sign)."""
+    from helioframe.models.simple import fit_pca, pca_columns
+    li = S.testdata(spark, sf, "lineitem")
+    cols = ["l_quantity", "l_extendedprice"]
+    out = pca_columns(fit_pca(li, cols, 2), li.select("l_orderkey", "l_linenumber", *cols), cols, 2)
+    return out.select("l_orderkey", "l_linenumber", *[F.round(F.abs(F.col(c)), 5).alias(c) for c in ("pc1", "pc2")])
+
+
+# A tree of depth 1 on l_discount (11 values, fewer than the split candidates) is exact in SQL.
+def _stump_cte(name: str, rows: str, weight: str = "1.0", by: str = "") -> str:
+    """Threshold ``d`` (the greatest value on the left) and means of the best split of ``rows``."""
+    key, join = (f"{by}, ", f"a.{by} = b.{by} AND ") if by else ("", "")
+    group = f"a.{by}, " if by else ""
+    part = f"PARTITION BY {by}" if by else ""
+    return f"""
+    {name}_v AS (SELECT {key}l_discount AS d, sum({weight}) AS w, sum({weight} * l_extendedprice) AS s FROM {rows} GROUP BY {key}l_discount),
+    {name}_t AS (SELECT {group}a.d, sum(CASE WHEN b.d <= a.d THEN b.w ELSE 0 END) AS wl, sum(CASE WHEN b.d <= a.d THEN b.s ELSE 0 END) AS sl,
+                        sum(b.w) AS w, sum(b.s) AS s FROM {name}_v a JOIN {name}_v b ON {join}true GROUP BY {group}a.d),
+    {name} AS (SELECT * FROM (SELECT {key}d, sl / wl AS lo, (s - sl) / (w - wl) AS hi,
+                      row_number() OVER ({part} ORDER BY sl * sl / wl + (s - sl) * (s - sl) / (w - wl) DESC) AS k FROM {name}_t WHERE w > wl) WHERE k = 1)"""
+
+
+_STUMP_SQL = f"""
+    WITH {_stump_cte("st", "lineitem")}
+    SELECT l_orderkey, l_linenumber, round(CASE WHEN l_discount <= d THEN lo ELSE hi END, 4) AS prediction FROM lineitem, st"""
+
+
+def _stump(estimator):
+    def q(spark, sf):
+        from helioframe.models.base import add_prediction, pipeline
+        li = S.testdata(spark, sf, "lineitem")
+        model = pipeline(["l_discount"], estimator()).fit(li)
+        return add_prediction(model, li, "p").select("l_orderkey", "l_linenumber", F.round("p", 4).alias("prediction"))
+    return q
+
+
+def _one_tree():
+    from helioframe.models.simple import decision_tree
+    return decision_tree(_LI_LABEL, max_depth=1)
+
+
+def _one_tree_forest():
+    from helioframe.models.simple import random_forest
+    return random_forest(_LI_LABEL, n_estimators=1, max_depth=1, bootstrap=False)
+
+
+def _whole_bag():
+    from helioframe.models.bagging import BaggingRegressor
+    return BaggingRegressor(labelCol=_LI_LABEL, nEstimators=3, bootstrap=False, baseMaxDepth=1)
+
+
+def _whole_bag_of_forests():
+    from helioframe.models.bagging import BaggingRegressor
+    return BaggingRegressor(labelCol=_LI_LABEL, nEstimators=2, bootstrap=False, bootstrapFeatures=True, baseMaxDepth=1)
+
+
+def _stumps(n):
+    def make():
+        from helioframe.models.adaboost import AdaBoostR2
+        return AdaBoostR2(labelCol=_LI_LABEL, nEstimators=n, maxDepth=1)
+    return make
+
+
+register("tree_stump", _STUMP_SQL)(_stump(_one_tree))
+register("forest_stump", _STUMP_SQL)(_stump(_one_tree_forest))
+register("bagging_stumps", _STUMP_SQL)(_stump(_whole_bag))
+register("bagging_drawn_stumps", _STUMP_SQL)(_stump(_whole_bag_of_forests))
+register("ada_one_stump", _STUMP_SQL)(_stump(_stumps(1)))
+register("ada_two_stumps", f"""
+    WITH {_stump_cte("a", "lineitem")},
+    ea AS (SELECT lineitem.*, CASE WHEN l_discount <= d THEN lo ELSE hi END AS pa FROM lineitem, a),
+    la AS (SELECT max(abs(l_extendedprice - pa)) AS e, avg(abs(l_extendedprice - pa)) / max(abs(l_extendedprice - pa)) AS loss FROM ea),
+    wa AS (SELECT ea.*, pow(loss / (1 - loss), 1 - abs(l_extendedprice - pa) / e) AS wt, loss FROM ea, la),
+    {_stump_cte("b", "wa", "wt")},
+    eb AS (SELECT wa.*, CASE WHEN l_discount <= d THEN lo ELSE hi END AS pb FROM wa, b),
+    lb AS (SELECT sum(wt * abs(l_extendedprice - pb)) / sum(wt) / max(abs(l_extendedprice - pb)) AS loss2 FROM eb),
+    f AS (SELECT l_orderkey, l_linenumber, pa, pb, ln((1 - loss) / loss) AS aa,
+                 CASE WHEN loss2 >= 0.5 THEN 0 ELSE ln((1 - loss2) / loss2) END AS ab FROM eb, lb)
+    SELECT l_orderkey, l_linenumber,
+           round(CASE WHEN CASE WHEN pa <= pb THEN aa ELSE ab END >= (aa + ab) / 2 THEN CASE WHEN ab > 0 THEN least(pa, pb) ELSE pa END
+                      ELSE CASE WHEN ab > 0 THEN greatest(pa, pb) ELSE pa END END, 4) AS prediction FROM f""")(_stump(_stumps(2)))
+
+
+_FOLDS = f"""
+    r AS (SELECT *, {_LI_IDX} AS idx, count(*) OVER () AS n FROM lineitem),
+    tr AS (SELECT *, ntile(5) OVER (ORDER BY idx) - 1 AS fold FROM r WHERE idx < floor(n * 0.8)),
+    others AS (SELECT f.fold AS held, tr.* FROM tr JOIN (SELECT DISTINCT fold FROM tr) f ON tr.fold <> f.fold)"""
+_SEARCH_SQL = f"""
+    WITH {_FOLDS},
+    {_stump_cte("st", "others", by="held")},
+    mu AS (SELECT held, avg(l_extendedprice) AS m FROM others GROUP BY 1),
+    p AS (SELECT tr.fold, l_extendedprice AS y, m, CASE WHEN l_discount <= d THEN lo ELSE hi END AS q
+          FROM tr JOIN st ON st.held = tr.fold JOIN mu ON mu.held = tr.fold),
+    s AS (SELECT fold, 1 - sum(pow(y - m, 2)) / (count(*) * var_pop(y)) AS r0, 1 - sum(pow(y - q, 2)) / (count(*) * var_pop(y)) AS r1
+          FROM p GROUP BY 1)
+    SELECT 0 AS max_depth, round(avg(r0), 8) AS mean_r2 FROM s UNION ALL SELECT 1, round(avg(r1), 8) FROM s"""
+
+
+def _stump_search(candidates):
+    def q(spark, sf):
+        from helioframe.models.search import cross_validate
+        from helioframe.models.simple import decision_tree
+        data = _li_prepared(spark, sf)
+        cands = candidates()
+        _, best, scores = cross_validate(data.where("split = 'train'"), ["l_discount"], _LI_LABEL, decision_tree(_LI_LABEL), cands,
+                                         lambda est, c: {est.maxDepth: c["max_depth"]})
+        assert best["effective"] == {"maxDepth": best["max_depth"]}
+        rows = {c["max_depth"]: float(s) for c, s in zip(cands, scores)}
+        return spark.createDataFrame(sorted(rows.items()), "max_depth int, mean_r2 double") \
+            .select("max_depth", F.round("mean_r2", 8).alias("mean_r2"))
+    return q
+
+
+def _grid_candidates():
+    from helioframe.models.search import expand_grid
+    return expand_grid({"max_depth": [0, 1]})
+
+
+def _drawn_candidates():
+    from helioframe.models.search import randint, sample_candidates
+    return sample_candidates({"max_depth": randint(0, 2)}, 12, seed=3)
+
+
+register("grid_search_stump", _SEARCH_SQL)(_stump_search(_grid_candidates))
+register("random_search_stump", _SEARCH_SQL)(_stump_search(_drawn_candidates))
 
 
 @register("random_search")
@@ -705,24 +971,48 @@ def _search_report(spark, cands, scores):
 
 @register("train_all")
 def train_all_q(spark, sf):
-    """The training stage with all six models and small search spaces."""
+    """The training stage with all six models: every search has a choice."""
+    from helioframe.models.search import randint
     from helioframe.plans.training_job import SearchConfig, train_all
-    li = S.testdata(spark, sf, "lineitem")
+    li = S.testdata(spark, sf, "lineitem").select("l_shipdate", *_LI_ORDER_REST[:2], _LI_LABEL, *_LI_FEATURES)
     cfg = SearchConfig(
         forest_space={"n_estimators": [10], "max_depth": [5, 10], "max_features": ["sqrt"],
                       "min_samples_leaf": [2], "bootstrap": [True]},
         forest_iter=2,
-        svr_grid={"kernel": ["linear"], "C": [1.0], "gamma": ["scale"], "epsilon": [0.1]},
-        ada_grid={"n_estimators": [3], "learning_rate": [0.1]},
-        bagging_space={"base_estimator": ["tree"], "n_estimators": [5], "bootstrap": [True],
-                       "base_max_depth": [6], "base_min_samples_leaf": [2]},
-        bagging_iter=1, folds=3, parallelism=2, svr_max_iter=30)
-    res = train_all(li, _LI_LABEL, time="l_shipdate", features=_LI_FEATURES, config=cfg,
-                    order_extra=tuple(_LI_ORDER_REST))
-    return res.metrics
+        svr_grid={"kernel": ["rbf"], "C": [1.0, 10.0], "gamma": ["scale"], "epsilon": [0.1]},
+        ada_grid={"n_estimators": [3], "learning_rate": [0.1, 1.0]},
+        bagging_space={"base_estimator": ["tree"], "n_estimators": randint(3, 8), "bootstrap": [True],
+                       "base_max_depth": randint(3, 8), "base_min_samples_leaf": [2]},
+        bagging_iter=2, folds=5, parallelism=2, svr_max_iter=30)
+    return train_all(li, _LI_LABEL, time="l_shipdate", config=cfg, order_extra=tuple(_LI_ORDER_REST[:2])).metrics
+
+
+@register("train_on_components")
+def train_on_components(spark, sf):
+    """Mean, OLS and a searched boosting on two principal components of the features."""
+    from helioframe.plans.training_job import SearchConfig, train_all
+    cfg = SearchConfig.principal_components()
+    cfg.ada_grid = {"n_estimators": [2], "learning_rate": [0.1, 1.0]}
+    return train_all(S.testdata(spark, sf, "lineitem"), _LI_LABEL, time="l_shipdate", features=_LI_FEATURES,
+                     models=("media", "rl", "ada"), config=cfg, order_extra=tuple(_LI_ORDER_REST), components=2).metrics
+
+
+@register("feature_split", """
+    SELECT round(regr_r2(l_extendedprice, l_quantity), 8) AS r2, 'l_quantity' AS features FROM lineitem""")
+def feature_split(spark, sf):
+    """The features are the columns that are neither label nor time; OLS on them."""
+    from helioframe.models.base import add_prediction, feature_columns
+    from helioframe.models.simple import fit_linear
+    from helioframe.operators.metrics import regression_metrics
+    li = S.testdata(spark, sf, "lineitem").select("l_shipdate", "l_quantity", _LI_LABEL)
+    features = feature_columns(li, _LI_LABEL, exclude=("l_shipdate",))
+    pred = add_prediction(fit_linear(li, features, _LI_LABEL), li, "p")
+    return regression_metrics(pred, _LI_LABEL, {"rl": "p"}).select(F.round("r2", 8).alias("r2"), F.lit(",".join(features)).alias("features"))
 
 
-@register("model_persist")
+@register("model_persist", f"""
+    {_LI_FIT_CTE}
+    SELECT l_orderkey, l_linenumber, idx, round(p_rl, 4) AS prediction FROM p""")
 def model_persist_q(spark, sf):
     """Fit OLS, save it to the shared folder, load it back and predict."""
     from helioframe.models.base import add_prediction
@@ -730,9 +1020,35 @@ def model_persist_q(spark, sf):
     from helioframe.session import scratch_path
     data = _li_prepared(spark, sf)
     path = scratch_path(spark, "model")
-    save_model(fit_linear(data.where("split = 'train'"), _LI_FEATURES, _LI_LABEL), path)
-    out = add_prediction(load_model(path), data, "prediction")
-    return out.select("l_orderkey", "l_linenumber", "idx", "prediction")
+    save_model(fit_linear(data.where("split = 'train'"), ["l_quantity"], _LI_LABEL), path)
+    out = add_prediction(load_model(path), data, "p")
+    return out.select("l_orderkey", "l_linenumber", "idx", F.round("p", 4).alias("prediction"))
+
+
+def _svr_small():
+    from helioframe.models.svr import EpsilonSVR
+    return EpsilonSVR(labelCol=_LI_LABEL, kernel="rbf", nComponents=10, maxIter=10)
+
+
+@register("persist_own_models", " UNION ALL ".join(
+    f"SELECT '{m}' AS model, count(*) AS n_rows, 0 AS n_different FROM lineitem" for m in ("bagging", "bagging_subspace", "adaboost", "svr")))
+def persist_own_models(spark, sf):
+    """Each model of the library saved in a pipeline, read back and compared row by row."""
+    from functools import reduce
+
+    from helioframe.models.base import add_prediction, pipeline
+    from helioframe.models.simple import load_model, save_model
+    from helioframe.session import scratch_path
+    li = S.testdata(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", _LI_LABEL, *_LI_FEATURES)
+    parts = []
+    for name, make in (("bagging", _bag), ("bagging_subspace", _bag_subspace), ("adaboost", _ada), ("svr", _svr_small)):
+        model = pipeline(_LI_FEATURES, make()).fit(li)
+        path = scratch_path(spark, "model")
+        save_model(model, path)
+        both = add_prediction(load_model(path), add_prediction(model, li, "p"), "q")
+        parts.append(both.agg(F.lit(name).alias("model"), F.count(F.lit(1)).alias("n_rows"),
+                              F.count_if(~F.col("p").eqNullSafe(F.col("q"))).cast("int").alias("n_different")))
+    return reduce(DataFrame.unionByName, parts)
 
 
 # ------------------------------------------------------- streaming ingest (S1-S5 incremental)
@@ -802,7 +1118,25 @@ def keyed_join(spark, sf):
     return read_by_keys(_raw(spark, sf), key_grid(spark, sf), tz=None)
 
 
-register("svr")(_fit_predict(_svr("rbf")))
+@register("svr", """
+    SELECT count(*) AS n_rows, true AS converged, true AS objective_as_stated, true AS below_ols FROM lineitem""")
+def svr_objective(spark, sf):
+    """Linear SVR: the solver ended by itself, its objective is the stated one
+    at its weights, and no greater than at the least-squares line."""
+    from helioframe.models.base import assembler
+    from helioframe.models.svr import EpsilonSVR
+    li = S.testdata(spark, sf, "lineitem").select("l_quantity", _LI_LABEL)
+    c, eps = 1e-3, 1000.0
+    m = EpsilonSVR(labelCol=_LI_LABEL, kernel="linear", C=c, epsilon=eps).fit(assembler(["l_quantity"]).transform(li))
+    slope, cut, n = li.agg(F.regr_slope(_LI_LABEL, "l_quantity"), F.regr_intercept(_LI_LABEL, "l_quantity"), F.count(F.lit(1))).first()
+
+    def objective(w, b):
+        over = F.greatest(F.abs(F.col(_LI_LABEL) - w * F.col("l_quantity") - b) - eps, F.lit(0.0))
+        return F.avg(over) + F.lit(w * w / (2 * c * n))
+
+    own, ols = objective(float(m.weights[0]), float(m.intercept)), objective(float(slope), float(cut))
+    return li.agg(F.count(F.lit(1)).alias("n_rows"), F.lit(m.converged).alias("converged"),
+                  (F.abs(own - m.objective) <= 1e-6 * m.objective).alias("objective_as_stated"), (F.lit(m.objective) <= ols).alias("below_ols"))
 
 
 @register("upsert_partial", """
@@ -823,3 +1157,33 @@ def upsert_partial(spark, sf):
     upsert(batch, table)
     out = read_partitioned(spark, table)
     return out.select("kks", "date", "time", r6("value").alias("value"))
+
+
+@register("upsert_wide", """
+    SELECT event_type || '_' || (user_id % 40) AS kks, CAST(ts AS DATE) AS date, ts AS "time",
+           round(max(CASE WHEN user_id % 2 = 0 THEN value * 2 ELSE value END), 6) AS value
+    FROM events GROUP BY 1, 2, 3""")
+def upsert_wide(spark, sf):
+    """A table of many tags, so of many (day, bucket) folders; the batch touches
+    every day and half of the tags. The rows of the other half must survive."""
+    from helioframe.session import scratch_path
+    from helioframe.sources.sinks import upsert
+    e = S.testdata(spark, sf, "events")
+    raw = (e.withColumn("kks", F.concat_ws("_", "event_type", F.col("user_id") % 40))
+           .groupBy("kks", "user_id", F.to_date("ts").alias("date"), F.col("ts").alias("time")).agg(F.max("value").alias("value")))
+    raw = raw.groupBy("kks", "date", "time").agg(F.max("value").alias("value"), F.max(F.col("user_id") % 2).alias("odd"))
+    table = scratch_path(spark, "upsert-wide")
+    upsert(raw, table, buckets=16)
+    upsert(raw.where("odd = 0").withColumn("value", F.col("value") * 2), table)
+    return _table_rows(spark, table)
+
+
+@register("sheet_scan", f"SELECT p_name AS plain_tag, {_SHEET_TAG_SQL} AS kks FROM part")
+def sheet_scan(spark, sf):
+    """The tag sheet written as CSV with a header, scanned as strings, tags normalised."""
+    from helioframe.operators.tagmeta import normalised_tags
+    from helioframe.session import scratch_path
+    path = scratch_path(spark, "sheet")
+    S.sheet_from_part(S.testdata(spark, sf, "part")).write.option("header", True).csv(path)
+    sheet = normalised_tags(S.read_sheet(spark, path))
+    return sheet.select(F.col("KKS").alias("plain_tag"), F.col("tag").alias("kks"))
