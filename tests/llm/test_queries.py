@@ -40,6 +40,41 @@ def test_pipeline_stages_pass_rows_on(spark, tmp_path):
     assert {r["doc_id"] for r in corpus_pipeline.run(spark, SF).select("doc_id").distinct().collect()} == ids
 
 
+def test_pipeline_stages_equal_brute_force(spark):
+    import numpy as np
+    import public_tokenizers
+    from test_setsketch import brute
+    from test_suffix import expected
+    from tokenizers import Tokenizer
+
+    from helioframe.llm import secrets, suffix_dedup
+
+    stages = dict(corpus_pipeline.STAGES)
+    docs = spark.read.parquet(f"{SF}/documents.parquet").orderBy("doc_id").cache()
+    rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
+
+    kept = stages["near_dedup"](spark, docs, SF)
+    assert sorted(r["doc_id"] for r in kept.collect()) == sorted({c for _, _, c in brute(rows, 5, 80)})
+
+    cut = {r["doc_id"]: (r["text"], r["n_chars"]) for r in stages["suffix_dedup"](spark, docs, SF).collect()}
+    for (doc, text), (_, removed, _, _) in zip(rows, expected([t for _, t in rows], suffix_dedup.LENGTH), strict=True):
+        assert cut[doc][0] == text if not removed else len(cut[doc][0].encode()) <= len(text.encode()) - removed
+        assert cut[doc][1] == len(cut[doc][0])
+
+    redacted = {r["doc_id"]: r["text"] for r in stages["secret_scan"](spark, docs, SF).collect()}
+    for doc, text in rows:
+        spans = secrets.Scanner().spans(text)
+        assert (redacted[doc] == text) == (not spans)
+        assert all(text[a:b] not in redacted[doc] for kind, a, b in spans if kind in secrets.BASE_KINDS)
+
+    library = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    pieces = stages["packing"](spark, docs, SF).toPandas()
+    tokens = pieces.groupby("doc_id").length.sum()
+    assert all(tokens[doc] == len(library.encode(text, add_special_tokens=False).ids) + 1 for doc, text in rows)
+    filled = pieces.groupby("sequence_id").length.sum()
+    assert filled.max() <= 4096 and len(filled) <= np.ceil(tokens.sum() / 4096) + 1
+
+
 def test_pipeline_on_no_rows(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES:
