@@ -36,6 +36,9 @@ HEADLINE = [
     "tag_overlap",
     "null_counts",
     "files_to_load",
+    "tree_stump",            # model fits: one tree, a weighted round, a converged solver
+    "ada_two_stumps",
+    "svr",
 ]
 
 
