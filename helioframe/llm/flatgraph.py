@@ -41,7 +41,7 @@ SAMPLE, MOST_CLUSTERS = 20_000, 1024
 #: Vectors of one label that a cluster is meant to hold.
 SHARD = 1000
 #: A vector joins all clusters whose cosine is this close to its best one.
-OVERLAP = 0.12
+OVERLAP = 0.06
 #: Neighbours: from the nearest, from random ones; candidates of each kind.
 NEAR, FAR, NEAR_CANDIDATES, FAR_CANDIDATES = 24, 8, 48, 24
 ALPHA = 1.2
