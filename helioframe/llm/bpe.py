@@ -29,7 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from helioframe.llm.common import bound_batches
+from helioframe.llm.common import bound_batches, held
 
 # The split pattern of the byte-level vocabulary.
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -255,13 +255,8 @@ class ByteLevelTokenizer:
         return raw.decode("utf-8", "replace").encode("utf-8")
 
 
-_LOADED: dict[str, ByteLevelTokenizer] = {}
-
-
 def tokenizer(path: str) -> ByteLevelTokenizer:
-    if path not in _LOADED:
-        _LOADED[path] = ByteLevelTokenizer(path)
-    return _LOADED[path]
+    return held(("bytes", path), lambda: ByteLevelTokenizer(path))
 
 
 def encoded(docs: DataFrame, path: str, ids: bool = True) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import math
 from collections.abc import Iterable, Iterator, Sequence
 from itertools import islice
@@ -47,6 +48,22 @@ def chunks(items: Iterable, size: int) -> Iterator[list]:
         yield part
 
 
+_HELD: list = []
+
+
+def held(key: tuple, make):
+    """``make()`` for this key, kept by the Python worker until it is asked for another key.
+
+    Workers serve one stage after the other; a stage's vocabulary and
+    remembered words are let go when another stage needs its own.
+    """
+    if not _HELD or _HELD[0] != key:
+        _HELD.clear()
+        gc.collect()
+        _HELD[:] = [key, make()]
+    return _HELD[1]
+
+
 class Scratch:
     """Tables written to the shared checkpoint folder; :meth:`drop` removes those no longer read."""
 

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from helioframe.llm.common import bound_batches, grouped
+from helioframe.llm.common import bound_batches, grouped, held
 
 SAMPLE_PER_LANGUAGE = 150
 SAMPLE_CHARS = 20_000
@@ -39,7 +39,7 @@ SAMPLE_CHARS = 20_000
 BUCKETS = 1 << 16
 SEQUENCE, STEP, EPOCHS, RATE = 64, 96, 4, 0.3
 #: Words a Python worker remembers, and code points it labels at once.
-CACHED_WORDS = 400_000
+CACHED_WORDS = 300_000
 GROUP_CHARS = 2 << 20
 #: Words in a block; blocks are joined by their transfer matrices.
 BLOCK = 32
@@ -300,9 +300,6 @@ class Labeller:
         return out
 
 
-_LABELLERS: dict[str, Labeller] = {}
-
-
 def held_out(docs: DataFrame):
     """Whether a row is kept from training: the CRC-32 of its id as text leaves 1 modulo 3."""
     return F.coalesce(F.crc32(F.encode(docs["doc_id"].cast("string"), "UTF-8")) % 3 == 1, F.lit(False))
@@ -325,13 +322,10 @@ def trained(docs: DataFrame) -> Field | None:
 def _labelled(field: Field | None, texts: list[str]) -> tuple[list[str], list[float]]:
     if field is None:
         return [UNKNOWN] * len(texts), [0.0] * len(texts)
-    key = str(zlib.crc32(field.weights.tobytes()))
-    if key not in _LABELLERS:
-        _LABELLERS.clear()
-        _LABELLERS[key] = Labeller(field)
+    labeller = held(("language", zlib.crc32(field.weights.tobytes())), lambda: Labeller(field))
     names, scores = [], []
     for group in grouped(texts, GROUP_CHARS, len):
-        for found in _LABELLERS[key].label(group):
+        for found in labeller.label(group):
             share = found.mean(axis=0) if len(found) else None
             names.append(UNKNOWN if share is None else field.languages[int(share.argmax())])
             scores.append(0.0 if share is None else min(float(share.max()), 1.0))

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from helioframe.llm.bpe import WORD_END, PairEncoder, WordIds
-from helioframe.llm.common import Scratch, bound_batches, rank_within
+from helioframe.llm.common import Scratch, bound_batches, held, rank_within
 
 CAPACITY = 4096
 END_ID = 2
@@ -41,8 +41,6 @@ SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 # case or normal form may differ from Python's there.
 _UNUSUAL = re.compile("[^\t\n\r\x20-\x7e¡-¬®-įı-ž‐-‧‰-›€]|<\\|")
 
-_ENCODERS: dict = {}
-
 
 class WordEncoder:
     """Ids of a lower-casing vocabulary with word ends; words between white space are encoded once and remembered."""
@@ -70,6 +68,8 @@ class WordEncoder:
     def _word(self, word: str) -> bytes:
         if word.isalpha():
             return self._piece(word)
+        if word[-1] in ",.;:" and word[:-1].isalpha():
+            return self.words[word[:-1]] + self.words[word[-1]]
         pieces = self.split(word)
         return self._piece(word) if len(pieces) == 1 else b"".join(map(self.words.__getitem__, pieces))
 
@@ -83,9 +83,7 @@ class WordEncoder:
 
 
 def encoder(path: str) -> WordEncoder:
-    if path not in _ENCODERS:
-        _ENCODERS[path] = WordEncoder(path)
-    return _ENCODERS[path]
+    return held(("words", path), lambda: WordEncoder(path))
 
 
 def tokenized(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
