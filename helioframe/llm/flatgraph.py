@@ -2,8 +2,9 @@
 
 1. Equal vectors of a label collapse to one class. Centroids are fitted on a
    bounded sample (``SAMPLE`` vectors); a vector goes to every cluster whose
-   centroid is nearly as close as the closest one, so the shards (a cluster of
-   one label) overlap and close vectors share at least one.
+   border to its closest one is at most half as far as the radius allows two
+   vectors to be apart, so the shards (a cluster of one label) overlap and any
+   two vectors to be linked share at least one (see :func:`margins`).
 2. In each shard every vector picks its neighbours from the nearest and some
    random ones by robust pruning: a candidate is dropped if a chosen neighbour
    is closer to it by a factor. Links back are added and pruned alike.
@@ -40,8 +41,6 @@ from helioframe.llm.common import Scratch, bound_batches, components
 SAMPLE, MOST_CLUSTERS = 20_000, 1024
 #: Vectors of one label that a cluster is meant to hold.
 SHARD = 1000
-#: A vector joins all clusters whose cosine is this close to its best one.
-OVERLAP = 0.06
 #: Neighbours: from the nearest, from random ones; candidates of each kind.
 NEAR, FAR, NEAR_CANDIDATES, FAR_CANDIDATES = 24, 8, 48, 24
 ALPHA = 1.2
@@ -65,6 +64,18 @@ def centroids(x: np.ndarray, k: int, rounds: int = 8) -> np.ndarray:
     return c
 
 
+def margins(c: np.ndarray, radius: float) -> np.ndarray:
+    """How much less than the best centroid's a centroid's product with a vector may be for the vector to join it (row: best).
+
+    Vectors x and y of cosine ``radius`` are ``d = sqrt(2 - 2 radius)`` apart.
+    With best centroids a and b, x.(a - b) + y.(b - a) = (x - y).(a - b) is at
+    most d |a - b|, so one of the two is at most half of that: x joins y's
+    cluster or y joins x's.
+    """
+    apart = np.array([np.linalg.norm(c - v, axis=1) for v in c])
+    return math.sqrt(max(2 - 2 * radius, 0)) / 2 * apart + 1e-9
+
+
 def robust_prune(own: np.ndarray, x: np.ndarray, candidates: np.ndarray, most: int, alpha: float = ALPHA) -> np.ndarray:
     """For vectors ``own``: which of their ``candidates`` (rows of ``x``, nearest first, -1: none) stay, at most ``most``."""
     vectors = x[candidates]
@@ -232,7 +243,7 @@ def _valid(vector):
     return F.coalesce(finite & F.exists(vector, lambda v: v != 0), F.lit(False))
 
 
-def _shards(classes: DataFrame, sample: int, shard: int, overlap: float) -> DataFrame:
+def _shards(classes: DataFrame, sample: int, shard: int, overlap: float, radius: float) -> DataFrame:
     """``(nid, label, dim, cluster, clusters, copies, embedding)``: classes in each of their shards."""
     largest = classes.groupBy("label").count().agg(F.max("count")).first()[0] or 0
     k = min(MOST_CLUSTERS, math.ceil(largest / shard))
@@ -242,6 +253,7 @@ def _shards(classes: DataFrame, sample: int, shard: int, overlap: float) -> Data
         for dim in {r["dim"] for r in rows}:
             x = _unit([r["embedding"] for r in rows if r["dim"] == dim])
             fitted[dim] = centroids(x, min(k, len(x)))
+    margin = {dim: np.maximum(margins(c, radius), overlap) for dim, c in fitted.items()}
 
     def run(batches):
         for batch in batches:
@@ -249,7 +261,8 @@ def _shards(classes: DataFrame, sample: int, shard: int, overlap: float) -> Data
             for dim, vector in zip(batch.column("dim").to_pylist(), batch.column("embedding").to_pylist(), strict=True):
                 if dim in fitted:
                     near = fitted[dim] @ _unit([vector])[0]
-                    out.append(np.flatnonzero(near >= near.max() - overlap).tolist())
+                    best = int(near.argmax())
+                    out.append(np.flatnonzero(near >= near[best] - margin[dim][best]).tolist())
                 else:
                     out.append([0])
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.list_(pa.int64()))], names=[*batch.schema.names, "clusters"])
@@ -259,8 +272,12 @@ def _shards(classes: DataFrame, sample: int, shard: int, overlap: float) -> Data
 
 
 def near_duplicates(vectors: DataFrame, radius: float = 0.98, sample: int = SAMPLE, shard: int = SHARD,
-                    overlap: float = OVERLAP) -> DataFrame:
-    """``(vec_id, n_links, component_id, kept, audited_links)``: one row a vector; links of cosine ``radius`` or more within a label."""
+                    overlap: float = 0.0) -> DataFrame:
+    """``(vec_id, n_links, component_id, kept, audited_links)``: one row a vector; links of cosine ``radius`` or more within a label.
+
+    ``overlap`` is a least margin by which vectors join further clusters, on
+    top of the one that the radius needs.
+    """
     spark = vectors.sparkSession
     bound_batches(spark)
     scratch = Scratch(spark)
@@ -269,7 +286,7 @@ def near_duplicates(vectors: DataFrame, radius: float = 0.98, sample: int = SAMP
     classes = scratch.keep(
         vectors.where(usable).groupBy("label", "embedding").agg(F.min("vec_id").alias("vec_id"), F.count(F.lit(1)).alias("copies"))
         .withColumns({"dim": F.size("embedding").cast("long"), "nid": F.monotonically_increasing_id()}), "vectors")
-    sharded = scratch.keep(_shards(classes, sample, shard, overlap), "shards")
+    sharded = scratch.keep(_shards(classes, sample, shard, overlap, radius), "shards")
 
     def neighbours(_, columns):
         nid, vector = columns

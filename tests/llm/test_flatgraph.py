@@ -66,3 +66,42 @@ def test_robust_prune_keeps_the_nearest_and_drops_what_it_covers():
     kept = fg.robust_prune(x[:1], x, np.array([[1, 2, 3]]), most=3)
     assert kept.tolist() == [[True, False, False]] or kept.tolist() == [[True, False, True]]
     assert not fg.robust_prune(x[:1], x, np.array([[-1, -1, -1]]), most=3).any()
+
+
+def planted(rank, n=4000, seed=3):
+    """Vectors of low rank, so that many lie at cluster borders, and a partner of cosine 0.981 for every fourth."""
+    rng = np.random.default_rng(seed)
+    space = np.linalg.qr(rng.normal(size=(64, rank)))[0].T
+    x = rng.normal(size=(n, rank))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    away = rng.normal(size=(n // 4, rank))
+    away -= (away * x[::4]).sum(axis=1, keepdims=True) * x[::4]
+    away /= np.linalg.norm(away, axis=1, keepdims=True)
+    x, y = x @ space, (0.981 * x[::4] + np.sqrt(1 - 0.981**2) * away) @ space
+    return x, y
+
+
+def test_linked_vectors_share_a_shard():
+    for rank in (4, 16):
+        x, y = planted(rank)
+        c = fg.centroids(x, 18)
+        margin = fg.margins(c, 0.98)
+
+        def joined(v):
+            near = v @ c.T
+            best = near.argmax(axis=1)
+            return near >= near.max(axis=1)[:, None] - margin[best]
+
+        assert (joined(x[::4]) & joined(y)).any(axis=1).all()
+
+
+def test_recall_of_planted_pairs_with_defaults(spark):
+    x, y = planted(4, 8000)
+    rows = [(i, 1, v.tolist()) for i, v in enumerate(np.concatenate([x, y]))]
+    out = fg.near_duplicates(spark.createDataFrame(rows, "vec_id long, label int, embedding array<double>"))
+    got = {r["vec_id"]: r["n_links"] for r in out.select("vec_id", "n_links").collect()}
+    z = np.concatenate([x, y])
+    want = (z @ z.T >= 0.98).sum(axis=1) - 1
+    found = sum(min(got[i], int(w)) for i, w in enumerate(want))
+    print("recall", found, int(want.sum()))
+    assert found >= 0.999 * want.sum()
