@@ -14,6 +14,9 @@
    itself, then the range is expanded from every vector found near the radius.
    Similarities are cosines in double precision, so what is found is verified.
    A pair that shares several shards is counted in the first of them.
+   Shards of more than ``LARGEST`` vectors have no graph: they are dealt into
+   blocks by a hash, and each two blocks (a cell) are compared as a whole, so a
+   large group of near copies is spread over tasks of bounded size.
 5. Connected components of the links.
 
 :func:`audit` counts the links of a bounded sample of queries against all rows
@@ -41,6 +44,8 @@ from helioframe.llm.common import Scratch, bound_batches, components
 SAMPLE, MOST_CLUSTERS = 20_000, 1024
 #: Vectors of one label that a cluster is meant to hold.
 SHARD = 1000
+#: Vectors of a shard that one task searches, or about those of a cell of a larger shard.
+LARGEST = 4096
 #: Neighbours: from the nearest, from random ones; candidates of each kind.
 NEAR, FAR, NEAR_CANDIDATES, FAR_CANDIDATES = 24, 8, 48, 24
 ALPHA = 1.2
@@ -127,6 +132,11 @@ def build(x: np.ndarray, seed: int = 1, block: int = 256) -> list[np.ndarray]:
     return lists
 
 
+#: What tells a shard, and a cell of one.
+KEY = ("label", "dim", "cluster")
+CELL = (*KEY, "lo", "hi")
+
+
 class Shard:
     """Vectors of one shard and the united lists of neighbours among them."""
 
@@ -173,8 +183,9 @@ class Shard:
             if not len(frontier):
                 break
             expanded[frontier] = True
-            new = np.unique(self.lists[frontier])
-            new = new[~seen[new]]
+            new = np.zeros(n + 1, bool)
+            new[self.lists[frontier]] = True
+            new = np.flatnonzero(new & ~seen)
             seen[new] = True
             sims[new] = self.x[new] @ self.x[query]
         sims[query] = -3
@@ -208,14 +219,50 @@ class Shard:
         return sims, seen
 
 
+class Links:
+    """Counts of links and components of the vectors of a shard or cell, from blocks of linked pairs as they are found."""
+
+    def __init__(self, copies: list[int], clusters: list[list[int]], own: int):
+        n = len(copies)
+        self.weight = np.array(copies, np.float64)
+        self.links, self.head = np.zeros(n), np.arange(n)
+        before = sorted({c for cs in clusters for c in cs if c < own})
+        place = {c: i for i, c in enumerate(before)}
+        self.member = np.zeros((n, len(before)), np.float32)
+        for i, cs in enumerate(clusters):
+            self.member[i, [place[c] for c in cs if c < own]] = 1
+
+    def add(self, rows: np.ndarray, columns: np.ndarray, near: np.ndarray) -> None:
+        """Pairs ``(rows[i], columns[j])`` where ``near[i, j]``; each pair comes once."""
+        # A pair counts in the first cluster that both are in.
+        here = (near & (self.member[rows] @ self.member[columns].T == 0)).astype(np.float64)
+        self.links[rows] += here @ self.weight[columns]
+        self.links[columns] += self.weight[rows] @ here
+        for i, linked in zip(rows[near.any(axis=1)], near[near.any(axis=1)], strict=True):
+            heads = self.head[columns[linked]]
+            if (heads != self.head[i]).any():
+                heads = np.unique(np.append(heads, self.head[i]))
+                self.head[np.isin(self.head, heads)] = heads[0]
+
+
+def compare(x: np.ndarray, block: np.ndarray, lo: int, hi: int, radius: float, links: Links, step: int = 256) -> None:
+    """Add the linked pairs of a cell: of vectors in block ``lo`` with those in block ``hi``."""
+    first, second = np.flatnonzero(block == lo), np.flatnonzero(block == hi)
+    for a in range(0, len(first), step):
+        rows = first[a:a + step]
+        near = x[rows] @ x[second].T >= radius
+        if lo == hi:
+            near &= rows[:, None] < second[None]
+        links.add(rows, second, near)
+
+
 def _unit(vectors: list) -> np.ndarray:
     x = np.array(vectors, np.float64)
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-def _per_shard(frame: DataFrame, columns: list[str], work, schema: str) -> DataFrame:
-    """``work(columns as lists)`` for each shard; yields record batches. Rows of a shard are put next to each other."""
-    key = ["label", "dim", "cluster"]
+def _per_shard(frame: DataFrame, columns: list[str], work, schema: str, key: tuple[str, ...] = KEY) -> DataFrame:
+    """``work(key, columns as lists)`` for each shard; yields record batches. Rows of a shard are put next to each other."""
     names = [c.strip().split(" ")[0] for c in schema.split(",")]
     kinds = {"long": pa.int64(), "array<long>": pa.list_(pa.int64())}
     types = [kinds[c.strip().split(" ")[1]] for c in schema.split(",")]
@@ -227,11 +274,11 @@ def _per_shard(frame: DataFrame, columns: list[str], work, schema: str) -> DataF
         held, shard = None, None
         for batch in batches:
             for row in zip(*(batch.column(c).to_pylist() for c in (*key, *columns)), strict=True):
-                if row[:3] != shard:
+                if row[:len(key)] != shard:
                     if held:
                         yield record(work(shard, [list(c) for c in zip(*held, strict=True)]))
-                    held, shard = [], row[:3]
-                held.append(row[3:])
+                    held, shard = [], row[:len(key)]
+                held.append(row[len(key):])
         if held:
             yield record(work(shard, [list(c) for c in zip(*held, strict=True)]))
 
@@ -271,8 +318,20 @@ def _shards(classes: DataFrame, sample: int, shard: int, overlap: float, radius:
     return classes.mapInArrow(run, schema).withColumn("cluster", F.explode("clusters"))
 
 
+def split(sharded: DataFrame, largest: int = LARGEST) -> tuple[DataFrame, DataFrame]:
+    """Shards of at most ``largest`` vectors, and the others in cells ``(lo, hi)`` of two blocks of about half as many."""
+    # At most one in ``largest`` rows, so small enough to broadcast.
+    large = (sharded.groupBy(*KEY).agg(F.count(F.lit(1)).alias("blocks")).where(F.col("blocks") > largest)
+             .withColumn("blocks", F.ceil(F.col("blocks") * 2 / largest)))
+    dealt = sharded.join(F.broadcast(large), [*KEY], "left")
+    cells = (dealt.where("blocks is not null").withColumn("block", F.pmod(F.xxhash64("nid"), "blocks"))
+             .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+             .withColumns({"lo": F.least("block", "other"), "hi": F.greatest("block", "other")}).drop("blocks", "other"))
+    return dealt.where("blocks is null").drop("blocks"), cells
+
+
 def near_duplicates(vectors: DataFrame, radius: float = 0.98, sample: int = SAMPLE, shard: int = SHARD,
-                    overlap: float = 0.0) -> DataFrame:
+                    overlap: float = 0.0, largest: int = LARGEST) -> DataFrame:
     """``(vec_id, n_links, component_id, kept, audited_links)``: one row a vector; links of cosine ``radius`` or more within a label.
 
     ``overlap`` is a least margin by which vectors join further clusters, on
@@ -286,7 +345,7 @@ def near_duplicates(vectors: DataFrame, radius: float = 0.98, sample: int = SAMP
     classes = scratch.keep(
         vectors.where(usable).groupBy("label", "embedding").agg(F.min("vec_id").alias("vec_id"), F.count(F.lit(1)).alias("copies"))
         .withColumns({"dim": F.size("embedding").cast("long"), "nid": F.monotonically_increasing_id()}), "vectors")
-    sharded = scratch.keep(_shards(classes, sample, shard, overlap, radius), "shards")
+    sharded, cells = split(scratch.keep(_shards(classes, sample, shard, overlap, radius), "shards"), largest)
 
     def neighbours(_, columns):
         nid, vector = columns
@@ -300,40 +359,29 @@ def near_duplicates(vectors: DataFrame, radius: float = 0.98, sample: int = SAMP
         nid, vector, copies, clusters, neighbours_ = columns
         place = {v: i for i, v in enumerate(nid)}
         graph_ = Shard(_unit(vector), [np.array([place[v] for v in vs or () if v in place], np.int64) for vs in neighbours_])
-        n = len(nid)
-        pairs = []
-        for i in range(n):
-            found = graph_.within(i, radius)
-            pairs.append(np.minimum(found, i) * n + np.maximum(found, i))
-        a, b = np.divmod(np.unique(np.concatenate(pairs)), n)  # found from either side
-        # The pair counts in the first cluster that both are in.
-        words = max(max(c) for c in clusters) // 63 + 1
-        member = np.zeros((n, words), np.int64)
-        for i, cs in enumerate(clusters):
-            for c in cs:
-                member[i, c // 63] |= 1 << (c % 63)
-        own, bit = divmod(key[2], 63)
-        shared = member[a] & member[b]
-        here = ~shared[:, :own].any(axis=1) & ((shared[:, own] & ((1 << bit) - 1)) == 0)
-        weight = np.array(copies, np.int64)
-        links = np.zeros(n, np.int64)
-        np.add.at(links, a[here], weight[b[here]])
-        np.add.at(links, b[here], weight[a[here]])
-        head = list(range(n))
-
-        def root(i):
-            while head[i] != i:
-                head[i] = i = head[head[i]]
-            return i
-
-        for x, y in zip(a.tolist(), b.tolist(), strict=True):
-            x, y = root(x), root(y)
-            if x != y:
-                head[max(x, y)] = min(x, y)
-        return nid, links, [nid[root(i)] for i in range(n)]
-
-    found = scratch.keep(_per_shard(sharded.join(united, "nid", "left"), ["nid", "embedding", "copies", "clusters", "neighbours"],
-                                    search, "nid long, links long, head long"), "found")
+        every = np.arange(len(nid))
+        near = np.zeros((len(nid), len(nid)), bool)
+        for i in range(len(nid)):
+            near[i, graph_.within(i, radius)] = True
+        near = np.triu(near | near.T)  # found from either side
+        links = Links(copies, clusters, key[2])
+        for a in range(0, len(nid), 256):
+            links.add(every[a:a + 256], every, near[a:a + 256])
+        return nid, links.links.astype(np.int64), np.array(nid, np.int64)[links.head]
+
+    def cell(key, columns):
+        nid, vector, copies, clusters, block = columns
+        links = Links(copies, clusters, key[2])
+        compare(_unit(vector), np.array(block, np.int64), *key[3:], radius, links)
+        # Cells of one block give a row for each vector, the others for linked ones.
+        told = np.flatnonzero((key[3] == key[4]) | (links.links > 0) | (links.head != np.arange(len(nid))))
+        ids = np.array(nid, np.int64)
+        return ids[told], links.links[told].astype(np.int64), ids[links.head[told]]
+
+    out = "nid long, links long, head long"
+    searched = _per_shard(sharded.join(united, "nid", "left"), ["nid", "embedding", "copies", "clusters", "neighbours"], search, out)
+    compared = _per_shard(cells, ["nid", "embedding", "copies", "clusters", "block"], cell, out, CELL)
+    found = scratch.keep(searched.unionAll(compared), "found")
     counts = found.groupBy("nid").agg(F.sum("links").alias("links"))
     linked = components(spark, found.where("nid <> head").select(F.col("nid").alias("a"), F.col("head").alias("b")))
     each = (classes.join(counts, "nid").join(linked, F.col("nid") == F.col("node"), "left")

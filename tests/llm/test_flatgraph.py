@@ -105,3 +105,26 @@ def test_recall_of_planted_pairs_with_defaults(spark):
     found = sum(min(got[i], int(w)) for i, w in enumerate(want))
     print("recall", found, int(want.sum()))
     assert found >= 0.999 * want.sum()
+
+
+def test_large_shards_are_compared_in_cells(spark):
+    rows = fixture_rows()
+    vectors = spark.createDataFrame(rows, "vec_id long, label int, embedding array<float>")
+    for shard in (1000, 60):
+        out = fg.near_duplicates(vectors, shard=shard, largest=40)
+        assert sorted(((r["vec_id"], r["n_links"], r["component_id"]) for r in out.collect()), key=str) == brute(rows, 0.98)
+
+
+def test_hot_group_is_spread_over_cells(spark):
+    rng = np.random.default_rng(9)
+    x = rng.normal(size=64) + rng.normal(size=(6000, 64)) * 0.11
+    rows = [(i, 1, v.tolist()) for i, v in enumerate(x)]
+    vectors = spark.createDataFrame(rows, "vec_id long, label int, embedding array<double>")
+    whole, cells = fg.split(vectors.selectExpr("vec_id as nid", "label", "64L as dim", "0L as cluster"))
+    assert whole.count() == 0
+    assert max(r["count"] for r in cells.groupBy(*fg.CELL).count().collect()) <= 1.1 * fg.LARGEST
+    got = {r["vec_id"]: r["n_links"] for r in fg.near_duplicates(vectors).collect()}
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    want = (x @ x.T >= 0.98).sum(axis=1) - 1
+    assert want.sum() > 1_000_000
+    assert [got[i] for i in range(len(x))] == want.tolist()
