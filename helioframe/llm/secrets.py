@@ -54,7 +54,7 @@ _CANDIDATE = re.compile(rb"[A-Za-z0-9+/=_-]{20,}")
 #: Candidates that match one of these as a whole are harmless.
 ALLOW = (rb"[A-Za-z]+",  # words
          rb"[0-9_=+/-]+",  # numbers and rules
-         rb"[A-Z]?[a-z]*([_/-]+[A-Z]?[a-z]*)+[0-9]{0,4}", rb"[A-Z]*([_/-]+[A-Z]*)+[0-9]{0,4}",  # identifiers and paths
+         rb"[A-Z]?[a-z]*([_/-][A-Z]?[a-z]*)+[0-9]{0,4}", rb"[A-Z]*([_/-][A-Z]*)+[0-9]{0,4}",  # identifiers and paths
          rb"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}")  # UUIDs
 
 

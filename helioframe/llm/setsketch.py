@@ -77,7 +77,7 @@ def shingle_sets(texts: list[bytes], words: int) -> list[np.ndarray]:
     word = _mixed(np.add.reduceat(value, first) + size.astype(np.uint64) * _MIX[3])
     # Shingles of ``words`` words from each word on, whichever text they reach into.
     many = np.zeros(max(len(word) - words + 1, 0), np.uint64)
-    for k in range(words):
+    for k in range(words if len(many) else 0):
         many = many * _MIX[3] + word[k:len(word) - words + 1 + k]
     many = _mixed(many + np.uint64(words))
     begin = np.cumsum([0, *(len(t) + 1 for t in texts)])

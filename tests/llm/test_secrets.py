@@ -1,6 +1,8 @@
 import hashlib
+import itertools
 import math
 import re
+import time
 from collections import Counter
 
 import pytest
@@ -72,3 +74,17 @@ def test_query_digest(spark, tmp_path):
 @pytest.mark.parametrize("kind", s.CLASSES)
 def test_thresholds_can_be_reached(kind):
     assert kind.bits < math.log2(kind.window)
+
+
+def test_runs_of_separators_take_linear_time():
+    # One separator a step: same strings as a run a step, but only one way to match.
+    old = re.compile(rb"[A-Z]?[a-z]*([_/-]+[A-Z]?[a-z]*)+[0-9]{0,4}|[A-Z]*([_/-]+[A-Z]*)+[0-9]{0,4}")
+    new = re.compile(b"|".join(s.ALLOW[2:4]))
+    for n in range(6):
+        for t in itertools.product(b"aB-_1", repeat=n):
+            assert bool(old.fullmatch(bytes(t))) == bool(new.fullmatch(bytes(t)))
+    began = time.process_time()
+    for run in ("-" * 10_000, "_/-" * 3_400, "-" * 40):
+        for text in (f"a{run}1b2", f"A{run}1b2", f"aB{run}cD1b2", f"a{run}"):
+            s.Scanner().spans(text)
+    assert time.process_time() - began < 10

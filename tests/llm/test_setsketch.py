@@ -89,3 +89,12 @@ def test_sketches_do_not_depend_on_the_batch():
     sets = [np.unique(rng.integers(0, 2**63, n).astype(np.uint64)) for n in (1, 3, 50, 4000)]
     together = ss.sketches(sets)
     assert all((ss.sketches([s])[0] == m).all() for s, m in zip(sets, together, strict=True))
+
+
+@pytest.mark.parametrize("words", [4, 5])
+def test_few_words_in_all(words):
+    for n in range(1, 6):
+        text = " ".join("abcde"[:n])
+        assert [len(v) for v in ss.shingle_sets([text.encode()], words)] == [1]
+        one = ss.shingle_sets([text.encode(), b"a b c d e f g"], words)[0]
+        assert np.array_equal(ss.shingle_sets([text.encode()], words)[0], one)
