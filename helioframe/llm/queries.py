@@ -127,6 +127,13 @@ def op10_packing(spark, sf_dir):
     return pack(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
 
 
-QUERIES = {f.__name__: f for f in (op1_flatgraph, op2_suffix_array, op3_sharding, op4_setsketch, op5_langid, op6_chat, op7_bpe, op8_winnowing, op9_secrets, op10_packing)}
+def op11_sentence_pieces(spark, sf_dir):
+    from helioframe.llm.sentence_pieces import encoded
+
+    return encoded(table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"), ids=False)
+
+
+QUERIES = {f.__name__: f for f in (op1_flatgraph, op2_suffix_array, op3_sharding, op4_setsketch, op5_langid, op6_chat, op7_bpe, op8_winnowing, op9_secrets, op10_packing,
+                                op11_sentence_pieces)}
 
 ORACLE_SQL: dict[str, str] = {"op4_setsketch": near_duplicate_sql(4, 80), "op6_chat": OP6_SQL}
