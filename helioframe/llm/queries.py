@@ -133,7 +133,40 @@ def op11_sentence_pieces(spark, sf_dir):
     return encoded(table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"), ids=False)
 
 
+def op13_bag_search(spark, sf_dir):
+    from helioframe.llm.bag_search import ranked
+
+    return ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), top=10)
+
+
+OP13_SQL = r"""
+with doc as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') as w from documents),
+total as (select count(*) as big_n, sum(len(w)) as big_l from doc where len(w) > 0),
+asked as (
+  select item_id, term, count(*) as q from (
+    select item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                              '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term from benchmark)
+  group by item_id, term),
+tf as (
+  select doc_id, n, term, count(*) as tf from (select doc_id, len(w) as n, unnest(w) as term from doc)
+  where term in (select term from asked) group by doc_id, n, term),
+weight as (
+  select term, cast(floor(1000 * ln((2 * any_value(big_n) + 2)::double / (2 * count(*) + 1))) as bigint) as weight
+  from tf, total group by term),
+score as (
+  select item_id, doc_id, cast(sum(q * weight * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * big_n) // big_l)))) as bigint) as score
+  from asked join tf using (term) join weight using (term), total group by item_id, doc_id),
+place as (
+  select item_id, cast(row_number() over (partition by item_id order by score desc, doc_id) as integer) as rank, doc_id, score
+  from score where score > 0)
+select item_id, rank, doc_id, score from place where rank <= 10
+"""
+
+
 QUERIES = {f.__name__: f for f in (op1_flatgraph, op2_suffix_array, op3_sharding, op4_setsketch, op5_langid, op6_chat, op7_bpe, op8_winnowing, op9_secrets, op10_packing,
-                                op11_sentence_pieces)}
+                                op11_sentence_pieces, op13_bag_search)}
 
-ORACLE_SQL: dict[str, str] = {"op4_setsketch": near_duplicate_sql(4, 80), "op6_chat": OP6_SQL}
+ORACLE_SQL: dict[str, str] = {"op4_setsketch": near_duplicate_sql(4, 80), "op6_chat": OP6_SQL,
+                             "op13_bag_search": OP13_SQL}

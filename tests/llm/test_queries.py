@@ -11,7 +11,7 @@ SF = "/root/testdata/sf0.001"
 @pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
 def test_oracles(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "conversations"):
+    for t in ("documents", "conversations", "benchmark"):
         con.sql(f"create view {t} as select * from '{SF}/{t}.parquet'")
     got = queries.QUERIES[name](spark, SF)
     want = con.sql(queries.ORACLE_SQL[name]).select(*got.columns).fetchall()
