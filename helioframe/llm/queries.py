@@ -133,6 +133,41 @@ def op11_sentence_pieces(spark, sf_dir):
     return encoded(table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"), ids=False)
 
 
+def op12_collocations(spark, sf_dir):
+    from helioframe.llm.collocations import collocations
+
+    return (collocations(table(spark, sf_dir, "documents"), least=30, longest=4, top=2000)
+            .select("lang", "rank", "phrase", "a", "l", "r", "n", "score"))
+
+
+OP12_SQL = r"""
+with piece as (
+  select coalesce(lang, 'und') as lang, unnest(regexp_split_to_array(translate(coalesce(text, ''),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) as piece from documents),
+words as (select lang, regexp_extract_all(piece, '[^\x20\x09]+') as w from piece),
+total as (select lang, cast(sum(len(w)) as bigint) as n from words group by lang),
+gram as (
+  select lang, m, unnest(list_transform(range(1, len(w) - m + 2), lambda i: w[i:i + m - 1])) as g
+  from words, (values (1), (2), (3), (4)) as size(m) where len(w) >= m),
+f as (select lang, m, g, count(*) as a from gram group by lang, m, g having count(*) >= 30),
+cut as (
+  select c.lang, c.m, c.g, c.a, k, h.a as l, r.a as r, cast((2000000::hugeint * c.a) // (h.a + r.a) as bigint) as score
+  from f c, (values (1), (2), (3)) as place(k), f h, f r
+  where k < c.m and h.lang = c.lang and r.lang = c.lang and h.g = c.g[1:k] and r.g = c.g[k + 1:]),
+weakest as (select *, row_number() over (partition by lang, g order by score, k) as turn from cut),
+inner_part as (
+  select lang, unnest(list_transform(range(1, m - s + 2), lambda i: g[i:i + s - 1])) as g, a as longer
+  from f, (values (2), (3)) as size(s) where s < m),
+covered as (
+  select distinct lang, g from inner_part join (select lang, g, a from f) using (lang, g) where 100::hugeint * longer >= 80::hugeint * a),
+place as (
+  select lang, array_to_string(g, ' ') as phrase, a, l, r, score,
+         row_number() over (partition by lang order by score desc, a desc, array_to_string(g, ' ')) as rank
+  from weakest where turn = 1 and (lang, g) not in (select lang, g from covered))
+select lang, rank, phrase, a, l, r, n, score from place join total using (lang) where rank <= 2000
+"""
+
+
 def op13_bag_search(spark, sf_dir):
     from helioframe.llm.bag_search import ranked
 
@@ -166,7 +201,7 @@ select item_id, rank, doc_id, score from place where rank <= 10
 
 
 QUERIES = {f.__name__: f for f in (op1_flatgraph, op2_suffix_array, op3_sharding, op4_setsketch, op5_langid, op6_chat, op7_bpe, op8_winnowing, op9_secrets, op10_packing,
-                                op11_sentence_pieces, op13_bag_search)}
+                                op11_sentence_pieces, op12_collocations, op13_bag_search)}
 
 ORACLE_SQL: dict[str, str] = {"op4_setsketch": near_duplicate_sql(4, 80), "op6_chat": OP6_SQL,
-                             "op13_bag_search": OP13_SQL}
+                             "op12_collocations": OP12_SQL, "op13_bag_search": OP13_SQL}
