@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from helioframe.models.persist import StoredModel
-from helioframe.models.trees import Tree, ensemble
+from helioframe.models.trees import Tree, ensemble, weighted_median
 from helioframe.session import discard, ensure_checkpoint_dir, materialize
 
 # Rounds between two writes of the weights.
@@ -122,10 +122,6 @@ class AdaBoostR2Model(Model, _AdaParams, StoredModel):
         trees, alphas = self.trees, np.array(self.alphas)
 
         def median(x):
-            # The first prediction, in ascending order, whose running weight reaches half of all.
-            p = np.stack([t.predict(x) for t in trees], axis=1)
-            order = np.argsort(p, axis=1, kind="stable")
-            reached = np.cumsum(alphas[order], axis=1) >= 0.5 * alphas.sum() * (1 - 1e-12)
-            return np.take_along_axis(p, np.take_along_axis(order, reached.argmax(axis=1)[:, None], axis=1), axis=1)[:, 0]
+            return weighted_median(np.stack([t.predict(x) for t in trees], axis=1), alphas)
 
         return dataset.select(*dataset.columns, ensemble(self.getFeaturesCol(), median).alias(self.getPredictionCol()))

@@ -72,6 +72,13 @@ class Tree:
         return [self.feature, self.threshold, self.left, self.right, self.value]
 
 
+def weighted_median(predictions: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """By row the first prediction, in ascending order, whose running weight reaches half of all."""
+    order = np.argsort(predictions, axis=1, kind="stable")
+    reached = np.cumsum(weights[order], axis=1) >= 0.5 * weights.sum() * (1 - 1e-12)
+    return np.take_along_axis(predictions, np.take_along_axis(order, reached.argmax(axis=1)[:, None], axis=1), axis=1)[:, 0]
+
+
 def ensemble(features: str, combine) -> Column:
     """``combine(X) -> predictions`` applied to the rows of a vector column."""
 
