@@ -10,7 +10,8 @@ that order, and both rules are one fixed-width rank of the upsert's merge, so
 the result is the same for one run over all files, a run for each file, and
 a stream with any number of files in a micro-batch.
 
-The folder is parsed once: the typed rows are written to the shared
+Files given by name or by a list are read by their paths, the rest of the
+folder is neither listed nor read. All is parsed once: the typed rows are written to the shared
 checkpoint folder with their file's number, the outcomes are counted from
 them, and the rows of the loaded files (a join with one row per file) go
 into the upsert.
@@ -20,6 +21,7 @@ from __future__ import annotations
 
 import datetime as _dt
 from dataclasses import dataclass
+from itertools import islice
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,13 +29,17 @@ from pyspark.sql import functions as F
 from helioframe.functions.timefns import PLANT_TIME_FORMATS
 from helioframe.operators.ingest import STATUS_LOADED, dedup_first, file_outcomes
 from helioframe.operators.rows import with_row_index
-from helioframe.session import discard, ensure_checkpoint_dir, materialize
-from helioframe.sources.measurement_csv import (list_inputs, scan_text,
+from helioframe.session import discard, ensure_checkpoint_dir, materialize, scratch_path
+from helioframe.sources.measurement_csv import (list_inputs, no_text, scan_text,
                                                 small_file_rule, tag_column,
                                                 typed)
 from helioframe.sources.sinks import file_rank, upsert, write_manifest
 
 
+#: Listed files scanned at a time; the driver holds no more of their paths.
+SCAN_GROUP = 10_000
+
+
 @dataclass
 class IngestResult:
     outcomes: DataFrame      # file_no, path, kks, length, modified, rows, bad_rows, status
@@ -56,6 +62,24 @@ def parse_files(spark: SparkSession, paths: list[str], tag_from: str = "name",
             .select("path", "kks", F.to_date("time").alias("date"), "time", "value"))
 
 
+def _rows_of(text: DataFrame, readable: DataFrame, formats) -> DataFrame:
+    return typed(text.join(readable, "path"), formats).select("file_no", "block", "rid", "time", "value", "bad")
+
+
+def _rows_of_listed(spark: SparkSession, readable: DataFrame, formats) -> tuple[DataFrame, str]:
+    """Typed rows of just the listed files: scans of ``SCAN_GROUP`` paths at a time into one table."""
+    path = scratch_path(spark, "ingest-rows")
+    paths = (r["path"] for r in readable.orderBy("file_no").select("path").toLocalIterator())
+    group = list(islice(paths, SCAN_GROUP))
+    while True:
+        rows = _rows_of(scan_text(spark, group), readable, formats) if group else typed(no_text(spark), formats) \
+            .select(F.lit(0).cast("long").alias("file_no"), "block", "rid", "time", "value", "bad")
+        rows.write.mode("append").parquet(path)
+        group = list(islice(paths, SCAN_GROUP))
+        if not group:
+            return spark.read.schema(rows.schema).parquet(path), path
+
+
 def load_rows(rows: DataFrame, outcomes: DataFrame, raw_table: str) -> None:
     """Upsert the typed rows of the loaded files. ``rows`` is a written table."""
     good = outcomes.where(F.col("status") == STATUS_LOADED).select("file_no", "kks")
@@ -75,9 +99,10 @@ def ingest(spark: SparkSession, root: str, raw_table: str, *,
     files = small_file_rule(list_inputs(spark, root, list_csv, names, recursive))
     files, files_path = numbered(files.withColumn("kks", tag_column("path", tag_from, kks)))
     readable = files.where("NOT missing AND NOT small").select("path", "file_no")
-    text = scan_text(spark, root, recursive or bool(list_csv or names)).join(readable, "path")
-    rows, rows_path = materialize(typed(text, formats).select("file_no", "block", "rid", "time", "value", "bad"),
-                                  "ingest-rows")
+    if list_csv or names:
+        rows, rows_path = _rows_of_listed(spark, readable, formats)
+    else:
+        rows, rows_path = materialize(_rows_of(scan_text(spark, root, recursive), readable, formats), "ingest-rows")
     outcomes, _ = materialize(file_outcomes(files, rows.select("file_no", "bad"), "file_no"), "ingest-outcomes")
     if outcomes.where(F.col("status") == STATUS_LOADED).limit(1).count():
         load_rows(rows, outcomes, raw_table)

@@ -7,9 +7,11 @@ training rows -> per model: search/fit on the training rows -> one
 validation rows in a single aggregation.
 
 The feature list is fixed before any prediction column exists. Models:
-``media`` (training mean), ``rl`` (OLS), ``rf`` (random forest, random
-search), ``svr`` (primal ε-SVR, grid search), ``ada`` (AdaBoost.R2, grid
-search), ``bagging`` (bagged trees, random search).
+``media`` (training mean), ``rl`` (OLS of minimum norm), ``rf`` (random forest, random
+search), ``svr`` (ε-SVR, grid search), ``ada`` (AdaBoost.R2 on drawn rows, grid
+search), ``bagging`` (bags of trees, forests or extra-trees, random search).
+Each search runs all its candidates and folds in shared passes, so its number
+of Spark jobs does not grow with the candidates.
 """
 
 from __future__ import annotations
@@ -19,14 +21,13 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from helioframe.models.adaboost import AdaBoostR2
-from helioframe.models.bagging import BaggingRegressor
-from helioframe.models.base import FEATURES, add_prediction, feature_columns
-from helioframe.models.search import (cross_validate, expand_grid, randint,
-                                      sample_candidates)
-from helioframe.models.simple import (fit_linear, fit_mean, fit_pca, forest_params,
-                                      pca_columns, predict_mean, random_forest)
-from helioframe.models.svr import EpsilonSVR
+from helioframe.models.base import add_prediction, feature_columns, pipeline
+from helioframe.models.boosting import search_boosting
+from helioframe.models.forest import bagging_plan, forest_plan, search_forests
+from helioframe.models.kernel_svr import search_svr
+from helioframe.models.least_squares import MinimumNormOLS
+from helioframe.models.search import expand_grid, randint, sample_candidates
+from helioframe.models.simple import fit_mean, fit_pca, pca_columns, predict_mean
 from helioframe.operators.metrics import regression_metrics
 from helioframe.operators.rows import fold_of, with_row_index
 
@@ -46,7 +47,7 @@ SVR_GRID = {"kernel": ["linear", "poly", "rbf"], "C": [0.1, 1, 10, 100],
 ADA_GRID = {"n_estimators": [50, 100], "learning_rate": [0.01, 0.1]}
 ADA_GRID_8 = {"n_estimators": [50, 100, 200], "learning_rate": [0.01, 0.1, 1.0]}
 BAGGING_SPACE_PCA = {
-    "base_estimator": ["tree", "forest"],
+    "base_estimator": ["tree", "forest", "extra"],
     "n_estimators": randint(10, 500),
     "bootstrap": [True, False],
     "base_max_depth": randint(1, 20),
@@ -66,12 +67,13 @@ class SearchConfig:
     forest_seed: int = 1
     svr_grid: dict = field(default_factory=lambda: dict(SVR_GRID))
     svr_max_iter: int = 200
+    svr_landmarks: int = 256
     ada_grid: dict = field(default_factory=lambda: dict(ADA_GRID))
     bagging_space: dict = field(default_factory=lambda: dict(BAGGING_SPACE))
     bagging_iter: int = 100
     bagging_seed: int = 42
     folds: int = 5
-    parallelism: int = 4
+    max_bins: int = 256
 
     @classmethod
     def all_variables(cls) -> "SearchConfig":
@@ -89,16 +91,6 @@ class SearchConfig:
         return cls(svr_grid=dict(SVR_GRID_PCA), bagging_space=dict(BAGGING_SPACE_PCA))
 
 
-def svr_params(est, c: dict) -> dict:
-    m = {}
-    for k, p in (("kernel", est.kernel), ("C", est.C), ("epsilon", est.epsilon)):
-        if k in c:
-            m[p] = c[k]
-    if "gamma" in c:
-        m[est.gamma] = str(c["gamma"])
-    return m
-
-
 def ada_params(est, c: dict) -> dict:
     m = {}
     if "n_estimators" in c:
@@ -108,14 +100,6 @@ def ada_params(est, c: dict) -> dict:
     return m
 
 
-def bagging_params(est, c: dict) -> dict:
-    names = {"n_estimators": est.nEstimators, "max_samples": est.maxSamples,
-             "max_features": est.maxFeatures, "bootstrap": est.bootstrap,
-             "bootstrap_features": est.bootstrapFeatures, "base_estimator": est.baseEstimator,
-             "base_max_depth": est.baseMaxDepth, "base_min_samples_leaf": est.baseMinSamplesLeaf}
-    return {names[k]: v for k, v in c.items() if k in names}
-
-
 @dataclass
 class TrainResult:
     predictions: DataFrame          # table + idx, split, <label>_<model>
@@ -162,31 +146,25 @@ def train_all(df: DataFrame, label: str, time: str = "time", features: list[str]
     if "media" in models:
         out = predict_mean(out, fit_mean(train, label), col("media"))
     if "rl" in models:
-        out = add_prediction(fit_linear(train, feats, label), out, col("rl"))
+        out = add_prediction(pipeline(feats, MinimumNormOLS(labelCol=label)).fit(train), out, col("rl"))
     if "rf" in models:
-        est = random_forest(label, seed=cfg.forest_seed)
         cands = sample_candidates(cfg.forest_space, cfg.forest_iter, cfg.forest_seed)
-        m, best["rf"], _ = cross_validate(train, feats, label, est, cands, forest_params,
-                                          k=cfg.folds, parallelism=cfg.parallelism)
-        out = add_prediction(m.bestModel, out, col("rf"))
+        m, best["rf"], _ = search_forests(train, feats, label, cands, forest_plan, order=["idx"], seed=cfg.forest_seed,
+                                          max_bins=cfg.max_bins)
+        out = add_prediction(m, out, col("rf"))
     if "svr" in models:
-        est = EpsilonSVR(featuresCol=FEATURES, labelCol=label, maxIter=cfg.svr_max_iter)
-        cands = expand_grid(cfg.svr_grid)
-        m, best["svr"], _ = cross_validate(train, feats, label, est, cands, svr_params,
-                                           k=cfg.folds, parallelism=cfg.parallelism)
-        out = add_prediction(m.bestModel, out, col("svr"))
+        m, best["svr"], _ = search_svr(train, feats, label, expand_grid(cfg.svr_grid), landmarks=cfg.svr_landmarks,
+                                       most=cfg.svr_max_iter)
+        out = add_prediction(m, out, col("svr"))
     if "ada" in models:
-        est = AdaBoostR2(featuresCol=FEATURES, labelCol=label)
-        cands = expand_grid(cfg.ada_grid)
-        m, best["ada"], _ = cross_validate(train, feats, label, est, cands, ada_params,
-                                           k=cfg.folds, parallelism=cfg.parallelism)
-        out = add_prediction(m.bestModel, out, col("ada"))
+        m, best["ada"], _ = search_boosting(train, feats, label, expand_grid(cfg.ada_grid), order=["idx"], seed=cfg.forest_seed,
+                                            max_bins=cfg.max_bins)
+        out = add_prediction(m, out, col("ada"))
     if "bagging" in models:
-        est = BaggingRegressor(featuresCol=FEATURES, labelCol=label, seed=cfg.bagging_seed)
         cands = sample_candidates(cfg.bagging_space, cfg.bagging_iter, cfg.bagging_seed)
-        m, best["bagging"], _ = cross_validate(train, feats, label, est, cands, bagging_params,
-                                               k=cfg.folds, parallelism=cfg.parallelism)
-        out = add_prediction(m.bestModel, out, col("bagging"))
+        m, best["bagging"], _ = search_forests(train, feats, label, cands, bagging_plan, order=["idx"], seed=cfg.bagging_seed,
+                                               max_bins=cfg.max_bins)
+        out = add_prediction(m, out, col("bagging"))
     preds = {s: col(s) for s in models}
     metrics = regression_metrics(out.where("split = 'validation'"), label, preds)
     return TrainResult(out, metrics, best, n, k)

@@ -239,24 +239,28 @@ def _named_file(spark, lines: DataFrame, path: str) -> None:
     fs.delete(folder, True)
 
 
-_PURCHASES = "count(*) FILTER (WHERE event_type = 'purchase')"
-_CLICKS = "count(*) FILTER (WHERE event_type = 'click')"
+_FEW = 20
 _VIEWS = "count(*) FILTER (WHERE event_type = 'view')"
 
 
 def _odd_files(spark, sf) -> str:
-    """Files of a plant day with all that can go wrong: a good one whose name
-    is a glob, one in a sub-folder, one with a bad line, a small one, an empty one."""
+    """A plant's folder: all events in eight files, the views again in four files of a sub-folder, and files of
+    a few rows with all that can go wrong: a name that is a glob, a bad line, a small one, an empty one."""
     from helioframe.session import scratch_path
     root = scratch_path(spark, "odd-files")
-    e = S.testdata(spark, sf, "events").orderBy("ts", "event_id")
+    e = S.testdata(spark, sf, "events")
     line = F.concat_ws(";", F.date_format("ts", "dd/MM/yyyy HH:mm:ss"), F.replace(F.col("value").cast("string"), F.lit("."), F.lit(",")))
-    tag = {k: e.where(F.col("event_type") == k).select(line.alias("value")) for k in ("click", "view", "purchase")}
-    _named_file(spark, tag["click"], f"{root}/a[1].csv")
-    _named_file(spark, tag["view"], f"{root}/sub/view.csv")
-    _named_file(spark, tag["purchase"].union(spark.sql("select 'not a date;1'")), f"{root}/purchase.csv")
-    _named_file(spark, tag["click"].limit(1), f"{root}/small.csv")
-    _named_file(spark, tag["click"].limit(0), f"{root}/empty.csv")
+
+    def spread(rows, path, files):
+        rows.repartitionByRange(files, "ts", "event_id").sortWithinPartitions("ts", "event_id").select(line.alias("value")).write.text(path)
+
+    spread(e, root, 8)
+    spread(e.where("event_type = 'view'"), f"{root}/sub", 4)
+    few = e.orderBy("ts", "event_id").limit(_FEW).select(line.alias("value"))
+    _named_file(spark, few, f"{root}/a[1].csv")
+    _named_file(spark, few.union(spark.sql("select 'not a date;1'")), f"{root}/bad.csv")
+    _named_file(spark, few.limit(1), f"{root}/small.csv")
+    _named_file(spark, few.limit(0), f"{root}/empty.csv")
     return root
 
 
@@ -270,8 +274,8 @@ def _summary(res):
     return load_summary(res.outcomes).select("status", F.col("files").cast("int").alias("files"), F.col("rows").cast("long").alias("rows"))
 
 
-@register("ingest_folder", _summary_sql([("loaded", 1, _CLICKS), ("rejected", 1, f"{_PURCHASES} + 1"),
-                                         ("skipped_small", 2, "any_value(0)"), ("offered", 4, f"{_CLICKS} + {_PURCHASES} + 1")]))
+@register("ingest_folder", _summary_sql([("loaded", 9, f"count(*) + {_FEW}"), ("rejected", 1, f"any_value({_FEW}) + 1"),
+                                         ("skipped_small", 2, "any_value(0)"), ("offered", 12, f"count(*) + {2 * _FEW + 1}")]))
 def ingest_folder(spark, sf):
     """Every file of a folder (not of its sub-folders) has an outcome."""
     from helioframe.plans.ingest_job import ingest
@@ -279,9 +283,16 @@ def ingest_folder(spark, sf):
     return _summary(ingest(spark, _odd_files(spark, sf), scratch_path(spark, "odd-raw")))
 
 
-_BY_NAME = _summary_sql([("loaded", 2, f"{_CLICKS} + {_VIEWS}"), ("missing", 1, "any_value(0)"), ("skipped_small", 1, "any_value(0)"),
-                         ("offered", 4, f"{_CLICKS} + {_VIEWS}")])
-_NAMES = ["a[1].csv", "sub\\view.csv", "gone.csv", "empty.csv"]
+_BY_NAME = _summary_sql([("loaded", 5, f"{_VIEWS} + {_FEW}"), ("missing", 1, "any_value(0)"), ("skipped_small", 1, "any_value(0)"),
+                         ("offered", 7, f"{_VIEWS} + {_FEW}")])
+
+
+def _wanted(spark, root: str) -> list[str]:
+    """The files of the sub-folder and three others by name, one of them absent."""
+    from helioframe.functions.text import basename
+    from helioframe.sources.measurement_csv import list_files
+    parts = [r[0] for r in list_files(spark, f"{root}/sub").select(basename("path")).collect()]
+    return [*(f"sub\\{p}" for p in parts), "a[1].csv", "gone.csv", "empty.csv"]
 
 
 @register("ingest_names", _BY_NAME)
@@ -289,7 +300,8 @@ def ingest_names(spark, sf):
     """Files by an explicit list of names, one of them absent."""
     from helioframe.plans.ingest_job import ingest
     from helioframe.session import scratch_path
-    return _summary(ingest(spark, _odd_files(spark, sf), scratch_path(spark, "odd-raw"), names=_NAMES))
+    root = _odd_files(spark, sf)
+    return _summary(ingest(spark, root, scratch_path(spark, "odd-raw"), names=_wanted(spark, root)))
 
 
 @register("ingest_list", _BY_NAME)
@@ -299,8 +311,8 @@ def ingest_list(spark, sf):
     from helioframe.session import scratch_path
     root = _odd_files(spark, sf)
     wanted = scratch_path(spark, "wanted")
-    _named_file(spark, spark.createDataFrame([(n,) for n in _NAMES], "value string"), wanted)
-    return _summary(ingest(spark, root, scratch_path(spark, "odd-raw"), list_csv=wanted, names=["purchase.csv"]))
+    _named_file(spark, spark.createDataFrame([(n,) for n in _wanted(spark, root)], "value string"), wanted)
+    return _summary(ingest(spark, root, scratch_path(spark, "odd-raw"), list_csv=wanted, names=["bad.csv"]))
 
 
 _OVERLAP_SQL = """
@@ -313,19 +325,27 @@ _OVERLAP_SQL = """
 
 def _overlap_files(spark, sf) -> str:
     """All events, and later the ones above 100 doubled, as files of the same tags."""
-    import time
-
     from helioframe.session import scratch_path
     from helioframe.sources.measurement_csv import write_plant_csv
     root = scratch_path(spark, "overlap-csv")
     src = S.testdata(spark, sf, "events").select(F.col("event_type").alias("kks"), F.col("ts").alias("time"), "value", "event_id")
-    write_plant_csv(src, f"{root}/first", order=("time", "event_id"), partitions=1)
-    time.sleep(1.1)  # some stores keep whole seconds of modification times
+    write_plant_csv(src, f"{root}/first", order=("time", "event_id"))
     doubled = src.where("value > 100").withColumn("value", F.col("value") * 2)
-    write_plant_csv(doubled, f"{root}/second", order=("time", "event_id"), partitions=1)
+    write_plant_csv(doubled, f"{root}/second", order=("time", "event_id"))
+    _made_later(spark, f"{root}/second", 60)
     return root
 
 
+def _made_later(spark, folder: str, seconds: int) -> None:
+    """Move the modification times of a folder's files (some stores keep whole seconds)."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files = fs.listFiles(p, True)
+    while files.hasNext():
+        st = files.next()
+        fs.setTimes(st.getPath(), st.getModificationTime() + 1000 * seconds, -1)
+
+
 def _table_rows(spark, table):
     from helioframe.sources.sinks import read_partitioned
     return read_partitioned(spark, table).select("kks", "date", "time", r6("value").alias("value"))
@@ -976,15 +996,19 @@ def train_all_q(spark, sf):
     from helioframe.plans.training_job import SearchConfig, train_all
     li = S.testdata(spark, sf, "lineitem").select("l_shipdate", *_LI_ORDER_REST[:2], _LI_LABEL, *_LI_FEATURES)
     cfg = SearchConfig(
-        forest_space={"n_estimators": [10], "max_depth": [5, 10], "max_features": ["sqrt"],
-                      "min_samples_leaf": [2], "bootstrap": [True]},
-        forest_iter=2,
+        forest_space={"n_estimators": [5, 10], "max_depth": [10, None], "max_features": ["sqrt"],
+                      "min_samples_leaf": [2], "min_samples_split": [2, 10], "bootstrap": [True]},
+        forest_iter=4,
         svr_grid={"kernel": ["rbf"], "C": [1.0, 10.0], "gamma": ["scale"], "epsilon": [0.1]},
         ada_grid={"n_estimators": [3], "learning_rate": [0.1, 1.0]},
-        bagging_space={"base_estimator": ["tree"], "n_estimators": randint(3, 8), "bootstrap": [True],
-                       "base_max_depth": randint(3, 8), "base_min_samples_leaf": [2]},
-        bagging_iter=2, folds=5, parallelism=2, svr_max_iter=30)
-    return train_all(li, _LI_LABEL, time="l_shipdate", config=cfg, order_extra=tuple(_LI_ORDER_REST[:2])).metrics
+        bagging_space={"base_estimator": ["tree", "extra"], "n_estimators": randint(3, 8), "bootstrap": [True],
+                       "max_samples": [0.5, 1.0], "base_max_depth": randint(3, 8), "base_min_samples_split": randint(2, 20),
+                       "base_min_samples_leaf": [2], "base_trees": [3]},
+        bagging_iter=2, folds=5)
+    got = train_all(li, _LI_LABEL, time="l_shipdate", config=cfg, order_extra=tuple(_LI_ORDER_REST[:2]))
+    solver = spark.createDataFrame([("svr", got.best["svr"]["converged"], got.best["svr"]["passes"])],
+                                   "model string, converged boolean, passes int")
+    return got.metrics.join(solver, "model", "left")
 
 
 @register("train_on_components")

@@ -6,13 +6,17 @@ the file name without its last four characters (``<tag>.csv``), or the
 ``kks=<tag>`` folder a Spark writer puts it in.
 
 Discovery lists the folder with the ``binaryFile`` source without reading
-file contents. The folder itself is scanned and joined with the listing, so
-file names are never used as paths (they may hold glob characters).
+file contents, and the folder itself is scanned and joined with the listing.
+Listed files are looked up one by one and scanned by their paths, in which
+glob characters stand for themselves.
 """
 
 from __future__ import annotations
 
+import datetime as _dt
 import re
+from concurrent.futures import ThreadPoolExecutor
+from itertools import islice
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,7 +25,10 @@ from helioframe.functions.text import basename, decode_path, tag_from_path
 from helioframe.functions.timefns import (PLANT_TIME_FORMATS, is_blank,
                                           is_missing, parse_day_first,
                                           parse_decimal_comma)
+from helioframe.session import scratch_path
 
+#: Names looked up in the file system at a time.
+STAT_GROUP = 4_096
 # Fixed value: files smaller than this many bytes are skipped unread.
 MIN_FILE_BYTES = 100
 
@@ -60,14 +67,6 @@ def read_file_list(spark: SparkSession, list_csv: str) -> DataFrame:
     return spark.read.schema("file string").option("header", False).csv(list_csv)
 
 
-def _below(spark: SparkSession, path, root: str):
-    """``path`` relative to ``root``, with ``/`` between folders."""
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    top = re.sub("^file:/+", "file:/", fs.makeQualified(p).toString().rstrip("/") + "/")
-    return F.when(F.startswith(path, F.lit(top)), F.substr(path, F.lit(len(top) + 1)))
-
-
 def list_inputs(spark: SparkSession, root: str, list_csv: str | None = None,
                 names: list[str] | None = None, recursive: bool = False) -> DataFrame:
     """Input files: ``path, name, length, modified, missing``.
@@ -85,11 +84,42 @@ def list_inputs(spark: SparkSession, root: str, list_csv: str | None = None,
         return list_files(spark, root, recursive).select(
             "path", basename("path").alias("name"), "length", "modified", F.lit(False).alias("missing"))
     wanted = wanted.select(F.translate("file", "\\", "/").alias("below")).where("below <> ''").distinct()
-    listing = list_files(spark, root, recursive=True)
-    listing = listing.withColumn("below", _below(spark, F.col("path"), root))
-    return (wanted.join(listing, "below", "left")
-            .select(F.coalesce("path", F.concat(F.lit(root.rstrip("/") + "/"), "below")).alias("path"),
-                    basename("below").alias("name"), "length", "modified", F.col("path").isNull().alias("missing")))
+    found = _stat(spark, wanted, root)
+    return found.select("path", basename("below").alias("name"), "length", "modified", F.col("length").isNull().alias("missing"))
+
+
+def _stat(spark: SparkSession, wanted: DataFrame, root: str) -> DataFrame:
+    """``below, path, length, modified`` of names below a folder, null where there is no such file.
+
+    Only the names are looked up, the folder is not listed. The driver asks
+    the file system for ``STAT_GROUP`` names at a time and writes what it
+    learns to a scratch table, so its memory does not grow with the list.
+    """
+    jvm = spark.sparkContext._jvm
+    top = jvm.org.apache.hadoop.fs.Path(root)
+    fs = top.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    base = fs.makeQualified(top).toString().rstrip("/")
+    out = scratch_path(spark, "stat")
+    schema = "below string, uri string, length long, modified timestamp"
+
+    def asked(name: str) -> tuple:
+        # Names stay below the folder; hidden files are none, as in a listing.
+        if not any(part.startswith((".", "_")) for part in name.split("/")):
+            p = jvm.org.apache.hadoop.fs.Path(f"{base}/{name}")
+            if fs.exists(p):
+                st = fs.getFileStatus(p)
+                if st.isFile():
+                    at = _dt.datetime.fromtimestamp(st.getModificationTime() / 1000, _dt.timezone.utc)
+                    return name, st.getPath().toString(), st.getLen(), at
+        return name, f"{base}/{name}", None, None
+
+    names = (r["below"] for r in wanted.toLocalIterator())
+    spark.createDataFrame([], schema).write.parquet(out)
+    while group := list(islice(names, STAT_GROUP)):
+        with ThreadPoolExecutor(8) as pool:
+            rows = list(pool.map(asked, group))
+        spark.createDataFrame(rows, schema).write.mode("append").parquet(out)
+    return spark.read.schema(schema).parquet(out).select("below", plain_uri("uri").alias("path"), "length", "modified")
 
 
 def small_file_rule(files: DataFrame, min_bytes: int = MIN_FILE_BYTES) -> DataFrame:
@@ -116,6 +146,11 @@ def scan_text(spark: SparkSession, paths: str | list[str], recursive: bool = Fal
         "ts_text", "value_text")
 
 
+def no_text(spark: SparkSession) -> DataFrame:
+    """The columns of :func:`scan_text` without rows."""
+    return spark.createDataFrame([], "path string, block long, rid long, ts_text string, value_text string")
+
+
 def typed(text: DataFrame, formats=PLANT_TIME_FORMATS) -> DataFrame:
     """Parse text columns: adds ``time`` (timestamp_ntz), ``value`` (double), ``bad``.
 
@@ -145,8 +180,8 @@ def write_plant_csv(df: DataFrame, out: str, order: tuple[str, ...] = ("time",),
                     partitions: int | None = None) -> None:
     """Write ``kks, time, value`` as measurement files, one folder per tag.
 
-    Rows are range-partitioned on (kks, *order) and sorted, so within a tag
-    the part files and the lines in them follow that order.
+    Rows are range-partitioned on the tag and the second (the files' precision,
+    so equal times share a file) and sorted by (kks, *order).
     """
     n = partitions or df.sparkSession.sparkContext.defaultParallelism
     keys = ["kks"] + [f"__o{i}" for i in range(len(order))]
@@ -154,10 +189,11 @@ def write_plant_csv(df: DataFrame, out: str, order: tuple[str, ...] = ("time",),
         "kks",
         F.date_format("time", "dd/MM/yyyy HH:mm:ss").alias("ts_text"),
         F.replace(F.col("value").cast("string"), F.lit("."), F.lit(",")).alias("value_text"),
-        *[F.col(c).alias(f"__o{i}") for i, c in enumerate(order)])
-     .repartitionByRange(n, *keys)
+        F.col("time").alias("__time"), *[F.col(c).alias(f"__o{i}") for i, c in enumerate(order)])
+     .withColumn("__second", F.date_trunc("second", F.col("__time")))
+     .repartitionByRange(n, "kks", "__second")
      .sortWithinPartitions(*keys)
-     .drop(*keys[1:])
+     .drop(*keys[1:], "__time", "__second")
      .write.mode("overwrite").partitionBy("kks")
      .option("sep", ";").option("header", False)
      .csv(out))

@@ -207,3 +207,29 @@ def test_interrupted_replacement_is_finished_by_the_next_upsert(spark, workdir):
     os.remove(workdir + "/t.staged/_SUCCESS")
     assert sinks.recover(spark, workdir + "/t") is False
     assert _rows(read_partitioned(spark, workdir + "/t")) == before
+
+
+def test_listed_files_alone_are_read(spark, workdir):
+    """1 of 20 files: neither the scan nor the discovery touches the others."""
+    from helioframe.plans import ingest_job
+    from helioframe.sources.measurement_csv import list_inputs, scan_text
+    body = "".join(f"01/02/2024 00:{m:02d}:00;{m},5\n" for m in range(30))
+    write_files(workdir, {f"in/t{k}.csv": body for k in range(20)} | {"in/sub/t[1].csv": body})
+    files = list_inputs(spark, workdir + "/in", names=["t7.csv", "sub/t[1].csv", "none.csv", "../in/t8.csv", "sub"])
+    rows = {r["name"]: r for r in files.collect()}
+    assert [n for n in sorted(rows) if not rows[n]["missing"]] == ["t7.csv", "t[1].csv"] and len(rows) == 5
+    paths = [rows["t7.csv"]["path"]]
+    assert len(scan_text(spark, paths).inputFiles()) == 1
+    seen = []
+    scan = ingest_job.scan_text
+    ingest_job.scan_text = lambda s, p, *a: seen.append(p) or scan(s, p, *a)
+    try:
+        for size in (10_000, 1):
+            ingest_job.SCAN_GROUP = size
+            table = workdir + f"/raw{size}"
+            res = ingest_job.ingest(spark, workdir + "/in", table, names=["t7.csv", "sub/t[1].csv", "none.csv"])
+            assert sorted(r["status"] for r in res.outcomes.collect()) == ["loaded", "loaded", "missing"]
+            assert read_partitioned(spark, table).count() == 60
+    finally:
+        ingest_job.scan_text, ingest_job.SCAN_GROUP = scan, 10_000
+    assert [len(p) for p in seen] == [2, 1, 1] and all("/t7.csv" in q or "t[1].csv" in q for p in seen for q in p)
