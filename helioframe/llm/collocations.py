@@ -7,14 +7,16 @@ them are the two Burrows-Wheeler transforms. A phrase is an interval in each.
 All intervals of one length are extended to the right at once: the rows of
 the reverse interval, grouped by the symbol before them, are the longer
 phrases, the group's size is the count, its least LF value is the new reverse
-interval, and the sizes of the smaller symbols' groups shift the forward one.
-How often a phrase goes on to the left and to the right within its piece is
-read from the two intervals.
+interval, and the sizes of the smaller symbols' groups shift the forward one;
+to the left it is the other way round. Phrases grow right and left in turn.
 
 Counts of shards are summed. A phrase can only be frequent if its parts are,
-so pairs are enumerated over words that are frequent in all the language,
-longer phrases over pairs that are; which of them a shard holds comes by a
-join, nothing is broadcast. No count is estimated and none is left out.
+so pairs are enumerated over words that are frequent in all the language, and
+longer phrases over pairs that are. Frequent words get numbers, so phrases
+travel as numbers; which words a shard holds comes by a join on the shard.
+Frequent pairs are told by a bitmap of fixed size: a pair that is not frequent
+may share a bit and pass, but no frequent one is stopped, and only summed
+counts decide. No count is estimated or left out.
 
 Texts are lower-cased (A-Z only) and cut into pieces at ``.,;:!?`` and line
 ends; words stand between spaces and tabs. Null and empty texts have no words,
@@ -27,17 +29,20 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from helioframe.llm.common import Scratch, bound_batches
+from helioframe.operators.rows import with_row_index
+from helioframe.session import discard
 
-#: Words of a shard (one piece more at most); a task holds four times as many.
-SHARD_WORDS = 1 << 20
+#: Words and ends of pieces in a shard (one piece more at most); a task holds four times as many.
+SHARD_WORDS = 1 << 19
 #: Rows given back to Spark at once.
 ROWS = 1 << 16
+#: Pairs that may be part of a frequent phrase are told by one of 2 ** SLOT_BITS bits (2 MB).
+SLOT_BITS = 24
 #: Symbols below the words': the end of a piece, and any word that is not frequent.
 BREAK, OTHER, WORDS = 0, 1, 2
 
@@ -47,10 +52,13 @@ _TABLE = bytes(b + 32 if 65 <= b <= 90 else 10 if b in b".,;:!?\n\x0b\x0c\r" els
 
 
 class Numbers(dict):
-    """Numbers words from 1 as they come."""
+    """Numbers words from 1 as they come; the end of a piece is 0."""
+
+    def __init__(self):
+        super().__init__({b"\n": BREAK})
 
     def __missing__(self, word: bytes) -> int:
-        self[word] = number = len(self) + 1
+        self[word] = number = len(self)
         return number
 
 
@@ -65,19 +73,23 @@ class _Shard:
     """Words of one language on the way into a shard."""
 
     def __init__(self):
-        self.tokens: list[bytes] = []
+        self.number, self.parts, self.size, self.words = Numbers(), [], 0, 0
+
+    def add(self, tokens: list[bytes]) -> None:
+        ids = np.fromiter(map(self.number.__getitem__, tokens), np.int32, len(tokens))
+        self.parts.append(ids)
+        self.size += len(ids)
+        self.words += int(np.count_nonzero(ids))
 
-    def row(self) -> tuple[int, str, bytes]:
+    def row(self) -> dict:
         """Number of words, the different words joined by spaces, their numbers with 0 for the end of a piece."""
-        number = Numbers()
-        ids = np.fromiter((0 if w == b"\n" else number[w] for w in self.tokens), np.int32, len(self.tokens))
-        self.tokens.clear()
-        return int(np.count_nonzero(ids)), b" ".join(number).decode(), ids.tobytes()
+        return {"n": self.words, "words": b" ".join(list(self.number)[1:]).decode(), "ids": np.concatenate(self.parts).tobytes()}
 
 
 def _shards(docs: DataFrame) -> DataFrame:
     """``(shard, lang, n, words, ids)``."""
     schema = "shard long, lang string, n long, words string, ids binary"
+    most = SHARD_WORDS
 
     def run(batches):
         first = TaskContext.get().partitionId() << 32
@@ -87,34 +99,28 @@ def _shards(docs: DataFrame) -> DataFrame:
         def give(lang):
             nonlocal made, held
             shard = open_shards.pop(lang)
-            held -= len(shard.tokens)
-            n, words, ids = shard.row()
+            held -= shard.size
             made += 1
-            return pa.RecordBatch.from_pylist([{"shard": first + made, "lang": lang, "n": n, "words": words, "ids": ids}])
+            return pa.RecordBatch.from_pylist([{"shard": first + made, "lang": lang, **shard.row()}])
 
         for batch in batches:
             for text, lang in zip(batch.column("text").to_pylist(), batch.column("lang").to_pylist(), strict=True):
                 tokens = piece_words(text)
+                if tokens:
+                    tokens.append(b"\n")
                 at = 0
                 while at < len(tokens):
                     shard = open_shards.setdefault(lang, _Shard())
-                    end = at + SHARD_WORDS - len(shard.tokens)
-                    if end < len(tokens):
-                        # Go on to the end of the piece.
-                        try:
-                            end = tokens.index(b"\n", max(at, end - 1)) + 1
-                        except ValueError:
-                            end = len(tokens)
-                    shard.tokens += tokens[at:end]
-                    held += len(tokens[at:end])
+                    end = at + most - shard.size
+                    # Go on to the end of the piece.
+                    end = tokens.index(b"\n", max(at, end - 1)) + 1 if end < len(tokens) else len(tokens)
+                    shard.add(tokens[at:end])
+                    held += end - at
                     at = end
-                    if len(shard.tokens) >= SHARD_WORDS:
+                    if shard.size >= most:
                         yield give(lang)
-                if tokens and lang in open_shards:
-                    open_shards[lang].tokens.append(b"\n")
-                    held += 1
-                while held > 4 * SHARD_WORDS:
-                    yield give(max(open_shards, key=lambda k: len(open_shards[k].tokens)))
+                while held > 4 * most:
+                    yield give(max(open_shards, key=lambda k: open_shards[k].size))
         for lang in list(open_shards):
             yield give(lang)
 
@@ -139,15 +145,11 @@ class Index:
             ordered = rank[order]
             rank[order] = np.cumsum(np.concatenate([[0], ordered[1:] != ordered[:-1]]))
             have *= 2
-        row_of = np.empty_like(order)
-        row_of[order] = np.arange(len(order))
-        self.before = text[order - 1]
+        del rank, behind, ordered
+        row_of = np.empty(len(order), np.int32)
+        row_of[order] = np.arange(len(order), dtype=np.int32)
+        self.before = text[order - 1].astype(np.int32)
         self.lf = row_of[order - 1]
-        self.inside = np.concatenate([[0], np.cumsum(self.before != BREAK)])
-
-    def going_on(self, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
-        """How many occurrences have a word before them in their piece."""
-        return self.inside[begin + size] - self.inside[begin]
 
     def extend(self, begin: np.ndarray, size: np.ndarray, symbols: int):
         """All patterns one symbol longer: of which pattern, by which symbol, begin, size, and the shift in the other index."""
@@ -187,97 +189,71 @@ class ShardIndex:
         held = np.flatnonzero(count[WORDS:]) + WORDS
         return Phrases(held[:, None], begin[held], begin[held], count[held])
 
-    def longer(self, some: Phrases) -> Phrases:
-        """All phrases that go on with one more word."""
+    def longer(self, some: Phrases, left: bool = False) -> Phrases:
+        """All phrases that go on with one more word to the right, or to the left."""
         if not len(some.count):
             return Phrases(np.empty((0, some.symbols.shape[1] + 1), np.int64), *[np.empty(0, np.int64)] * 3)
-        pattern, symbol, backward, count, shift = self.back.extend(some.backward, some.count, self.symbols)
-        out = Phrases(np.column_stack([some.symbols[pattern], symbol]), some.forward[pattern] + shift, backward, count)
+        here, there = (some.forward, some.backward) if left else (some.backward, some.forward)
+        pattern, symbol, begin, count, shift = (self.ahead if left else self.back).extend(here, some.count, self.symbols)
+        other = there[pattern] + shift
+        words = [symbol, some.symbols[pattern]] if left else [some.symbols[pattern], symbol]
+        out = Phrases(np.column_stack(words), *((begin, other) if left else (other, begin)), count)
         return out.pick(symbol >= WORDS)
 
-    def left(self, some: Phrases) -> np.ndarray:
-        return self.ahead.going_on(some.forward, some.count)
-
-    def right(self, some: Phrases) -> np.ndarray:
-        return self.back.going_on(some.backward, some.count)
-
-
-def pairs_of(text: np.ndarray, symbols: int) -> tuple[ShardIndex, list[Phrases]]:
-    """All pairs of words in a shard."""
-    index = ShardIndex(text, symbols, 2)
-    return index, [index.longer(index.words())]
-
-
-def longer_of(text: np.ndarray, symbols: int, pairs: np.ndarray, longest: int) -> tuple[ShardIndex, list[Phrases]]:
-    """Phrases of 3 to ``longest`` words all of whose pairs (``first * symbols + second``) are given."""
-    index = ShardIndex(text, symbols, longest)
-    pairs = np.sort(pairs)
-
-    def number(some: Phrases, skip: int) -> np.ndarray:
-        """Place of a phrase's words from ``skip`` on among the phrases one shorter; -1 if it is none of them."""
-        at = number_of_pair(some.symbols[:, skip:skip + 2])
-        for k, table in enumerate(tables[:some.symbols.shape[1] - skip - 2]):
-            key = at * symbols + some.symbols[:, skip + 2 + k]
-            place = np.minimum(np.searchsorted(table, key), len(table) - 1) if len(table) else key
-            at = np.where((at >= 0) & (table[place] == key), place, -1) if len(table) else np.full(len(key), -1)
-        return at
 
-    def number_of_pair(two: np.ndarray) -> np.ndarray:
-        key = two[:, 0] * symbols + two[:, 1]
-        place = np.minimum(np.searchsorted(pairs, key), max(0, len(pairs) - 1))
-        return np.where(pairs[place] == key, place, -1) if len(pairs) else np.full(len(key), -1)
-
-    tables: list[np.ndarray] = []
+def longer_phrases(index: ShardIndex, allowed, longest: int) -> list[Phrases]:
+    """Phrases of 3 to ``longest`` words all of whose pairs are ``allowed``, by length; they grow right and left in turn."""
     some = index.longer(index.words())
-    some = some.pick(number_of_pair(some.symbols) >= 0)
+    some = some.pick(allowed(some.symbols))
     out = []
-    for _ in range(3, longest + 1):
-        some = index.longer(some)
-        some = some.pick(number(some, 1) >= 0)
+    for size in range(3, longest + 1):
+        left = size % 2 == 0
+        some = index.longer(some, left)
+        some = some.pick(allowed(some.symbols[:, :2] if left else some.symbols[:, -2:]))
         out.append(some)
-        tables.append(np.sort(number_of_prefix(some, number) * symbols + some.symbols[:, -1]))
-    return index, out
-
-
-def number_of_prefix(some: Phrases, number) -> np.ndarray:
-    return number(Phrases(some.symbols[:, :-1], some.forward, some.backward, some.count), 0)
+    return out
 
 
-def _symbols(row: dict, used: set[bytes]) -> tuple[np.ndarray, int, dict[bytes, int], list[str]]:
-    """A shard's text with ``OTHER`` for words not in ``used``; the number of symbols; used words' symbols; all words."""
-    words = row["words"].split(" ") if row["words"] else []
-    symbol = {w: k + WORDS for k, w in enumerate(words)}
-    table = np.full(len(words) + 1, OTHER, np.int64)
-    table[0] = BREAK
-    for w in used:
-        table[symbol[w] - WORDS + 1] = symbol[w]
-    return table[np.frombuffer(row["ids"], np.int32)], len(words) + WORDS, symbol, words
+def _rows(batch):
+    """The rows of a batch one at a time."""
+    for k in range(batch.num_rows):
+        yield {name: batch.column(name)[k].as_py() for name in batch.schema.names}
 
 
-_COUNTED = "shard long, lang string, phrase string, count long, goes_left long, goes_right long"
+def _numbered(shards: DataFrame) -> DataFrame:
+    """``(text, numbers)``: a shard's text with ``OTHER`` for words that are not in ``known``, and the symbols' numbers in all shards."""
 
-
-def _rows(row: dict, words: list[str], index: ShardIndex, levels: list[Phrases]):
-    """Counted phrases of a shard as Arrow batches."""
-    names = [f.split()[0] for f in _COUNTED.split(", ")]
-    vocabulary = pa.array(["", "", *words], pa.string())
-    for some in levels:
-        left, right = index.left(some), index.right(some)
-        for i in range(0, len(some.count), ROWS):
-            part = slice(i, i + ROWS)
-            columns = [vocabulary.take(pa.array(c)) for c in some.symbols[part].T]
-            phrase = pc.binary_join_element_wise(*columns, " ")
-            n = len(phrase)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([row["shard"]] * n, pa.int64()), pa.array([row["lang"]] * n, pa.string()), phrase,
-                 pa.array(some.count[part]), pa.array(left[part]), pa.array(right[part])], names=names)
+    def run(batches):
+        for batch in batches:
+            for row in _rows(batch):
+                words = row["words"].split(" ") if row["words"] else []
+                symbol = {w: k + WORDS for k, w in enumerate(words)}
+                numbers = np.full(len(words) + WORDS, -1, np.int32)
+                for word, number in zip(row["known_words"], row["known_numbers"], strict=True):
+                    numbers[symbol[word]] = number
+                # Only frequent words keep a symbol of their own.
+                kept = np.flatnonzero(numbers >= 0)
+                table = np.full(len(words) + 1, OTHER, np.int32)
+                table[kept - WORDS + 1] = np.arange(WORDS, WORDS + len(kept))
+                table[0] = BREAK
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([table[np.frombuffer(row["ids"], np.int32)].tobytes()], pa.binary()),
+                     pa.array([np.concatenate([numbers[:WORDS], numbers[kept]]).tobytes()], pa.binary())], names=["text", "numbers"])
+
+    return (shards.select("words", "ids", F.col("known.phrase").alias("known_words"), F.col("known.number").alias("known_numbers"))
+            .mapInArrow(run, "text binary, numbers binary"))
+
+
+def _indexed(row: dict, depth: int) -> tuple[ShardIndex, np.ndarray]:
+    numbers = np.frombuffer(row["numbers"], np.int32).astype(np.int64)
+    return ShardIndex(np.frombuffer(row["text"], np.int32), len(numbers), depth), numbers
 
 
 def _count_words(shards: DataFrame) -> DataFrame:
     def run(batches):
         for batch in batches:
-            for row in batch.to_pylist():
-                text, symbols, _, words = _symbols(row, set())
+            for row in _rows(batch):
+                words = row["words"].split(" ") if row["words"] else []
                 count = np.bincount(np.frombuffer(row["ids"], np.int32), minlength=len(words) + 1)[1:]
                 for i in range(0, len(words), ROWS):
                     part = words[i:i + ROWS]
@@ -290,61 +266,128 @@ def _count_words(shards: DataFrame) -> DataFrame:
 
 
 def _count_pairs(shards: DataFrame) -> DataFrame:
-    """Pairs of the words listed in ``known``."""
+    """``(pair, count)``: pairs of frequent words, as two numbers of 32 bits."""
+
+    def run(batches):
+        for batch in batches:
+            for row in _rows(batch):
+                index, numbers = _indexed(row, 2)
+                some = index.longer(index.words())
+                pair = _pair(numbers[some.symbols])
+                for i in range(0, len(pair), ROWS):
+                    part = slice(i, i + ROWS)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(pair[part]), pa.array(some.count[part])], names=["pair", "count"])
+
+    return shards.mapInArrow(run, "pair long, count long")
+
+
+def _pair(numbers: np.ndarray) -> np.ndarray:
+    return numbers[:, 0] << 32 | numbers[:, 1]
+
+
+def _slot(pairs: np.ndarray, slots: int) -> np.ndarray:
+    """Place of a pair among so many bits (a power of two)."""
+    spread = (pairs.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(32)
+    return (spread & np.uint64(slots - 1)).astype(np.int64)
+
+
+def _slots(pairs: DataFrame) -> np.ndarray:
+    """Bits of all pairs of a table: at most ``2 ** SLOT_BITS / 64`` words reach the driver, whatever the rows."""
+    size = 1 << SLOT_BITS
 
     def run(batches):
+        bits = np.zeros(size, bool)
         for batch in batches:
-            for row in batch.to_pylist():
-                text, symbols, _, words = _symbols(row, set(row["known"]))
-                yield from _rows(row, words, *pairs_of(text, symbols))
+            bits[_slot(batch.column("pair").to_numpy(), size)] = True
+        words = np.packbits(bits, bitorder="little").view("<i8")
+        held = np.flatnonzero(words)
+        yield pa.RecordBatch.from_arrays([pa.array(held), pa.array(words[held])], names=["at", "bits"])
 
-    return shards.select("shard", "lang", "words", "ids", "known").mapInArrow(run, _COUNTED)
+    got = pairs.select("pair").mapInArrow(run, "at long, bits long").groupBy("at").agg(F.bit_or("bits").alias("bits")).toArrow()
+    out = np.zeros(size // 64, np.int64)
+    out[got.column("at").to_numpy()] = got.column("bits").to_numpy()
+    return out
 
 
-def _count_longer(shards: DataFrame, longest: int) -> DataFrame:
-    """Phrases of 3 words and more of the pairs listed in ``known``."""
+def _count_longer(shards: DataFrame, slots, longest: int) -> DataFrame:
+    """``(key, count)``: phrases of 3 words and more whose pairs have their bits set, as numbers of 32 bits."""
 
     def run(batches):
+        bits = np.unpackbits(slots.value.view(np.uint8), bitorder="little").view(bool)
         for batch in batches:
-            for row in batch.to_pylist():
-                known = [tuple(p.split(" ")) for p in row["known"]]
-                text, symbols, symbol, words = _symbols(row, {w for p in known for w in p})
-                pairs = np.array([symbol[a] * symbols + symbol[b] for a, b in known], np.int64)
-                yield from _rows(row, words, *longer_of(text, symbols, pairs, longest))
+            for row in _rows(batch):
+                index, numbers = _indexed(row, longest)
+                for some in longer_phrases(index, lambda s, n=numbers: bits[_slot(_pair(n[s]), len(bits))], longest):
+                    step = 4 * some.symbols.shape[1]
+                    for i in range(0, len(some.count), ROWS):
+                        raw = numbers[some.symbols[i:i + ROWS]].astype("<i4").tobytes()
+                        keys = pa.Array.from_buffers(pa.binary(step), len(raw) // step, [None, pa.py_buffer(raw)]).cast(pa.binary())
+                        yield pa.RecordBatch.from_arrays([keys, pa.array(some.count[i:i + ROWS])], names=["key", "count"])
 
-    return shards.select("shard", "lang", "words", "ids", "known").mapInArrow(run, _COUNTED)
+    return shards.mapInArrow(run, "key binary, count long")
 
 
-def _frequent(counted: DataFrame, least: int) -> DataFrame:
-    return (counted.groupBy("lang", "phrase")
-            .agg(F.sum("count").alias("a"), F.sum("goes_left").alias("goes_left"), F.sum("goes_right").alias("goes_right"))
-            .where(f"a >= {int(least)}"))
+def _spelled(frequent: DataFrame, words: DataFrame) -> DataFrame:
+    """``(lang, phrase, a)`` of phrases given by their words' numbers."""
 
+    def run(batches):
+        for batch in batches:
+            numbers = [np.frombuffer(k, "<i4").astype(np.int64) for k in batch.column("key").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("a"), pa.array(numbers, pa.list_(pa.int64()))],
+                                             names=["key", "a", "numbers"])
 
-def _with_known(shards: DataFrame, counted: DataFrame, frequent: DataFrame) -> DataFrame:
-    """Each shard with those of its phrases that are frequent in all."""
-    held = counted.join(frequent.select("lang", "phrase"), ["lang", "phrase"])
-    return shards.join(held.groupBy("shard").agg(F.collect_list("phrase").alias("known")), "shard")
+    each = (frequent.select("key", "a").mapInArrow(run, "key binary, a long, numbers array<long>")
+            .select("key", "a", F.posexplode("numbers").alias("place", "number")))
+    back = each.join(words.select("number", "lang", F.col("phrase").alias("word")), "number")
+    return (back.groupBy("key", "a", "lang").agg(F.sort_array(F.collect_list(F.struct("place", "word"))).alias("words"))
+            .select("lang", F.array_join(F.col("words.word"), " ").alias("phrase"), "a"))
+
+
+def _frequent_rows(counted: DataFrame, key: list[str], least: int) -> DataFrame:
+    """The rows of shards whose key is frequent in all shards together, with its count ``a``.
+
+    One shuffle; a window holds the rows of one word, at most one a shard, and spills.
+    """
+    return counted.withColumn("a", F.sum("count").over(Window.partitionBy(*key))).where(f"a >= {int(least)}")
 
 
 def frequent_phrases(docs: DataFrame, scratch: Scratch, least: int = 30, longest: int = 4) -> tuple[DataFrame, DataFrame]:
-    """``(lang, phrase, a, goes_left, goes_right)`` of 1 to ``longest`` words that occur ``least`` times, and ``(lang, n)``."""
-    bound_batches(docs.sparkSession)
+    """``(lang, phrase, a)`` of 1 to ``longest`` words that occur ``least`` times, and ``(lang, n)``."""
+    spark = docs.sparkSession
+    bound_batches(spark)
     shards = scratch.keep(_shards(docs), "shards")
     total = scratch.keep(shards.groupBy("lang").agg(F.sum("n").alias("n")), "totals")
-    no_side = [F.lit(None).cast("long").alias(c) for c in ("goes_left", "goes_right")]
-    words = scratch.keep(_count_words(shards).select("*", *no_side), "words")
-    frequent = scratch.keep(_frequent(words, least), "frequent")
-    pairs = scratch.keep(_count_pairs(_with_known(shards, words, frequent)), "pairs")
-    scratch.drop(words)
-    frequent_pairs = scratch.keep(_frequent(pairs, least), "frequent")
-    out = frequent.unionByName(frequent_pairs)
-    if longest > 2:
-        longer = _count_longer(_with_known(shards, pairs, frequent_pairs), longest)
-        out = out.unionByName(scratch.keep(_frequent(longer, least), "frequent"))
-    for done in (pairs, shards):
+    held = scratch.keep(_frequent_rows(_count_words(shards), ["lang", "phrase"], least), "words")
+    numbered = with_row_index(held.groupBy("lang", "phrase").agg(F.first("a").alias("a")), ["lang", "phrase"], idx="number")
+    words = scratch.keep(numbered.df, "frequent")
+    discard(spark, numbered.path)
+    known = (held.join(words, ["lang", "phrase"]).groupBy("shard")
+             .agg(F.collect_list(F.struct("phrase", "number")).alias("known")))
+    shards_known = scratch.keep(_numbered(shards.join(known, "shard")), "shards")
+    for done in (held, shards):
         scratch.drop(done)
-    return out, total
+    pairs = _count_pairs(shards_known).groupBy("pair").agg(F.sum("count").alias("a")).where(f"a >= {int(least)}")
+    pairs = scratch.keep(pairs, "pairs")
+
+    def keys(batches):
+        for batch in batches:
+            pair = batch.column("pair").to_numpy()
+            raw = np.column_stack([pair >> 32, pair & 0xFFFFFFFF]).astype("<i4").tobytes()
+            yield pa.RecordBatch.from_arrays([pa.array([raw[i:i + 8] for i in range(0, len(raw), 8)], pa.binary()),
+                                              batch.column("a")], names=["key", "a"])
+
+    frequent = pairs.mapInArrow(keys, "key binary, a long")
+    if longest > 2:
+        slots = spark.sparkContext.broadcast(_slots(pairs))
+        longer = _count_longer(shards_known, slots, longest).groupBy("key").agg(F.sum("count").alias("a"))
+        longer = scratch.keep(longer.where(f"a >= {int(least)}"), "longer")
+        slots.unpersist()
+        frequent = frequent.unionByName(longer)
+    scratch.drop(shards_known)
+    phrases = scratch.keep(_spelled(frequent, words), "frequent")
+    scratch.drop(pairs)
+    return words.select("lang", "phrase", "a").unionByName(phrases), total
 
 
 def _part(words: str, first, length) -> F.Column:
@@ -355,23 +398,24 @@ def collocations(docs: DataFrame, least: int = 30, longest: int = 4, top: int =
                  covered_percent: int = 80) -> DataFrame:
     """Each language's ``top`` phrases of 2 to ``longest`` words, the most tightly bound first.
 
-    ``(lang, rank, phrase, a, l, r, n, score, goes_left, goes_right)``: a
-    phrase's count, the counts of the two parts of its weakest cut, all words
-    of the language, and how often the phrase goes on within its piece. A
-    phrase inside a longer one that has ``covered_percent`` of its count goes.
+    ``(lang, rank, phrase, a, l, r, n, score, left_extensions,
+    right_extensions)``: a phrase's count, the counts of the two parts of its
+    weakest cut, all words of the language, and how many frequent phrases (of
+    up to ``longest`` words) put one word before or after it. A phrase inside
+    a longer one that has ``covered_percent`` of its count goes.
     """
     scratch = Scratch(docs.sparkSession)
     frequent, total = frequent_phrases(docs, scratch, least, longest)
     count = frequent.select("lang", "phrase", "a")
     some = frequent.withColumn("words", F.split("phrase", " ")).withColumn("size", F.size("words")).where("size > 1")
     cut = (some.withColumn("k", F.explode(F.sequence(F.lit(1), F.col("size") - 1)))
-           .select("lang", "phrase", "a", "goes_left", "goes_right", "k", _part("words", F.lit(1), F.col("k")).alias("head"),
+           .select("lang", "phrase", "a", "k", _part("words", F.lit(1), F.col("k")).alias("head"),
                    _part("words", F.col("k") + 1, F.col("size") - F.col("k")).alias("rest")))
     score = F.expr("cast(2000000 as decimal(18, 0)) * cast(a as decimal(19, 0)) div (cast(l as decimal(19, 0)) + r)")
     scored = (cut.join(count.select("lang", F.col("phrase").alias("head"), F.col("a").alias("l")), ["lang", "head"])
               .join(count.select("lang", F.col("phrase").alias("rest"), F.col("a").alias("r")), ["lang", "rest"])
               .withColumn("score", score)
-              .groupBy("lang", "phrase", "a", "goes_left", "goes_right")
+              .groupBy("lang", "phrase", "a")
               .agg(F.min(F.struct("score", "k", "l", "r")).alias("cut")))
     inner = (some.where("size > 2")
              .withColumn("m", F.explode(F.sequence(F.lit(2), F.col("size") - 1)))
@@ -382,6 +426,11 @@ def collocations(docs: DataFrame, least: int = 30, longest: int = 4, top: int =
     left = scored.join(inner, ["lang", "phrase"], "left").where(~F.coalesce(covered, F.lit(False)))
     order = Window.partitionBy("lang").orderBy(F.desc("cut.score"), F.desc("a"), "phrase")
     best = left.withColumn("rank", F.row_number().over(order)).where(f"rank <= {int(top)}")
+    size = F.size("words")
+    for side, start in (("left", F.lit(2)), ("right", F.lit(1))):
+        extended = some.groupBy("lang", _part("words", start, size - 1).alias("phrase")).agg(F.count(F.lit(1)).alias(f"{side}_extensions"))
+        best = best.join(extended, ["lang", "phrase"], "left")
+    counts = [F.coalesce(f"{side}_extensions", F.lit(0)).alias(f"{side}_extensions") for side in ("left", "right")]
     return best.join(total, "lang").select(
         "lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", F.col("cut.l").alias("l"),
-        F.col("cut.r").alias("r"), "n", F.col("cut.score").alias("score"), "goes_left", "goes_right")
+        F.col("cut.r").alias("r"), "n", F.col("cut.score").alias("score"), *counts)

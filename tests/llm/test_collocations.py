@@ -15,23 +15,21 @@ def pieces(text):
 
 
 def counted(docs, longest=4):
-    """Every phrase's count, and how often it goes on to the left and to the right."""
-    f, left, right, n = Counter(), Counter(), Counter(), Counter()
+    """Every phrase's count, and the words of each language."""
+    f, n = Counter(), Counter()
     for text, lang in docs:
         for w in pieces(text):
             n[lang or "und"] += len(w)
             for size in range(1, longest + 1):
                 for i in range(len(w) - size + 1):
-                    key = (lang or "und", tuple(w[i:i + size]))
-                    f[key] += 1
-                    left[key] += i > 0
-                    right[key] += i + size < len(w)
-    return f, left, right, n
+                    f[lang or "und", tuple(w[i:i + size])] += 1
+    return f, n
 
 
 def brute(docs, least=30, longest=4, top=2000):
-    f, left, right, n = counted(docs, longest)
+    f, n = counted(docs, longest)
     some = {k: a for k, a in f.items() if a >= least and len(k[1]) > 1}
+    left, right = Counter((g, w[1:]) for g, w in some), Counter((g, w[:-1]) for g, w in some)
     covered = set()
     for (lang, w), a in some.items():
         for size in range(2, len(w)):
@@ -88,11 +86,18 @@ def test_index_counts_every_phrase():
     text = rng.integers(0, 7, 3000)
     index = co.ShardIndex(text, 7, 4)
     want = Counter(tuple(text[i:i + k]) for k in range(1, 5) for i in range(len(text) - k + 1) if (text[i:i + k] >= co.WORDS).all())
-    some, got = index.words(), {}
-    for _ in range(4):
-        got |= {tuple(s): c for s, c in zip(some.symbols.tolist(), some.count.tolist(), strict=True)}
-        some = index.longer(some)
-    assert got == {tuple(map(int, k)): v for k, v in want.items()}
+    for sides in ((False,) * 4, (True,) * 4, (False, True, False, True), (True, False, False, True)):
+        some, got = index.words(), {}
+        for left in sides:
+            got |= {tuple(s): c for s, c in zip(some.symbols.tolist(), some.count.tolist(), strict=True)}
+            some = index.longer(some, left)
+        assert got == {tuple(map(int, k)): v for k, v in want.items()}
+
+
+def test_shared_bits_only_let_more_through(spark, monkeypatch):
+    monkeypatch.setattr(co, "SLOT_BITS", 6)
+    docs = random_docs(8)
+    assert collect(co.collocations(spark.createDataFrame(docs, "text string, lang string"))) == brute(docs)
 
 
 def test_shards_hold_all_words(spark, monkeypatch):
@@ -100,7 +105,7 @@ def test_shards_hold_all_words(spark, monkeypatch):
     docs = random_docs(6) + [("word " * 500, "en"), ("w, " * 100, f"l{1}")] + [("q", f"l{k}") for k in range(60)]
     rows = co._shards(spark.createDataFrame(docs, "text string, lang string").coalesce(1)).collect()
     assert len({r["shard"] for r in rows}) == len(rows)
-    n = counted(docs)[3]
+    n = counted(docs)[1]
     assert Counter({lang: sum(r["n"] for r in rows if r["lang"] == lang) for lang in n}) == n
 
 
