@@ -9,11 +9,13 @@
    random ones by robust pruning: a candidate is dropped if a chosen neighbour
    is closer to it by a factor. Links back are added and pruned alike.
 3. The adjacency lists of a vector are united over its shards.
-4. Each shard is searched for all its vectors over the united lists: a greedy
-   beam search from the shard's medoid, widened until it meets the query
-   itself, then the range is expanded from every vector found near the radius.
-   Similarities are cosines in double precision, so what is found is verified.
-   A pair that shares several shards is counted in the first of them.
+4. Each shard is searched over the united lists for the vectors that are at
+   home in it (whose closest cluster it is; the margins let one of two linked
+   vectors into the other's home): a greedy beam search from the shard's
+   medoid, widened until it meets the query itself, then the range is expanded
+   from every vector found near the radius. Similarities are cosines in double
+   precision, so what is found is verified. A pair seen from the homes of both
+   is counted in the first of the two shards.
    Shards of more than ``LARGEST`` vectors have no graph: they are dealt into
    blocks by a hash, and each two blocks (a cell) are compared as a whole, so a
    large group of near copies is spread over tasks of bounded size.
@@ -220,22 +222,36 @@ class Shard:
 
 
 class Links:
-    """Counts of links and components of the vectors of a shard or cell, from blocks of linked pairs as they are found."""
+    """Counts of links and components of the vectors of a shard or cell, from blocks of linked pairs as they are found.
 
-    def __init__(self, copies: list[int], clusters: list[list[int]], own: int):
+    A pair counts where one of the two is at home. If the homes differ and
+    both shards hold both vectors, it counts in the first of the two shards.
+    """
+
+    def __init__(self, copies: list[int], clusters: list[list[int]], homes: list[int], own: int):
         n = len(copies)
         self.weight = np.array(copies, np.float64)
         self.links, self.head = np.zeros(n), np.arange(n)
-        before = sorted({c for cs in clusters for c in cs if c < own})
+        self.home = np.array(homes) == own
+        # Whether a vector is in an earlier shard, and whether that is its home.
+        before = sorted({h for h in homes if h < own})
         place = {c: i for i, c in enumerate(before)}
         self.member = np.zeros((n, len(before)), np.float32)
-        for i, cs in enumerate(clusters):
-            self.member[i, [place[c] for c in cs if c < own]] = 1
+        self.from_ = np.zeros((n, len(before)), np.float32)
+        for i, (cs, h) in enumerate(zip(clusters, homes, strict=True)):
+            self.member[i, [place[c] for c in cs if c in place]] = 1
+            if h in place:
+                self.from_[i, place[h]] = 1
+
+    def _here(self, rows: np.ndarray, columns: np.ndarray) -> np.ndarray:
+        """Which pairs of a vector at home (rows) and any other count in this shard."""
+        return self.home[rows][:, None] & (self.member[rows] @ self.from_[columns].T == 0)
 
     def add(self, rows: np.ndarray, columns: np.ndarray, near: np.ndarray) -> None:
         """Pairs ``(rows[i], columns[j])`` where ``near[i, j]``; each pair comes once."""
-        # A pair counts in the first cluster that both are in.
-        here = (near & (self.member[rows] @ self.member[columns].T == 0)).astype(np.float64)
+        counted = self._here(rows, columns) & self._here(columns, rows).T \
+            | self._here(rows, columns) & ~self.home[columns] | self._here(columns, rows).T & ~self.home[rows][:, None]
+        here = (near & counted).astype(np.float64)
         self.links[rows] += here @ self.weight[columns]
         self.links[columns] += self.weight[rows] @ here
         for i, linked in zip(rows[near.any(axis=1)], near[near.any(axis=1)], strict=True):
@@ -258,6 +274,7 @@ def compare(x: np.ndarray, block: np.ndarray, lo: int, hi: int, radius: float, l
 
 def _unit(vectors: list) -> np.ndarray:
     x = np.array(vectors, np.float64)
+    x /= np.abs(x).max(axis=1, keepdims=True)  # squares of very large or small components stay finite
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
@@ -291,7 +308,7 @@ def _valid(vector):
 
 
 def _shards(classes: DataFrame, sample: int, shard: int, overlap: float, radius: float) -> DataFrame:
-    """``(nid, label, dim, cluster, clusters, copies, embedding)``: classes in each of their shards."""
+    """``(nid, label, dim, cluster, clusters, home, copies, embedding)``: classes in each of their shards; ``home``: the best."""
     largest = classes.groupBy("label").count().agg(F.max("count")).first()[0] or 0
     k = min(MOST_CLUSTERS, math.ceil(largest / shard))
     fitted: dict[int, np.ndarray] = {}
@@ -304,26 +321,28 @@ def _shards(classes: DataFrame, sample: int, shard: int, overlap: float, radius:
 
     def run(batches):
         for batch in batches:
-            out = []
+            out, homes = [], []
             for dim, vector in zip(batch.column("dim").to_pylist(), batch.column("embedding").to_pylist(), strict=True):
+                best = 0
                 if dim in fitted:
                     near = fitted[dim] @ _unit([vector])[0]
                     best = int(near.argmax())
                     out.append(np.flatnonzero(near >= near[best] - margin[dim][best]).tolist())
                 else:
                     out.append([0])
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.list_(pa.int64()))], names=[*batch.schema.names, "clusters"])
+                homes.append(best)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.list_(pa.int64())), pa.array(homes, pa.int64())],
+                                             names=[*batch.schema.names, "clusters", "home"])
 
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in classes.schema) + ", clusters array<long>"
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in classes.schema) + ", clusters array<long>, home long"
     return classes.mapInArrow(run, schema).withColumn("cluster", F.explode("clusters"))
 
 
 def split(sharded: DataFrame, largest: int = LARGEST) -> tuple[DataFrame, DataFrame]:
     """Shards of at most ``largest`` vectors, and the others in cells ``(lo, hi)`` of two blocks of about half as many."""
-    # At most one in ``largest`` rows, so small enough to broadcast.
     large = (sharded.groupBy(*KEY).agg(F.count(F.lit(1)).alias("blocks")).where(F.col("blocks") > largest)
              .withColumn("blocks", F.ceil(F.col("blocks") * 2 / largest)))
-    dealt = sharded.join(F.broadcast(large), [*KEY], "left")
+    dealt = sharded.join(large, [*KEY], "left")
     cells = (dealt.where("blocks is not null").withColumn("block", F.pmod(F.xxhash64("nid"), "blocks"))
              .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
              .withColumns({"lo": F.least("block", "other"), "hi": F.greatest("block", "other")}).drop("blocks", "other"))
@@ -356,22 +375,23 @@ def near_duplicates(vectors: DataFrame, radius: float = 0.98, sample: int = SAMP
     united = graph.groupBy("nid").agg(F.array_distinct(F.flatten(F.collect_list("neighbours"))).alias("neighbours"))
 
     def search(key, columns):
-        nid, vector, copies, clusters, neighbours_ = columns
+        nid, vector, copies, clusters, homes, neighbours_ = columns
         place = {v: i for i, v in enumerate(nid)}
         graph_ = Shard(_unit(vector), [np.array([place[v] for v in vs or () if v in place], np.int64) for vs in neighbours_])
         every = np.arange(len(nid))
         near = np.zeros((len(nid), len(nid)), bool)
-        for i in range(len(nid)):
+        # A link is seen from the home of one of its vectors at least (see margins), so only those search.
+        for i in np.flatnonzero(np.array(homes) == key[2]):
             near[i, graph_.within(i, radius)] = True
         near = np.triu(near | near.T)  # found from either side
-        links = Links(copies, clusters, key[2])
+        links = Links(copies, clusters, homes, key[2])
         for a in range(0, len(nid), 256):
             links.add(every[a:a + 256], every, near[a:a + 256])
         return nid, links.links.astype(np.int64), np.array(nid, np.int64)[links.head]
 
     def cell(key, columns):
-        nid, vector, copies, clusters, block = columns
-        links = Links(copies, clusters, key[2])
+        nid, vector, copies, clusters, homes, block = columns
+        links = Links(copies, clusters, homes, key[2])
         compare(_unit(vector), np.array(block, np.int64), *key[3:], radius, links)
         # Cells of one block give a row for each vector, the others for linked ones.
         told = np.flatnonzero((key[3] == key[4]) | (links.links > 0) | (links.head != np.arange(len(nid))))
@@ -379,8 +399,8 @@ def near_duplicates(vectors: DataFrame, radius: float = 0.98, sample: int = SAMP
         return ids[told], links.links[told].astype(np.int64), ids[links.head[told]]
 
     out = "nid long, links long, head long"
-    searched = _per_shard(sharded.join(united, "nid", "left"), ["nid", "embedding", "copies", "clusters", "neighbours"], search, out)
-    compared = _per_shard(cells, ["nid", "embedding", "copies", "clusters", "block"], cell, out, CELL)
+    searched = _per_shard(sharded.join(united, "nid", "left"), ["nid", "embedding", "copies", "clusters", "home", "neighbours"], search, out)
+    compared = _per_shard(cells, ["nid", "embedding", "copies", "clusters", "home", "block"], cell, out, CELL)
     found = scratch.keep(searched.unionAll(compared), "found")
     counts = found.groupBy("nid").agg(F.sum("links").alias("links"))
     linked = components(spark, found.where("nid <> head").select(F.col("nid").alias("a"), F.col("head").alias("b")))
