@@ -1075,6 +1075,154 @@ def persist_own_models(spark, sf):
     return reduce(DataFrame.unionByName, parts)
 
 
+# -------------------------------------------- window states, interval of the mean
+
+@register("window_state_merge", """
+    WITH e AS (SELECT event_type AS kks, ts, max(value) AS value FROM events GROUP BY 1, 2)
+    SELECT kks, time_bucket(INTERVAL '1 minute', ts) AS "time", round(avg(value), 6) AS value FROM e GROUP BY 1, 2""")
+def window_state_merge(spark, sf):
+    """Minute means from states: two overlapping loads, the first of them with values that are corrected by the second."""
+    from helioframe.operators.window_state import load, means, read_states
+    from helioframe.session import scratch_path
+    e = (S.testdata(spark, sf, "events").groupBy(F.col("event_type").alias("kks"), F.col("ts").cast("timestamp_ntz").alias("time"))
+         .agg(F.max("value").alias("value")).withColumn("date", F.to_date("time"))
+         .withColumn("part", F.pmod(F.xxhash64("kks", "time"), F.lit(4))))
+    raw, states = scratch_path(spark, "state-raw"), scratch_path(spark, "states")
+    for batch in (e.where("part < 2").withColumn("value", F.when(F.col("part") == 1, F.col("value") + 1).otherwise(F.col("value"))),
+                  e.where("part >= 1")):
+        load(batch, raw, states)
+    return means(read_states(spark, states)).select("kks", "time", r6("value").alias("value"))
+
+
+@register("series_band", """
+    SELECT event_id, event_type AS series, CAST(1 AS BIGINT) AS n, round(value, 6) AS value, round(value, 6) AS low, round(value, 6) AS high
+    FROM events""")
+def series_band_q(spark, sf):
+    """On an index without repeats the interval of the mean is the value itself."""
+    from helioframe.operators.band import series_band
+    e = S.testdata(spark, sf, "events").select("event_id", F.col("event_type").alias("series"), "value")
+    out = series_band(e, ["event_id"], time="event_id", replicates=50)
+    return out.select("event_id", "series", "n", *[r6(c).alias(c) for c in ("value", "low", "high")])
+
+
+@register("series_band_hourly")
+def series_band_hourly(spark, sf):
+    """The 95 % interval of each series' mean by hour, 200 replicates."""
+    from helioframe.operators.band import series_band
+    e = S.testdata(spark, sf, "events").select("event_id", F.date_trunc("hour", "ts").alias("time"), F.col("event_type").alias("series"), "value")
+    return series_band(e, ["event_id"], replicates=200)
+
+
+# ------------------------------------------------------- models grown and solved in shared passes
+
+_TWO_LEVELS = f"""
+    WITH {_stump_cte("r", "lineitem")},
+    sides AS (SELECT lineitem.*, l_discount <= (SELECT d FROM r) AS side FROM lineitem),
+    {_stump_cte("c", "sides", by="side")}
+    SELECT l_orderkey, l_linenumber, round(CASE WHEN l_discount <= d THEN lo ELSE hi END, 4) AS prediction
+    FROM sides JOIN c ON sides.side = c.side"""
+
+
+def _grown(plan, seed=0):
+    def make():
+        from helioframe.models.forest import GrownForest
+        return GrownForest(plan(), labelCol=_LI_LABEL, seed=seed)
+    return make
+
+
+def _one_grown(**more):
+    def plan():
+        from helioframe.models.forest import ForestPlan
+        return ForestPlan(n_estimators=1, bootstrap=False, **more)
+    return plan
+
+
+register("tree_two_levels", _TWO_LEVELS)(_stump(_grown(_one_grown(max_depth=2))))
+
+
+def _extra_sql() -> str:
+    """Two levels of cuts drawn between the least and greatest discount of a node; the draws are those of the grower."""
+    from helioframe.models.draws import mixed, uniform
+    root = int(mixed(int(mixed(0, 0))))
+    draw = [float(uniform(mixed(k, 4096))) for k in (root, mixed(root, 1), mixed(root, 2))]
+    return f"""
+    WITH a AS (SELECT lineitem.*, min(l_discount) OVER () + {draw[0]!r} * (max(l_discount) OVER () - min(l_discount) OVER ()) AS t FROM lineitem),
+    b AS (SELECT *, l_discount <= t AS side FROM a),
+    c AS (SELECT *, min(l_discount) OVER (PARTITION BY side) + CASE WHEN side THEN {draw[1]!r} ELSE {draw[2]!r} END
+                 * (max(l_discount) OVER (PARTITION BY side) - min(l_discount) OVER (PARTITION BY side)) AS u FROM b)
+    SELECT l_orderkey, l_linenumber, round(avg(l_extendedprice) OVER (PARTITION BY side, l_discount <= u), 4) AS prediction FROM c"""
+
+
+register("extra_tree_given_draws", _extra_sql())(_stump(_grown(_one_grown(max_depth=2, extra=True))))
+
+
+@register("forest_search_stump", _SEARCH_SQL)
+def forest_search_stump(spark, sf):
+    """The shared search over trees without and with one split, five contiguous folds."""
+    from helioframe.models.forest import forest_plan, search_forests
+    data = _li_prepared(spark, sf)
+    cands = [{"n_estimators": 1, "bootstrap": False, "max_depth": d} for d in (0, 1)]
+    _, _, scores = search_forests(data.where("split = 'train'"), ["l_discount"], _LI_LABEL, cands, forest_plan, order=["idx"])
+    return (spark.createDataFrame([(c["max_depth"], s) for c, s in zip(cands, scores)], "max_depth int, mean_r2 double")
+            .select("max_depth", F.round("mean_r2", 8).alias("mean_r2")))
+
+
+@register("exact_samples", " UNION ALL ".join(
+    f"SELECT '{name}' AS sample, count(*) AS n, CAST(floor({share} * count(*)) AS BIGINT) AS drawn FROM lineitem"
+    for name, share in (("half", 0.5), ("half again", 0.5), ("all again", 1.0), ("forest in a bag", 0.5))))
+def exact_samples(spark, sf):
+    """Rows drawn with and without replacement, and a bootstrap of a sample: exact numbers at any partitioning."""
+    import pyarrow as pa
+
+    from helioframe.models.draws import Sample
+    from helioframe.operators.rows import with_row_index
+    ind = with_row_index(S.testdata(spark, sf, "lineitem").select("l_orderkey", "l_linenumber"), ["l_orderkey", "l_linenumber"])
+    n, half = ind.n, ind.n // 2
+    first = Sample(n, half, False, 1)
+    samples = {"half": first, "half again": Sample(n, half, True, 2), "all again": Sample(n, n, True, 3),
+               "forest in a bag": Sample(half, half, True, 4, first)}
+
+    def run(batches):
+        for batch in batches:
+            idx = batch.column("idx").to_numpy(zero_copy_only=False)
+            drawn = [int(s.counts(idx).sum()) for s in samples.values()]
+            yield pa.RecordBatch.from_pydict({"sample": list(samples), "n": [len(idx)] * len(samples), "drawn": drawn})
+
+    return (ind.df.select("idx").mapInArrow(run, "sample string, n long, drawn long").groupBy("sample")
+            .agg(F.sum("n").alias("n"), F.sum("drawn").alias("drawn")))
+
+
+@register("kernel_residual", """
+    WITH m AS (SELECT min(l_discount) AS a, max(l_discount) AS b FROM lineitem),
+    k AS (SELECT exp(-100 * pow(l_discount - a, 2)) AS ka, exp(-100 * pow(l_discount - b, 2)) AS kb, exp(-100 * pow(a - b, 2)) AS c FROM lineitem, m)
+    SELECT count(*) AS n, round(avg(1 - (ka * ka + kb * kb - 2 * ka * kb * c) / (1 - c * c)), 8) AS residual FROM k""")
+def kernel_residual_q(spark, sf):
+    """What a Nyström map with the least and greatest discount as landmarks loses of the kernel."""
+    import numpy as np
+
+    from helioframe.models.base import FEATURES, assembler
+    from helioframe.models.kernel_svr import kernel_residual
+    li = S.testdata(spark, sf, "lineitem").select(F.col("l_discount").cast("double").alias("l_discount"))
+    ends = li.agg(F.min("l_discount"), F.max("l_discount")).first()
+    out = kernel_residual(assembler(["l_discount"]).transform(li), FEATURES, 100.0, np.array(ends, float)[:, None])
+    return out.select("n", F.round("residual", 8).alias("residual"))
+
+
+@register("min_norm_ols", """
+    WITH f AS (SELECT regr_slope(l_extendedprice, l_quantity) AS b, regr_intercept(l_extendedprice, l_quantity) AS a FROM lineitem)
+    SELECT 'l_quantity' AS term, round(b / 2, 6) AS weight FROM f UNION ALL SELECT 'again', round(b / 2, 6) FROM f
+    UNION ALL SELECT 'constant', 0.0 UNION ALL SELECT 'intercept', round(a, 4) FROM f""")
+def min_norm_ols(spark, sf):
+    """A feature that stands twice shares its weight, a constant one has none."""
+    from helioframe.models.base import pipeline
+    from helioframe.models.least_squares import MinimumNormOLS
+    li = S.testdata(spark, sf, "lineitem").withColumn("again", F.col("l_quantity")).withColumn("constant", F.lit(3.0))
+    names = ["l_quantity", "again", "constant"]
+    model = pipeline(names, MinimumNormOLS(labelCol=_LI_LABEL)).fit(li).stages[-1]
+    rows = [(c, round(w, 6) + 0.0) for c, w in zip(names, model.coefficients)] + [("intercept", round(model.intercept, 4))]
+    return spark.createDataFrame(rows, "term string, weight double")
+
+
 # ------------------------------------------------------- streaming ingest (S1-S5 incremental)
 
 @register("stream_ingest", ORACLE_SQL["csv_round_trip"])
