@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from helioframe.models.base import FEATURES, assembler
 from helioframe.models.draws import mixed
-from helioframe.models.grower import NO_LIMIT, Binned, Fit, binned, grow
+from helioframe.models.grower import NO_LIMIT, Binned, Fit, binned, grow, walk
 from helioframe.models.persist import StoredModel
 from helioframe.models.trees import Tree, ensemble
 
@@ -220,7 +220,7 @@ def forest_scores(rows: Binned, plans: list[ForestPlan], seed: int) -> list[floa
             for k in mine:
                 cells[k, held] = cell + sizes.index(plans[k].n_estimators)
             cell += len(sizes)
-    trees = [t.tree(by_bins=True) for t in grow(rows, fits)]
+    trees = [t.arrays() for t in grow(rows, fits)]
     shared = rows.df.sparkSession.sparkContext.broadcast((trees, blocks))
 
     def errors(batch):
@@ -232,9 +232,9 @@ def forest_scores(rows: Binned, plans: list[ForestPlan], seed: int) -> list[floa
             at = np.flatnonzero(fold == held)
             if not len(at):
                 continue
-            total, tree = np.zeros(len(at)), first
+            total, tree, here = np.zeros(len(at)), first, bins[at]
             for member, size in enumerate(sizes, 1):
-                total += sum(t.predict(bins[at]) for t in trees[tree:tree + size]) / size
+                total += sum(t[4][walk(t, here)] for t in trees[tree:tree + size]) / size
                 tree += size
                 if member in wanted:
                     yield wanted[member], float(np.sum((y[at] - total / member) ** 2))

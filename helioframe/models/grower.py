@@ -174,15 +174,22 @@ class Growing:
 
     def graft(self, node: int, sub: dict) -> None:
         """Put a finished subtree in the place of a leaf."""
-        base = len(self.feature)
-        at = [node, *range(base, base + len(sub["feature"]) - 1)]
-        more = len(sub["feature"]) - 1
-        for name in ("feature", "cut", "threshold", "left", "right", "value", "depth", "key"):
-            getattr(self, name).extend([0] * more)
-        for k, here in enumerate(at):
-            self.feature[here], self.cut[here] = sub["feature"][k], sub["cut"][k]
-            self.threshold[here], self.value[here] = sub["threshold"][k], sub["value"][k]
-            self.left[here], self.right[here] = at[sub["left"][k]], at[sub["right"][k]]
+        base, more = len(self.feature), len(sub["feature"]) - 1
+        at = np.concatenate([[node], np.arange(base, base + more)])
+        for name in ("feature", "cut", "threshold", "value"):
+            own = getattr(self, name)
+            own[node] = sub[name][0]
+            own.extend(sub[name][1:])
+        for name in ("left", "right"):
+            own, here = getattr(self, name), at[sub[name]].tolist()
+            own[node] = here[0]
+            own.extend(here[1:])
+        self.depth.extend([0] * more)
+        self.key.extend([0] * more)
+
+    def arrays(self) -> tuple:
+        """For :func:`walk`: features, cuts, children and means."""
+        return tuple(map(np.array, (self.feature, self.cut, self.left, self.right, self.value)))
 
     def tree(self, by_bins: bool = False) -> Tree:
         """For rows of feature values, or for rows of bins."""
@@ -190,9 +197,9 @@ class Growing:
                     list(self.left), list(self.right), list(self.value))
 
 
-def _walk(tree: tuple, bins: np.ndarray) -> np.ndarray:
-    """The node that each row comes to."""
-    feature, cut, left, right = tree
+def walk(tree: tuple, bins: np.ndarray) -> np.ndarray:
+    """The node that each row of bins comes to."""
+    feature, cut, left, right = tree[:4]
     node = np.zeros(len(bins), np.int64)
     rows = np.arange(len(bins))
     while len(rows):
@@ -300,13 +307,13 @@ def choose(node, feature, bins, count, weight, label, low, high, fits: list[Fit]
     best = begin.copy()
     best[found] = enough[np.searchsorted(place[enough], np.flatnonzero(found))]
     threshold, cut = np.zeros(len(nodes)), bins[best]
-    for k in np.flatnonzero(found):
-        f, b = feature[best[k]], bins[best[k]]
-        threshold[k] = edges[f][b]
+    for f in np.unique(feature[best[found]]):
+        mine = np.flatnonzero(found & (feature[best] == f))
+        threshold[mine] = edges[f][bins[best[mine]]]
         if exact[f]:
             # Half way to the next value of the node; values between that other rows have follow it.
-            threshold[k] = (edges[f][b] + edges[f][bins[best[k] + 1]]) / 2
-            cut[k] = np.searchsorted(edges[f], threshold[k], side="right") - 1
+            threshold[mine] = (threshold[mine] + edges[f][bins[best[mine] + 1]]) / 2
+            cut[mine] = np.searchsorted(edges[f], threshold[mine], side="right") - 1
     one = first_group
     return {"node": nodes, "feature": np.where(found, feature[best], -1), "cut": cut, "threshold": threshold,
             "count": c[last][one], "weight": w[last][one], "label": s[last][one],
@@ -359,9 +366,7 @@ def grow_in_memory(fit: Fit, key: int, depth: int, bins: np.ndarray, weight: np.
         at = np.flatnonzero(front >= 0)
         sums = _histogram(front[at], bins[at], weight[at], y[at], sorted(set(features)), width, deep)
         got = choose(*sums, [fit] * len(open_nodes), [tree.key[k] for k in open_nodes], edges, exact)
-        after = []
-        for k in range(len(got["node"])):
-            after += _apply(tree, open_nodes[got["node"][k]], {name: v[k] for name, v in got.items()})
+        after = _apply_level(tree, np.array(open_nodes)[got["node"]], got)
         feature, cut = np.array(tree.feature), np.array(tree.cut)
         left, right = np.array(tree.left), np.array(tree.right)
         here = node[at]
@@ -383,6 +388,30 @@ def _apply(tree: Growing, node: int, got: dict) -> list[tuple[int, int]]:
     return list(zip(children, (int(got["left_count"]), int(got["count"] - got["left_count"]))))
 
 
+def _apply_level(tree: Growing, nodes: np.ndarray, got: dict) -> list[tuple[int, int]]:
+    """:func:`_apply` for many nodes of a tree at once."""
+    for node, mean in zip(nodes.tolist(), (got["label"] / got["weight"]).tolist()):
+        tree.value[node] = mean
+    at = np.flatnonzero(got["feature"] >= 0)
+    if not len(at):
+        return []
+    base = len(tree.feature)
+    left = base + 2 * np.arange(len(at))
+    split = nodes[at]
+    for name, values in (("feature", got["feature"][at]), ("cut", got["cut"][at]), ("threshold", got["threshold"][at]),
+                         ("left", left), ("right", left + 1)):
+        own = getattr(tree, name)
+        for node, value in zip(split.tolist(), values.tolist()):
+            own[node] = value
+        own.extend([-1 if name == "feature" else 0] * (2 * len(at)))
+    w, s, c = got["left_weight"][at], got["left_label"][at], got["left_count"][at]
+    tree.value.extend(np.column_stack([s / w, (got["label"][at] - s) / (got["weight"][at] - w)]).ravel().tolist())
+    tree.depth.extend(np.repeat(np.array(tree.depth)[split] + 1, 2).tolist())
+    keys = np.array([tree.key[n] for n in split.tolist()], np.uint64)
+    tree.key.extend(np.column_stack([mixed(keys, 1), mixed(keys, 2)]).ravel().tolist())
+    return list(zip(range(base, base + 2 * len(at)), np.column_stack([c, got["count"][at] - c]).ravel().tolist()))
+
+
 def _table(batch, width: int, fits: list[Fit]):
     idx, fold = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("idx", "fold"))
     y = batch.column("y").to_numpy(zero_copy_only=False)
@@ -417,7 +446,7 @@ def _rows_at(state, data: Binned, batch, width):
                 known.clear()
             known[which] = _weights(fit, data[0], data[1], idx, fold, counts)
         weight = known[which]
-        front = slot[_walk(arrays, bins)]
+        front = slot[walk(arrays, bins)]
         at = np.flatnonzero((front >= 0) & (weight > 0))
         if len(at):
             yield fit, front[at], bins[at], weight[at], y[at]
