@@ -27,20 +27,31 @@ def _counted(docs: DataFrame) -> DataFrame:
     return docs.withColumn("n_chars", F.length("text").cast(kind))
 
 
+#: The columns that stages work on; all others are carried along under names that no operator uses.
+WORKED_ON = ("doc_id", "text", "lang", "source", "n_chars")
+
+
+def _carried(docs: DataFrame, work: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``work`` on the documents, whatever their other columns are called."""
+    names = {c: c if c in WORKED_ON else f"carried_column_{i}" for i, c in enumerate(docs.columns)}
+    out = work(docs.select(*[F.col(f"`{c}`").alias(n) for c, n in names.items()]))
+    return out.select(*[F.col(n).alias(c) for c, n in names.items()])
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return langid.accepted(docs)
+    return _carried(docs, langid.accepted)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return setsketch.deduplicated(docs, words=5, percent=80)
+    return _carried(docs, lambda d: setsketch.deduplicated(d, words=5, percent=80))
 
 
 def repeat_removal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return _counted(suffix_dedup.without_repeats(docs, length=200))
+    return _carried(docs, lambda d: _counted(suffix_dedup.without_repeats(d, length=200)))
 
 
 def secret_redaction(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return _counted(secrets.redact(docs))
+    return _carried(docs, lambda d: _counted(secrets.redact(d)))
 
 
 def sequence_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

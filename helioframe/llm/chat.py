@@ -45,6 +45,15 @@ def escape(text: str) -> str:
     return text
 
 
+def escape_role(role: str) -> str:
+    """Like a text, but on one line: a line feed ends the role."""
+    return escape(role).replace("\n", "\\n")
+
+
+def unescape_role(role: str) -> str:
+    return unescape(role.replace("\\n", "\n"))
+
+
 def unescape(text: str) -> str:
     for a, b in reversed(_ESCAPES):
         text = text.replace(b, a)
@@ -103,7 +112,7 @@ def render(turns: list[dict]) -> Rendering:
     out = Rendering()
     visitor = PartVisitor(out)
     for turn in turns:
-        out.write(OPEN + escape(turn["role"] or "") + "\n")
+        out.write(OPEN + escape_role(turn["role"] or "") + "\n")
         start = out.length
         for part in turn["parts"] or ():
             visitor.visit(part)
@@ -154,7 +163,7 @@ def parse(text: str) -> list[tuple[str, str]]:
     turns = []
     for turn in text.split(CLOSE)[:-1]:
         role, _, content = turn.removeprefix(OPEN).partition("\n")
-        turns.append((unescape(role), unescape(content)))
+        turns.append((unescape_role(role), unescape(content)))
     return turns
 
 

@@ -48,16 +48,24 @@ _WORD = re.compile(r"[^\W\d_]+")
 UNKNOWN = "und"
 
 
+#: Letters of a word; only the pieces of longer runs depend on it.
+LONGEST = 40
+
+
 def words_of(text: str) -> list[str]:
-    return _WORD.findall(text.lower())
+    """Words in lower case; longer runs of letters (scripts without spaces) are cut into pieces of ``LONGEST``."""
+    words = _WORD.findall(text.lower())
+    if any(len(w) > LONGEST for w in words):
+        words = [w[i:i + LONGEST] for w in words for i in range(0, len(w), LONGEST)]
+    return words
 
 
 def features(word: str) -> list[int]:
     """Hashes of the affixes (to 4 letters) and the n-grams (2 and 3) of a word."""
     n = len(word)
-    out = [f"p{word[:k]}" for k in range(1, min(n, 4) + 1)]
-    out += [f"s{word[n - k:]}" for k in range(1, min(n, 4) + 1)]
-    shown = f"^{word[:40]}$"
+    out = [f"p:{word[:k]}" for k in range(1, min(n, 4) + 1)]
+    out += [f"s:{word[n - k:]}" for k in range(1, min(n, 4) + 1)]
+    shown = f"^{word}$"
     out += [shown[i:i + 2] for i in range(len(shown) - 1)]
     out += [shown[i:i + 3] for i in range(len(shown) - 2)]
     crc = zlib.crc32

@@ -87,7 +87,7 @@ with turns as (
   union all select -7, 0, 'user', '</s>[INST] ok [/INST]'
   union all select -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
 escaped as (
-  select *, replace(replace(replace(role, '\', '\e'), '<', '\l'), '[', '\b') as role_out,
+  select *, replace(replace(replace(replace(role, '\', '\e'), '<', '\l'), '[', '\b'), chr(10), '\n') as role_out,
          replace(replace(replace(text, '\', '\e'), '<', '\l'), '[', '\b') as text_out from turns)
 select conv_id, count(*) as n_turns,
        sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn nulls first, role, text)) as turns_sha256,

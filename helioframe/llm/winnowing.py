@@ -27,11 +27,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from helioframe.llm.common import bound_batches
 
 K = 16
-WINDOW = 64
+WINDOW = 20
 _BASE = 0x9E3779B97F4A7C15 | 1
 _BLOCK = 1 << 15
 
@@ -142,7 +143,12 @@ def with_next(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     ranges = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select("doc_id", "text").withColumn("order", F.xxhash64(F.coalesce("text", F.lit(""))))
-    cuts = docs.agg(F.percentile_approx("doc_id", [i / ranges for i in range(1, ranges)], 10_000)).first()[0]
+    if isinstance(docs.schema["doc_id"].dataType, T.NumericType):
+        cuts = docs.agg(F.percentile_approx("doc_id", [i / ranges for i in range(1, ranges)], 10_000)).first()[0]
+    else:
+        some = docs.where("doc_id is not null").select("doc_id").orderBy(F.xxhash64("doc_id")).limit(64 * ranges)
+        some = sorted(r["doc_id"] for r in some.collect())
+        cuts = some[::64][1:]
     rows = rows.withColumn("range", _range_of(F.col("doc_id"), sorted(set(cuts or []))))
     firsts = sorted((r["range"], r["first"]) for r in rows.groupBy("range").agg(F.min(F.struct("doc_id", "order")).alias("first")).collect())
     edges = [(first["doc_id"], first["order"], firsts[i - 1][0]) for i, (_, first) in enumerate(firsts)]
@@ -187,8 +193,7 @@ def edited_likeness(docs: DataFrame, k: int = K, window: int = WINDOW) -> DataFr
             columns = list(zip(*out, strict=True)) or [[]] * len(names)
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=names)
 
-    schema = T.StructType([docs.schema["doc_id"]]).jsonValue()["fields"][0]["type"]
-    types = [{"long": pa.int64(), "integer": pa.int32(), "string": pa.string()}[schema],
+    types = [to_arrow_type(docs.schema["doc_id"].dataType),
              pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
     kind = docs.schema["doc_id"].dataType.simpleString()
     return with_next(docs).mapInArrow(

@@ -44,3 +44,8 @@ def test_parts_become_placeholders(spark):
     assert r["expanded_tokens"] == 4 + 25 + 1536
     with pytest.raises(ValueError):
         chat.PartVisitor(chat.Rendering()).visit(part("video"))
+
+
+def test_roles_with_line_feeds_come_back():
+    for role in ("a\nb", "\\n", "\n", "\\\n<", "[n\\e"):
+        assert chat.unescape_role(chat.escape_role(role)) == role and "\n" not in chat.escape_role(role)

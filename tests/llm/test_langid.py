@@ -66,3 +66,12 @@ def test_odd_rows(spark, docs, field):
 
 def rows_text(docs):
     return docs.where("lang = 'fr' and n_chars > 200").first()["text"]
+
+
+def test_long_runs_and_kinds_of_features():
+    word = "ab" * 21 + "cdxyz"
+    other = word[:41] + "qq" + word[43:]
+    assert "".join(langid.words_of(word)) == word and langid.words_of(word) != langid.words_of(other)
+    # A prefix is no n-gram: only equal hashes could meet, and these do not.
+    assert langid.features("pa")[0] != langid.zlib.crc32(b"pp") % langid.BUCKETS
+    assert len(set(langid.features("anna"))) == len(langid.features("anna"))

@@ -1,5 +1,6 @@
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__
 import corpus_pipeline
@@ -79,3 +80,17 @@ def test_pipeline_on_no_rows(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs, SF).count() == 0
+
+
+def test_pipeline_keeps_columns_of_any_name(spark):
+    names = ["ref", "kept", "kept_id", "score", "lang_pred", "_lang_pred", "_lang_share", "spans", "rank", "a b"]
+    base = spark.read.parquet(f"{SF}/documents.parquet").limit(60)
+    extra = [F.concat(F.lit(f"{n}-"), "doc_id").alias(n) for n in names]
+    odd = [(-1, None, None), (-2, "", "en"), (-1, None, None)]
+    docs = base.unionByName(spark.createDataFrame([(i, t, g, "s", None) for i, t, g in odd], base.schema)).select("*", *extra).cache()
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, SF)
+        assert out.dtypes == docs.dtypes
+        for r in out.collect():
+            assert all(r[n] == f"{n}-{r['doc_id']}" for n in names), name
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, SF).where("doc_id = -2").count() == 1
