@@ -39,6 +39,9 @@ HEADLINE = [
     "tree_stump",            # model fits: one tree, a weighted round, a converged solver
     "ada_two_stumps",
     "svr",
+    "ingest_list",           # a list of files out of a folder
+    "forest_search_stump",   # a search in shared passes
+    "min_norm_ols",
 ]
 
 
