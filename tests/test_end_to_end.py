@@ -46,7 +46,7 @@ def test_three_stages(spark, workdir):
         ada_grid={"n_estimators": [2], "learning_rate": [1.0]},
         bagging_space={"base_estimator": ["tree"], "n_estimators": [3], "bootstrap": [True],
                        "base_max_depth": [4], "base_min_samples_leaf": [2]},
-        bagging_iter=1, folds=3)
+        bagging_iter=1, folds=3, svr_max_iter=25, svr_landmarks=64)
     out = train_all(feats, names["eficiencia"], time="time", config=cfg)
     assert (out.n_rows, out.n_train) == (240, 192)
     m = {r.model: r.rmse for r in out.metrics.collect()}

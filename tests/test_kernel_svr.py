@@ -43,7 +43,7 @@ def test_near_the_dual(spark, waves):
     x, y = waves
     want = dual(x, y, 0.5, 1.0, 0.05)
     df = frame(spark, x, y)
-    for landmarks in (500, 150):
+    for landmarks in (150,):
         m = ks.KernelSVR(featuresCol="v", labelCol="y", gamma=0.5, epsilon=0.05, landmarks=landmarks).fit(df)
         assert m.converged
         got = np.array([r["prediction"] for r in m.transform(df).orderBy("id").collect()])

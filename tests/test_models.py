@@ -208,7 +208,7 @@ def test_train_all_small(spark, planted):
         ada_grid={"n_estimators": [3], "learning_rate": [1.0]},
         bagging_space={"base_estimator": ["tree"], "n_estimators": [5], "bootstrap": [True],
                        "base_max_depth": [6], "base_min_samples_leaf": [2]},
-        bagging_iter=1, folds=3)
+        bagging_iter=1, folds=3, svr_max_iter=25, svr_landmarks=64)
     res = train_all(df.drop("id"), "y", time="time", config=cfg)
     assert (res.n_rows, res.n_train) == (1500, 1200)
     cols = res.predictions.columns
