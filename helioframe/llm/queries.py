@@ -150,10 +150,10 @@ gram as (
   select lang, m, unnest(list_transform(range(1, len(w) - m + 2), lambda i: w[i:i + m - 1])) as g
   from words, (values (1), (2), (3), (4)) as size(m) where len(w) >= m),
 f as (select lang, m, g, count(*) as a from gram group by lang, m, g having count(*) >= 30),
+parts as (select lang, m, g, a, k, g[1:k] as head, g[k + 1:] as rest from f, (values (1), (2), (3)) as place(k) where k < m),
 cut as (
-  select c.lang, c.m, c.g, c.a, k, h.a as l, r.a as r, cast((2000000::hugeint * c.a) // (h.a + r.a) as bigint) as score
-  from f c, (values (1), (2), (3)) as place(k), f h, f r
-  where k < c.m and h.lang = c.lang and r.lang = c.lang and h.g = c.g[1:k] and r.g = c.g[k + 1:]),
+  select p.*, h.a as l, r.a as r, cast((2000000::hugeint * p.a) // (h.a + r.a) as bigint) as score
+  from parts p join f h on h.lang = p.lang and h.g = p.head join f r on r.lang = p.lang and r.g = p.rest),
 weakest as (select *, row_number() over (partition by lang, g order by score, k) as turn from cut),
 inner_part as (
   select lang, unnest(list_transform(range(1, m - s + 2), lambda i: g[i:i + s - 1])) as g, a as longer
