@@ -16,11 +16,12 @@ documents and are judged on the input.
    suffixes that share a prefix; a window is repeated if another one has the
    same bytes before its first word boundary and a suffix of the same group
    after it. Minimizers of very many kinds are dealt out by window instead, so
-   that no task gets an unbounded group: windows are counted by a hash.
+   that no task gets an unbounded group: windows are counted by a 128-bit hash.
 4. Repeated windows are joined to spans, and the spans cut out of the texts.
 
-Texts are known by a 64-bit hash throughout. Null and empty texts and texts
-shorter than ``length`` keep everything; equal texts of ``length`` bytes or
+Texts are told apart by their SHA-256; those that go on are numbered. (The
+64-bit hash of a text only says which ones go on; one too many does no harm.)
+Null and empty texts and texts shorter than ``length`` keep everything; equal texts of ``length`` bytes or
 more lose everything; an empty table gives an empty result; other columns are
 ignored by :func:`repeated_spans` and kept by :func:`without_repeats`.
 """
@@ -36,7 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from helioframe.llm.common import Scratch, bound_batches, grouped
+from helioframe.llm.common import Scratch, bound_batches, grouped, join_groups
 from helioframe.llm.suffix_array import suffix_array
 from helioframe.llm.winnowing import gram_hashes, sliding_minimum
 
@@ -60,8 +61,9 @@ _ENDS[[*b" \n\t\r.,;:/\"'", 0]] = True
 _WORD = re.compile(b"[^" + re.escape(bytes(np.flatnonzero(_ENDS).tolist())) + b"]*[" + re.escape(bytes(np.flatnonzero(_ENDS).tolist())) + b"]")
 
 
-def text_ref(text):
-    return F.xxhash64(text)
+def text_key(text):
+    """What tells texts apart: 32 bytes that no two texts share."""
+    return F.unhex(F.sha2(text, 256))
 
 
 class Minimizers:
@@ -271,28 +273,28 @@ def _windows(parts: DataFrame, length: int) -> DataFrame:
     def run(batches):
         for batch in batches:
             for mh, ref, start, seen, raw in zip(*(batch.column(c).to_pylist() for c in ("mh", "ref", "start", "seen", "bytes")), strict=True):
-                hashes = [xxhash.xxh3_64_intdigest(raw[i:i + length]) for i in range(len(raw) - length + 1)]
+                hashes = [xxhash.xxh3_128_digest(raw[i:i + length]) for i in range(len(raw) - length + 1)]
                 n = len(hashes)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(n, mh, np.int64)), pa.array(np.array(hashes, np.uint64).view(np.int64)), pa.array(np.full(n, ref, np.int64)),
+                    [pa.array(np.full(n, mh, np.int64)), pa.array(hashes, pa.binary()), pa.array(np.full(n, ref, np.int64)),
                      pa.array(np.arange(start, start + n, dtype=np.int32)), pa.array(np.full(n, seen, np.int64))], names=["mh", "wh", "ref", "at", "seen"])
 
-    return parts.mapInArrow(run, "mh long, wh long, ref long, at int, seen long")
+    return parts.mapInArrow(run, "mh long, wh binary, ref long, at int, seen long")
 
 
 def repeated_runs(docs: DataFrame, length: int = LENGTH) -> tuple[DataFrame, DataFrame]:
-    """Texts that may hold repeats ``(ref, text, copies)``, and their runs of repeated windows ``(ref, start, windows)``."""
+    """Texts that may hold repeats ``(ref, key, text, copies)``, and their runs of repeated windows ``(ref, start, windows)``."""
     spark = docs.sparkSession
     bound_batches(spark)
     scratch = Scratch(spark)
-    texts = docs.where(F.octet_length("text") >= length).select(text_ref("text").alias("ref"), "text")
+    texts = docs.where(F.octet_length("text") >= length).select(F.xxhash64("text").alias("ref"), "text")
 
     marks = scratch.keep(_minimizers(texts, length), "minimizers")
     # Written, so that the join's both sides are shuffled for it and a very common minimizer can be split.
     again = scratch.keep(marks.groupBy("mh").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("mh"), "again")
     wanted = marks.join(again, "mh").groupBy("ref").agg(F.collect_set("mh").alias("mhs"))
-    once = texts.groupBy("ref").agg(F.first("text").alias("text"), F.count(F.lit(1)).alias("copies"))
-    candidates = scratch.keep(once.join(wanted, "ref"), "candidates")
+    once = texts.groupBy("ref", text_key("text").alias("key")).agg(F.first("text").alias("text"), F.count(F.lit(1)).alias("copies"))
+    candidates = scratch.keep(once.join(wanted, "ref").withColumn("ref", F.monotonically_increasing_id()), "candidates")
     scratch.drop(marks)
     scratch.drop(again)
 
@@ -304,7 +306,7 @@ def repeated_runs(docs: DataFrame, length: int = LENGTH) -> tuple[DataFrame, Dat
 
     others = kinds.groupBy("mh").agg(F.count(F.lit(1)).alias("kinds"), F.max(F.when(F.col("seen") == 1, 1)).alias("open"))
     others = others.where("open = 1")
-    chosen = kinds.join(others, "mh").where("kinds > 1 or (inner and seen = 1)")
+    chosen = join_groups(kinds, others, "mh", "kinds", kinds.count()).where("kinds > 1 or (inner and seen = 1)")
     parts = (chosen.groupBy("ref").agg(F.collect_list(F.struct("mh", "sh", "start", "windows", "seen", "kinds")).alias("parts"))
              .join(candidates.select("ref", "text"), "ref"))
     few, many = (parts.withColumn("parts", F.filter("parts", test)).where(F.size("parts") > 0)
@@ -326,35 +328,35 @@ def _covered(n: int, runs: list[dict], length: int) -> np.ndarray:
 
 
 def _removals(docs: DataFrame, length: int, with_text: bool) -> DataFrame:
-    """``(ref, n_removed, n_spans, kept_sha256[, kept])`` of the texts that lose something."""
+    """``(key, n_removed, n_spans, kept_sha256[, kept])`` of the texts that lose something."""
     candidates, runs = repeated_runs(docs, length)
     runs = runs.groupBy("ref").agg(F.collect_list(F.struct("start", "windows")).alias("runs"))
-    names = ["ref", "n_removed", "n_spans", "kept_sha256", *(["kept"] if with_text else [])]
+    names = ["key", "n_removed", "n_spans", "kept_sha256", *(["kept"] if with_text else [])]
 
     def run(batches):
         for batch in batches:
             out = []
-            for ref, text, spans in zip(*(batch.column(c).to_pylist() for c in ("ref", "text", "runs")), strict=True):
+            for key, text, spans in zip(*(batch.column(c).to_pylist() for c in ("key", "text", "runs")), strict=True):
                 raw = text.encode("utf-8", "surrogatepass")
                 gone = _covered(len(raw), spans, length)
                 kept = np.frombuffer(raw, np.uint8)[~gone].tobytes()
-                row = (ref, len(raw) - len(kept), len(runs_of(gone)[0]), hashlib.sha256(kept).hexdigest())
+                row = (key, len(raw) - len(kept), len(runs_of(gone)[0]), hashlib.sha256(kept).hexdigest())
                 out.append((*row, kept.decode("utf-8", "ignore")) if with_text else row)
-            types = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string()][:len(names)]
+            types = [pa.binary(), pa.int64(), pa.int64(), pa.string(), pa.string()][:len(names)]
             columns = list(zip(*out, strict=True)) or [[]] * len(names)
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=names)
 
-    return (candidates.select("ref", "text").join(runs, "ref")
-            .mapInArrow(run, "ref long, n_removed long, n_spans long, kept_sha256 string" + ", kept string" * with_text))
+    return (candidates.select("ref", "key", "text").join(runs, "ref").select("key", "text", "runs")
+            .mapInArrow(run, "key binary, n_removed long, n_spans long, kept_sha256 string" + ", kept string" * with_text))
 
 
 def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """``(doc_id, n_bytes, n_removed, n_spans, kept_sha256)`` of all documents."""
     empty = F.coalesce("text", F.lit(""))
-    rows = docs.select("doc_id", text_ref(empty).alias("ref"), F.octet_length(empty).cast("long").alias("n_bytes"),
+    rows = docs.select("doc_id", text_key(empty).alias("key"), F.octet_length(empty).cast("long").alias("n_bytes"),
                        F.sha2(F.encode(empty, "UTF-8"), 256).alias("own_sha256"))
     lost = _removals(docs, length, with_text=False)
-    return (rows.join(lost, "ref", "left")
+    return (rows.join(lost, "key", "left")
             .select("doc_id", "n_bytes", F.coalesce("n_removed", F.lit(0)).cast("long").alias("n_removed"),
                     F.coalesce("n_spans", F.lit(0)).cast("long").alias("n_spans"),
                     F.coalesce("kept_sha256", "own_sha256").alias("kept_sha256")))
@@ -362,6 +364,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
 def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """The documents with repeated strings cut out of their texts; bytes of a character cut in two are dropped."""
-    lost = _removals(docs, length, with_text=True).select("ref", "kept")
-    keep = [F.coalesce("kept", "text").alias("text") if c == "text" else F.col(c) for c in docs.columns]
-    return docs.withColumn("ref", text_ref("text")).join(lost, "ref", "left").select(*keep)
+    lost = _removals(docs, length, with_text=True).select(F.struct("key", "kept").alias("lost"))
+    own = docs.select(F.struct("*").alias("doc"), text_key("text").alias("key"))  # columns of any name stay apart
+    keep = [F.coalesce("lost.kept", "doc.text").alias("text") if c == "text" else F.col(f"doc.`{c}`").alias(c) for c in docs.columns]
+    return own.join(lost, F.col("key") == F.col("lost.key"), "left").select(*keep)

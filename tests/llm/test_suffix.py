@@ -68,10 +68,13 @@ def test_repeated_spans(spark, monkeypatch, kinds):
 
 def test_without_repeats(spark):
     texts = fixture_texts()
-    docs = spark.createDataFrame([(i, t, 0, "x") for i, t in enumerate(texts)], "doc_id long, text string, start int, ref string")
-    out = sd.without_repeats(docs.withColumnRenamed("ref", "source"))
-    assert out.columns == ["doc_id", "text", "start", "source"]
-    by = {r["doc_id"]: r["text"] for r in out.collect()}
+    docs = spark.createDataFrame([(i, t, 0, "x", "y", "z") for i, t in enumerate(texts)],
+                                 "doc_id long, text string, start int, ref string, key string, kept string")
+    out = sd.without_repeats(docs)
+    assert out.columns == docs.columns
+    rows = out.collect()
+    assert {tuple(r)[2:] for r in rows} == {(0, "x", "y", "z")}  # columns of such names are left alone
+    by = {r["doc_id"]: r["text"] for r in rows}
     assert by[0] is None and by[2] == "short" and by[4] == texts[4] and by[7] == ""
     assert sd.repeated_spans(docs.limit(0)).count() == 0
 
@@ -79,3 +82,13 @@ def test_without_repeats(spark):
 def test_nulls_and_repeated_rows(spark):
     docs = spark.createDataFrame([(None, "z" * 100 + "y" * 150)] * 2 + [(None, None)], "doc_id long, text string")
     assert sorted((r["n_bytes"], r["n_removed"]) for r in sd.repeated_spans(docs).collect()) == [(0, 0), (250, 250), (250, 250)]
+
+
+def test_very_long_texts(spark):
+    rng = random.Random(5)
+    word = ["".join(rng.choices("abcdefgh", k=6)) for _ in range(20_000)]
+    long = " ".join(rng.choices(word, k=60_000))  # 420,000 bytes
+    texts = [long, long[200_000:200_700] + "!", " ".join(rng.choices(word, k=200))]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    out = {r["doc_id"]: tuple(r)[1:4] for r in sd.repeated_spans(docs).collect()}
+    assert out == {0: (len(long), 700, 1), 1: (701, 700, 1), 2: (len(texts[2]), 0, 0)}
