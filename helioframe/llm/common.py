@@ -109,8 +109,8 @@ def join_groups(rows: DataFrame, groups: DataFrame, key: str, size: str, total:
     """``rows`` joined with ``groups``, which has one row per ``key`` and its number of rows in ``size``.
 
     Keys with more than a fixed share of the ``total`` rows are joined where
-    their rows lie: at most ``2 / HOT_SHARE`` groups can be so large (a row may
-    count twice), which bounds the broadcast. All other keys are shuffled, so
+    their rows lie: at most ``1 / HOT_SHARE`` groups can be so large, which bounds the
+    broadcast. All other keys are shuffled, so
     no task gets more than about that share besides its own. Null keys join
     with nothing.
     """
@@ -126,22 +126,19 @@ def components(spark: SparkSession, edges: DataFrame, a: str = "a", b: str = "b"
     Alternates large-star and small-star steps (each a grouped minimum and a
     join) until the edges stop changing; every round is written to the shared
     folder, so a lost executor costs one round at most. The rounds grow with
-    the logarithm of the longest chain. The links of a node of very many are
-    not brought together: minima are added up before the shuffle, and such
-    nodes' rows are joined where they lie.
+    the logarithm of the longest chain.
     """
     scratch = Scratch(spark)
     now = scratch.keep(edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v"))
                        .where("u <> v").distinct(), "links")
-    state, total = None, now.count()
+    state = None
     while True:
         both = now.select("u", "v").unionAll(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n"))
-        least = least.select("u", F.least("u", "m").alias("m"), "n")
-        large = join_groups(both, least, "u", "n", total).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = large.distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n"))
-        small = (join_groups(large, least, "u", "n", total).where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        small = (large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .unionAll(least.select("u", F.col("m").alias("v"))))
         nxt = scratch.keep(small.distinct(), "links")
         scratch.drop(now)
@@ -149,4 +146,4 @@ def components(spark: SparkSession, edges: DataFrame, a: str = "a", b: str = "b"
         seen = now.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first()
         if tuple(seen) == state:
             return now.select(F.col("u").alias("node"), F.col("v").alias("component"))
-        state, total = tuple(seen), seen[0]
+        state = tuple(seen)
