@@ -293,8 +293,11 @@ def repeated_runs(docs: DataFrame, length: int = LENGTH) -> tuple[DataFrame, Dat
     # Written, so that the join's both sides are shuffled for it and a very common minimizer can be split.
     again = scratch.keep(marks.groupBy("mh").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("mh"), "again")
     wanted = marks.join(again, "mh").groupBy("ref").agg(F.collect_set("mh").alias("mhs"))
-    once = texts.groupBy("ref", text_key("text").alias("key")).agg(F.first("text").alias("text"), F.count(F.lit(1)).alias("copies"))
-    candidates = scratch.keep(once.join(wanted, "ref").withColumn("ref", F.monotonically_increasing_id()), "candidates")
+    keyed = texts.withColumn("key", text_key("text"))
+    once = keyed.groupBy("ref", "key").agg(F.first("text").alias("text"), F.count(F.lit(1)).alias("copies"))
+    # The keys fetch the minimizers, so that the texts are shuffled once only.
+    wanted = keyed.select("ref", "key").distinct().join(wanted, "ref")
+    candidates = scratch.keep(once.join(wanted, ["ref", "key"]).withColumn("ref", F.monotonically_increasing_id()), "candidates")
     scratch.drop(marks)
     scratch.drop(again)
 
