@@ -100,26 +100,6 @@ def rank_within(df: DataFrame, key: str, ties: Sequence[str], rows: int,
             .drop("_cell", "_base", "_row"))
 
 
-#: A key with more than this share of the rows is hot. There are at most as many hot keys as the
-#: share goes into one, so their rows of the other side are few and can be broadcast.
-HOT_SHARE = 1 / 1024
-
-
-def join_groups(rows: DataFrame, groups: DataFrame, key: str, size: str, total: int) -> DataFrame:
-    """``rows`` joined with ``groups``, which has one row per ``key`` and its number of rows in ``size``.
-
-    Keys with more than a fixed share of the ``total`` rows are joined where
-    their rows lie: at most ``1 / HOT_SHARE`` groups can be so large, which bounds the
-    broadcast. All other keys are shuffled, so
-    no task gets more than about that share besides its own. Null keys join
-    with nothing.
-    """
-    most = max(1, int(total * HOT_SHARE))
-    hot = groups.where(F.col(size) > most)
-    cold = rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(groups.where(F.col(size) <= most), key)
-    return rows.join(F.broadcast(hot), key).unionByName(cold)
-
-
 def components(spark: SparkSession, edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """``(node, component)``: the smallest node reachable, for every node with a link to a smaller one.
 

@@ -27,11 +27,3 @@ def test_components_with_large_stars(spark):
     found = common.components(spark, spark.createDataFrame(edges, "a long, b long"))
     assert {r["node"]: r["component"] for r in found.collect()} == brute(edges)
     assert common.components(spark, spark.createDataFrame([], "a long, b long")).count() == 0
-
-
-def test_join_groups(spark):
-    rows = spark.createDataFrame([(k % 7 if k % 3 else 100, k) for k in range(6_000)] + [(None, 1)], "k int, x int")
-    groups = rows.groupBy("k").count().where("k <> 2")
-    got = sorted(map(tuple, common.join_groups(rows, groups, "k", "count", rows.count() * 300).collect()))
-    assert got == sorted(map(tuple, rows.join(groups, "k").collect()))
-    assert got == sorted(map(tuple, common.join_groups(rows, groups, "k", "count", 6_001).collect()))
