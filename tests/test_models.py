@@ -235,3 +235,25 @@ def test_training_on_components(spark, planted):
     assert {"pc1", "pc2", "y_rl"} <= set(res.predictions.columns) and "x1" not in res.predictions.columns
     assert len(expand_grid(SearchConfig.principal_components().svr_grid)) == 36
     assert SearchConfig.eight_variables().ada_grid["n_estimators"] == [50, 100, 200]
+
+
+def test_svr_passes_read_packed_rows(spark):
+    """A pass over the rows reads a few rows of bytes, whatever the kernel's width, and sums all of them."""
+    from pyspark.ml.functions import vector_to_array
+
+    from helioframe.models import svr
+    rng = np.random.default_rng(5)
+    x, y = rng.normal(0, 1, (3000, 3)), rng.normal(0, 1, 3000)
+    df = spark.createDataFrame([(Vectors.dense(a), float(b)) for a, b in zip(x, y)], ["features", "y"]).repartition(3)
+    packed = svr._packed(df.select(vector_to_array("features").alias("x"), "y"), 3)
+    assert packed.count() <= 3000 // 256 + 6
+    omega, u = rng.normal(0, 1, (7, 3)), rng.uniform(0, 6, 7)
+    for kernel in ("linear", "poly", "rbf"):
+        def phi(rows, kernel=kernel):
+            return svr._mapped(rows, kernel, 2, 0.7, omega.tolist(), u.tolist())
+        z = phi(x)
+        one = math.sqrt(2 / 7) * np.cos(x[5] @ omega.T + u) if kernel == "rbf" else \
+            [0.7 * a * b * (1 if i == j else math.sqrt(2)) for i, a in enumerate(x[5]) for j, b in enumerate(x[5]) if i <= j]
+        assert z[5] == pytest.approx(x[5] if kernel == "linear" else one)
+        got = svr._sums(packed, 3, phi, lambda a, b: np.concatenate([[len(b)], a.sum(axis=0), b @ a]))
+        assert got == pytest.approx(np.concatenate([[3000], z.sum(axis=0), y @ z]), rel=1e-9, abs=1e-9)
