@@ -27,3 +27,11 @@ def test_components_with_large_stars(spark):
     found = common.components(spark, spark.createDataFrame(edges, "a long, b long"))
     assert {r["node"]: r["component"] for r in found.collect()} == brute(edges)
     assert common.components(spark, spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_scratch_tables_are_packed_tightly(spark):
+    from helioframe.llm.common import Scratch
+    scratch = Scratch(spark)
+    kept = scratch.keep(spark.range(10).selectExpr("id", "repeat('word ', 50) AS text"), "texts")
+    assert kept.count() == 10 and all(f.endswith(".zstd.parquet") for f in kept.inputFiles())
+    scratch.drop(kept)
